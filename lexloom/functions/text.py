@@ -68,9 +68,9 @@ def _code_point(n: Column) -> Column:
 
 def unescape(c: Column) -> Column:
     """Decode HTML character references (named, decimal, hexadecimal)."""
-    named = F.create_map(
-        *[F.lit(x) for name, point in sorted(name2codepoint.items()) for x in (name, chr(point))]
-    )
+    # One foldable literal instead of hundreds of map entries in every plan.
+    table = "\n".join(f"{name}\t{chr(point)}" for name, point in sorted(name2codepoint.items()))
+    named = F.str_to_map(F.lit(table), F.lit("\n"), F.lit("\t"))
     ref = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);?"
 
     def char_for(name: Column) -> Column:

@@ -7,8 +7,6 @@ its page row: no shuffle, and the same code runs on a stream of pages.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,193 +68,195 @@ def judgment_text(content: Column) -> Column:
 
 # --- two-column tables (statutes) --------------------------------------------------------------
 
+_CELL, _ROW_END = 1, 2
+_FOUND = "array<struct<start:int,stop:int,depth:int,kind:int>>"
+_BOLDS = "array<struct<at:int,depth:int,text:string>>"
 
-@dataclass(frozen=True)
-class _Kind:
-    """Codes of the table tokens the label scan looks at."""
-
-    TD: int = 1
-    END_TD: int = 2
-    END_TR: int = 3
-    MARK: int = 4
-    END_MARK: int = 5
-    TEXT: int = 6
-
-
-def _kinds(toks: Column, mark: str) -> Column:
-    k = _Kind()
-
-    def kind(t: Column) -> Column:
-        name = F.lower(F.regexp_extract(t, r"(?i)^<(/?[a-z][a-z0-9]*)", 1))
-        return let(
-            name,
-            lambda n: F.when(n == "td", k.TD)
-            .when(n == "/td", k.END_TD)
-            .when(n.isin("/tr", "/tbody", "/table"), k.END_TR)
-            .when(n == mark, k.MARK)
-            .when(n == f"/{mark}", k.END_MARK)
-            .when(~t.startswith("<"), k.TEXT)
-            .otherwise(0),
-        )
 
-    return F.transform(
-        toks,
-        lambda t: F.struct(kind(t).cast("int").alias("kind"), t.alias("tok")),
-    )
+def _lit_int(n: int) -> Column:
+    return F.lit(n).cast("int")
 
 
-def _value_cell(marked: Column, label: str, by_cell: bool, last: bool) -> Column:
-    """Span of the cell next to the labelled one.
+def _table_parts(toks: Column) -> Column:
+    """Cells, row ends and sole-text ``<b>`` elements of a section, with their cell depth.
 
-    The label is the sole text of a marking element inside a cell, or of the cell
-    itself (``by_cell``). The first labelled cell decides unless ``last``.
-    States: 0 searching, 1 inside the marking element, 2 inside the label's cell,
-    3 between cells, 4 inside the value cell, 5 done.
+    One fold; ``open`` is the stack of start positions of the cells not closed yet.
     """
-    k = _Kind()
-    start_kind, end_kind = (k.TD, k.END_TD) if by_cell else (k.MARK, k.END_MARK)
+    def part(start: Column, stop: Column, depth: Column, kind: int) -> Column:
+        return F.array(
+            F.struct(
+                start.alias("start"), stop.alias("stop"), depth.alias("depth"), _lit_int(kind).alias("kind")
+            )
+        )
 
-    def step(acc: Column, t: Column) -> Column:
+    def step(acc: Column, tok: Column) -> Column:
         here = acc["at"] + 1
-        kind = t["kind"]
-        cells = (
-            F.when(kind == k.TD, acc["cells"] + 1)
-            .when(kind == k.END_TD, F.greatest(acc["cells"] - 1, F.lit(0)))
-            .otherwise(acc["cells"])
-        )
-        matched = (
-            (acc["state"] == 1)
-            & (kind == end_kind)
-            & (acc["runs"] == 1)
-            & (T.strip(T.unescape(acc["text"])) == label)
-        )
-        level = acc["level"]
-        looking = acc["state"] <= 1
-        state = (
-            F.when(matched & (cells >= (0 if by_cell else 1)), F.lit(3 if by_cell else 2))
-            .when(looking & (kind == start_kind), F.lit(1))
-            .when((acc["state"] == 1) & (kind == end_kind), F.lit(0))
-            .when((acc["state"] == 2) & (cells < level), F.lit(3))
-            .when((acc["state"] == 3) & (kind == k.TD) & (cells == level), F.lit(4))
-            .when((acc["state"] == 3) & (kind == k.END_TR), F.lit(0 if last else 5))
-            .when((acc["state"] == 4) & (cells < level), F.lit(0 if last else 5))
-            .otherwise(acc["state"])
-        )
-        return let(
-            F.struct(cells.alias("cells"), state.alias("state")),
-            lambda n: F.struct(
+        depth = F.size(acc["open"])
+
+        def advance(name: Column) -> Column:
+            pop = (name == "/td") & (depth > 0)
+            bold_ends = (name == "/b") & (acc["bold"] == 1)
+            return F.struct(
                 here.alias("at"),
-                n["cells"].alias("cells"),
-                n["state"].cast("int").alias("state"),
-                F.when(looking & (n["state"] == 2), n["cells"])
-                .when(looking & (n["state"] == 3), n["cells"] + 1)
-                .otherwise(level)
-                .alias("level"),
-                F.when(looking & (kind == start_kind), F.lit(""))
-                .when((acc["state"] == 1) & (kind == k.TEXT), F.concat(acc["text"], t["tok"]))
-                .otherwise(acc["text"])
-                .alias("text"),
-                F.when(looking & (kind == start_kind), F.lit(0))
-                .when((acc["state"] == 1) & (kind == k.TEXT), acc["runs"] + 1)
-                .otherwise(acc["runs"])
-                .cast("int")
-                .alias("runs"),
-                F.when((acc["state"] == 3) & (n["state"] == 4), here)
-                .otherwise(acc["start"])
-                .alias("start"),
-                F.when((acc["state"] == 3) & (n["state"] == 4), F.lit(0))
-                .when((acc["state"] == 4) & (n["state"] != 4), here)
-                .otherwise(acc["stop"])
-                .cast("int")
-                .alias("stop"),
-            ),
-        )
+                F.when(name == "td", F.concat(acc["open"], F.array(here)))
+                .when(pop, F.slice(acc["open"], F.lit(1), depth - 1))
+                .otherwise(acc["open"])
+                .alias("open"),
+                F.when(
+                    pop,
+                    F.concat(
+                        acc["found"], part(F.try_element_at(acc["open"], F.lit(-1)), here, depth, _CELL)
+                    ),
+                )
+                .when(
+                    name.isin("/tr", "/tbody", "/table"),
+                    F.concat(acc["found"], part(here, here, depth + 1, _ROW_END)),
+                )
+                .otherwise(acc["found"])
+                .alias("found"),
+                F.when(name == "b", _lit_int(0))
+                .when(name == "", acc["bold"] + 1)
+                .otherwise(acc["bold"])
+                .alias("bold"),
+                F.when(name == "", tok).otherwise(acc["text"]).alias("text"),
+                F.when(
+                    bold_ends,
+                    F.concat(
+                        acc["bolds"],
+                        F.array(
+                            F.struct(here.alias("at"), depth.alias("depth"), acc["text"].alias("text"))
+                        ),
+                    ),
+                )
+                .otherwise(acc["bolds"])
+                .alias("bolds"),
+            )
+
+        return let(F.lower(F.regexp_extract(tok, r"(?i)^<(/?[a-z!][a-z0-9-]*)", 1)), advance)
 
     zero = F.struct(
-        *[F.lit(0).cast("int").alias(n) for n in ("at", "cells", "state", "level")],
+        _lit_int(0).alias("at"),
+        F.array().cast("array<int>").alias("open"),
+        F.array().cast(_FOUND).alias("found"),
+        # Text runs since the last <b>; far from 1 until there is one.
+        _lit_int(1 << 20).alias("bold"),
         F.lit("").alias("text"),
-        *[F.lit(0).cast("int").alias(n) for n in ("runs", "start", "stop")],
+        F.array().cast(_BOLDS).alias("bolds"),
     )
     return F.aggregate(
-        marked,
-        zero,
-        step,
-        lambda acc: F.struct(
-            acc["start"].alias("start"),
-            F.when(acc["stop"] > 0, acc["stop"]).otherwise(acc["at"]).alias("stop"),
-        ),
+        toks, zero, step, lambda acc: F.struct(acc["found"].alias("found"), acc["bolds"].alias("bolds"))
     )
 
 
-def cell_value(meta: Column, label: str, by_cell: bool = False, last: bool = False) -> Column:
-    """Tokens of the value cell for a label; NULL when there is none."""
-    return let(
-        _kinds(meta, "b"),
-        lambda marked: let(
-            _value_cell(marked, label, by_cell, last),
-            lambda s: F.when(
-                s["start"] > 0,
-                F.transform(
-                    F.slice(marked, s["start"], s["stop"] - s["start"] + 1), lambda t: t["tok"]
-                ),
+def _next_cell(found: Column, depth: Column, after: Column) -> Column:
+    """The following cell of the same row, NULL at the end of the row."""
+    following = F.array_sort(F.filter(found, lambda e: (e["depth"] == depth) & (e["start"] > after)))
+    return let(F.get(following, F.lit(0)), lambda e: F.when(e["kind"] == _CELL, e))
+
+
+def _cut(toks: Column, part: Column) -> Column:
+    return F.slice(toks, part["start"], part["stop"] - part["start"] + 1)
+
+
+def table_fields(meta: Column) -> Column:
+    """Every label of a two-column table with the text of the cell next to it.
+
+    ``bold`` labels are the sole text of a ``<b>``; their value loses nested
+    span/a/div bodies and placeholders. Other labels are the sole text of a cell.
+    Array of structs (bold, label, value) in page order.
+    """
+
+    def bold_field(toks: Column, found: Column, b: Column) -> Column:
+        cell = F.get(
+            F.filter(
+                found,
+                lambda e: (e["kind"] == _CELL)
+                & (e["depth"] == b["depth"])
+                & (e["start"] < b["at"])
+                & (e["stop"] > b["at"]),
             ),
-        ),
-    )
+            F.lit(0),
+        )
+        value = let(_next_cell(found, b["depth"], cell["stop"]), lambda v: _cut(toks, v))
+        text = T.collapse(H.text_of(H.drop_elements(value, ["span", "a", "div"]), " "))
+        return F.struct(
+            F.lit(True).alias("bold"),
+            T.strip(T.unescape(b["text"])).alias("label"),
+            F.when(text.rlike("|".join(T.BLANK_MARKERS)), F.lit("")).otherwise(text).alias("value"),
+        )
 
+    def cell_field(toks: Column, found: Column, cell: Column) -> Column:
+        own = F.filter(_cut(toks, cell), lambda t: ~t.startswith("<"))
+        value = let(_next_cell(found, cell["depth"], cell["stop"]), lambda v: _cut(toks, v))
+        text = H.text_of(value, " ")
+        return F.struct(
+            F.lit(False).alias("bold"),
+            F.when(F.size(own) == 1, T.strip(T.unescape(F.get(own, F.lit(0))))).alias("label"),
+            F.when(text.isin(*T.GAZETTE_BLANKS), F.lit("")).otherwise(text).alias("value"),
+        )
 
-def table_value(meta: Column, label: str) -> Column:
-    """Labelled value without nested span/a/div, placeholders blanked, '' when missing."""
-    raw = H.text_of(H.drop_elements(cell_value(meta, label), ["span", "a", "div"]), " ")
     return let(
-        F.coalesce(T.collapse(raw), F.lit("")),
-        lambda v: F.when(
-            F.array_contains(
+        meta,
+        lambda toks: let(
+            _table_parts(toks),
+            lambda parts: F.concat(
+                F.transform(parts["bolds"], lambda b: bold_field(toks, parts["found"], b)),
                 F.transform(
-                    F.array(*[F.lit(m) for m in T.BLANK_MARKERS]), lambda m: F.contains(v, m)
+                    F.filter(parts["found"], lambda e: e["kind"] == _CELL),
+                    lambda c: cell_field(toks, parts["found"], c),
                 ),
-                True,
             ),
-            F.lit(""),
-        ).otherwise(v),
+        ),
     )
 
 
-def gazette_value(meta: Column, label: str) -> Column:
-    """Value next to a cell whose own text is the label; placeholders blanked, '' when missing."""
-    return let(
-        F.coalesce(H.text_of(cell_value(meta, label, by_cell=True, last=True), " "), F.lit("")),
-        lambda v: F.when(v.isin(*T.GAZETTE_BLANKS), F.lit("")).otherwise(v),
-    )
+def _labelled(fields: Column, bold: bool, label: str) -> Column:
+    return F.filter(fields, lambda f: (f["bold"] == bold) & (f["label"] == label))
 
 
-# --- label lists (judgments) -------------------------------------------------------------------
+def table_value(fields: Column, label: str) -> Column:
+    """Value of the first bold label, '' when missing."""
+    return F.coalesce(F.get(_labelled(fields, True, label), F.lit(0))["value"], F.lit(""))
 
 
-def _bold_texts(item: Column) -> Column:
-    """Sole texts of the ``<b>`` elements of a list item, undecorated."""
-    return F.transform(
-        H.all_elements(item, H.opener("b"), "b"),
-        lambda b: T.unescape(F.array_join(F.filter(b, lambda t: ~t.startswith("<")), "")),
-    )
+def gazette_value(fields: Column, label: str) -> Column:
+    """Value next to the last labelled cell that has one, '' when missing."""
+    with_value = F.filter(_labelled(fields, False, label), lambda f: f["value"].isNotNull())
+    return F.coalesce(F.try_element_at(with_value, F.lit(-1))["value"], F.lit(""))
 
 
-def list_item(items: Column, label: str) -> Column:
-    """First list item that carries the exact label in bold; NULL if none."""
-    return F.get(F.filter(items, lambda it: F.array_contains(_bold_texts(it), label)), F.lit(0))
+# --- label lists (judgments) -------------------------------------------------------------------
+
 
+def link_texts(toks: Column) -> Column:
+    """Text of every ``<a>`` in order."""
+    return F.transform(H.all_elements(toks, H.opener("a"), "a"), lambda a: H.text_of(a, ""))
 
-def _value_box(item: Column) -> Column:
-    return H.first_element(item, H.opener("div", "class", "col-xl-9"), "div")
 
+def list_fields(items: Column) -> Column:
+    """Per list item: its bold labels, value text, links of the value box, first link."""
+    box = H.opener("div", "class", "col-xl-9")
+
+    def field(item: Column) -> Column:
+        row = H.first_element(item, H.opener("div", "class", "row"), "div")
+        return F.struct(
+            F.transform(
+                H.all_elements(item, H.opener("b"), "b"),
+                lambda b: T.unescape(F.array_join(F.filter(b, lambda t: ~t.startswith("<")), "")),
+            ).alias("labels"),
+            F.replace(
+                H.text_of(H.first_element(row, box, "div"), " "), F.lit("\n"), F.lit(" ")
+            ).alias("value"),
+            link_texts(H.first_element(item, box, "div")).alias("links"),
+            F.get(link_texts(item), F.lit(0)).alias("first_link"),
+        )
 
-def item_value(items: Column, label: str) -> Column:
-    row = H.first_element(list_item(items, label), H.opener("div", "class", "row"), "div")
-    return F.coalesce(F.replace(H.text_of(_value_box(row), " "), F.lit("\n"), F.lit(" ")), F.lit(""))
+    return F.transform(items, field)
 
 
-def link_texts(toks: Column) -> Column:
-    """Text of every ``<a>`` in order."""
-    return F.transform(H.all_elements(toks, H.opener("a"), "a"), lambda a: H.text_of(a, ""))
+def list_field(fields: Column, label: str) -> Column:
+    """First list item that carries the exact label in bold; NULL if none."""
+    return F.get(F.filter(fields, lambda f: F.array_contains(f["labels"], label)), F.lit(0))
 
 
 def parties(toks: Column) -> Column:
@@ -319,12 +319,13 @@ def law_records(pages: DataFrame, keep: tuple[str, ...] = ("doc_key",)) -> DataF
         _with_tokens(pages)
         .withColumn("_meta", section(F.col("_toks"), LAW_METADATA))
         .withColumn("_content", section(F.col("_toks"), LAW_CONTENT))
+        .withColumn("_fields", table_fields(F.col("_meta")))
     )
     raw = with_sections.select(
         *keep,
         "error",
-        *[table_value(F.col("_meta"), label).alias(f"_{n}") for n, label in LAW_LABELS.items()],
-        *[gazette_value(F.col("_meta"), label).alias(f"_{n}") for n, label in GAZETTE_LABELS.items()],
+        *[table_value(F.col("_fields"), label).alias(f"_{n}") for n, label in LAW_LABELS.items()],
+        *[gazette_value(F.col("_fields"), label).alias(f"_{n}") for n, label in GAZETTE_LABELS.items()],
         H.html_of(F.col("_meta")).alias("metadata_html"),
         H.html_of(F.col("_content")).alias("content_html"),
         law_text(F.col("_content")).alias("content_text"),
@@ -358,28 +359,32 @@ def judgment_records(pages: DataFrame, keep: tuple[str, ...] = ("doc_key",)) ->
         _with_tokens(pages)
         .withColumn("_meta", section(F.col("_toks"), JUDGMENT_METADATA))
         .withColumn("_content", section(F.col("_toks"), JUDGMENT_CONTENT))
-        .withColumn("_items", H.all_elements(F.col("_meta"), H.opener("li"), "li"))
-        .withColumn("_kw", list_item(F.col("_items"), KEYWORD_LABEL))
-        .withColumn("_auth", list_item(F.col("_items"), AUTHORITY_LABEL))
+        .withColumn(
+            "_fields", list_fields(H.all_elements(F.col("_meta"), H.opener("li"), "li"))
+        )
     )
-    values = {n: item_value(F.col("_items"), label) for n, label in JUDGMENT_LABELS.items()}
+    keywords = list_field(F.col("_fields"), KEYWORD_LABEL)
+    authority = list_field(F.col("_fields"), AUTHORITY_LABEL)
+    values = {
+        n: F.coalesce(list_field(F.col("_fields"), label)["value"], F.lit(""))
+        for n, label in JUDGMENT_LABELS.items()
+    }
     date = T.parse_date(T.strip(values.pop("judgment_date")), "d/M/yyyy")
-    authority = F.get(link_texts(F.col("_auth")), F.lit(0))
     missing = F.array_compact(
         F.array(
-            F.when(F.col("_meta").isNotNull() & F.col("_kw").isNull(), F.lit(KEYWORD_LABEL)),
-            F.when(F.col("_meta").isNotNull() & F.col("_auth").isNull(), F.lit(AUTHORITY_LABEL)),
+            F.when(F.col("_meta").isNotNull() & keywords.isNull(), F.lit(KEYWORD_LABEL)),
+            F.when(F.col("_meta").isNotNull() & authority.isNull(), F.lit(AUTHORITY_LABEL)),
         )
     )
     return with_sections.select(
         *keep,
         values["case_name"].alias("case_name"),
         values["case_number"].alias("case_number"),
-        F.coalesce(authority, F.lit("")).alias("issuing_authority"),
+        F.coalesce(authority["first_link"], F.lit("")).alias("issuing_authority"),
         values["trial_level"].alias("trial_level"),
         values["field"].alias("field"),
         date.alias("judgment_date"),
-        F.coalesce(link_texts(_value_box(F.col("_kw"))), F.array().cast("array<string>")).alias(
+        F.coalesce(keywords["links"], F.array().cast("array<string>")).alias(
             "keywords"
         ),
         H.html_of(F.col("_meta")).alias("metadata_html"),

@@ -37,7 +37,8 @@ CAPTURED_PAGES = """
     doc_type STRING, doc_key STRING, url STRING, html STRING, fetched_at TIMESTAMP_NTZ,
     http_status INT"""
 ATTEMPTS = """
-    document_id STRING, document_type STRING, attempted_at TIMESTAMP_NTZ, ok BOOLEAN, error STRING"""
+    attempt_id BIGINT, document_id STRING, document_type STRING, attempted_at TIMESTAMP_NTZ,
+    ok BOOLEAN, error STRING"""
 
 TABLES = {
     "legal_documents": LEGAL_DOCUMENTS,
