@@ -1,18 +1,20 @@
 """HTML as an array of tokens: element lookup and text without a tree.
 
 ``tokens`` cuts a page into tags, text runs, comments and whole script/style
-blocks. All element lookups are single left-to-right folds over that array with a
-small state (position, depth, spans found), so a page needs no shuffle and costs
-time linear in its tokens.
+blocks, each with its tag name. Elements are found from the positions of the tags
+of one name; only those few tags take part in the matching of opening and closing
+tags. Everything stays in the page's row, so a page needs no shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexloom.functions.arrays import let
-from lexloom.functions.text import strip, unescape
+from lexloom.functions.text import decode_entities, strip
 
 _TOKEN = (
     r"(?is)<!--.*?-->"
@@ -21,15 +23,23 @@ _TOKEN = (
     r"|</?[a-z!][^>]*>"
     r"|[^<]+|<"
 )
-_TEXT = r"(?s)^(?:[^<]|<$)"
-# Name of a tag token, with its slash when closing.
-_NAME = r"(?i)^<(/?[a-z][a-z0-9:-]*)"
 # Text that never counts as content: comments and raw-text blocks.
 INVISIBLE = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
 
 
 def tokens(html: Column) -> Column:
-    return F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0))
+    """Array of (tag, raw): lower-case tag name, with a slash when closing, '' for text,
+    '!' for comments and declarations."""
+    return F.transform(
+        F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0)),
+        lambda t: F.struct(
+            F.when(~t.startswith("<") | (t == "<"), F.lit(""))
+            .when(t.startswith("<!"), F.lit("!"))
+            .otherwise(F.lower(F.regexp_extract(t, r"(?i)^<(/?[a-z][a-z0-9:-]*)", 1)))
+            .alias("tag"),
+            t.alias("raw"),
+        ),
+    )
 
 
 def opener(tag: str, attr: str | None = None, value: str | None = None, exact: bool = False) -> str:
@@ -51,126 +61,150 @@ def _span(start: Column, stop: Column) -> Column:
     return F.struct(start.alias("start"), stop.alias("stop"))
 
 
-def _fold_spans(toks: Column, name_if_opening, only_first: bool) -> Column:
-    """Spans (1-based start/stop) of outermost elements picked by ``name_if_opening``.
+def cut(toks: Column, span: Column) -> Column:
+    """Tokens of a zero-based, inclusive span; NULL for a NULL span."""
+    return F.slice(toks, span["start"] + 1, span["stop"] - span["start"] + 1)
+
+
+def _marks(toks: Column, wanted: Callable[[Column], Column], names: list[str]) -> Column:
+    """Opening and closing tags of these names: (tag, at, wanted), one pass over the page."""
+    tags = [*names, *[f"/{n}" for n in names]]
+    return F.filter(
+        F.transform(
+            toks,
+            lambda t, i: F.when(
+                t["tag"].isin(*tags),
+                F.struct(
+                    t["tag"].alias("tag"),
+                    i.alias("at"),
+                    (~t["tag"].startswith("/") & wanted(t)).alias("wanted"),
+                ),
+            ),
+        ),
+        lambda m: m.isNotNull(),
+    )
+
+
+def first_element(toks: Column, opening: str, tag: str) -> Column:
+    """Tokens of the first element whose opening tag matches, NULL if there is none.
 
-    ``name_if_opening`` gives the tag name of a token that opens a wanted element
-    and '' for every other token. While inside, tags of the same name nest. An
-    element that is never closed runs to the last token.
+    The element ends at the first closing tag that has as many opening tags of the
+    same name before it; one that is never closed runs to the last token.
     """
 
-    def step(acc: Column, tok: Column) -> Column:
-        here = acc["at"] + 1
-        searching = acc["depth"] == 0
-        if only_first:
-            searching = searching & (F.size(acc["spans"]) == 0)
-        wanted = F.when(searching, name_if_opening(tok)).otherwise(F.lit(""))
-        tag = F.when(acc["depth"] > 0, F.lower(F.regexp_extract(tok, _NAME, 1))).otherwise(F.lit(""))
-        return let(
-            F.struct(wanted.alias("wanted"), tag.alias("tag")),
-            lambda t: F.struct(
-                here.alias("at"),
-                F.when(t["wanted"] != "", t["wanted"]).otherwise(acc["name"]).alias("name"),
-                F.when(t["wanted"] != "", _int(1))
-                .when((acc["depth"] > 0) & (t["tag"] == acc["name"]), acc["depth"] + 1)
-                .when(
-                    (acc["depth"] > 0) & (t["tag"] == F.concat(F.lit("/"), acc["name"])),
-                    acc["depth"] - 1,
-                )
-                .otherwise(acc["depth"])
-                .alias("depth"),
-                F.when(t["wanted"] != "", here).otherwise(acc["start"]).alias("start"),
-                F.when(
-                    (acc["depth"] == 1) & (t["tag"] == F.concat(F.lit("/"), acc["name"])),
-                    F.concat(acc["spans"], F.array(_span(acc["start"], here))),
-                )
-                .otherwise(acc["spans"])
-                .alias("spans"),
+    def stop(t: Column, marks: Column, start: Column) -> Column:
+        opens = F.filter(marks, lambda m: (m["at"] > start) & (m["tag"] == tag))
+        closes = F.filter(marks, lambda m: (m["at"] > start) & (m["tag"] != tag))
+        balanced = let(
+            opens,
+            lambda o: F.filter(
+                closes, lambda c, k: F.coalesce(F.get(o, k)["at"] > c["at"], F.lit(True))
             ),
         )
+        return F.coalesce(F.get(balanced, F.lit(0))["at"], F.size(t) - 1)
+
+    def span(t: Column, marks: Column) -> Column:
+        start = F.get(F.filter(marks, lambda m: m["wanted"]), F.lit(0))["at"]
+        return let(start, lambda s: F.when(s.isNotNull(), _span(s, stop(t, marks, s))))
+
+    def pick(t: Column) -> Column:
+        marks = _marks(t, lambda x: x["raw"].rlike(opening), [tag])
+        return let(let(marks, lambda m: span(t, m)), lambda e: cut(t, e))
+
+    return let(toks, pick)
+
+
+def element_spans(toks: Column, wanted: Callable[[Column], Column], names: list[str]) -> Column:
+    """Spans of the outermost elements with one of ``names`` whose opening tag is wanted.
+
+    Only the tags of these names are folded. While inside an element, tags of its
+    name nest; an element never closed runs to the last token.
+    """
+
+    def step(acc: Column, m: Column) -> Column:
+        starts = (acc["depth"] == 0) & m["wanted"]
+        closes = (acc["depth"] > 0) & (m["tag"] == F.concat(F.lit("/"), acc["name"]))
+        return F.struct(
+            F.when(starts, m["tag"]).otherwise(acc["name"]).alias("name"),
+            F.when(starts, _int(1))
+            .when(closes, acc["depth"] - 1)
+            .when((acc["depth"] > 0) & (m["tag"] == acc["name"]), acc["depth"] + 1)
+            .otherwise(acc["depth"])
+            .alias("depth"),
+            F.when(starts, m["at"]).otherwise(acc["start"]).alias("start"),
+            F.when(
+                closes & (acc["depth"] == 1),
+                F.concat(acc["spans"], F.array(_span(acc["start"], m["at"]))),
+            )
+            .otherwise(acc["spans"])
+            .alias("spans"),
+        )
 
     zero = F.struct(
-        _int(0).alias("at"),
         F.lit("").alias("name"),
         _int(0).alias("depth"),
         _int(0).alias("start"),
         F.array().cast("array<struct<start:int,stop:int>>").alias("spans"),
     )
     return F.aggregate(
-        toks,
+        _marks(toks, wanted, names),
         zero,
         step,
         lambda acc: F.when(
-            acc["depth"] > 0, F.concat(acc["spans"], F.array(_span(acc["start"], acc["at"])))
+            acc["depth"] > 0,
+            F.concat(acc["spans"], F.array(_span(acc["start"], F.size(toks) - 1))),
         ).otherwise(acc["spans"]),
     )
 
 
-def _cut(toks: Column, span: Column) -> Column:
-    return F.slice(toks, span["start"], span["stop"] - span["start"] + 1)
-
-
-def first_element(toks: Column, opening: str, tag: str) -> Column:
-    """Tokens of the first element whose opening tag matches, NULL if there is none."""
-
-    def pick(t: Column) -> Column:
-        spans = _fold_spans(t, lambda tok: F.when(tok.rlike(opening), F.lit(tag)).otherwise(""), True)
-        return let(F.get(spans, F.lit(0)), lambda s: F.when(s.isNotNull(), _cut(t, s)))
-
-    return let(toks, pick)
-
-
 def all_elements(toks: Column, opening: str, tag: str) -> Column:
     """Tokens of every outermost matching element, in page order."""
+    return let(
+        toks,
+        lambda t: F.transform(
+            element_spans(t, lambda x: x["raw"].rlike(opening), [tag]), lambda s: cut(t, s)
+        ),
+    )
 
-    def pick(t: Column) -> Column:
-        spans = _fold_spans(t, lambda tok: F.when(tok.rlike(opening), F.lit(tag)).otherwise(""), False)
-        return F.transform(spans, lambda s: _cut(t, s))
-
-    return let(toks, pick)
 
+def drop_elements(toks: Column, names: list[str]) -> Column:
+    """Remove elements with these tag names, nested content included.
 
-def drop_elements(toks: Column, tags: list[str]) -> Column:
-    """Remove elements with these tag names, nested content included."""
-    names = "|".join(tags)
-    opening = rf"(?i)^<({names})(?=[\s/>])"
-    raw = r"(?is)^<(script|style)\b.*</\1\s*>$"
+    Script and style blocks are single tokens.
+    """
+    nesting = [n for n in names if n not in ("script", "style")]
 
-    def name_of(tok: Column) -> Column:
-        return F.when(tok.rlike(raw), F.lit("")).otherwise(
-            F.lower(F.regexp_extract(tok, opening, 1))
-        )
+    def gap(t: Column, before: Column, start: Column) -> Column:
+        return F.slice(t, before + 2, start - before - 1)
 
-    def keep(t: Column) -> Column:
-        return let(
-            _fold_spans(t, name_of, False),
-            lambda spans: F.flatten(
-                F.concat(
-                    F.transform(
-                        spans,
-                        lambda s, j: let(
-                            F.coalesce(F.get(spans, j - 1)["stop"], _int(0)),
-                            lambda before: F.slice(t, before + 1, s["start"] - before - 1),
-                        ),
-                    ),
-                    F.array(
-                        let(
-                            F.coalesce(F.get(spans, F.size(spans) - 1)["stop"], _int(0)),
-                            lambda before: F.slice(t, before + 1, F.size(t)),
-                        )
-                    ),
-                )
+    def keep(t: Column, spans: Column) -> Column:
+        kept = F.transform(
+            spans,
+            lambda s, j: let(
+                F.coalesce(F.get(spans, j - 1)["stop"], _int(-1)), lambda p: gap(t, p, s["start"])
             ),
         )
-
-    visible = F.filter(toks, lambda tok: ~tok.rlike(raw))
-    return let(visible, keep)
+        tail = gap(t, F.try_element_at(spans, F.lit(-1))["stop"], F.size(t))
+        return F.when(F.size(spans) == 0, t).otherwise(F.flatten(F.concat(kept, F.array(tail))))
+
+    visible = F.filter(toks, lambda x: ~x["tag"].isin("script", "style"))
+    return let(
+        visible,
+        lambda t: let(
+            element_spans(t, lambda x: F.lit(True), nesting), lambda spans: keep(t, spans)
+        ),
+    )
 
 
 def texts(toks: Column) -> Column:
     """Decoded, stripped, non-empty text runs in order."""
-    runs = F.filter(toks, lambda t: t.rlike(_TEXT))
-    return F.filter(F.transform(runs, lambda t: strip(unescape(t))), lambda t: t != "")
+    runs = F.filter(toks, lambda t: t["tag"] == "")
+    return F.filter(F.transform(runs, lambda t: strip(decode_entities(t["raw"]))), lambda t: t != "")
+
+
+def raw_texts(toks: Column) -> Column:
+    """Decoded text runs as they are."""
+    return F.transform(F.filter(toks, lambda t: t["tag"] == ""), lambda t: decode_entities(t["raw"]))
 
 
 def text_of(toks: Column, separator: str) -> Column:
@@ -178,4 +212,4 @@ def text_of(toks: Column, separator: str) -> Column:
 
 
 def html_of(toks: Column) -> Column:
-    return F.array_join(toks, "")
+    return F.array_join(F.transform(toks, lambda t: t["raw"]), "")

@@ -34,13 +34,23 @@ STATUS_CODES = {
 }
 
 
+# The same characters, for trimming without a regex.
+WS_CHARS = "".join(
+    chr(p)
+    for p in (
+        *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+        0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+    )
+)
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def collapse(c: Column) -> Column:
     """Runs of white space become one blank; ends are stripped."""
-    return strip(F.regexp_replace(c, rf"{WS}+", " "))
+    return F.btrim(F.regexp_replace(c, rf"{WS}+", " "))
 
 
 def lines(c: Column) -> Column:
@@ -66,7 +76,7 @@ def _code_point(n: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
 
 
-def unescape(c: Column) -> Column:
+def decode_entities(c: Column) -> Column:
     """Decode HTML character references (named, decimal, hexadecimal)."""
     # One foldable literal instead of hundreds of map entries in every plan.
     table = "\n".join(f"{name}\t{chr(point)}" for name, point in sorted(name2codepoint.items()))
@@ -91,13 +101,13 @@ def unescape(c: Column) -> Column:
             ).otherwise(F.concat(F.lit("&"), piece)),
         )
 
-    def decode(text: Column) -> Column:
-        pieces = F.transform(
-            F.split(text, "&"), lambda p, i: F.when(i == 0, p).otherwise(decoded(p))
-        )
-        return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
+    pieces = F.transform(F.split(c, "&"), lambda p, i: F.when(i == 0, p).otherwise(decoded(p)))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(pieces, "")).otherwise(c)
+
 
-    return let(c, decode)
+def unescape(c: Column) -> Column:
+    """``decode_entities`` of an expression that should be evaluated once."""
+    return let(c, decode_entities)
 
 
 def parse_date(c: Column, layout: str) -> Column:

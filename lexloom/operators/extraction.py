@@ -69,130 +69,115 @@ def judgment_text(content: Column) -> Column:
 # --- two-column tables (statutes) --------------------------------------------------------------
 
 _CELL, _ROW_END = 1, 2
-_FOUND = "array<struct<start:int,stop:int,depth:int,kind:int>>"
-_BOLDS = "array<struct<at:int,depth:int,text:string>>"
-
-
-def _lit_int(n: int) -> Column:
-    return F.lit(n).cast("int")
+_PARTS = "array<struct<start:int,stop:int,depth:int,kind:int>>"
 
 
 def _table_parts(toks: Column) -> Column:
-    """Cells, row ends and sole-text ``<b>`` elements of a section, with their cell depth.
+    """Cells and row ends of a section with their cell depth.
 
-    One fold; ``open`` is the stack of start positions of the cells not closed yet.
+    Only table tags are folded; ``open`` is the stack of starts of the open cells.
     """
+    tags = ("td", "/td", "/tr", "/tbody", "/table")
+    marks = F.filter(
+        F.transform(
+            toks,
+            lambda t, i: F.when(t["tag"].isin(*tags), F.struct(t["tag"].alias("tag"), i.alias("at"))),
+        ),
+        lambda m: m.isNotNull(),
+    )
+
     def part(start: Column, stop: Column, depth: Column, kind: int) -> Column:
         return F.array(
             F.struct(
-                start.alias("start"), stop.alias("stop"), depth.alias("depth"), _lit_int(kind).alias("kind")
+                start.alias("start"),
+                stop.alias("stop"),
+                depth.alias("depth"),
+                F.lit(kind).cast("int").alias("kind"),
             )
         )
 
-    def step(acc: Column, tok: Column) -> Column:
-        here = acc["at"] + 1
+    def step(acc: Column, m: Column) -> Column:
         depth = F.size(acc["open"])
-
-        def advance(name: Column) -> Column:
-            pop = (name == "/td") & (depth > 0)
-            bold_ends = (name == "/b") & (acc["bold"] == 1)
-            return F.struct(
-                here.alias("at"),
-                F.when(name == "td", F.concat(acc["open"], F.array(here)))
-                .when(pop, F.slice(acc["open"], F.lit(1), depth - 1))
-                .otherwise(acc["open"])
-                .alias("open"),
-                F.when(
-                    pop,
-                    F.concat(
-                        acc["found"], part(F.try_element_at(acc["open"], F.lit(-1)), here, depth, _CELL)
-                    ),
-                )
-                .when(
-                    name.isin("/tr", "/tbody", "/table"),
-                    F.concat(acc["found"], part(here, here, depth + 1, _ROW_END)),
-                )
-                .otherwise(acc["found"])
-                .alias("found"),
-                F.when(name == "b", _lit_int(0))
-                .when(name == "", acc["bold"] + 1)
-                .otherwise(acc["bold"])
-                .alias("bold"),
-                F.when(name == "", tok).otherwise(acc["text"]).alias("text"),
-                F.when(
-                    bold_ends,
-                    F.concat(
-                        acc["bolds"],
-                        F.array(
-                            F.struct(here.alias("at"), depth.alias("depth"), acc["text"].alias("text"))
-                        ),
-                    ),
-                )
-                .otherwise(acc["bolds"])
-                .alias("bolds"),
+        pop = (m["tag"] == "/td") & (depth > 0)
+        return F.struct(
+            F.when(m["tag"] == "td", F.concat(acc["open"], F.array(m["at"])))
+            .when(pop, F.slice(acc["open"], F.lit(1), depth - 1))
+            .otherwise(acc["open"])
+            .alias("open"),
+            F.when(
+                pop,
+                F.concat(
+                    acc["found"],
+                    part(F.try_element_at(acc["open"], F.lit(-1)), m["at"], depth, _CELL),
+                ),
             )
-
-        return let(F.lower(F.regexp_extract(tok, r"(?i)^<(/?[a-z!][a-z0-9-]*)", 1)), advance)
+            .when(
+                ~m["tag"].isin("td", "/td"),
+                F.concat(acc["found"], part(m["at"], m["at"], depth + 1, _ROW_END)),
+            )
+            .otherwise(acc["found"])
+            .alias("found"),
+        )
 
     zero = F.struct(
-        _lit_int(0).alias("at"),
-        F.array().cast("array<int>").alias("open"),
-        F.array().cast(_FOUND).alias("found"),
-        # Text runs since the last <b>; far from 1 until there is one.
-        _lit_int(1 << 20).alias("bold"),
-        F.lit("").alias("text"),
-        F.array().cast(_BOLDS).alias("bolds"),
-    )
-    return F.aggregate(
-        toks, zero, step, lambda acc: F.struct(acc["found"].alias("found"), acc["bolds"].alias("bolds"))
+        F.array().cast("array<int>").alias("open"), F.array().cast(_PARTS).alias("found")
     )
+    return F.aggregate(marks, zero, step, lambda acc: F.array_sort(acc["found"]))
 
 
-def _next_cell(found: Column, depth: Column, after: Column) -> Column:
+def _next_cell(parts: Column, cell: Column) -> Column:
     """The following cell of the same row, NULL at the end of the row."""
-    following = F.array_sort(F.filter(found, lambda e: (e["depth"] == depth) & (e["start"] > after)))
+    following = F.filter(
+        parts, lambda e: (e["depth"] == cell["depth"]) & (e["start"] > cell["stop"])
+    )
     return let(F.get(following, F.lit(0)), lambda e: F.when(e["kind"] == _CELL, e))
 
 
-def _cut(toks: Column, part: Column) -> Column:
-    return F.slice(toks, part["start"], part["stop"] - part["start"] + 1)
+def _enclosing_cell(parts: Column, at: Column) -> Column:
+    """Innermost cell around a position (parts are sorted by start)."""
+    around = F.filter(
+        parts, lambda e: (e["kind"] == _CELL) & (e["start"] < at) & (e["stop"] > at)
+    )
+    return F.try_element_at(around, F.lit(-1))
 
 
 def table_fields(meta: Column) -> Column:
     """Every label of a two-column table with the text of the cell next to it.
 
-    ``bold`` labels are the sole text of a ``<b>``; their value loses nested
-    span/a/div bodies and placeholders. Other labels are the sole text of a cell.
-    Array of structs (bold, label, value) in page order.
+    ``bold`` labels are the sole text of a ``<b>`` in a cell; their value loses
+    nested span/a/div bodies and placeholders. Other labels are the sole text of a
+    cell. Array of structs (bold, label, value) in page order.
     """
 
-    def bold_field(toks: Column, found: Column, b: Column) -> Column:
-        cell = F.get(
-            F.filter(
-                found,
-                lambda e: (e["kind"] == _CELL)
-                & (e["depth"] == b["depth"])
-                & (e["start"] < b["at"])
-                & (e["stop"] > b["at"]),
-            ),
-            F.lit(0),
+    def sole_text(toks: Column) -> Column:
+        return let(
+            H.raw_texts(toks),
+            lambda runs: F.when(F.size(runs) == 1, T.strip(F.get(runs, F.lit(0)))),
+        )
+
+    def bold_field(toks: Column, parts: Column, b: Column) -> Column:
+        value = let(
+            _enclosing_cell(parts, b["start"]),
+            lambda cell: let(_next_cell(parts, cell), lambda v: H.cut(toks, v)),
         )
-        value = let(_next_cell(found, b["depth"], cell["stop"]), lambda v: _cut(toks, v))
         text = T.collapse(H.text_of(H.drop_elements(value, ["span", "a", "div"]), " "))
         return F.struct(
             F.lit(True).alias("bold"),
-            T.strip(T.unescape(b["text"])).alias("label"),
-            F.when(text.rlike("|".join(T.BLANK_MARKERS)), F.lit("")).otherwise(text).alias("value"),
+            sole_text(H.cut(toks, b)).alias("label"),
+            let(
+                text, lambda v: F.when(v.rlike("|".join(T.BLANK_MARKERS)), F.lit("")).otherwise(v)
+            ).alias("value"),
         )
 
-    def cell_field(toks: Column, found: Column, cell: Column) -> Column:
-        own = F.filter(_cut(toks, cell), lambda t: ~t.startswith("<"))
-        value = let(_next_cell(found, cell["depth"], cell["stop"]), lambda v: _cut(toks, v))
-        text = H.text_of(value, " ")
+    def cell_field(toks: Column, parts: Column, cell: Column) -> Column:
+        value = let(_next_cell(parts, cell), lambda v: H.cut(toks, v))
         return F.struct(
             F.lit(False).alias("bold"),
-            F.when(F.size(own) == 1, T.strip(T.unescape(F.get(own, F.lit(0))))).alias("label"),
-            F.when(text.isin(*T.GAZETTE_BLANKS), F.lit("")).otherwise(text).alias("value"),
+            sole_text(H.cut(toks, cell)).alias("label"),
+            let(
+                H.text_of(value, " "),
+                lambda v: F.when(v.isin(*T.GAZETTE_BLANKS), F.lit("")).otherwise(v),
+            ).alias("value"),
         )
 
     return let(
@@ -200,10 +185,13 @@ def table_fields(meta: Column) -> Column:
         lambda toks: let(
             _table_parts(toks),
             lambda parts: F.concat(
-                F.transform(parts["bolds"], lambda b: bold_field(toks, parts["found"], b)),
                 F.transform(
-                    F.filter(parts["found"], lambda e: e["kind"] == _CELL),
-                    lambda c: cell_field(toks, parts["found"], c),
+                    H.element_spans(toks, lambda x: F.lit(True), ["b"]),
+                    lambda b: bold_field(toks, parts, b),
+                ),
+                F.transform(
+                    F.filter(parts, lambda e: e["kind"] == _CELL),
+                    lambda c: cell_field(toks, parts, c),
                 ),
             ),
         ),
@@ -242,7 +230,7 @@ def list_fields(items: Column) -> Column:
         return F.struct(
             F.transform(
                 H.all_elements(item, H.opener("b"), "b"),
-                lambda b: T.unescape(F.array_join(F.filter(b, lambda t: ~t.startswith("<")), "")),
+                lambda b: F.array_join(H.raw_texts(b), ""),
             ).alias("labels"),
             F.replace(
                 H.text_of(H.first_element(row, box, "div"), " "), F.lit("\n"), F.lit(" ")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions.arrays import let, occurrence_numbers, positions, spread_starts
 from lexloom.functions.html import INVISIBLE
-from lexloom.functions.text import collapse, lines, strip, unescape
+from lexloom.functions.text import WS, lines, strip, unescape
 
 CONTENT = "CONTENT"
 
@@ -223,8 +223,8 @@ def heading_label(text: Column) -> Column:
 
 def mark_references(text: Column, rules: RuleTable = STATUTE) -> Column:
     """Collapse white space and bracket article references that a blank follows."""
-    flat = F.regexp_replace(text, r"(?U)\s+", " ")
-    return strip(F.regexp_replace(flat, rf"(?iU)({rules.reference})(?=\s)", "[REF:$1]"))
+    flat = F.regexp_replace(text, rf"{WS}+", " ")
+    return F.btrim(F.regexp_replace(flat, rf"(?iU)({rules.reference})(?= )", "[REF:$1]"))
 
 
 def clean_content(content: Column, rules: RuleTable = STATUTE) -> Column:
