@@ -141,12 +141,13 @@ def _enclosing_cell(parts: Column, at: Column) -> Column:
     return F.try_element_at(around, F.lit(-1))
 
 
-def table_fields(meta: Column) -> Column:
-    """Every label of a two-column table with the text of the cell next to it.
+def table_fields(meta: Column, bold_labels: list[str], cell_labels: list[str]) -> Column:
+    """Labels of a two-column table with the text of the cell next to them.
 
-    ``bold`` labels are the sole text of a ``<b>`` in a cell; their value loses
-    nested span/a/div bodies and placeholders. Other labels are the sole text of a
-    cell. Array of structs (bold, label, value) in page order.
+    ``bold_labels`` are the sole text of a ``<b>`` in a cell; their value loses
+    nested span/a/div bodies and placeholders. ``cell_labels`` are the sole text of
+    a cell. Array of structs (bold, label, value) in page order; other labels get
+    no value.
     """
 
     def sole_text(toks: Column) -> Column:
@@ -155,30 +156,29 @@ def table_fields(meta: Column) -> Column:
             lambda runs: F.when(F.size(runs) == 1, T.strip(F.get(runs, F.lit(0)))),
         )
 
-    def bold_field(toks: Column, parts: Column, b: Column) -> Column:
-        value = let(
+    def field(bold: bool, label: Column, wanted: list[str], value: Column) -> Column:
+        return let(
+            label,
+            lambda name: F.struct(
+                F.lit(bold).alias("bold"),
+                name.alias("label"),
+                F.when(name.isin(*wanted), value).alias("value"),
+            ),
+        )
+
+    def bold_value(toks: Column, parts: Column, b: Column) -> Column:
+        cell = let(
             _enclosing_cell(parts, b["start"]),
-            lambda cell: let(_next_cell(parts, cell), lambda v: H.cut(toks, v)),
+            lambda c: let(_next_cell(parts, c), lambda v: H.cut(toks, v)),
         )
-        text = T.collapse(H.text_of(H.drop_elements(value, ["span", "a", "div"]), " "))
-        return F.struct(
-            F.lit(True).alias("bold"),
-            sole_text(H.cut(toks, b)).alias("label"),
-            let(
-                text, lambda v: F.when(v.rlike("|".join(T.BLANK_MARKERS)), F.lit("")).otherwise(v)
-            ).alias("value"),
+        text = T.collapse(H.text_of(H.drop_elements(cell, ["span", "a", "div"]), " "))
+        return let(
+            text, lambda v: F.when(v.rlike("|".join(T.BLANK_MARKERS)), F.lit("")).otherwise(v)
         )
 
-    def cell_field(toks: Column, parts: Column, cell: Column) -> Column:
-        value = let(_next_cell(parts, cell), lambda v: H.cut(toks, v))
-        return F.struct(
-            F.lit(False).alias("bold"),
-            sole_text(H.cut(toks, cell)).alias("label"),
-            let(
-                H.text_of(value, " "),
-                lambda v: F.when(v.isin(*T.GAZETTE_BLANKS), F.lit("")).otherwise(v),
-            ).alias("value"),
-        )
+    def cell_value(toks: Column, parts: Column, cell: Column) -> Column:
+        text = H.text_of(let(_next_cell(parts, cell), lambda v: H.cut(toks, v)), " ")
+        return let(text, lambda v: F.when(v.isin(*T.GAZETTE_BLANKS), F.lit("")).otherwise(v))
 
     return let(
         meta,
@@ -187,11 +187,15 @@ def table_fields(meta: Column) -> Column:
             lambda parts: F.concat(
                 F.transform(
                     H.element_spans(toks, lambda x: F.lit(True), ["b"]),
-                    lambda b: bold_field(toks, parts, b),
+                    lambda b: field(
+                        True, sole_text(H.cut(toks, b)), bold_labels, bold_value(toks, parts, b)
+                    ),
                 ),
                 F.transform(
                     F.filter(parts, lambda e: e["kind"] == _CELL),
-                    lambda c: cell_field(toks, parts, c),
+                    lambda c: field(
+                        False, sole_text(H.cut(toks, c)), cell_labels, cell_value(toks, parts, c)
+                    ),
                 ),
             ),
         ),
@@ -221,22 +225,34 @@ def link_texts(toks: Column) -> Column:
     return F.transform(H.all_elements(toks, H.opener("a"), "a"), lambda a: H.text_of(a, ""))
 
 
-def list_fields(items: Column) -> Column:
-    """Per list item: its bold labels, value text, links of the value box, first link."""
+def list_fields(
+    items: Column, value_labels: list[str], link_labels: list[str], first_link_labels: list[str]
+) -> Column:
+    """Per list item its bold labels and, where its label asks for it, the value text,
+    the links of its value box, or its first link."""
     box = H.opener("div", "class", "col-xl-9")
 
+    def among(labels: Column, wanted: list[str]) -> Column:
+        return F.arrays_overlap(labels, F.array(*[F.lit(w) for w in wanted]))
+
     def field(item: Column) -> Column:
         row = H.first_element(item, H.opener("div", "class", "row"), "div")
-        return F.struct(
-            F.transform(
-                H.all_elements(item, H.opener("b"), "b"),
-                lambda b: F.array_join(H.raw_texts(b), ""),
-            ).alias("labels"),
-            F.replace(
-                H.text_of(H.first_element(row, box, "div"), " "), F.lit("\n"), F.lit(" ")
-            ).alias("value"),
-            link_texts(H.first_element(item, box, "div")).alias("links"),
-            F.get(link_texts(item), F.lit(0)).alias("first_link"),
+        value = F.replace(H.text_of(H.first_element(row, box, "div"), " "), F.lit("\n"), F.lit(" "))
+        labels = F.transform(
+            H.all_elements(item, H.opener("b"), "b"), lambda b: F.array_join(H.raw_texts(b), "")
+        )
+        return let(
+            labels,
+            lambda ls: F.struct(
+                ls.alias("labels"),
+                F.when(among(ls, value_labels), value).alias("value"),
+                F.when(
+                    among(ls, link_labels), link_texts(H.first_element(item, box, "div"))
+                ).alias("links"),
+                F.when(among(ls, first_link_labels), F.get(link_texts(item), F.lit(0))).alias(
+                    "first_link"
+                ),
+            ),
         )
 
     return F.transform(items, field)
@@ -307,7 +323,12 @@ def law_records(pages: DataFrame, keep: tuple[str, ...] = ("doc_key",)) -> DataF
         _with_tokens(pages)
         .withColumn("_meta", section(F.col("_toks"), LAW_METADATA))
         .withColumn("_content", section(F.col("_toks"), LAW_CONTENT))
-        .withColumn("_fields", table_fields(F.col("_meta")))
+        .withColumn(
+            "_fields",
+            table_fields(
+                F.col("_meta"), list(LAW_LABELS.values()), list(GAZETTE_LABELS.values())
+            ),
+        )
     )
     raw = with_sections.select(
         *keep,
@@ -348,7 +369,13 @@ def judgment_records(pages: DataFrame, keep: tuple[str, ...] = ("doc_key",)) ->
         .withColumn("_meta", section(F.col("_toks"), JUDGMENT_METADATA))
         .withColumn("_content", section(F.col("_toks"), JUDGMENT_CONTENT))
         .withColumn(
-            "_fields", list_fields(H.all_elements(F.col("_meta"), H.opener("li"), "li"))
+            "_fields",
+            list_fields(
+                H.all_elements(F.col("_meta"), H.opener("li"), "li"),
+                list(JUDGMENT_LABELS.values()),
+                [KEYWORD_LABEL],
+                [AUTHORITY_LABEL],
+            ),
         )
     )
     keywords = list_field(F.col("_fields"), KEYWORD_LABEL)

@@ -31,7 +31,7 @@ def _search_pages(spark: SparkSession, d: str) -> DataFrame:
         F.lit("' class='font-weight-bold text h5'></a><a class=\"h5\" href=\"/ban-an/z-7\"></a>"),
         F.lit('<a class="h5 font-weight-bold" href="/tin/z-8"></a>'),
     )
-    return table(spark, d, "lineitem").select(
+    return table(spark, d, "lineitem", heavy=True).select(
         F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice").alias("page"),
         F.col("l_orderkey"), F.col("l_partkey"), law.alias("law_html"), judgment.alias("judgment_html"),
     )
@@ -162,9 +162,9 @@ def d8(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("u1_set_operations", """
-SELECT DISTINCT l_suppkey AS id FROM lineitem EXCEPT SELECT user_id FROM events""")
+SELECT DISTINCT l_partkey AS id FROM lineitem EXCEPT SELECT user_id FROM events""")
 def u1(spark: SparkSession, d: str) -> DataFrame:
-    ids = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("id")).distinct()
+    ids = table(spark, d, "lineitem").select(F.col("l_partkey").alias("id")).distinct()
     known = table(spark, d, "events").select(F.col("user_id").alias("id")).distinct()
     return ids.join(known, "id", "left_anti")
 
