@@ -14,6 +14,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Call-site capture on every column call slows the building of long expressions.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -40,13 +40,12 @@ def read_csv_table(
     Only declared DATE columns are parsed as dates. A row is quarantined when a
     non-empty cell does not fit its column; missing nullable columns become NULL.
     """
-    schema = T.StructType.fromDDL(TABLES[table]) if hasattr(T.StructType, "fromDDL") else (
-        spark.createDataFrame([], TABLES[table]).schema
-    )
+    schema = spark.createDataFrame([], TABLES[table]).schema
     kinds = {f.name: f.dataType for f in schema}
     raw_schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     raw = (
-        spark.read.options(**_OPTIONS, multiLine=True, enforceSchema=False)
+        # A blank cell is NULL, a quoted empty cell the empty text.
+        spark.read.options(**_OPTIONS, nullValue="\u0000", multiLine=True, enforceSchema=False)
         .schema(raw_schema)
         .csv(path)
     )
