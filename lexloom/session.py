@@ -14,8 +14,6 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Call-site capture on every column call slows the building of long expressions.
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -32,6 +30,8 @@ def local_session(app: str = "lexloom", cores: int | str = "*", **conf: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        # Call-site capture on every column call slows the building of long expressions.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", conf.pop("driver_memory", "12g"))
     )
     for key, value in {**ENGINE_CONF, "spark.sql.shuffle.partitions": "8", **conf}.items():
