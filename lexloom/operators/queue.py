@@ -78,54 +78,49 @@ def run_summary(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def earliest_attempts(attempts: DataFrame, max_retries: int) -> DataFrame:
+    """The first ``max_retries`` attempts of every key, with their rank.
+
+    Every honoured attempt ends the key (success) or uses up a retry, so no later
+    attempt can matter. Spark applies the rank cut in every task before the
+    shuffle: a key with a huge log sends ``max_retries`` rows per task.
+    """
+    order = Window.partitionBy(*_KEYS).orderBy("attempted_at", "attempt_id")
+    return attempts.withColumn("_rank", F.row_number().over(order)).filter(
+        F.col("_rank") <= max_retries
+    )
+
+
 def fold_attempts(attempts: DataFrame, max_retries: int = 3) -> DataFrame:
     """Queue state after a whole attempt log.
 
     Attempts of a key count in time order up to its first success or its
-    ``max_retries``-th failure. Only the earliest ``max_retries`` failures and the
-    earliest success can matter, so ranks are cut at ``max_retries`` per (key, ok):
-    Spark applies that cut in every task before the shuffle, and a key with a huge
-    log never gathers in one place. What is left per key is at most
-    ``2 * max_retries`` rows, which one aggregation folds.
+    ``max_retries``-th failure. The fold reuses the partitioning and the order of
+    the rank cut.
     """
-    order = Window.partitionBy(*_KEYS, "ok").orderBy("attempted_at", "attempt_id")
-    earliest = (
-        attempts.withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") <= max_retries)
-        .withColumn("_at", F.struct("attempted_at", "attempt_id"))
-    )
-    per_key = earliest.groupBy(*_KEYS).agg(
-        F.min(F.when(F.col("ok"), F.col("_at"))).alias("_success"),
+    # One column per honoured attempt; all before the first success are failures.
+    per_key = earliest_attempts(attempts, max_retries).groupBy(*_KEYS).agg(
+        F.min(F.when(F.col("ok"), F.col("_rank"))).alias("_won"),
+        F.count("*").alias("_n"),
         *[
-            F.min(F.when(~F.col("ok") & (F.col("_rank") == n), F.struct("_at", "error"))).alias(f"_f{n}")
+            F.max(F.when(F.col("_rank") == n, F.struct("attempted_at", "error"))).alias(f"_a{n}")
             for n in range(1, max_retries + 1)
         ],
     )
-    counted = [
-        F.col(f"_f{n}").isNotNull()
-        & (F.col("_success").isNull() | (F.col(f"_f{n}._at") < F.col("_success")))
-        for n in range(1, max_retries + 1)
-    ]
-    failures = sum((c.cast("int") for c in counted), F.lit(0))
-    last_failure = F.coalesce(
-        *[F.when(c, F.col(f"_f{n}")) for n, c in reversed(list(enumerate(counted, 1)))]
+    won = F.col("_won").isNotNull()
+    at_end = F.coalesce("_won", "_n")
+    last = F.coalesce(
+        *[F.when(at_end == n, F.col(f"_a{n}")) for n in range(1, max_retries + 1)]
     )
-    done = F.col("_success").isNotNull() & (F.col("_failures") < max_retries)
-    return (
-        per_key.withColumn("_failures", failures)
-        .withColumn("_last_failure", last_failure)
-        .select(
-            *_KEYS,
-            F.when(done, F.lit("success"))
-            .when(F.col("_failures") >= max_retries, F.lit("failed"))
-            .otherwise("pending")
-            .alias("status"),
-            F.when(done, F.lit(0)).otherwise(F.col("_failures")).alias("retry_count"),
-            F.when(done, F.col("_success.attempted_at"))
-            .otherwise(F.col("_last_failure._at.attempted_at"))
-            .alias("last_attempt"),
-            F.when(~done, F.substring("_last_failure.error", 1, ERROR_LENGTH)).alias("error_log"),
-        )
+    return per_key.withColumn("_last", last).select(
+        *_KEYS,
+        F.when(won, "success")
+        .when(F.col("_n") >= max_retries, "failed")
+        .otherwise("pending")
+        .alias("status"),
+        F.when(won, 0).otherwise(F.col("_n")).cast("int").alias("retry_count"),
+        F.col("_last.attempted_at").alias("last_attempt"),
+        F.when(~won, F.substring("_last.error", 1, ERROR_LENGTH)).alias("error_log"),
     )
 
 

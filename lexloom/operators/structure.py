@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexloom.functions.arrays import let, occurrence_numbers, positions, spread_starts
@@ -383,15 +383,14 @@ def references(docs: DataFrame, key: str, paras: Column, rules: RuleTable = STAT
 def first_writer(article_rows: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Articles to append: ids not stored yet, first writer (document, position) per id.
 
-    ``row_number() <= 1`` lets Spark keep one candidate per id and task before the
-    shuffle, so an id shared by very many rows stays cheap.
+    The rank cut comes first: Spark keeps one candidate per id and task before the
+    shuffle, so an id shared by very many rows stays cheap, and the anti join works
+    on the partitioning of the ranks.
     """
-    from pyspark.sql import Window
-
-    fresh = article_rows
-    if stored is not None:
-        fresh = fresh.join(stored.select("article_id"), "article_id", "left_anti")
     order = Window.partitionBy("article_id").orderBy("document_id", "art")
-    return (
-        fresh.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+    winners = (
+        article_rows.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
     )
+    if stored is None:
+        return winners
+    return winners.join(stored.select("article_id").distinct(), "article_id", "left_anti")

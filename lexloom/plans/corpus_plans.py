@@ -8,17 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.operators import discovery, extraction, queue, structure
+from lexloom.session import materialize
 
 
 def discover(
     pages: DataFrame, tracker: DataFrame, doc_type: str, max_empty: int = 3, page: str = "page"
 ) -> DataFrame:
-    """Result pages (chunk, page, html, http_status) to queue rows for ids not queued yet."""
+    """Result pages (chunk, page, html, http_status) to queue rows for ids not queued yet.
+
+    Pages are parsed once; the stop rule and the ids both read the parsed pages.
+    """
     ids = {"law": discovery.law_ids, "judgment": discovery.judgment_ids}[doc_type]
     parsed = pages.withColumn("ids", ids(F.col("html"))).drop("html").withColumn(
         "outcome",
         F.when(F.col("http_status") >= 400, "error").when(F.size("ids") > 0, "found").otherwise("empty"),
     )
+    parsed = materialize(parsed.drop("http_status"), "parsed-pages")
     visited = discovery.visited_pages(parsed, max_empty=max_empty, page=page)
     found = discovery.page_ids(visited.filter("outcome = 'found'"), F.col("ids"), doc_type, page)
     return discovery.enqueue_rows(found, tracker)
@@ -36,14 +41,14 @@ def fetch(
 ) -> Fetched:
     """One round: pick the batch, extract its captured pages, record every outcome.
 
-    The picked batch has at most ``batch_size`` rows.
+    The batch is extracted once; records, tracker and summary read the result.
     """
     batch = queue.next_batch(tracker, doc_type, batch_size, max_retries).select(
         F.col("document_id").alias("doc_key"), F.col("document_type").alias("doc_type")
     )
     picked = pages.join(batch.distinct(), ["doc_type", "doc_key"])
     extract = {"law": extraction.law_records, "judgment": extraction.judgment_records}[doc_type]
-    records = extract(picked, keep=("doc_type", "doc_key", "fetched_at"))
+    records = materialize(extract(picked, keep=("doc_type", "doc_key", "fetched_at")), "fetched")
     attempts = records.select(
         F.xxhash64("doc_type", "doc_key", "fetched_at").alias("attempt_id"),
         F.col("doc_key").alias("document_id"),

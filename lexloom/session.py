@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results or plans; everything that depends on the size of
 # the cluster (memory, cores, shuffle partitions) stays with the deployment.
@@ -55,3 +56,14 @@ def shared_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="lexloom-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     return path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate once into the shared folder and read it back.
+
+    For results with several consumers: they survive lost executors and are not
+    computed again per consumer.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -57,6 +57,22 @@ def failed_fetches(pages: DataFrame) -> DataFrame:
     )
 
 
+def conform(rows: DataFrame, table: str, natural_key: list[str] | None = None) -> DataFrame:
+    """Rows with exactly the columns and types of a table; missing columns are NULL.
+
+    A missing ``id`` is hashed from the natural key.
+    """
+    if natural_key and "id" not in rows.columns:
+        rows = rows.withColumn("id", F.xxhash64(*natural_key))
+    schema = empty_table(rows.sparkSession, table).schema
+    return rows.select(
+        *[
+            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+    )
+
+
 def append(rows: DataFrame, path: str, natural_key: list[str] | None = None) -> None:
     """Append rows; a missing ``id`` becomes a hash of the natural key, a missing
     ``created_at`` the current time. A failed job leaves no rows behind."""

@@ -1,8 +1,9 @@
 """Attempt log on a stream to queue state with the retry cap.
 
-The state of a key is the same order-free summary the batch fold uses: its
-earliest ``max_retries`` failures and its earliest success. Merging two such
-summaries is commutative, so late or reordered attempts give the batch result.
+Only the first ``max_retries`` attempts of a key in time order can matter (see
+``operators.queue``), so they are the whole state of the key. Merging in more
+attempts and cutting again does not depend on the order of arrival: late or
+reordered attempts give the batch result.
 """
 
 from __future__ import annotations
@@ -19,58 +20,55 @@ OUTPUT = (
     "document_id STRING, document_type STRING, status STRING, retry_count INT, "
     "last_attempt TIMESTAMP_NTZ, error_log STRING"
 )
-_STATE = (
-    "fail_us ARRAY<BIGINT>, fail_id ARRAY<BIGINT>, fail_error ARRAY<STRING>, "
-    "ok_us BIGINT, ok_id BIGINT"
+_STATE = "at_us ARRAY<BIGINT>, attempt_id ARRAY<BIGINT>, ok ARRAY<BOOLEAN>, error ARRAY<STRING>"
+_LOG = (
+    "document_id STRING, document_type STRING, attempt_id BIGINT, attempted_at TIMESTAMP_NTZ, "
+    "ok BOOLEAN, error STRING"
 )
+_ORDER = ["attempted_at", "attempt_id"]
+
+
+def earliest(rows: pd.DataFrame, max_retries: int) -> pd.DataFrame:
+    """First attempts of every key within one Arrow batch."""
+    return rows.sort_values(_ORDER).groupby(["document_id", "document_type"]).head(max_retries)
 
 
 def merge(state: tuple, rows: pd.DataFrame, max_retries: int) -> tuple:
-    """Summary of a key extended by more attempts, in any order."""
-    fail_us, fail_id, fail_error, ok_us, ok_id = state
-    micros = rows["attempted_at"].astype("datetime64[us]").astype("int64")
-    rows = rows.assign(us=micros)
-    lost = rows[~rows["ok"]].nsmallest(max_retries, ["us", "attempt_id"])
-    failures = sorted(
-        [
-            *zip(fail_us, fail_id, fail_error),
-            *zip(lost["us"].tolist(), lost["attempt_id"].tolist(), lost["error"].tolist()),
-        ],
-        key=lambda f: f[:2],
-    )[:max_retries]
-    won = rows[rows["ok"]].nsmallest(1, ["us", "attempt_id"])
-    successes = [*zip(won["us"].tolist(), won["attempt_id"].tolist())]
-    if ok_us is not None:
-        successes.append((ok_us, ok_id))
-    best = min(successes, default=(None, None))
-    return (
-        [f[0] for f in failures], [f[1] for f in failures], [f[2] for f in failures], *best
-    )
+    """First attempts of one key extended by more of its attempts, in any order."""
+    first = rows.nsmallest(max_retries, _ORDER)
+    micros = first["attempted_at"].astype("datetime64[us]").astype("int64")
+    new = zip(micros.tolist(), first["attempt_id"].tolist(), first["ok"].tolist(), first["error"].tolist())
+    kept = sorted([*zip(*state), *new], key=lambda a: a[:2])[:max_retries]
+    return tuple(list(column) for column in zip(*kept))
 
 
 def verdict(state: tuple, max_retries: int) -> dict:
-    fail_us, fail_id, fail_error, ok_us, ok_id = state
-    counted = [
-        (u, e) for u, i, e in zip(fail_us, fail_id, fail_error) if ok_us is None or (u, i) < (ok_us, ok_id)
-    ]
-    if ok_us is not None and len(counted) < max_retries:
-        return {"status": "success", "retry_count": 0, "us": ok_us, "error_log": None}
-    us, error = counted[-1]
+    at_us, _, ok, error = state
+    if True in ok:
+        return {"status": "success", "retry_count": 0, "us": at_us[ok.index(True)], "error_log": None}
     return {
-        "status": "failed" if len(counted) >= max_retries else "pending",
-        "retry_count": len(counted),
-        "us": us,
-        "error_log": None if error is None else error[:ERROR_LENGTH],
+        "status": "failed" if len(ok) >= max_retries else "pending",
+        "retry_count": len(ok),
+        "us": at_us[-1],
+        "error_log": None if error[-1] is None else error[-1][:ERROR_LENGTH],
     }
 
 
 def attempt_state_stream(attempts: DataFrame, max_retries: int = 3) -> DataFrame:
-    """Updated queue state of every key touched by a micro-batch (update mode)."""
+    """Updated queue state of every key touched by a micro-batch (update mode).
+
+    Attempts are cut per Arrow batch before the shuffle, so a key that makes up a
+    large part of a micro-batch does not flood the task that holds its state.
+    """
+
+    def trim(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            yield earliest(rows, max_retries)
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        summary = state.get if state.exists else ([], [], [], None, None)
+        summary = tuple(list(c) for c in state.get) if state.exists else ([], [], [], [])
         for rows in batches:
-            summary = merge(tuple(summary), rows, max_retries)
+            summary = merge(summary, rows, max_retries)
         state.update(summary)
         found = verdict(summary, max_retries)
         yield pd.DataFrame(
@@ -84,6 +82,9 @@ def attempt_state_stream(attempts: DataFrame, max_retries: int = 3) -> DataFrame
             }
         )
 
-    return attempts.groupBy("document_id", "document_type").applyInPandasWithState(
-        update, OUTPUT, _STATE, "update", GroupStateTimeout.NoTimeout
+    log = attempts.select("document_id", "document_type", "attempt_id", "attempted_at", "ok", "error")
+    return (
+        log.mapInPandas(trim, _LOG)
+        .groupBy("document_id", "document_type")
+        .applyInPandasWithState(update, OUTPUT, _STATE, "update", GroupStateTimeout.NoTimeout)
     )

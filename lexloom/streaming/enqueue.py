@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lexloom.operators.discovery import new_ids
 
 _KEYS = ["document_id", "document_type"]
+_QUEUE = "document_id STRING, document_type STRING, stream STRING, epoch BIGINT"
 
 
 def first_seen(found: DataFrame, time: str | None = None, horizon: str = "7 days") -> DataFrame:
@@ -21,20 +26,23 @@ def first_seen(found: DataFrame, time: str | None = None, horizon: str = "7 days
 def enqueue_stream(found: DataFrame, queue_root: str, checkpoint: str) -> StreamingQuery:
     """Unbounded horizon without streaming state: every micro-batch is compared with the queue.
 
-    Each micro-batch owns the folder named after it and replaces only that folder,
-    so a batch replayed after a failure writes the same rows again.
+    Each micro-batch of each stream owns one folder of the queue and replaces only
+    that, so a batch replayed after a failure writes the same rows again.
     """
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()
 
     def add(batch: DataFrame, epoch: int) -> None:
         spark: SparkSession = batch.sparkSession
-        queued = spark.createDataFrame([], "document_id STRING, document_type STRING, epoch BIGINT")
+        own = (F.col("stream") == stream) & (F.col("epoch") == epoch)
         try:
-            queued = spark.read.parquet(queue_root)
-        except Exception as error:  # first batch: nothing has been queued yet
-            if "PATH_NOT_FOUND" not in str(error):
+            earlier = spark.read.schema(_QUEUE).parquet(queue_root).filter(~own)
+        except AnalysisException as error:  # first batch: nothing has been queued yet
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-        earlier = queued.filter(queued.epoch != epoch)
-        new_ids(batch, earlier).write.mode("overwrite").parquet(f"{queue_root}/epoch={epoch}")
+            earlier = spark.createDataFrame([], _QUEUE)
+        new_ids(batch, earlier).write.mode("overwrite").parquet(
+            f"{queue_root}/stream={stream}/epoch={epoch}"
+        )
 
     return (
         found.writeStream.foreachBatch(add)

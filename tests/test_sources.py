@@ -129,3 +129,14 @@ def test_lookup_files(spark, tmp_path):
     assert read("ids")[0]["document_id"] == "A#1" and len(read("ids")[0]["_id"]["$oid"]) == 24
     json_files.write_report(keys, row, str(tmp_path / "report"))
     assert read("report/coverage")[0]["found_percent"] == 50.0
+
+
+def test_extracted_records_fit_their_tables(spark):
+    from lexloom.operators import extraction as X
+
+    pages = spark.createDataFrame([("1", "<p>x</p>", 200)], "doc_key STRING, html STRING, http_status INT")
+    law = tables.conform(X.with_write_defaults(X.law_records(pages)), "legal_documents", ["doc_key"])
+    judgment = tables.conform(X.judgment_records(pages), "judgments", ["doc_key"])
+    assert law.columns == tables.empty_table(spark, "legal_documents").columns
+    assert dict(law.dtypes)["effective_date"] == "string"
+    assert law.first().id is not None and judgment.first().keywords == []
