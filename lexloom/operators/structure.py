@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions.arrays import let, occurrence_numbers, positions, spread_starts
 from lexloom.functions.html import INVISIBLE
-from lexloom.functions.text import WS, lines, strip, unescape
+from lexloom.functions.text import WS, decode_entities, lines, strip
 
 CONTENT = "CONTENT"
 
@@ -108,21 +108,21 @@ def paragraphs(html: Column) -> Column:
     """
     page = F.regexp_replace(F.replace(html, F.lit("\r\n"), F.lit(" ")), INVISIBLE, "")
 
-    def text(piece: Column) -> Column:
-        body = F.when(
+    def body(piece: Column) -> Column:
+        inner = F.when(
             piece.rlike(_P_CLOSE), F.get(F.split(piece, _P_CLOSE, 2), F.lit(0))
         ).otherwise(F.get(F.split(piece, _BLOCK_CLOSE, 2), F.lit(0)))
-        return strip(unescape(F.regexp_replace(body, "<[^>]*>", "")))
+        return F.regexp_replace(inner, "<[^>]*>", "")
 
-    pieces = F.split(page, _P_OPEN)
+    bodies = F.transform(F.slice(F.split(page, _P_OPEN), 2, 1 << 30), body)
     return F.filter(
-        F.transform(F.slice(pieces, 2, 1 << 30), text), lambda p: p != ""
+        F.transform(bodies, lambda p: strip(decode_entities(p))), lambda p: p != ""
     )
 
 
 def line_paragraphs(text: Column) -> Column:
     """Non-empty stripped lines of plain text, as paragraphs."""
-    return F.filter(F.transform(lines(text), strip), lambda p: p != "")
+    return let(text, lambda t: F.filter(F.transform(lines(t), strip), lambda p: p != ""))
 
 
 def infer_type(text: Column, rules: RuleTable = STATUTE, below: str | None = None) -> Column:
