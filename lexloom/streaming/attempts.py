@@ -8,14 +8,20 @@ reordered attempts give the batch result.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lexloom.operators.queue import ERROR_LENGTH
 
+# The functions below run in Python workers; shipping them by value spares installing
+# the package on every executor.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OUTPUT = (
     "document_id STRING, document_type STRING, status STRING, retry_count INT, "
     "last_attempt TIMESTAMP_NTZ, error_log STRING"
