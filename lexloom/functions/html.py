@@ -19,8 +19,9 @@ from lexloom.functions.text import decode_entities, strip
 _TOKEN = (
     r"(?is)<!--.*?-->"
     r"|<(script|style)\b[^>]*>.*?</\1\s*>"
-    r"|</?[a-z](?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>"
-    r"|</?[a-z!][^>]*>"
+    # No branch reads past the next "<", so unbalanced quotes cannot make a page quadratic.
+    r"|</?[a-z](?:[^<>\"']++|\"[^<\"]*+\"|'[^<']*+')*+>"
+    r"|</?[a-z!][^<>]*>"
     r"|[^<]+|<"
 )
 # Text that never counts as content: comments and raw-text blocks.

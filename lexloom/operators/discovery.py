@@ -9,9 +9,9 @@ from lexloom.functions.html import INVISIBLE
 from lexloom.functions.text import strip, unescape
 
 # Markup that carries ids on the source's result pages.
-_LAW_TAG = r"""(?i)<p(?=\s)(?=[^>]*\sclass\s*=\s*(?:"(?:[^">]*\s)?nqTitle(?:\s[^">]*)?"|'(?:[^'>]*\s)?nqTitle(?:\s[^'>]*)?'|nqTitle[\s>]))[^>]*>"""
+_LAW_TAG = r"""(?i)<p(?=\s)(?=[^<>]*\sclass\s*=\s*(?:"(?:[^">]*\s)?nqTitle(?:\s[^">]*)?"|'(?:[^'>]*\s)?nqTitle(?:\s[^'>]*)?'|nqTitle[\s>]))[^<>]*>"""
 _LAW_ID = r"""(?i)\slawid\s*=\s*(?:"([^">]*)"|'([^'>]*)'|([^\s"'>]+))"""
-_LINK_TAG = r"""(?i)<a(?=\s)(?=[^>]*\sclass\s*=\s*["'](?:[^"'>]*\s)?h5[\s"'])(?=[^>]*\sclass\s*=\s*["'](?:[^"'>]*\s)?font-weight-bold[\s"'])[^>]*>"""
+_LINK_TAG = r"""(?i)<a(?=\s)(?=[^<>]*\sclass\s*=\s*["'](?:[^"'>]*\s)?h5[\s"'])(?=[^<>]*\sclass\s*=\s*["'](?:[^"'>]*\s)?font-weight-bold[\s"'])[^<>]*>"""
 _HREF = r"""(?i)\shref\s*=\s*(?:"([^">]*)"|'([^'>]*)'|([^\s"'>]+))"""
 _JUDGMENT_PATH = "/ban-an/"
 DEFAULT_SPAN = 100

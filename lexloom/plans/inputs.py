@@ -128,7 +128,7 @@ raw_lines AS (
          generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
   FROM documents),
 paras AS (
-  SELECT doc_id, source, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS seq, content
+  SELECT doc_id, source, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS seq, content
   FROM (SELECT doc_id, source, i, trim(
           CASE i % 8 WHEN 1 THEN 'Điều ' || (i // 16 + 1) || '. ' {_PREFIX_SQL} ELSE '' END || line) AS content
         FROM raw_lines)
@@ -165,7 +165,7 @@ nodes AS (
         + f" THEN last{k} END" for k in range(1, 7))}] IF x IS NOT NULL] AS ancestors
   FROM nested),
 arts AS (
-  SELECT *, sum(CASE WHEN level = 4 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY seq) AS art
+  SELECT *, CAST(sum(CASE WHEN level = 4 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY seq) AS BIGINT) AS art
   FROM nodes)"""
 
 

@@ -32,7 +32,7 @@ def _sections(spark: SparkSession, d: str) -> DataFrame:
 @query("s2_captured_pages", """
 SELECT url AS document_id, 'page' AS document_type, CAST('HTTP status 404' AS VARCHAR) AS error FROM pages WHERE contains(url, '?')""")
 def s2(spark: SparkSession, d: str) -> DataFrame:
-    captured = table(spark, d, "pages", heavy=True).select(
+    captured = table(spark, d, "pages").select(
         F.lit("page").alias("doc_type"),
         F.col("url").alias("doc_key"),
         F.lit(None).cast("timestamp_ntz").alias("fetched_at"),

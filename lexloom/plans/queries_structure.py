@@ -45,7 +45,7 @@ bodies AS (SELECT page_id, i, CASE WHEN regexp_matches(piece, '(?i)</p\\s*>')
     END AS body FROM pieces),
 texts AS (SELECT page_id, i, trim(replace(replace(replace(replace(regexp_replace(body, '<[^>]*>', '', 'g'),
     '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')) AS content FROM bodies)
-SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS seq, content FROM texts WHERE content <> ''""")
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS seq, content FROM texts WHERE content <> ''""")
 def p1(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages", heavy=True)
     return pages.select("page_id", F.posexplode(S.paragraphs(F.col("html"))).alias("seq", "content"))
@@ -73,7 +73,7 @@ def p4(spark: SparkSession, d: str) -> DataFrame:
 @query("p4_nesting_letters", """
 WITH raw_lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
     generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
-paras AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS seq, trim(line) AS content
+paras AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS seq, trim(line) AS content
   FROM raw_lines WHERE trim(line) <> ''),
 levels AS (SELECT *, CASE WHEN regexp_matches(content, '(?i)^[A-D]') THEN 1 WHEN regexp_matches(content, '(?i)^[E-L]') THEN 2
     WHEN regexp_matches(content, '(?i)^[M-Z]') THEN 3 END AS level FROM paras),
