@@ -92,7 +92,7 @@ _LAYOUTS = {  # status/priority picks how a date is written
 WITH t AS (SELECT o_orderkey, CASE o_orderpriority """
     + " ".join(f"WHEN '{p}' THEN strftime(o_orderdate, '{s}')" for p, (_, s) in _LAYOUTS.items())
     + """ ELSE CASE WHEN o_orderstatus = 'P' THEN '31/02/2020' ELSE strftime(o_orderdate, '%Y/%-m/%-d') END END AS txt FROM orders)
-SELECT o_orderkey, strftime(CASE WHEN regexp_matches(txt, '^\d{1,2}/\d{1,2}/\d\d$') THEN try_strptime(txt, '%d/%m/%y')
+SELECT o_orderkey, strftime(CASE WHEN regexp_matches(txt, '^\\d{1,2}/\\d{1,2}/\\d\\d$') THEN try_strptime(txt, '%d/%m/%y')
   ELSE try_strptime(txt, ['%d/%m/%Y', '%Y-%m-%d', '%d %m %Y', '%d-%m-%Y', '%Y/%m/%d']) END, '%Y-%m-%d') AS d FROM t""")
 def x8(spark: SparkSession, d: str) -> DataFrame:
     written = F
