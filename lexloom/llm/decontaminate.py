@@ -217,12 +217,13 @@ def find_overlaps(documents: DataFrame, benchmark: DataFrame, keep: list[str], w
     added = state.columns[-len(types) :]
     parts = _slices_of(benchmark)
     for i, part in enumerate(parts):
-        sent = documents.sparkSession.sparkContext.broadcast(probe([(r["id"], bytes(r["text"])) for r in part.collect()], window))
+        sent = documents.sparkSession.sparkContext.broadcast([(r["id"], bytes(r["text"])) for r in part.collect()])
         out = keep if i == len(parts) - 1 else needed  # the last pass needs no text any more
 
         def passed(batches: Iterator[pa.RecordBatch], sent=sent, out=out) -> Iterator[pa.RecordBatch]:
+            sought = probe(sent.value, window)
             for batch in slices(batches, "text", SHARD):
-                columns = [pa.array(c, t) for c, t in zip(_searched(batch, sent.value), types)]
+                columns = [pa.array(c, t) for c, t in zip(_searched(batch, sought), types)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in out), *columns], [*out, *added])
 
         state = state.mapInArrow(passed, state.select(*out, *added).schema)

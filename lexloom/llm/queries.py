@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import decontaminate, quality, simhash
+from lexloom.llm import bpe, decontaminate, pii, quality, simhash
 from lexloom.plans.registry import query
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public vocabulary file on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -25,3 +32,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_benchmark_decontamination")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+@query("op10_pii")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(_read(spark, sf_dir, "documents"))
+
+
+@query("op2_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(_read(spark, sf_dir, "documents"), tokenizer_path())
