@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import bpe, decontaminate, pii, quality, simhash
+from lexloom.llm import bpe, decontaminate, pii, quality, sharding, simhash, substrings
 from lexloom.plans.registry import query
 
 
@@ -42,3 +42,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(_read(spark, sf_dir, "documents"))
+
+
+@query("op7_sharding")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.report(_read(spark, sf_dir, "documents"))
