@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import bpe, decontaminate, pii, quality, sharding, simhash, substrings
+from lexloom.llm import bpe, decontaminate, pii, quality, sharding, simhash, substrings, toxicity
 from lexloom.plans.registry import query
 
 
@@ -52,3 +52,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_sharding")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.report(_read(spark, sf_dir, "documents"))
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predictions(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
