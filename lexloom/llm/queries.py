@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import bpe, decontaminate, pii, quality, sharding, simhash, substrings, toxicity
+from lexloom.llm import bpe, chat, decontaminate, neighbours, pii, quality, sharding, simhash, substrings, toxicity
 from lexloom.plans.registry import query
 
 
@@ -57,3 +57,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_toxicity")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predictions(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+@query("op5_ann")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(_read(spark, sf_dir, "embeddings"))
+
+
+@query("op8_chat_formatting")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(_read(spark, sf_dir, "conversations"))
