@@ -235,10 +235,10 @@ def _contaminated():
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest_match and longest_at."""
+    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated."""
     return find_overlaps(documents, benchmark, ["doc_id"]).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
-        _contaminated().alias("contaminated"), "longest_match", "longest_at",
+        _contaminated().alias("contaminated"),
     )
 
 

@@ -84,7 +84,7 @@ class Kind:
 # A run of a class is entered only at its first character, or where the last match ended: from any other
 # place of the run the same match would have begun earlier.
 KINDS = (
-    Kind("email", "@", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", lambda m: F.lit(True), 0.9, r"(?i)\b(e-?mail|contact|write)\b"),
+    Kind("email", "@", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", lambda m: F.lit(True), 0.9, r"(?i)\b((e-?)?mail|contact|write)\b"),
     Kind("ip", ".", r"(?=[0-9])(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", _small_parts, 0.6, r"(?i)\b(ip|host|server|address|login)\b"),
     Kind("card", "", r"[0-9](?:[\x20-]?[0-9])++", _card, 0.8, r"(?i)\b(card|credit|visa|payment|pay)\b"),
     Kind("phone", "+", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: F.length(_digits(m)).between(9, 15), 0.6, r"(?i)\b(phone|tel|call|mobile|fax)\b"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import bpe, chat, decontaminate, neighbours, pii, quality, sharding, simhash, substrings, toxicity
+from lexloom.llm import bpe, chat, decontaminate, neighbours, pii, quality, sharding, simhash, sql, substrings, toxicity
 from lexloom.plans.registry import query
 
 
@@ -29,7 +29,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_components(_read(spark, sf_dir, "documents"))
 
 
-@query("op6_benchmark_decontamination")
+@query("op6_benchmark_decontamination", sql.DECONTAMINATION)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -44,7 +44,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-@query("op4_substring_dedup")
+@query("op4_substring_dedup", sql.SUBSTRINGS)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(_read(spark, sf_dir, "documents"))
 

@@ -104,7 +104,7 @@ def pack_places(places: np.ndarray) -> bytes:
     """Ascending numbers as gaps, two bytes each (four if a gap needs it), byte by byte, compressed."""
     gaps = np.diff(places, prepend=0)
     wide = bool(len(gaps) and gaps.max() >= 1 << 16)
-    planes = gaps.astype("<u4" if wide else "<u2").view(np.uint8).reshape(len(gaps), -1).T
+    planes = gaps.astype("<u4" if wide else "<u2").view(np.uint8).reshape(len(gaps), 4 if wide else 2).T
     return bytes([wide]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
