@@ -17,15 +17,16 @@ from lexloom.functions.arrays import let
 from lexloom.functions.text import decode_entities, strip
 
 _TOKEN = (
-    r"(?is)<!--.*?-->"
-    r"|<(script|style)\b[^>]*>.*?</\1\s*>"
+    # Comments and raw text that are never closed run to the end of the page.
+    r"(?is)<!--.*?(?:-->|\z)"
+    r"|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
     # No branch reads past the next "<", so unbalanced quotes cannot make a page quadratic.
     r"|</?[a-z](?:[^<>\"']++|\"[^<\"]*+\"|'[^<']*+')*+>"
     r"|</?[a-z!][^<>]*>"
     r"|[^<]+|<"
 )
 # Text that never counts as content: comments and raw-text blocks.
-INVISIBLE = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
+INVISIBLE = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
 
 
 def tokens(html: Column) -> Column:

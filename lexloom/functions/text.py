@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -81,26 +81,44 @@ def _code_point(n: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
 
 
+def _name_table(names: dict[str, str]) -> Column:
+    """Lookup from one foldable literal instead of thousands of map entries in every plan."""
+    pairs = "\x01".join(f"{name}\x02{chars}" for name, chars in sorted(names.items()))
+    return F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
+
+
+_NAMES = {name.rstrip(";"): chars for name, chars in html5.items()}
+_COMMON = {name: chars for name, chars in _NAMES.items() if name in name2codepoint}
+# What pages mean by the control characters 128 to 159: the windows-1252 characters, where it has one.
+_C1 = "".join(bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160))
+
+
 def decode_entities(c: Column) -> Column:
-    """Decode HTML character references (named, decimal, hexadecimal)."""
-    # One foldable literal instead of hundreds of map entries in every plan.
-    table = "\n".join(f"{name}\t{chr(point)}" for name, point in sorted(name2codepoint.items()))
-    named = F.str_to_map(F.lit(table), F.lit("\n"), F.lit("\t"))
-    ref = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);?"
+    """Decode HTML character references (named, decimal, hexadecimal).
+
+    Numbers may have any number of leading zeros; those that are no character stay as they are.
+    """
+    ref = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?"
 
     def char_for(name: Column) -> Column:
-        number = F.when(
-            name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10).cast("bigint")
-        ).otherwise(F.try_to_number(F.regexp_extract(name, "^#([0-9]+)$", 1), F.lit("9999999")))
+        hexadecimal = name.rlike("^#[xX]")
+        digits = F.ltrim(F.when(hexadecimal, F.substring(name, F.lit(3), F.length(name))).otherwise(F.substring(name, F.lit(2), F.length(name))), F.lit("0"))
         coded = let(
-            number.cast("bigint"),
-            lambda n: F.when(n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF), _code_point(n)),
+            let(
+                digits,
+                lambda d: F.when(hexadecimal & (F.length(d) <= 6), F.conv(d, 16, 10)).when(~hexadecimal & (F.length(d) <= 7), d).cast("bigint"),
+            ),
+            lambda n: F.when(n.between(128, 159), F.substring(F.lit(_C1), n.cast("int") - 127, F.lit(1))).when(
+                n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF), _code_point(n)
+            ),
         )
-        return F.when(name.startswith("#"), coded).otherwise(F.try_element_at(named, name))
+        # Few names make up most references; the long table is scanned only for the others.
+        found = F.coalesce(F.try_element_at(_name_table(_COMMON), name), F.try_element_at(_name_table(_NAMES), name))
+        return F.when(name.startswith("#"), coded).otherwise(found)
 
     def decoded(piece: Column) -> Column:
         return let(
-            char_for(F.regexp_extract(piece, ref, 1)),
+            let(F.regexp_extract(piece, ref, 1), char_for),
             lambda char: F.when(
                 char.isNotNull(), F.concat(char, F.regexp_replace(piece, ref, ""))
             ).otherwise(F.concat(F.lit("&"), piece)),

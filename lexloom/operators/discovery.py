@@ -157,7 +157,7 @@ def visited_pages(
     keys = [chunk, "_block"]
     seen = outcomes.filter(F.col("outcome") != "error").select(
         F.col(chunk),
-        F.floor(F.col(page) / block).cast("bigint").alias("_block"),
+        F.expr(f"(`{page}` - pmod(`{page}`, {block})) div {block}").alias("_block"),
         F.col(page),
         (F.col("outcome") == "empty").alias("_empty"),
     )

@@ -97,6 +97,7 @@ STATUTE_WITH_SUBSECTIONS = RuleTable(
 
 _P_OPEN = r"(?i)<p(?:\s[^>]*)?>"
 _P_CLOSE = r"(?i)</p\s*>"
+_TAG = "<[A-Za-z/!?][^>]*>"  # a bracket before anything else is text
 _BLOCK_CLOSE = r"(?i)</(?:article|section|main|div|td|th|tr|table|li|ul|ol|blockquote|body|html)\s*>"
 
 
@@ -112,9 +113,9 @@ def paragraphs(html: Column) -> Column:
         inner = F.when(
             piece.rlike(_P_CLOSE), F.get(F.split(piece, _P_CLOSE, 2), F.lit(0))
         ).otherwise(F.get(F.split(piece, _BLOCK_CLOSE, 2), F.lit(0)))
-        return F.regexp_replace(inner, "<[^>]*>", "")
+        return F.regexp_replace(inner, _TAG, "")
 
-    bodies = F.transform(F.slice(F.split(page, _P_OPEN), 2, 1 << 30), body)
+    bodies = F.transform(let(F.split(page, _P_OPEN), lambda parts: F.slice(parts, F.lit(2), F.size(parts))), body)
     return F.filter(
         F.transform(bodies, lambda p: strip(decode_entities(p))), lambda p: p != ""
     )

@@ -217,7 +217,7 @@ def law_pages(spark: SparkSession, d: str) -> DataFrame:
     )
     validity = (
         F.when(lang == "en", "Còn hiệu lực")
-        .when(lang == "fr", "Hết hiệu  lực".replace("  ", " "))
+        .when(lang == "fr", "Hết hiệu lực")
         .when(lang == "de", "Đang cập nhật")
         .otherwise("khác")
     )

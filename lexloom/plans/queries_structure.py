@@ -43,7 +43,7 @@ bodies AS (SELECT page_id, i, CASE WHEN regexp_matches(piece, '(?i)</p\\s*>')
     THEN string_split_regex(piece, '(?i)</p\\s*>')[1]
     ELSE string_split_regex(piece, '(?i)</(?:article|section|main|div|td|th|tr|table|li|ul|ol|blockquote|body|html)\\s*>')[1]
     END AS body FROM pieces),
-texts AS (SELECT page_id, i, trim(replace(replace(replace(replace(regexp_replace(body, '<[^>]*>', '', 'g'),
+texts AS (SELECT page_id, i, trim(replace(replace(replace(replace(regexp_replace(body, '<[A-Za-z/!?][^>]*>', '', 'g'),
     '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')) AS content FROM bodies)
 SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS seq, content FROM texts WHERE content <> ''""")
 def p1(spark: SparkSession, d: str) -> DataFrame:
