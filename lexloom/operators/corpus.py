@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions.text import flexible_date
 
+# Columns and required fields of a document record, and the messages below.
 HEAVY = ("metadata_html", "content_html", "content_text")
 REQUIRED = ("document_number", "document_type", "issuing_authority", "issue_date")
 
@@ -120,7 +121,10 @@ def first_fault(
     for name in required:
         text = F.col(name).cast("string")
         chain = chain.when(text.isNull() | (text == ""), F.lit(f"Missing required field: {name}"))
-    parseable = flexible_date(F.col("issue_date").cast("string")).isNotNull() if date_ok is None else date_ok
+    written = F.col("issue_date").cast("string")
+    # Dates and timestamps as they are, and text of an accepted layout or in ISO form with a time.
+    timed = written.rlike(r"^\d{4}-\d{2}-\d{2}[T ]") & written.try_cast("timestamp").isNotNull()
+    parseable = flexible_date(written).isNotNull() | timed if date_ok is None else date_ok
     return (
         chain.when(F.length(number) > max_length, F.lit("Document number exceeds maximum length"))
         .when(~parseable, F.lit("Invalid date format for issue_date"))

@@ -63,13 +63,14 @@ def page_ids(pages: DataFrame, ids: Column, doc_type: str, page: str = "page") -
 def new_ids(found: DataFrame, tracker: DataFrame) -> DataFrame:
     """Found (document_id, document_type) pairs not in the queue, each once.
 
-    ``distinct`` combines map-side on both sides, so an id on very many pages or
-    queued very many times costs one row per task; the anti join reuses its shuffle.
+    One aggregation over both tables: an id on very many pages, or queued very many
+    times, costs one row per task, and there is a single shuffle.
     """
     keys = ["document_id", "document_type"]
-    return (
-        found.select(*keys).distinct().join(tracker.select(*keys).distinct(), keys, "left_anti")
+    seen = found.select(*keys, F.lit(False).alias("_queued")).union(
+        tracker.select(*keys, F.lit(True).alias("_queued"))
     )
+    return seen.groupBy(*keys).agg(F.bool_or("_queued").alias("_queued")).filter("NOT _queued").select(*keys)
 
 
 def enqueue_rows(found: DataFrame, tracker: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Queue states, the length of stored errors, messages and labels below.
 RETRYABLE = ("pending", "failed")
 ERROR_LENGTH = 500
 _KEYS = ["document_id", "document_type"]
@@ -30,11 +31,19 @@ def next_batch(
 
 
 def latest_outcomes(attempts: DataFrame) -> DataFrame:
-    """Latest attempt per queue key (partial aggregation before the shuffle)."""
-    return attempts.groupBy(*_KEYS).agg(
-        F.max_by(
-            F.struct("attempted_at", "ok", "error"), F.struct("attempted_at", "attempt_id")
-        ).alias("_last")
+    """Latest attempt per queue key; the rank cut runs in every task before the shuffle."""
+    newest = Window.partitionBy(*_KEYS).orderBy(F.desc("attempted_at"), F.desc("attempt_id"))
+    return (
+        attempts.withColumn("_rank", F.row_number().over(newest))
+        .filter("_rank = 1")
+        .select(*_KEYS, F.struct("attempted_at", "ok", "error").alias("_last"))
+    )
+
+
+def first_rows(tracker: DataFrame) -> DataFrame:
+    """Smallest id of every key, and the retries of that row: a key queued very often is one row a task."""
+    return tracker.groupBy(*_KEYS).agg(
+        F.min("id").alias("id"), F.coalesce(F.min_by("retry_count", "id"), F.lit(0)).alias("_retries")
     )
 
 
@@ -43,14 +52,7 @@ def apply_outcomes(tracker: DataFrame, attempts: DataFrame, max_retries: int = 3
 
     When a key is queued twice, the first row (smallest id) carries the outcome.
     """
-    last = latest_outcomes(attempts)
-    targets = (
-        tracker.select("id", *_KEYS)
-        .join(last, _KEYS)
-        .groupBy(*_KEYS)
-        .agg(F.min("id").alias("id"), F.first("_last").alias("_last"))
-        .select("id", "_last")
-    )
+    targets = first_rows(tracker).join(latest_outcomes(attempts), _KEYS).select("id", "_last")
     retry = F.coalesce("retry_count", F.lit(0)) + 1
     hit = F.col("_last").isNotNull()
     ok = hit & F.col("_last.ok")
@@ -71,6 +73,42 @@ def apply_outcomes(tracker: DataFrame, attempts: DataFrame, max_retries: int = 3
     )
 
 
+def honoured(tracker: DataFrame, attempts: DataFrame, max_retries: int = 3) -> DataFrame:
+    """Attempts that count, with the id and retries of their queue row, and ``_rank`` in time order.
+
+    Of a key's attempts those count that fit into the retries it has left, up to its first success.
+    """
+    ranked = earliest_attempts(attempts, max_retries).join(first_rows(tracker), _KEYS)
+    ranked = ranked.filter(F.col("_rank") <= max_retries - F.col("_retries"))
+    until = Window.partitionBy(*_KEYS).orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
+    return ranked.withColumn("_won", F.coalesce(F.bool_or("ok").over(until), F.lit(False))).filter("NOT _won").drop("_won")
+
+
+def apply_attempts(tracker: DataFrame, counted: DataFrame, max_retries: int = 3) -> DataFrame:
+    """Tracker snapshot after the attempts that ``honoured`` found, any number per key."""
+    ends = Window.partitionBy(*_KEYS).orderBy(F.desc("_rank"))
+    last = counted.withColumn("_back", F.row_number().over(ends)).filter("_back = 1").select(
+        "id", F.struct("attempted_at", "ok", "error", (F.col("_retries") + F.col("_rank")).alias("retries")).alias("_last")
+    )
+    hit = F.col("_last").isNotNull()
+    ok = hit & F.col("_last.ok")
+    return tracker.join(last, "id", "left").select(
+        "id",
+        *_KEYS,
+        F.when(ok, F.lit("success"))
+        .when(hit, F.when(F.col("_last.retries") >= max_retries, F.lit("failed")).otherwise("pending"))
+        .otherwise(F.col("status"))
+        .alias("status"),
+        "created_at",
+        F.when(hit, F.col("_last.attempted_at")).otherwise(F.col("last_attempt")).alias("last_attempt"),
+        F.when(ok, F.lit(0)).when(hit, F.col("_last.retries")).otherwise(F.col("retry_count")).alias("retry_count"),
+        F.when(ok, F.lit(None))
+        .when(hit, F.substring("_last.error", 1, ERROR_LENGTH))
+        .otherwise(F.col("error_log"))
+        .alias("error_log"),
+    )
+
+
 def run_summary(outcomes: DataFrame) -> DataFrame:
     """Successes and attempts of one run."""
     return outcomes.agg(
@@ -132,17 +170,8 @@ def mark_processed(tracker: DataFrame, outcomes: DataFrame) -> DataFrame:
     new = outcomes.select(
         "document_id", F.col("status").alias("_status"), F.col("finished_at").alias("_finished_at")
     )
-    targets = (
-        tracker.select("id", "document_id")
-        .join(new, "document_id")
-        .groupBy("document_id")
-        .agg(
-            F.min("id").alias("id"),
-            F.first("_status").alias("_status"),
-            F.first("_finished_at").alias("_finished_at"),
-        )
-        .drop("document_id")
-    )
+    first = tracker.groupBy("document_id").agg(F.min("id").alias("id"))
+    targets = first.join(new, "document_id").select("id", "_status", "_finished_at")
     others = [c for c in tracker.columns if c not in ("status", "finished_at")]
     return tracker.join(targets, "id", "left").select(
         *others,

@@ -199,7 +199,7 @@ def nodes(docs: DataFrame, key: str, paras: Column, rules: RuleTable = STATUTE)
 
 
 def outline(node_rows: DataFrame) -> DataFrame:
-    """Indented listing line of every node."""
+    """Indented listing line of every node (fixed values: the marks of the line)."""
     number = F.when(F.coalesce("number", F.lit("")) != "", F.concat(F.lit(" "), F.col("number")))
     return node_rows.select(
         "document_id",

@@ -37,30 +37,40 @@ class Fetched:
 
 
 def fetch(
-    tracker: DataFrame, pages: DataFrame, doc_type: str, batch_size: int = 100, max_retries: int = 3
+    tracker: DataFrame, pages: DataFrame, doc_type: str, batch_size: int | None = None, max_retries: int = 3
 ) -> Fetched:
-    """One round: pick the batch, extract its captured pages, record every outcome.
+    """One round: pick the rows worth an attempt, extract their new captures, record every outcome.
 
-    The batch is extracted once; records, tracker and summary read the result.
+    All retryable rows, or the ``batch_size`` oldest. A capture is an attempt once: only those newer than
+    the row's last attempt count, in time order, as far as the row has retries left and up to its first
+    success; that success gives the record. Pages are extracted once for all three results.
     """
-    batch = queue.next_batch(tracker, doc_type, batch_size, max_retries).select(
-        F.col("document_id").alias("doc_key"), F.col("document_type").alias("doc_type")
+    if batch_size is None:
+        batch = queue.retryable(tracker, max_retries).filter(F.col("document_type") == doc_type)
+    else:
+        batch = queue.next_batch(tracker, doc_type, batch_size, max_retries)
+    wanted = batch.groupBy(F.col("document_id").alias("doc_key"), F.col("document_type").alias("doc_type")).agg(
+        F.max("last_attempt").alias("_since")
     )
-    picked = pages.join(batch.distinct(), ["doc_type", "doc_key"])
+    fresh = F.col("_since").isNull() | (F.col("fetched_at") > F.col("_since"))
+    picked = pages.join(wanted, ["doc_type", "doc_key"]).filter(fresh).drop("_since")
     extract = {"law": extraction.law_records, "judgment": extraction.judgment_records}[doc_type]
     records = materialize(extract(picked, keep=("doc_type", "doc_key", "fetched_at")), "fetched")
+    attempt_id = F.xxhash64("doc_type", "doc_key", "fetched_at")
     attempts = records.select(
-        F.xxhash64("doc_type", "doc_key", "fetched_at").alias("attempt_id"),
+        attempt_id.alias("attempt_id"),
         F.col("doc_key").alias("document_id"),
         F.col("doc_type").alias("document_type"),
         F.col("fetched_at").alias("attempted_at"),
         F.col("error").isNull().alias("ok"),
         "error",
-    )
+    ).dropDuplicates(["attempt_id"])
+    counted = materialize(queue.honoured(tracker, attempts, max_retries), "attempts")
+    won = counted.filter("ok").select("attempt_id")
     return Fetched(
-        records=records.filter("error IS NULL").drop("error"),
-        tracker=queue.apply_outcomes(tracker, attempts, max_retries),
-        summary=queue.run_summary(attempts),
+        records=records.filter("error IS NULL").withColumn("attempt_id", attempt_id).join(won, "attempt_id").drop("error", "attempt_id"),
+        tracker=queue.apply_attempts(tracker, counted, max_retries),
+        summary=queue.run_summary(counted),
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +11,14 @@ from lexloom.operators import corpus as C
 from lexloom.operators import lookup as L
 from lexloom.plans.inputs import CORPUS_SQL, KEY_LIST_SQL, corpus, key_list
 from lexloom.plans.registry import query, table
-from lexloom.session import shared_dir
+from lexloom.session import scratch_path
 from lexloom.sources import csv_files, json_files, key_lists, tables
 
 _BOTH = f"WITH {CORPUS_SQL}, {KEY_LIST_SQL}"
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return scratch_path(spark, name)
 
 
 # --- duplicates -------------------------------------------------------------------------------

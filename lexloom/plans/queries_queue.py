@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from lexloom.operators import discovery as D
 from lexloom.operators import queue as Q
-from lexloom.plans.inputs import ATTEMPTS_SQL, TRACKER_SQL, attempts, tracker
+from lexloom.plans.corpus_plans import fetch
+from lexloom.plans.inputs import ATTEMPTS_SQL, TRACKER_SQL, attempts, law_pages, tracker
 from lexloom.plans.queries_corpus import _scratch
 from lexloom.plans.registry import query, table
+from lexloom.session import materialize
 from lexloom.streaming import attempts as stream_attempts
 from lexloom.streaming import enqueue as stream_enqueue
 from lexloom.streaming.pages import page_stream
@@ -318,3 +320,33 @@ def r3(spark: SparkSession, d: str) -> DataFrame:
     values = ["status", "retry_count", "last_attempt", "error_log"]
     latest = spark.read.parquet(root).groupBy(*keys).agg(F.max_by(F.struct(*values), "epoch").alias("v"))
     return latest.select(*keys, "v.*")
+
+
+# --- whole rounds -----------------------------------------------------------------------------
+
+
+@query("fetch_round", """
+WITH t AS (SELECT doc_id, lang, source, CAST(doc_id % 3 AS INTEGER) AS retries FROM documents),
+o AS (SELECT *, CASE WHEN source = 'src3' THEN 'none' WHEN source = 'src7' OR lang = 'de' THEN 'failed' ELSE 'ok' END AS outcome FROM t)
+SELECT CAST(doc_id AS VARCHAR) AS document_id,
+  CASE outcome WHEN 'ok' THEN 'success' WHEN 'failed' THEN CASE WHEN retries + 1 >= 3 THEN 'failed' ELSE 'pending' END ELSE 'pending' END AS status,
+  CASE outcome WHEN 'ok' THEN 0 WHEN 'failed' THEN retries + 1 ELSE retries END AS retry_count,
+  CASE WHEN outcome = 'failed' THEN CASE WHEN source = 'src7' THEN 'HTTP status 404' ELSE 'impossible effective date: 31/02/2020' END END AS error_log
+FROM o""")
+def fetch_round(spark: SparkSession, d: str) -> DataFrame:
+    """Two rounds over the same captures: the second finds nothing new and changes nothing."""
+    at = F.lit("2024-01-01").cast("timestamp_ntz")
+    pages = law_pages(spark, d).withColumns({"doc_type": F.lit("law"), "fetched_at": at})
+    rows = table(spark, d, "documents").select(
+        F.col("doc_id").alias("id"),
+        F.col("doc_id").cast("string").alias("document_id"),
+        F.lit("law").alias("document_type"),
+        F.lit("pending").alias("status"),
+        at.alias("created_at"),
+        F.when(F.col("source") == "src3", at).alias("last_attempt"),
+        (F.col("doc_id") % 3).cast("int").alias("retry_count"),
+        F.lit(None).cast("string").alias("error_log"),
+    )
+    once = materialize(fetch(rows, pages, "law").tracker, "tracker")
+    twice = fetch(once, pages, "law").tracker
+    return twice.select("document_id", "status", "retry_count", "error_log")

@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.sources.tables import spread
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -27,6 +25,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
-    """Given table; ``heavy`` marks input for CPU-bound work per row."""
+    """Given table; ``heavy`` marks input for CPU-bound work per row.
+
+    A given table may be one file of one row group, which no file setting can split; the engine's
+    own tables are written in many.
+    """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if heavy else df
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if heavy and df.rdd.getNumPartitions() < cores else df

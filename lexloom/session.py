@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,23 +40,18 @@ def local_session(app: str = "lexloom", cores: int | str = "*", **conf: str) ->
     return spark
 
 
-@functools.cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="lexloom-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it.
-
-    A machine-local folder is made up only when the session has no setting *and*
-    runs in local mode; on a cluster a missing setting is an error.
-    """
+    """Folder every executor can reach: as the cluster names it, else beside the tables of the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_dir()
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """New path in the shared folder; what is written there goes when the session ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -67,6 +60,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     For results with several consumers: they survive lost executors and are not
     computed again per consumer.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

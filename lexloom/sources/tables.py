@@ -15,17 +15,6 @@ def read_table(spark: SparkSession, root: str, name: str, columns: list[str] | N
     return df.select(*columns) if columns else df
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Give a plain scan at least one task per core.
-
-    A table in few small files (or one row group) is read by few tasks, which
-    starves CPU-bound work. Scans that already have enough tasks, as any large
-    table has, are returned as they are: no shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, lo: int, hi: int, parts: int, **options) -> DataFrame:
     """Relational table read in ``parts`` key ranges; filters and columns are pushed down."""
     return (

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -10,4 +11,6 @@ from lexloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session("tests", 8, driver_memory="8g")
+    return local_session(
+        "tests", 8, driver_memory="8g", **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="lexloom-tests-")}
+    )

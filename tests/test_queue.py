@@ -185,6 +185,31 @@ def test_fetch_stage(spark):
     assert done.summary.first().asDict() == {"succeeded": 1, "attempted": 2}
 
 
+def test_fetch_counts_captures_once(spark):
+    """Several new captures fold in time order; old ones, and those past the first success, do not count."""
+    page = '<div id="divThuocTinh"><table><tr><td><b>Số hiệu:</b></td><td>{}</td></tr></table></div>'
+    rows = [(1, "a", "law", "pending", T0, None, 0, None), (2, "b", "law", "failed", T0, T0, 2, "e"), (3, "c", "law", "pending", T0, None, 0, None)]
+    caps = [
+        ("a", 500, 0), ("a", 200, 1), ("a", 200, 2), ("b", 200, 0), ("b", 500, 1), ("b", 200, 2), ("c", 404, 0), ("c", 404, 1), ("c", 404, 1),
+    ]
+    data = [("law", k, page.format(f"{k}{m}"), T0 + timedelta(minutes=m), s) for k, s, m in caps]
+    df = spark.createDataFrame(data, "doc_type STRING, doc_key STRING, html STRING, fetched_at TIMESTAMP_NTZ, http_status INT")
+    done = fetch(spark.createDataFrame(rows, TRACKER), df, "law")
+    assert [(r.doc_key, r.document_number) for r in done.records.collect()] == [("a", "a1")]
+    state = {(r.document_id, r.status, r.retry_count, (r.last_attempt - T0).seconds // 60) for r in done.tracker.collect()}
+    assert state == {("a", "success", 0, 1), ("b", "failed", 3, 1), ("c", "pending", 2, 1)}
+    again = fetch(done.tracker, df, "law")
+    assert again.records.count() == 0 and again.tracker.exceptAll(done.tracker).count() == 0
+
+
+def test_new_ids_take_one_shuffle(spark):
+    found = spark.createDataFrame([("1",), ("2",), ("2",)], "document_id STRING").withColumn("document_type", F.lit("law"))
+    queued = spark.createDataFrame([("1", "law"), ("2", "judgment")], "document_id STRING, document_type STRING")
+    new = D.new_ids(found, queued)
+    assert [tuple(r) for r in new.collect()] == [("2", "law")]
+    assert new._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2  # initial and final plan
+
+
 def test_process_tracker(spark):
     tracker = spark.createDataFrame(
         [(1, 10, "law", "pending", None), (2, 10, "law", "pending", None), (3, 11, "law", "pending", None)],

@@ -149,3 +149,14 @@ def test_structure_needs_no_exchange(spark):
     for rows in (S.articles(df, "id", "n", S.paragraphs(F.col("h"))), S.nodes(df, "id", S.paragraphs(F.col("h")))):
         plan = rows._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Sort" not in plan and "Python" not in plan
+
+
+def test_bare_brackets_and_unclosed_scripts(spark):
+    pages = {
+        "<p>nếu x <5 và y> 3 <b>đ</b></p>": ["nếu x <5 và y> 3 đ"],
+        "<p>one</p><script>var a='<p>1</p>';<p>two</p>": ["one"],
+        "<p>one</p><!-- <p>two</p>": ["one"],
+    }
+    df = spark.createDataFrame([(k,) for k in pages], "html STRING")
+    got = {r.html: r.p for r in df.select("html", S.paragraphs(F.col("html")).alias("p")).collect()}
+    assert got == pages

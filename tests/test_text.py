@@ -61,6 +61,7 @@ def test_strip_matches_python_on_every_white_space_character(spark):
 
 def test_unescape(spark):
     assert one(spark, "a &amp;&amp; &#224; &#xE0;&nbsp;x &bogus; &", T.unescape) == "a && à à x &bogus; &"
+    assert one(spark, "&apos;&lsqb;&lsqb &#150; &#x96;&#00000065;&#x0000041;&#1114112; &#129;&NewLine;.", T.unescape) == "'[[ – –AA&#1114112; \x81\n."
     assert one(spark, "&amp;lt;", T.unescape) == "&lt;"
     assert one(spark, None, T.unescape) is None
 
