@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -11,10 +10,12 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.session import shared_dir
+from lexloom.session import materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+__all__ = ["held_out", "labelled_sample", "materialize", "share_below", "slices"]
+
 FOLDS = 5
 _UNIT = 1_000_000
 
@@ -24,19 +25,6 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % FOLDS == 0, F.lit(False))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once into the shared folder, read it back, remove the files with the session.
-
-    Cuts the lineage: what follows survives lost executors without computing ``df`` again.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def share_below(df: DataFrame, key: str, rows: int) -> DataFrame:
     """Repeatable sample of about ``rows`` rows (all, if fewer), chosen by a hash of ``key``."""
     total = df.count()
