@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions.text import UNKNOWN, document_key, object_id, percent
+from lexloom.operators.corpus import HEAVY
+from lexloom.session import materialize
 
 
 def found_documents(key_list: DataFrame, docs: DataFrame) -> DataFrame:
@@ -144,8 +146,15 @@ def lookup_ids(found: DataFrame) -> DataFrame:
     return found.select(F.struct(oid.alias("$oid")).alias("_id"), key.alias("document_id"))
 
 
+def listed_documents(key_list: DataFrame, docs: DataFrame) -> DataFrame:
+    """Documents with a listed number, each once, written: whatever is asked about a list reads
+    these rows instead of the corpus."""
+    return materialize(docs.join(key_list.select("document_number").distinct(), "document_number", "left_semi"), "listed")
+
+
 def report(key_list: DataFrame, docs: DataFrame) -> dict[str, DataFrame]:
-    """Named parts of the summary report."""
+    """Named parts of the summary report; the corpus is read once, without its texts."""
+    docs = listed_documents(key_list, docs.drop(*HEAVY))
     by_number = documents_by_number(key_list, docs)
     return {
         "coverage": coverage(key_list, docs),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.operators import discovery, extraction, queue, structure
@@ -78,16 +78,25 @@ def fetch(
 class Structured:
     articles: DataFrame
     outcomes: DataFrame
+    new_tracker_rows: DataFrame
+    tracker: DataFrame | None
 
 
 def structure_corpus(
-    docs: DataFrame, stored: DataFrame | None = None, rules: structure.RuleTable = structure.STATUTE
+    docs: DataFrame,
+    stored: DataFrame | None = None,
+    rules: structure.RuleTable = structure.STATUTE,
+    tracker: DataFrame | None = None,
+    at: Column | None = None,
 ) -> Structured:
-    """All documents with content to new articles and one outcome row per document.
+    """All documents with content to new articles, one outcome per document, and tracker rows.
 
-    A document that cannot be structured gets status ``failed`` and an error; it
-    does not stop the others.
+    A document that cannot be structured gets status ``failed`` and an error; it does not stop the
+    others. The tracker gets a success row per stored article and a failed row per failed document;
+    with a ``tracker`` given, the first row of each document is marked with its outcome (``at``: when).
+    Articles are computed once and written, as the rows to store and the tracker rows both read them.
     """
+    when = F.current_timestamp().cast("timestamp_ntz") if at is None else at
     usable = docs.filter(F.col("content_html").isNotNull()).withColumn(
         "error", F.when(F.col("document_number").isNull(), F.lit("document number missing"))
     )
@@ -103,4 +112,19 @@ def structure_corpus(
         F.when(F.col("error").isNull(), "success").otherwise("failed").alias("status"),
         "error",
     )
-    return Structured(articles=structure.first_writer(rows, stored), outcomes=outcomes)
+    articles = materialize(structure.first_writer(rows, stored), "articles")
+    done = articles.select(
+        F.xxhash64("article_id").alias("id"),
+        "document_id",
+        "article_id",
+        F.lit("success").alias("status"),
+        F.lit(0).alias("retry_count"),
+        F.lit(None).cast("string").alias("error_log"),
+    )
+    failed = queue.failure_rows(outcomes.filter("status = 'failed'"), "law", when)
+    return Structured(
+        articles=articles,
+        outcomes=outcomes,
+        new_tracker_rows=done.unionByName(failed.select("id", "document_id", F.lit(None).cast("string").alias("article_id"), "status", "retry_count", "error_log")),
+        tracker=None if tracker is None else queue.mark_processed(tracker, outcomes.select("document_id", "status", when.alias("finished_at"))),
+    )

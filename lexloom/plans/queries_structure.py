@@ -162,6 +162,27 @@ def p11(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query("p11_tracker_rows", f"""{_ARTICLES}
+SELECT document_id, article_id, 'success' AS status, 0 AS retry_count, NULL AS error_log FROM articles WHERE document_number <> 'src4'
+QUALIFY row_number() OVER (PARTITION BY article_id ORDER BY document_id, art) = 1
+UNION ALL
+SELECT doc_id, NULL, 'failed', 1, '[2024-01-01 00:00:00] Error processing ' || doc_id || ': document number missing' FROM documents WHERE source = 'src4'
+UNION ALL
+SELECT doc_id, 'document', CASE WHEN source = 'src4' THEN 'failed' ELSE 'success' END, 0, NULL FROM documents""")
+def p11_rows(spark: SparkSession, d: str) -> DataFrame:
+    """New tracker rows, and the documents' own rows as marked."""
+    docs = statutes(spark, d).select(
+        "id", F.when(F.col("document_number") != "src4", F.col("document_number")).alias("document_number"), "content_html"
+    )
+    waiting = docs.select(
+        F.col("id"), F.col("id").alias("document_id"), F.lit("pending").alias("status"), F.lit(0).alias("retry_count"), F.lit(None).cast("timestamp_ntz").alias("finished_at")
+    )
+    done = structure_corpus(docs, tracker=waiting, at=F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    columns = ["document_id", "article_id", "status", "retry_count", "error_log"]
+    own = done.tracker.select("document_id", F.lit("document").alias("article_id"), "status", "retry_count", F.lit(None).cast("string").alias("error_log"))
+    return done.new_tracker_rows.select(*columns).unionByName(own)
+
+
 _LABEL = r"regexp_extract(content, '^[^\s\p{Z}]+[\s\p{Z}]+[^\s\p{Z}.:]+')"
 
 

@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.operators.corpus import full_record
-from lexloom.operators.lookup import coverage, found_documents, lookup_ids, not_found, report
+from lexloom.operators.lookup import coverage, found_documents, listed_documents, lookup_ids, not_found, report
 
 
 def write_lookup(key_list: DataFrame, docs: DataFrame, path: str, include_content: bool = True) -> None:
-    """Result of a lookup as JSON folders: ``summary``, ``not_found`` and ``documents``."""
+    """Result of a lookup as JSON folders: ``summary``, ``not_found`` and ``documents``.
+
+    The list meets the corpus once; all three read the documents found.
+    """
+    docs = listed_documents(key_list, docs)
     summary = coverage(key_list, docs).select(
         "total_found",
         "total_searched",
