@@ -2,8 +2,9 @@
 
 A text is cut at white space and at the special tokens; each piece is brought to its normal form (NFC,
 lower case), split into words, and a word's byte symbols are merged: the parts and the ranks of adjacent
-parts lie in one list each, the smallest rank is looked for, its boundary goes, and the two ranks beside
-it are refreshed. Words over ``SHORT`` symbols take the same merges in the same order from a heap.
+parts lie in one row each, the smallest rank is looked for, its boundary goes, and the two ranks beside
+it are refreshed. The rows of many words are worked on side by side. Words over ``SHORT`` symbols take the
+same merges in the same order from a heap.
 Nothing is trained and nothing shuffled; the vocabulary file is read by the driver and sent to the tasks.
 
 * NULL and empty text: no ids, decoded to an empty text.
@@ -18,6 +19,7 @@ import json
 import re
 import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHORT = 48
 #: Pieces whose ids a task remembers.
 REMEMBERED = 400_000
-_NONE = 1 << 60
+#: Pieces looked up at once.
+AT_ONCE = 500_000
+_BITS, _MASK, _NONE = 24, (1 << 24) - 1, 1 << 60
 # White space of Unicode, without the four separators 1C to 1F that Python counts as such.
 _WHITE = r"\t-\r\x20\x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _ODD = re.compile(r"[\x1c-\x1f]")
@@ -56,49 +60,74 @@ class Vocabulary:
     def __init__(self, spec: dict):
         self.ids: dict[str, int] = dict(spec["model"]["vocab"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        #: (left id, right id) -> (rank, id of both together)
-        self.merges = {(self.ids[a], self.ids[b]): (rank, self.ids[a + b]) for rank, (a, b) in enumerate(spec["model"]["merges"])}
+        #: left id, right id -> rank, id of both together; two numbers in one, so that the smallest has the least rank
+        self.merges = {self.ids[a] << _BITS | self.ids[b]: rank << _BITS | self.ids[a + b] for rank, (a, b) in enumerate(spec["model"]["merges"])}
         self.names = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
         symbols = byte_symbols()
         self.inner = [self.ids.get(s) for s in symbols]
         self.final = [self.ids.get(s + _END) for s in symbols]
 
 
-def merge_short(parts: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Merge adjacent parts, smallest rank first, leftmost of equals; ``parts`` is used up."""
-    none = (_NONE, -1)
-    ranks = [merges.get(pair, none) for pair in zip(parts, parts[1:])]
-    while ranks:
-        least = min(ranks)
-        if least is none or least[0] == _NONE:
-            break
-        i = ranks.index(least)
-        parts[i] = least[1]
-        del parts[i + 1], ranks[i]
-        if i:
-            ranks[i - 1] = merges.get((parts[i - 1], parts[i]), none)
-        if i < len(ranks):
-            ranks[i] = merges.get((parts[i], parts[i + 1]), none)
-    return parts
-
-
-def merge_long(parts: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+class Ranks:
+    """Rank and result of any pair of parts, for whole arrays of pairs."""
+
+    def __init__(self, merges: dict[int, int]):
+        self.pairs = np.array(sorted(merges), np.int64)
+        self.made = np.append(np.array([merges[p] for p in self.pairs.tolist()], np.int64), _NONE)
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        if not len(self.pairs):
+            return np.full(left.shape, _NONE)
+        pair = left << _BITS | right
+        at = np.searchsorted(self.pairs, pair)
+        found = (left >= 0) & (right >= 0) & (self.pairs[np.minimum(at, len(self.pairs) - 1)] == pair)
+        return self.made[np.where(found, at, len(self.pairs))]
+
+
+def merge_short(parts: np.ndarray, ranks: Ranks) -> np.ndarray:
+    """Merge the parts of many words, one word a row, -1 behind its last part and in the last column.
+
+    Beside the parts lie the ranks of adjacent parts. In every round each word loses the boundary with the
+    smallest rank, the leftmost of equals: what follows moves up, and the ranks on both sides of the new
+    part are looked up again. A word without any rank left is done.
+    """
+    width = parts.shape[1] - 1
+    near = np.concatenate([ranks.of(parts[:, :-1], parts[:, 1:]), np.full((len(parts), 1), _NONE)], axis=1)
+    done, live, columns = parts.copy(), np.arange(len(parts)), np.arange(width + 1)
+    while len(live):
+        i = near.argmin(1)
+        least = near[np.arange(len(live)), i]
+        ended = least == _NONE
+        if ended.any():
+            done[live[ended]] = parts[ended]
+            live, parts, near, i, least = (x[~ended] for x in (live, parts, near, i, least))
+        rows = np.arange(len(live))
+        parts[rows, i] = least & _MASK
+        parts = np.take_along_axis(parts, np.minimum(columns + (columns > i[:, None]), width), axis=1)
+        near = np.take_along_axis(near, np.minimum(columns + (columns >= i[:, None]), width), axis=1)
+        before = np.maximum(i - 1, 0)
+        near[rows, i] = ranks.of(parts[rows, i], parts[rows, np.minimum(i + 1, width)])
+        near[rows, before] = np.where(i > 0, ranks.of(parts[rows, before], parts[rows, i]), near[rows, before])
+    return done
+
+
+def merge_long(parts: list[int], merges: dict[int, int]) -> list[int]:
     """The same merges from a heap of (rank, place); outdated entries are passed over."""
     after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
-    heap = [(merges[p][0], i, *p) for i, p in enumerate(zip(parts, parts[1:])) if p in merges]
+    heap = [(merges[p], i, p) for i, p in enumerate(a << _BITS | b for a, b in zip(parts, parts[1:])) if p in merges]
     heapq.heapify(heap)
     alive = [True] * len(parts)
     while heap:
-        _, i, a, b = heapq.heappop(heap)
+        made, i, pair = heapq.heappop(heap)
         j = after[i]
-        if not alive[i] or j >= len(parts) or parts[i] != a or parts[j] != b:
+        if not alive[i] or j >= len(parts) or parts[i] << _BITS | parts[j] != pair:
             continue
-        parts[i], alive[j], after[i] = merges[a, b][1], False, after[j]
+        parts[i], alive[j], after[i] = made & _MASK, False, after[j]
         if after[j] < len(parts):
             before[after[j]] = i
         for left in (before[i], i):
-            if left >= 0 and after[left] < len(parts) and (p := (parts[left], parts[after[left]])) in merges:
-                heapq.heappush(heap, (merges[p][0], left, *p))
+            if left >= 0 and after[left] < len(parts) and (p := parts[left] << _BITS | parts[after[left]]) in merges:
+                heapq.heappush(heap, (merges[p], left, p))
     return [p for p, kept in zip(parts, alive) if kept]
 
 
@@ -108,40 +137,97 @@ def load(path: str) -> dict:
         return json.load(file)
 
 
-class Encoder(dict):
-    """Piece of text without white space -> its ids as packed 32-bit numbers; forgets all when full."""
+class Encoder:
+    """Encodes texts and remembers the ids of pieces (text without white space); forgets all when full."""
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.vocabulary = vocabulary
-        self.words = regex.compile(_WORDS)
+        self.vocabulary, self.ranks = vocabulary, Ranks(vocabulary.merges)
+        self.inner, self.final = (np.array([-1 if i is None else i for i in t], np.int64) for t in (vocabulary.inner, vocabulary.final))
+        self.pieces: dict[str, bytes] = {}  # ids as packed 32-bit numbers
+        self.cut = regex.compile(_WORDS + r"|\n").findall
         self.special = re.compile("(" + "|".join(map(re.escape, vocabulary.special)) + ")") if vocabulary.special else None
 
-    def __missing__(self, piece: str) -> bytes:
-        ids: list[int] = []
-        for part in self.special.split(piece) if self.special else [piece]:
-            if part in self.vocabulary.special:
-                ids.append(self.vocabulary.special[part])
-            else:
-                for word in self.words.findall(lowered(unicodedata.normalize("NFC", part))):
-                    ids += self.word(word)
-        packed = np.array(ids, "<i4").tobytes()
-        if len(piece) <= SHORT:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = packed
-        return packed
-
-    def word(self, word: str) -> list[int]:
-        data = word.encode("utf-8", "surrogatepass")
-        parts = [self.vocabulary.inner[b] for b in data[:-1]] + [self.vocabulary.final[data[-1]]]
-        parts = [p for p in parts if p is not None]
-        return (merge_short if len(parts) <= SHORT else merge_long)(parts, self.vocabulary.merges)
-
-    def encode(self, text: str | None) -> bytes:
-        """Ids of a whole text, packed."""
-        pieces = _GAPS.split(text) if text and _ODD.search(text) else (text or "").split()
-        return b"".join(map(self.__getitem__, pieces))
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Packed ids of each whole text; texts are looked up together, about ``AT_ONCE`` pieces at a time."""
+        cut = [_GAPS.split(t) if t and _ODD.search(t) else (t or "").split() for t in texts]
+        out: list[bytes] = []
+        while len(out) < len(cut):
+            upto, held = len(out), 0
+            while upto < len(cut) and (held == 0 or held + len(cut[upto]) <= AT_ONCE):
+                held += len(cut[upto])
+                upto += 1
+            if held <= AT_ONCE:
+                self._learn({p for pieces in cut[len(out) : upto] for p in pieces})
+                out += [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in cut[len(out) : upto]]
+            else:  # one text of more pieces than that
+                out += [b"".join(self._in_order(pieces)) for pieces in cut[len(out) : upto]]
+        return out
+
+    def _in_order(self, pieces: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(pieces), AT_ONCE):
+            part = pieces[at : at + AT_ONCE]
+            self._learn(set(part))
+            yield b"".join(map(self.pieces.__getitem__, part))
+
+    def _learn(self, needed: set[str]) -> None:
+        """Make the ids of all needed pieces known."""
+        new = needed - self.pieces.keys()
+        if len(self.pieces) + len(new) > REMEMBERED:
+            self.pieces.clear()
+            new = needed
+        mixed = [p for p in new if "<" in p and self.special and self.special.search(p)]
+        plain = list(new.difference(mixed))
+        self.pieces.update(zip(plain, self._encoded(plain)))
+        for piece in mixed:
+            around = self.special.split(piece)
+            texts = self._encoded(around[::2])
+            marks = [array("i", [self.vocabulary.special[t]]).tobytes() for t in around[1::2]]
+            self.pieces[piece] = b"".join(t + m for t, m in zip(texts, [*marks, b""]))
+
+    def _encoded(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces without special tokens: all pieces as one text, its distinct words merged together."""
+        if not pieces:
+            return []
+        text = "\n".join(pieces)
+        found = self.cut(text.lower() if text.isascii() else lowered(unicodedata.normalize("NFC", text)))
+        index = {w: i for i, w in enumerate(dict.fromkeys(found))}
+        end = index.get("\n", -1)
+        ids, starts, counts = self._merged(list(index))
+        words = np.fromiter(map(index.__getitem__, found), np.int64, len(found))
+        size = np.where(words == end, 0, counts[words]) if len(words) else words
+        upto = np.concatenate([[0], np.cumsum(size)])
+        packed = ids[np.repeat(starts[words] - upto[:-1], size) + np.arange(upto[-1])].astype("<i4").tobytes()
+        cuts = [0, *(4 * upto[np.flatnonzero(words == end)]).tolist(), len(packed)]
+        return [packed[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids, and where in them each word begins and how many it has."""
+        codes = np.frombuffer(("\n".join(w if w != "\n" else "" for w in words) + "\n").encode("utf-8", "surrogatepass"), np.uint8)
+        breaks = codes == 10
+        last = np.concatenate([breaks[1:], [False]])
+        parts = np.where(last, self.final[codes], self.inner[codes])
+        owner = np.cumsum(breaks) - breaks
+        kept = ~breaks & (parts >= 0)
+        parts, owner = parts[kept], owner[kept]
+        size = np.bincount(owner, minlength=len(words))
+        first = np.cumsum(size) - size
+        out, counts = [], np.zeros(len(words), np.int64)
+        by_size = np.argsort(size, kind="stable")
+        short = by_size[: int((size <= SHORT).sum())]
+        for rows in (short[at : at + 8192] for at in range(0, len(short), 8192)):
+            width = int(size[rows].max()) + 1
+            held = np.arange(width) < size[rows][:, None]
+            matrix = np.full((len(rows), width), -1, np.int64)
+            matrix[held] = parts[(first[rows][:, None] + np.arange(width))[held]]
+            matrix = merge_short(matrix, self.ranks)
+            out.append(matrix[matrix >= 0])
+            counts[rows] = (matrix >= 0).sum(1)
+        for w in by_size[len(short) :].tolist():
+            out.append(np.array(merge_long(parts[first[w] : first[w] + size[w]].tolist(), self.vocabulary.merges), np.int64))
+            counts[w] = len(out[-1])
+        starts = np.zeros(len(words), np.int64)
+        starts[by_size] = np.cumsum(counts[by_size]) - counts[by_size]
+        return np.concatenate(out) if out else np.zeros(0, np.int64), starts, counts
 
 
 def lowered(text: str) -> str:
@@ -157,7 +243,7 @@ def encode(documents: DataFrame, path: str, keep: list[str]) -> DataFrame:
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(sent.value))
         for batch in slices(batches, "text"):
-            packed = [encoder.encode(t) for t in batch.column("text").to_pylist()]
+            packed = encoder.encode(batch.column("text").to_pylist())
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4")))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], [*keep, "ids"])
@@ -176,10 +262,15 @@ def decode(encoded: DataFrame, path: str, keep: list[str]) -> DataFrame:
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = Vocabulary(sent.value).names
+        table = np.array([names.get(i) for i in range(max(names) + 2)], object)  # the last stands for unknown ids
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [" ".join([names[i] for i in ids or () if i in names]) for ids in part.column("ids").to_pylist()]
+                texts = []
+                for ids in part.column("ids"):
+                    numbers = np.zeros(0, np.int64) if ids.values is None else ids.values.to_numpy(zero_copy_only=False)
+                    tokens = table[np.where((numbers >= 0) & (numbers < len(table)), numbers, len(table) - 1).astype(np.int64)].tolist()
+                    texts.append(" ".join(tokens if None not in tokens else [t for t in tokens if t is not None]))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(texts, pa.string())], [*keep, "decoded"])
 
     schema = encoded.select(*keep, F.lit("").alias("decoded")).schema
