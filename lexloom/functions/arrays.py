@@ -28,6 +28,47 @@ def positions(arr: Column, keep: Callable[[Column], Column]) -> Column:
     return F.filter(marked, lambda i: i.isNotNull())
 
 
+def fold_emitting(
+    values: Column,
+    state: Column,
+    step: Callable[[Column, Column], tuple[Column, Column]],
+    element: str,
+    finish: Callable[[Column, Column], Column],
+    block: int = 64,
+) -> Column:
+    """Left fold whose steps also emit elements; ``finish`` gets the last state and all that was emitted.
+
+    ``step`` returns the new state and the array it emits (of type ``array<element>``). Appending to one
+    array copies it every time, so emitted elements are gathered per block of values and joined at the end:
+    the cost is linear in the length.
+    """
+    nothing = F.array().cast(f"array<{element}>")
+
+    def within(acc: Column, x: Column) -> Column:
+        new, emitted = step(acc["state"], x)
+        return F.struct(new.alias("state"), F.concat(acc["out"], emitted).alias("out"))
+
+    def one_block(acc: Column, part: Column) -> Column:
+        start = F.struct(acc["state"].alias("state"), nothing.alias("out"))
+        return let(
+            F.aggregate(part, start, within),
+            lambda r: F.struct(
+                r["state"].alias("state"), F.concat(acc["blocks"], F.array(r["out"])).alias("blocks")
+            ),
+        )
+
+    starts = F.when(F.size(values) > 0, F.sequence(F.lit(1), F.size(values), F.lit(block))).otherwise(
+        F.array().cast("array<int>")
+    )
+    zero = F.struct(state.alias("state"), F.array().cast(f"array<array<{element}>>").alias("blocks"))
+    return F.aggregate(
+        F.transform(starts, lambda s: F.slice(values, s, F.lit(block))),
+        zero,
+        one_block,
+        lambda acc: finish(acc["state"], F.flatten(acc["blocks"])),
+    )
+
+
 def spread_starts(starts: Column, length: Column) -> Column:
     """Latest start at or before each position of an array of ``length`` elements.
 

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexloom.functions.arrays import let
+from lexloom.functions.arrays import fold_emitting, let
 from lexloom.functions.text import decode_entities, strip
 
 _TOKEN = (
@@ -55,6 +55,9 @@ def opener(tag: str, attr: str | None = None, value: str | None = None, exact: b
     return rf"^<(?i:{tag})\s(?:[^>]*\s)?(?i:{attr})\s*=\s*(?:\"{word}\"|'{word}'{bare})"
 
 
+_SPAN = "struct<start:int,stop:int>"
+
+
 def _int(n: int) -> Column:
     return F.lit(n).cast("int")
 
@@ -110,7 +113,7 @@ def first_element(toks: Column, opening: str, tag: str) -> Column:
         return let(start, lambda s: F.when(s.isNotNull(), _span(s, stop(t, marks, s))))
 
     def pick(t: Column) -> Column:
-        marks = _marks(t, lambda x: x["raw"].rlike(opening), [tag])
+        marks = _marks(t, _wanted(opening, tag), [tag])
         return let(let(marks, lambda m: span(t, m)), lambda e: cut(t, e))
 
     return let(toks, pick)
@@ -123,10 +126,10 @@ def element_spans(toks: Column, wanted: Callable[[Column], Column], names: list[
     name nest; an element never closed runs to the last token.
     """
 
-    def step(acc: Column, m: Column) -> Column:
+    def step(acc: Column, m: Column) -> tuple[Column, Column]:
         starts = (acc["depth"] == 0) & m["wanted"]
         closes = (acc["depth"] > 0) & (m["tag"] == F.concat(F.lit("/"), acc["name"]))
-        return F.struct(
+        state = F.struct(
             F.when(starts, m["tag"]).otherwise(acc["name"]).alias("name"),
             F.when(starts, _int(1))
             .when(closes, acc["depth"] - 1)
@@ -134,29 +137,24 @@ def element_spans(toks: Column, wanted: Callable[[Column], Column], names: list[
             .otherwise(acc["depth"])
             .alias("depth"),
             F.when(starts, m["at"]).otherwise(acc["start"]).alias("start"),
-            F.when(
-                closes & (acc["depth"] == 1),
-                F.concat(acc["spans"], F.array(_span(acc["start"], m["at"]))),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
         )
+        ended = F.when(
+            closes & (acc["depth"] == 1), F.array(_span(acc["start"], m["at"]))
+        ).otherwise(F.array().cast(f"array<{_SPAN}>"))
+        return state, ended
 
-    zero = F.struct(
-        F.lit("").alias("name"),
-        _int(0).alias("depth"),
-        _int(0).alias("start"),
-        F.array().cast("array<struct<start:int,stop:int>>").alias("spans"),
-    )
-    return F.aggregate(
-        _marks(toks, wanted, names),
-        zero,
-        step,
-        lambda acc: F.when(
-            acc["depth"] > 0,
-            F.concat(acc["spans"], F.array(_span(acc["start"], F.size(toks) - 1))),
-        ).otherwise(acc["spans"]),
-    )
+    def finish(state: Column, spans: Column) -> Column:
+        return F.when(
+            state["depth"] > 0, F.concat(spans, F.array(_span(state["start"], F.size(toks) - 1)))
+        ).otherwise(spans)
+
+    zero = F.struct(F.lit("").alias("name"), _int(0).alias("depth"), _int(0).alias("start"))
+    return let(_marks(toks, wanted, names), lambda marks: fold_emitting(marks, zero, step, _SPAN, finish))
+
+
+def _wanted(opening: str, tag: str) -> Callable[[Column], Column]:
+    """Test of an opening tag; the plain opener of a tag needs none."""
+    return (lambda x: F.lit(True)) if opening == opener(tag) else (lambda x: x["raw"].rlike(opening))
 
 
 def all_elements(toks: Column, opening: str, tag: str) -> Column:
@@ -164,7 +162,7 @@ def all_elements(toks: Column, opening: str, tag: str) -> Column:
     return let(
         toks,
         lambda t: F.transform(
-            element_spans(t, lambda x: x["raw"].rlike(opening), [tag]), lambda s: cut(t, s)
+            element_spans(t, _wanted(opening, tag), [tag]), lambda s: cut(t, s)
         ),
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,27 @@ def random_samples(tables: dict[str, DataFrame], n: int = 3, seed: int | None =
     return {name: random_rows(df, n, seed) for name, df in tables.items()}
 
 
+def samples_report(tables: dict[str, DataFrame], n: int = 3, seed: int | None = None) -> DataFrame:
+    """(table_name, sample): ``n`` random rows of each table as JSON, or its label when it is empty."""
+    names = [(name, f"Bảng {name} trống") for name in tables]  # fixed value: the label
+    parts = [
+        random_rows(df, n, seed).select(F.lit(name).alias("table_name"), F.to_json(F.struct("*")).alias("sample"))
+        for name, df in tables.items()
+    ]
+    found = functools.reduce(DataFrame.unionByName, parts)
+    spark = found.sparkSession
+    return spark.createDataFrame(names, "table_name STRING, label STRING").join(found, "table_name", "left").select(
+        "table_name", F.coalesce("sample", "label").alias("sample")
+    )
+
+
+def sampled_relations(
+    relations: DataFrame, judgments: DataFrame, documents: DataFrame, n: int = 3, seed: int | None = None
+) -> DataFrame:
+    """Random relations with their judgment and document, NULL where these do not exist."""
+    return enriched_relations(random_rows(relations, n, seed), judgments, documents)
+
+
 # --- record views -----------------------------------------------------------------------------
 
 

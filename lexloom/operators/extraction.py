@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions import html as H
 from lexloom.functions import text as T
-from lexloom.functions.arrays import let
+from lexloom.functions.arrays import fold_emitting, let
 
 # Labels and anchors of the source pages.
 LAW_METADATA = ("div", H.opener("div", "id", "divThuocTinh", exact=True))
@@ -69,7 +69,7 @@ def judgment_text(content: Column) -> Column:
 # --- two-column tables (statutes) --------------------------------------------------------------
 
 _CELL, _ROW_END = 1, 2
-_PARTS = "array<struct<start:int,stop:int,depth:int,kind:int>>"
+_PART = "struct<start:int,stop:int,depth:int,kind:int>"
 
 
 def _table_parts(toks: Column) -> Column:
@@ -96,33 +96,23 @@ def _table_parts(toks: Column) -> Column:
             )
         )
 
-    def step(acc: Column, m: Column) -> Column:
-        depth = F.size(acc["open"])
+    def step(opened: Column, m: Column) -> tuple[Column, Column]:
+        depth = F.size(opened)
         pop = (m["tag"] == "/td") & (depth > 0)
-        return F.struct(
-            F.when(m["tag"] == "td", F.concat(acc["open"], F.array(m["at"])))
-            .when(pop, F.slice(acc["open"], F.lit(1), depth - 1))
-            .otherwise(acc["open"])
-            .alias("open"),
-            F.when(
-                pop,
-                F.concat(
-                    acc["found"],
-                    part(F.try_element_at(acc["open"], F.lit(-1)), m["at"], depth, _CELL),
-                ),
-            )
-            .when(
-                ~m["tag"].isin("td", "/td"),
-                F.concat(acc["found"], part(m["at"], m["at"], depth + 1, _ROW_END)),
-            )
-            .otherwise(acc["found"])
-            .alias("found"),
+        still_open = (
+            F.when(m["tag"] == "td", F.concat(opened, F.array(m["at"])))
+            .when(pop, F.slice(opened, F.lit(1), depth - 1))
+            .otherwise(opened)
         )
+        found = (
+            F.when(pop, part(F.try_element_at(opened, F.lit(-1)), m["at"], depth, _CELL))
+            .when(~m["tag"].isin("td", "/td"), part(m["at"], m["at"], depth + 1, _ROW_END))
+            .otherwise(F.array().cast(f"array<{_PART}>"))
+        )
+        return still_open, found
 
-    zero = F.struct(
-        F.array().cast("array<int>").alias("open"), F.array().cast(_PARTS).alias("found")
-    )
-    return F.aggregate(marks, zero, step, lambda acc: F.array_sort(acc["found"]))
+    none_open = F.array().cast("array<int>")
+    return let(marks, lambda ms: fold_emitting(ms, none_open, step, _PART, lambda _, found: F.array_sort(found)))
 
 
 def _next_cell(parts: Column, cell: Column) -> Column:

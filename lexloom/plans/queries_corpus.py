@@ -11,7 +11,7 @@ from lexloom.operators import corpus as C
 from lexloom.operators import lookup as L
 from lexloom.plans.inputs import CORPUS_SQL, KEY_LIST_SQL, corpus, key_list
 from lexloom.plans.registry import query, table
-from lexloom.session import scratch_path
+from lexloom.session import materialize, scratch_path
 from lexloom.sources import csv_files, json_files, key_lists, tables
 
 _BOTH = f"WITH {CORPUS_SQL}, {KEY_LIST_SQL}"
@@ -79,18 +79,38 @@ def q3(spark: SparkSession, d: str) -> DataFrame:
     return C.first_by_number(docs, "src5", with_content=True).select("id", "lang")
 
 
-@query("q3s_random_samples")
+@query("q3s_random_samples", """
+SELECT 'documents' AS table_name, 3 AS n_samples, 3 AS n_members, NULL AS label UNION ALL SELECT 'conversations', 3, 3, NULL
+UNION ALL SELECT 'empty', 1, 0, 'Bảng empty trống' UNION ALL SELECT 'relations', 3, 3, NULL""")
 def q3s(spark: SparkSession, d: str) -> DataFrame:
-    names = ("documents", "conversations", "orders", "lineitem")
-    keys = ("doc_id", "conv_id", "o_orderkey", "l_orderkey")
-    parts = [
-        C.random_rows(table(spark, d, n).select(F.lit(n).alias("table_name"), F.col(k).alias("key")))
-        for n, k in zip(names, keys)
+    """How many samples each table gives, how many of them are rows of it, and the label of an empty one."""
+    docs, turns = table(spark, d, "documents").drop("text"), table(spark, d, "conversations").drop("text")
+    # Line items stand for relations of orders with parts.
+    relations = table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("judgment_id"), F.col("l_partkey").alias("document_id"), F.col("l_linenumber").alias("relation_type")
+    )
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("case_number"))
+    parts = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("document_number"))
+    linked = C.sampled_relations(relations, orders, parts)
+    tables = {"documents": docs, "conversations": turns, "empty": docs.limit(0), "relations": linked}
+    report = materialize(C.samples_report(tables), "samples")
+    everyone = {
+        "documents": docs,
+        "conversations": turns,
+        "relations": C.enriched_relations(relations, orders, parts).where("case_number IS NOT NULL AND document_number IS NOT NULL"),
+    }
+    known = [
+        df.select(F.lit(name).alias("table_name"), F.to_json(F.struct(*tables[name].columns)).alias("sample")).join(
+            F.broadcast(report.select("sample")), "sample", "left_semi"
+        )
+        for name, df in everyone.items()
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    members = known[0].unionByName(known[1]).unionByName(known[2]).distinct().withColumn("member", F.lit(1))
+    marked = report.join(members, ["table_name", "sample"], "left")
+    return marked.groupBy("table_name").agg(
+        F.count("*").cast("int").alias("n_samples"), F.count("member").cast("int").alias("n_members"),
+        F.max(F.when(F.col("sample").startswith("Bảng "), F.col("sample"))).alias("label"),
+    )
 
 
 @query("q7_document_view", f"""WITH {CORPUS_SQL}

@@ -88,12 +88,21 @@ def p4_letters(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("document_id", "seq", "level", "parent_seq")
 
 
-@query("p5_seven_levels", f"""WITH {STATUTE_SQL}
-SELECT doc_id AS document_id, seq, type, list_last(ancestors) AS parent_seq FROM nodes""")
+_SUBSECTION = "Tiểu mục 3 "  # put before the lines that name article 5, which makes them subsections
+
+
+@query("p5_seven_levels", f"""WITH {STATUTE_SQL},
+seven AS (SELECT doc_id, seq, CASE WHEN content LIKE 'ĐIỀU 5%' THEN 'TIỂU_MỤC' ELSE type END AS type,
+    CASE WHEN content LIKE 'ĐIỀU 5%' THEN 4 WHEN level > 3 THEN level + 1 ELSE level END AS depth FROM typed),
+lasts AS (SELECT *, {", ".join(f"last_value(CASE WHEN depth = {k} THEN seq END IGNORE NULLS) OVER w AS b{k}" for k in range(1, 8))}
+  FROM seven WINDOW w AS (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT doc_id AS document_id, seq, type, CASE coalesce(depth, 8) WHEN 1 THEN NULL WHEN 2 THEN b1
+  {" ".join(f"WHEN {k} THEN greatest({', '.join(f'b{j}' for j in range(1, k))})" for k in range(3, 9))} END AS parent_seq FROM lasts""")
 def p5(spark: SparkSession, d: str) -> DataFrame:
-    rows = S.nodes(
-        statutes(spark, d), "id", S.paragraphs(F.col("content_html")), S.STATUTE_WITH_SUBSECTIONS
+    paras = F.transform(
+        S.paragraphs(F.col("content_html")), lambda p: F.when(p.startswith("ĐIỀU 5"), F.concat(F.lit(_SUBSECTION), p)).otherwise(p)
     )
+    rows = S.nodes(statutes(spark, d), "id", paras, S.STATUTE_WITH_SUBSECTIONS)
     return rows.select("document_id", "seq", "type", "parent_seq")
 
 

@@ -1,3 +1,4 @@
+import time
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -141,3 +142,16 @@ def test_write_defaults_and_duplicates(spark):
     assert got[2].gazette_date is None
     assert X.resolve_duplicates(df, "document_number", ["id"]).count() == 2
     assert [r.id for r in X.resolve_duplicates(df, "document_number", ["id"], "keep_latest").collect()] == [2]
+
+
+def test_elements_cost_linear_time(spark):
+    """Twice the links take about twice the time (an array copied at each of them would take four times)."""
+
+    def seconds(n):
+        df = spark.createDataFrame([("<ul>" + "<li><a href='x'>t</a></li>" * n + "</ul>",)] * 4, "html STRING").coalesce(1)
+        start = time.perf_counter()
+        assert df.select(F.sum(F.size(X.link_texts(H.tokens(F.col("html")))))).first()[0] == 4 * n
+        return time.perf_counter() - start
+
+    seconds(10_000)
+    assert min(seconds(40_000) for _ in range(2)) < 3 * min(seconds(20_000) for _ in range(2)) + 0.5
