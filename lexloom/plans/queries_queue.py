@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexloom.operators import discovery as D
@@ -279,20 +279,29 @@ def t8(spark: SparkSession, d: str) -> DataFrame:
 _EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
+def _in_files(df: DataFrame, key: str, name: str, files: int = 4) -> str:
+    """Folder with the rows dealt by a hash of ``key`` over ``files`` files."""
+    path = _scratch(df.sparkSession, name)
+    df.repartition(files, F.xxhash64(key)).write.parquet(path)
+    return path
+
+
 @query("r2_enqueue_stream", f"WITH {_ENQUEUE} SELECT DISTINCT document_id, document_type FROM found")
 def r2(spark: SparkSession, d: str) -> DataFrame:
     root = _scratch(spark, "queue")
-    docs = page_stream(spark, d, "doc_id BIGINT, text STRING", name_filter="documents.parquet")
-    found = docs.select(F.md5("text").alias("document_id"), F.lit("law").alias("document_type"))
+    docs = _in_files(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "documents-in")
+    found = page_stream(spark, docs, "doc_id BIGINT, text STRING", files_per_batch=1)
+    found = found.select(F.md5("text").alias("document_id"), F.lit("law").alias("document_type"))
     stream_enqueue.enqueue_stream(found, root, f"{root}-checkpoint").awaitTermination()
     return spark.read.parquet(root).select("document_id", "document_type")
 
 
 @query("r3_attempt_stream", _FOLD)
 def r3(spark: SparkSession, d: str) -> DataFrame:
-    """Every event passes through the keyed state; the last update per key is its state."""
+    """Events in four files, dealt by their id and so not in time order, one file a micro-batch: the last
+    state written for a key is that of the whole log."""
     root = _scratch(spark, "attempts")
-    events = page_stream(spark, d, _EVENTS, name_filter="events.parquet")
+    events = page_stream(spark, _in_files(table(spark, d, "events"), "event_id", "events-in"), _EVENTS, files_per_batch=1)
     log = events.filter(F.col("event_type").isin("purchase", "error")).select(
         F.col("event_id").alias("attempt_id"),
         F.col("user_id").cast("string").alias("document_id"),
@@ -303,23 +312,12 @@ def r3(spark: SparkSession, d: str) -> DataFrame:
             F.col("event_type") == "error", F.concat(F.lit("attempt "), F.col("event_id"), F.lit(" failed"))
         ).alias("error"),
     )
-
-    def keep(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/epoch={epoch}")
-
-    state = stream_attempts.attempt_state_stream(log)
-    (
-        state.writeStream.outputMode("update")
-        .foreachBatch(keep)
-        .option("checkpointLocation", f"{root}-checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    stream_attempts.attempt_state_stream(log, root, f"{root}-checkpoint").awaitTermination()
     keys = ["document_id", "document_type"]
     values = ["status", "retry_count", "last_attempt", "error_log"]
-    latest = spark.read.parquet(root).groupBy(*keys).agg(F.max_by(F.struct(*values), "epoch").alias("v"))
-    return latest.select(*keys, "v.*")
+    last = Window.partitionBy(*keys).orderBy(F.desc("epoch"))
+    latest = spark.read.parquet(f"{root}/state").withColumn("_rank", F.row_number().over(last)).filter("_rank = 1")
+    return latest.select(*keys, *values)
 
 
 # --- whole rounds -----------------------------------------------------------------------------

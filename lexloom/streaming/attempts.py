@@ -1,96 +1,68 @@
 """Attempt log on a stream to queue state with the retry cap.
 
 Only the first ``max_retries`` attempts of a key in time order can matter (see
-``operators.queue``), so they are the whole state of the key. Merging in more
-attempts and cutting again does not depend on the order of arrival: late or
-reordered attempts give the batch result.
+``operators.queue``). Each micro-batch is cut to those and appended to a log that
+is laid out by key bucket; the state of the keys it touches is the batch fold over
+their part of the log. Late or reordered attempts give the batch result, and all
+of it runs on built-in expressions.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from lexloom.operators.queue import earliest_attempts, fold_attempts
 
-from lexloom.operators.queue import ERROR_LENGTH
-
-# The functions below run in Python workers; shipping them by value spares installing
-# the package on every executor.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-OUTPUT = (
-    "document_id STRING, document_type STRING, status STRING, retry_count INT, "
-    "last_attempt TIMESTAMP_NTZ, error_log STRING"
-)
-_STATE = "at_us ARRAY<BIGINT>, attempt_id ARRAY<BIGINT>, ok ARRAY<BOOLEAN>, error ARRAY<STRING>"
+BUCKETS = 16
+_KEYS = ["document_id", "document_type"]
 _LOG = (
     "document_id STRING, document_type STRING, attempt_id BIGINT, attempted_at TIMESTAMP_NTZ, "
     "ok BOOLEAN, error STRING"
 )
-_ORDER = ["attempted_at", "attempt_id"]
 
 
-def earliest(rows: pd.DataFrame, max_retries: int) -> pd.DataFrame:
-    """First attempts of every key within one Arrow batch."""
-    return rows.sort_values(_ORDER).groupby(["document_id", "document_type"]).head(max_retries)
+def key_bucket(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def merge(state: tuple, rows: pd.DataFrame, max_retries: int) -> tuple:
-    """First attempts of one key extended by more of its attempts, in any order."""
-    first = rows.nsmallest(max_retries, _ORDER)
-    micros = first["attempted_at"].astype("datetime64[us]").astype("int64")
-    new = zip(micros.tolist(), first["attempt_id"].tolist(), first["ok"].tolist(), first["error"].tolist())
-    kept = sorted([*zip(*state), *new], key=lambda a: a[:2])[:max_retries]
-    return tuple(list(column) for column in zip(*kept))
+def attempt_log(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
+    """The attempts that can matter, with ``bucket`` and ``epoch``."""
+    log = spark.read.schema(f"{_LOG}, epoch BIGINT, bucket INT").parquet(f"{root}/log")
+    return log if upto is None else log.filter(F.col("epoch") <= upto)
 
 
-def verdict(state: tuple, max_retries: int) -> dict:
-    at_us, _, ok, error = state
-    if True in ok:
-        return {"status": "success", "retry_count": 0, "us": at_us[ok.index(True)], "error_log": None}
-    return {
-        "status": "failed" if len(ok) >= max_retries else "pending",
-        "retry_count": len(ok),
-        "us": at_us[-1],
-        "error_log": None if error[-1] is None else error[-1][:ERROR_LENGTH],
-    }
+def attempt_state(spark: SparkSession, root: str, max_retries: int = 3) -> DataFrame:
+    """Queue state of every key after all that has arrived."""
+    return fold_attempts(attempt_log(spark, root).select([c.split()[0] for c in _LOG.split(", ")]), max_retries)
 
 
-def attempt_state_stream(attempts: DataFrame, max_retries: int = 3) -> DataFrame:
-    """Updated queue state of every key touched by a micro-batch (update mode).
+def attempt_state_stream(
+    attempts: DataFrame, root: str, checkpoint: str, max_retries: int = 3, buckets: int = BUCKETS
+) -> StreamingQuery:
+    """Append arriving attempts to ``root/log``; write the state of touched keys to ``root/state``.
 
-    Attempts are cut per Arrow batch before the shuffle, so a key that makes up a
-    large part of a micro-batch does not flood the task that holds its state.
+    A micro-batch owns the folders of its epoch and replaces only them, so one that is
+    replayed after a failure writes the same rows again. It reads back only the buckets
+    of its keys; the rank cut keeps a key with very many attempts small.
     """
 
-    def trim(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield earliest(rows, max_retries)
-
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        summary = tuple(list(c) for c in state.get) if state.exists else ([], [], [], [])
-        for rows in batches:
-            summary = merge(summary, rows, max_retries)
-        state.update(summary)
-        found = verdict(summary, max_retries)
-        yield pd.DataFrame(
-            {
-                "document_id": [key[0]],
-                "document_type": [key[1]],
-                "status": [found["status"]],
-                "retry_count": [found["retry_count"]],
-                "last_attempt": [pd.Timestamp(found["us"], unit="us")],
-                "error_log": [found["error_log"]],
-            }
-        )
-
-    log = attempts.select("document_id", "document_type", "attempt_id", "attempted_at", "ok", "error")
+    def fold(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        first = earliest_attempts(batch, max_retries).select([c.split()[0] for c in _LOG.split(", ")])
+        first.withColumn("bucket", key_bucket(_KEYS, buckets)).repartition("bucket").write.mode("overwrite").partitionBy(
+            "bucket"
+        ).parquet(f"{root}/log/epoch={epoch}")
+        log = attempt_log(spark, root, epoch)
+        own = log.filter(F.col("epoch") == epoch).select("bucket", *_KEYS).distinct()
+        touched = [r["bucket"] for r in own.select("bucket").distinct().collect()]  # at most ``buckets``
+        known = log.filter(F.col("bucket").isin(touched)).join(own, ["bucket", *_KEYS], "left_semi")
+        fold_attempts(known.drop("bucket", "epoch"), max_retries).write.mode("overwrite").parquet(f"{root}/state/epoch={epoch}")
+
     return (
-        log.mapInPandas(trim, _LOG)
-        .groupBy("document_id", "document_type")
-        .applyInPandasWithState(update, OUTPUT, _STATE, "update", GroupStateTimeout.NoTimeout)
+        attempts.writeStream.foreachBatch(fold)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )

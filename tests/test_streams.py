@@ -2,7 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 from lexloom.operators.queue import fold_attempts
-from lexloom.streaming.attempts import attempt_state_stream
+from lexloom.streaming.attempts import attempt_state, attempt_state_stream
 from lexloom.streaming.enqueue import enqueue_stream, first_seen
 from lexloom.streaming.pages import append_to, article_stream, judgment_stream, law_stream, page_stream
 
@@ -24,15 +24,12 @@ def test_attempt_stream_equals_batch_fold_with_late_rows(spark, tmp_path):
     for part in range(4):  # arrival order is not time order
         spark.createDataFrame(rows[part * 100 : part * 100 + 100], LOG).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
     log = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log"))
-    seen = {}
-
-    def keep(batch, epoch):
-        for r in batch.collect():
-            seen[r.document_id] = tuple(r)
-
-    attempt_state_stream(log).writeStream.outputMode("update").foreachBatch(keep).option(
-        "checkpointLocation", str(tmp_path / "ck")
-    ).trigger(availableNow=True).start().awaitTermination()
+    root = str(tmp_path / "attempts")
+    attempt_state_stream(log, root, str(tmp_path / "ck")).awaitTermination()
+    state = spark.read.parquet(f"{root}/state").orderBy("epoch").collect()
+    assert {r.epoch for r in state} == {0, 1, 2, 3}
+    seen = {r.document_id: tuple(r)[:6] for r in state}  # the last one written counts
+    assert {r.document_id: tuple(r) for r in attempt_state(spark, root).collect()} == seen
     want = {r.document_id: tuple(r) for r in fold_attempts(spark.createDataFrame(rows, LOG)).collect()}
     assert seen == want
 
