@@ -8,14 +8,35 @@ from pyspark.sql import types as T
 
 from lexloom.functions.text import flexible_date
 from lexloom.schemas import TABLES
+from lexloom.session import materialize
 
 _OPTIONS = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"'}
 
 
+def _escaped(c: Column) -> Column:
+    """Line breaks as ``\\n`` and ``\\r``, so that a row is one line and files split at any line."""
+    for plain, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        c = F.replace(c, F.lit(plain), F.lit(written))
+    return c
+
+
+def _unescaped(c: Column) -> Column:
+    def breaks(part: Column) -> Column:
+        return F.replace(F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+
+    # Between doubled backslashes every single one begins a line break.
+    joined = F.array_join(F.transform(F.split(c, r"\\\\"), breaks), "\\")
+    return F.when(F.contains(c, F.lit("\\")), joined).otherwise(c)
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Header plus all rows. Many files by default; one file is for small tables."""
+    """Header plus all rows. Many files by default; one file is for small tables.
+
+    Line breaks and backslashes in texts are written escaped.
+    """
     nested = [f.name for f in df.schema if isinstance(f.dataType, (T.ArrayType, T.StructType))]
     flat = df.withColumns({c: F.to_json(c) for c in nested}) if nested else df
+    flat = flat.withColumns({f.name: _escaped(F.col(f.name)) for f in flat.schema if isinstance(f.dataType, T.StringType)})
     if single_file:
         flat = flat.coalesce(1)
     # An empty text stays "" and a NULL stays blank, so both survive the round trip.
@@ -32,23 +53,19 @@ def _typed(name: str, kind: T.DataType) -> Column:
     return F.expr(f"try_cast(`{name}` AS {kind.simpleString()})")
 
 
-def read_csv_table(
-    spark: SparkSession, path: str, table: str, columns: list[str]
-) -> tuple[DataFrame, DataFrame]:
-    """Typed rows and quarantined rows of a CSV with the given header.
-
-    Only declared DATE columns are parsed as dates. A row is quarantined when a
-    non-empty cell does not fit its column; missing nullable columns become NULL.
-    """
+def _checked(spark: SparkSession, path: str, table: str, columns: list[str], foreign: bool) -> DataFrame:
+    """Every row as raw cells, typed cells and the names of the columns that do not fit."""
     schema = spark.createDataFrame([], TABLES[table]).schema
     kinds = {f.name: f.dataType for f in schema}
     raw_schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     raw = (
         # A blank cell is NULL, a quoted empty cell the empty text.
-        spark.read.options(**_OPTIONS, nullValue="\u0000", multiLine=True, enforceSchema=False)
+        spark.read.options(**_OPTIONS, nullValue="\u0000", multiLine=foreign, enforceSchema=False)
         .schema(raw_schema)
         .csv(path)
     )
+    if not foreign:
+        raw = raw.withColumns({c: _unescaped(F.col(c)) for c in columns})
     known = [c for c in columns if c in kinds]
     typed = raw.select(*[F.col(c).alias(f"_raw_{c}") for c in known], *[_typed(c, kinds[c]).alias(c) for c in known])
     bad = F.array_compact(
@@ -61,7 +78,12 @@ def read_csv_table(
             ]
         )
     )
-    checked = typed.withColumn("bad_columns", bad)
+    return typed.withColumn("bad_columns", bad)
+
+
+def _parted(checked: DataFrame, table: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    schema = checked.sparkSession.createDataFrame([], TABLES[table]).schema
+    known = [c for c in columns if c in schema.names]
     good = checked.filter(F.size("bad_columns") == 0).select(
         *[
             F.col(f.name) if f.name in known else F.lit(None).cast(f.dataType).alias(f.name)
@@ -74,12 +96,26 @@ def read_csv_table(
     return good, quarantined
 
 
+def read_csv_table(
+    spark: SparkSession, path: str, table: str, columns: list[str], foreign: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows and quarantined rows of a CSV with the given header.
+
+    Only declared DATE columns are parsed as dates. A row is quarantined when a
+    non-empty cell does not fit its column; missing nullable columns become NULL.
+    Files as ``export_csv`` writes them are read in splits of any size. ``foreign``
+    ones may have line breaks inside quotes and are read one task a file, as they are.
+    """
+    return _parted(_checked(spark, path, table, columns, foreign), table, columns)
+
+
 def import_csv(
     spark: SparkSession, path: str, table: str, columns: list[str], target: str,
-    strict: bool = False, quarantine: str | None = None,
+    strict: bool = False, quarantine: str | None = None, foreign: bool = False,
 ) -> None:
-    """Load a CSV into a Parquet table; ``strict`` writes nothing if any row is bad."""
-    good, bad = read_csv_table(spark, path, table, columns)
+    """Load a CSV into a Parquet table; ``strict`` writes nothing if any row is bad. Parses the files once."""
+    checked = materialize(_checked(spark, path, table, columns, foreign), "import")
+    good, bad = _parted(checked, table, columns)
     if strict and not bad.isEmpty():
         raise ValueError(f"{path}: rows do not fit table {table}; nothing was written")
     good.write.mode("append").parquet(target)

@@ -23,6 +23,7 @@ def test_csv_round_trip(spark, tmp_path):
     rows = [
         (1, "1/QĐ", 'Quyết định, "số"', date(2025, 1, 21), "Đã biết", None, "<p>a\nb</p>"),
         (2, "2/QĐ", "", None, "", date(2025, 1, 2), None),
+        (3, "3\\\\n", "a\\\nb\r\nc\\r", None, "\\", None, "\n"),
     ]
     df = spark.createDataFrame(
         rows, "id BIGINT, document_number STRING, document_type STRING, issue_date DATE, effective_date STRING, gazette_date DATE, content_html STRING"
@@ -62,6 +63,22 @@ def test_csv_import_quarantine_and_strict(spark, tmp_path):
     assert spark.read.parquet(target).count() == 2
 
 
+def test_csv_files_split_and_foreign_ones_do_not(spark, tmp_path):
+    path = str(tmp_path / "big")
+    df = spark.range(4000).select("id", F.concat(F.lit("line\n"), F.col("id")).alias("content_text"))
+    csv_files.export_csv(df, path, single_file=True)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        good, _ = csv_files.read_csv_table(spark, path, "legal_documents", ["id", "content_text"])
+        assert good.rdd.getNumPartitions() > 1
+        assert sorted(r.content_text for r in good.collect()) == sorted(f"line\n{i}" for i in range(4000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    other = write(tmp_path, 'id,content_text\n1,"a\nb \\n"\n')
+    good, _ = csv_files.read_csv_table(spark, other, "legal_documents", ["id", "content_text"], foreign=True)
+    assert [(r.id, r.content_text) for r in good.collect()] == [(1, "a\nb \\n")]
+
+
 def test_key_list_keeps_order_and_repetitions(spark, tmp_path):
     (tmp_path / "a.txt").write_text("A\n\n  B \nA\n", encoding="utf-8")
     (tmp_path / "b.txt").write_text("C/1\n \nA", encoding="utf-8")
