@@ -35,9 +35,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHORT = 48
 #: Pieces whose ids a task remembers.
-REMEMBERED = 400_000
-#: Pieces looked up at once.
-AT_ONCE = 500_000
+REMEMBERED = 150_000
+#: Pieces looked up, and bytes of text taken, at once.
+AT_ONCE, SLICE = 200_000, 2 << 20
 _BITS, _MASK, _NONE = 24, (1 << 24) - 1, 1 << 60
 # White space of Unicode, without the four separators 1C to 1F that Python counts as such.
 _WHITE = r"\t-\r\x20\x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
@@ -235,6 +235,27 @@ def lowered(text: str) -> str:
     return text.replace("Σ", "σ").lower()
 
 
+def _ids(packed: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+
+
+class Decoder:
+    """Ids to text: the tokens, special ones too, joined by one space; unknown ids are left out.
+
+    The vocabulary names no decoder, so the pieces keep their word ends.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        names = vocabulary.names
+        self.table = np.array([names.get(i) for i in range(max(names) + 2)], object)  # the last stands for unknown ids
+
+    def decode(self, ids: np.ndarray) -> str:
+        known = np.where((ids >= 0) & (ids < len(self.table)), ids, len(self.table) - 1).astype(np.int64)
+        tokens = self.table[known].tolist()
+        return " ".join(tokens if None not in tokens else [t for t in tokens if t is not None])
+
+
 def encode(documents: DataFrame, path: str, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of every document, and ``ids``: array<int> of its whole text."""
     sent = documents.sparkSession.sparkContext.broadcast(load(path))
@@ -242,10 +263,8 @@ def encode(documents: DataFrame, path: str, keep: list[str]) -> DataFrame:
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(sent.value))
-        for batch in slices(batches, "text"):
-            packed = encoder.encode(batch.column("text").to_pylist())
-            ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+        for batch in slices(batches, "text", SLICE):
+            ids = _ids(encoder.encode(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], [*keep, "ids"])
 
     schema = documents.select(*keep, F.array().cast("array<int>").alias("ids")).schema
@@ -253,34 +272,45 @@ def encode(documents: DataFrame, path: str, keep: list[str]) -> DataFrame:
 
 
 def decode(encoded: DataFrame, path: str, keep: list[str]) -> DataFrame:
-    """Columns ``keep``, and ``decoded``: the tokens of ``ids``, special ones too, joined by one space.
-
-    The vocabulary names no decoder, so the pieces keep their word ends. Unknown ids are left out.
-    """
+    """Columns ``keep`` of every row, and ``decoded``: the text of its ``ids`` (none for NULL)."""
     sent = encoded.sparkSession.sparkContext.broadcast(load(path))
     needed = [*keep, *(["ids"] if "ids" not in keep else [])]
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = Vocabulary(sent.value).names
-        table = np.array([names.get(i) for i in range(max(names) + 2)], object)  # the last stands for unknown ids
+        decoder = Decoder(Vocabulary(sent.value))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = []
-                for ids in part.column("ids"):
-                    numbers = np.zeros(0, np.int64) if ids.values is None else ids.values.to_numpy(zero_copy_only=False)
-                    tokens = table[np.where((numbers >= 0) & (numbers < len(table)), numbers, len(table) - 1).astype(np.int64)].tolist()
-                    texts.append(" ".join(tokens if None not in tokens else [t for t in tokens if t is not None]))
+                texts = [decoder.decode(np.zeros(0, int) if i.values is None else i.values.to_numpy(zero_copy_only=False)) for i in part.column("ids")]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(texts, pa.string())], [*keep, "decoded"])
 
     schema = encoded.select(*keep, F.lit("").alias("decoded")).schema
     return encoded.select(*needed).mapInArrow(decoded, schema)
 
 
+def round_trip(documents: DataFrame, path: str, keep: list[str]) -> DataFrame:
+    """Columns ``keep``, ``ids`` and ``decoded``: ``encode``, then ``decode`` of these ids, in one pass.
+
+    One Python worker a task holds the vocabulary, not two.
+    """
+    sent = documents.sparkSession.sparkContext.broadcast(load(path))
+    needed = [*keep, *(["text"] if "text" not in keep else [])]
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(sent.value)
+        encoder, decoder = Encoder(vocabulary), Decoder(vocabulary)
+        for batch in slices(batches, "text", SLICE):
+            packed = encoder.encode(batch.column("text").to_pylist())
+            texts = pa.array([decoder.decode(np.frombuffer(p, "<i4")) for p in packed], pa.string())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), _ids(packed), texts], [*keep, "ids", "decoded"])
+
+    schema = documents.select(*keep, F.array().cast("array<int>").alias("ids"), F.lit("").alias("decoded")).schema
+    return documents.select(*needed).mapInArrow(both, schema)
+
+
 def digests(documents: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document."""
-    ids = encode(documents.select("doc_id", "text"), path, ["doc_id"])
-    both = decode(ids, path, ["doc_id", "ids"])
+    both = round_trip(documents.select("doc_id", "text"), path, ["doc_id"])
     written = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written.cast("binary"), 256).alias("ids_sha256"),
@@ -291,5 +321,5 @@ def digests(documents: DataFrame, path: str) -> DataFrame:
 def encoded_documents(documents: DataFrame, path: str) -> DataFrame:
     """Own columns without the text, then n_tokens, ids and decoded_sha256."""
     own = [c for c in documents.columns if c not in ("text", "ids", "decoded", "n_tokens", "decoded_sha256")]
-    both = decode(encode(documents, path, own), path, [*own, "ids"])
+    both = round_trip(documents, path, own)
     return both.select(*own, F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

@@ -6,6 +6,7 @@ import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +53,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, rows: i
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about ``most`` bytes of ``column``, one row at least."""
     for batch in batches:
-        sizes = [0 if v is None else v for v in pa.compute.binary_length(batch.column(column)).to_pylist()]
+        sizes = [0 if v is None else v for v in pc.binary_length(batch.column(column)).to_pylist()]
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if held and held + size > most:

@@ -58,7 +58,7 @@ def given():
 
 
 def rows(df, *columns):
-    return Counter(tuple(r) for r in df.select(*columns).collect())
+    return Counter(tuple(tuple(v) if isinstance(v, list) else v for v in r) for r in df.select(*columns).collect())
 
 
 def run(spark, name):
@@ -253,6 +253,12 @@ def test_bpe_of_random_strings(library, monkeypatch):
     assert [np.frombuffer(p, "<i4").tolist() for p in bpe.Encoder(vocabulary).encode(texts)] == want
 
 
+def test_encode_and_decode_are_the_round_trip(hard):
+    ids = bpe.encode(hard, tokenizer_path(), ["doc_id", "label"])
+    apart = bpe.decode(ids, tokenizer_path(), ["doc_id", "ids"])
+    assert rows(apart, "doc_id", "ids", "decoded") == rows(bpe.round_trip(hard, tokenizer_path(), ["doc_id"]), "doc_id", "ids", "decoded")
+
+
 # --- sharding ---
 
 
