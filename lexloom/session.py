@@ -13,6 +13,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows handed to a Python worker at once: its memory must not depend on the length of texts.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
