@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexloom.llm import bpe, common, decontaminate, pii, quality, simhash
 from lexloom.llm.queries import tokenizer_path
+from lexloom.session import configure
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)  # the session's settings hold for the later stages as well
     return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
