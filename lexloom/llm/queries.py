@@ -34,7 +34,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
-@query("op10_pii")
+@query("op10_pii", sql.PERSONAL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(_read(spark, sf_dir, "documents"))
 

@@ -37,3 +37,52 @@ kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS t FRO
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (doc_id)
 """
+
+# Kind, pattern of candidates, test of a candidate m, score, context. IBANs and national ids stand between
+# characters that cannot continue them, so they are whole runs of such characters.
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_LUHN = (  # j counts from 1
+    "list_sum([CASE WHEN j % 2 = 0 THEN d * 2 - CASE WHEN d > 4 THEN 9 ELSE 0 END ELSE d END "
+    f"FOR d, j IN [CAST(c AS INTEGER) FOR c IN string_split(reverse({_DIGITS}), '')]])"
+)
+_MOVED = "string_split(substr(m, 5) || substr(m, 1, 4), '')"
+_MOD97 = (
+    f"list_reduce([CAST(CASE WHEN c BETWEEN 'A' AND 'Z' THEN ascii(c) - 55 ELSE ascii(c) - 48 END AS BIGINT) FOR c IN {_MOVED}], "
+    "lambda a, b: (a * CASE WHEN b > 9 THEN 100 ELSE 10 END + b) % 97, CAST(0 AS BIGINT)) % 97 = 1"
+)
+_KINDS = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true", 0.9, r"(?i)\b((e-?)?mail|contact|write)\b"),
+    ("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "len([p FOR p IN string_split(m, '.') IF CAST(p AS HUGEINT) > 255]) = 0", 0.6, r"(?i)\b(ip|host|server|address|login)\b"),
+    ("card", r"[0-9](?:[\x20-]?[0-9])+", f"CASE WHEN length({_DIGITS}) BETWEEN 13 AND 19 THEN {_LUHN} % 10 = 0 ELSE false END", 0.8, r"(?i)\b(card|credit|visa|payment|pay)\b"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15", 0.6, r"(?i)\b(phone|tel|call|mobile|fax)\b"),
+    ("iban", r"[A-Za-z0-9]+", f"CASE WHEN regexp_full_match(m, '[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}') THEN {_MOD97} ELSE false END", 0.9, r"(?i)\b(iban|bank|account)\b"),
+    ("national_id", r"[0-9-]+", "regexp_full_match(m, '[0-9]{3}-[0-9]{2}-[0-9]{4}')", 0.3, r"(?i)\b(ssn|social|security|identity)\b"),
+)
+
+
+def _spans(number: int, kind: tuple) -> str:
+    name, pattern, test, score, context = kind
+    return f"""{name}_all AS (
+  SELECT doc_id, x, m, sum(length(s) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) AS e
+  FROM (SELECT doc_id, x, unnest(regexp_extract_all(x, '{pattern}')) AS m, unnest(string_split_regex(x, '{pattern}')[:-2]) AS s,
+      generate_subscripts(regexp_extract_all(x, '{pattern}'), 1) AS i FROM texts WHERE regexp_matches(x, '{pattern}'))),
+{name}_spans AS (
+  SELECT doc_id, {number} AS kind, '{name}' AS name, e - length(m) AS b, e,
+    least(CAST({score} AS DOUBLE) + CASE WHEN regexp_matches(right(left(x, CAST(e - length(m) AS BIGINT)), 40) || ' ' || left(substr(x, CAST(e + 1 AS BIGINT)), 40), '{context}')
+      THEN CAST(0.3 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END, CAST(1 AS DOUBLE)) AS score
+  FROM {name}_all WHERE {test})"""
+
+
+PERSONAL = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
+{", ".join(_spans(i, k) for i, k in enumerate(_KINDS))},
+spans AS ({" UNION ALL ".join(f"SELECT * FROM {k[0]}_spans WHERE kind < 4 OR score >= 0.5" for k in _KINDS)}),
+named AS (
+  SELECT doc_id, {", ".join(f"count(*) FILTER (kind = {i}) AS n_{k[0]}" for i, k in enumerate(_KINDS))}, min(score) AS lowest_score,
+    string_agg(name || ':' || CAST(b AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY kind, b) FILTER (kind < 4) AS base,
+    string_agg(name || ':' || CAST(b AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY kind, b) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, {", ".join(f"coalesce(n_{k[0]}, 0) AS n_{k[0]}" for k in _KINDS)}, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, lowest_score
+FROM texts LEFT JOIN named USING (doc_id)
+"""
