@@ -3,12 +3,12 @@
 1. Each task hashes the words of a block of documents (polynomials over 64-bit numbers, in numpy) and rolls
    a second polynomial over ``window`` words. Windows repeated inside the block are settled at once; of each
    hash one entry leaves the block, so a very common window sends one entry a block, whatever its count.
-2. Entries go to buckets of the hash range, packed: seven bytes of hash (the bucket implies the eighth) and
-   the gap to the bucket's previous window of the block. Buckets follow the size of the corpus. A bucket
+2. Entries go to buckets of the hash range, packed: seven bytes of hash (the bucket implies the eighth), two
+   bytes of a second polynomial, and the gap to the bucket's previous window of the block. Buckets follow the size of the corpus. A bucket
    counts its hashes and answers each block with the windows that also start elsewhere.
 3. A block turns the answers into maximal intervals per document, which meet the texts again by row key.
 
-Two different windows pass for equal with probability 2**-64 a pair: below 0.001 expected for 10**8 windows.
+Two different windows pass for equal with probability 2**-80 a pair: 0.0001 expected for 10**10 windows.
 
 * NULL, empty or short text (fewer words than a window): nothing is removed.
 * Equal texts and repeated rows: every window starts elsewhere too, so all copies lose the same words.
@@ -38,7 +38,8 @@ BLOCK = 8 << 20
 PIECE = 1 << 20
 #: Windows in a bucket, about; buckets come in multiples of 256, so that a bucket implies the highest byte.
 BUCKET = 4_000_000
-_BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95  # odd, so they have inverses
+_BYTE_BASE, _WORD_BASE, _SECOND_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xA0761D6478BD642F  # odd, so they have inverses
+_ENTRY = 9  # bytes: seven of the hash, two of the second
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _REPEATED, _SINGLE, _LOCAL, _ROWS = range(4)  # kinds of packed rows
@@ -69,7 +70,7 @@ class Hasher:
     def __init__(self, window: int):
         self.window = window
         self.bytes = powers(_BYTE_BASE, PIECE + 1)
-        self.words = powers(_WORD_BASE, PIECE + window + 1)
+        self.words = [powers(base, PIECE + window + 1) for base in (_WORD_BASE, _SECOND_BASE)]
 
     def words_of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First bytes and hashes of the words."""
@@ -88,16 +89,16 @@ class Hasher:
             at = upto
         return starts, hashes
 
-    def windows_of(self, hashes: np.ndarray) -> np.ndarray:
-        """Hash of the window that starts at each word, as far as one fits."""
-        count, out = len(hashes) - self.window + 1, []
-        up, down = self.words
+    def windows_of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hash, and second hash of 16 bits, of the window that starts at each word, as far as one fits."""
+        count, out = len(hashes) - self.window + 1, ([np.zeros(0, np.uint64)], [np.zeros(0, np.uint16)])
         for at in range(0, max(count, 0), PIECE):
             part = hashes[at : min(at + PIECE + self.window - 1, len(hashes))]
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * up[: len(part)], dtype=np.uint64)])
             n = len(part) - self.window + 1
-            out.append(mixed((sums[self.window :] - sums[:n]) * down[:n]))
-        return np.concatenate(out) if out else np.zeros(0, np.uint64)
+            for (up, down), kept in zip(self.words, out):
+                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * up[: len(part)], dtype=np.uint64)])
+                kept.append(mixed((sums[self.window :] - sums[:n]) * down[:n]).astype(kept[0].dtype))
+        return np.concatenate(out[0]), np.concatenate(out[1])
 
 
 def pack_places(places: np.ndarray) -> bytes:
@@ -114,6 +115,10 @@ def unpack_places(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64))
 
 
+def _equal_to_next(hashes: np.ndarray, seconds: np.ndarray) -> np.ndarray:
+    return (hashes[1:] == hashes[:-1]) & (seconds[1:] == seconds[:-1])
+
+
 def _block_rows(texts: list[bytes], keys: list[str], buckets: int, hasher: Hasher) -> Iterator[tuple]:
     """Packed rows of one block: entries by bucket, windows settled here, and the rows it holds."""
     block = xxhash.xxh64_intdigest("\n".join(keys)) >> 1
@@ -121,16 +126,15 @@ def _block_rows(texts: list[bytes], keys: list[str], buckets: int, hasher: Hashe
     offsets = np.cumsum([0, *(len(t) + 1 for t in texts)])
     starts, words = hasher.words_of(codes)
     first = np.searchsorted(starts, offsets)
-    hashes = hasher.windows_of(words)
+    hashes, seconds = hasher.windows_of(words)
     owner_end = np.repeat(first[1:], np.diff(first))[: len(hashes)]
     places = np.flatnonzero(np.arange(len(hashes)) + hasher.window <= owner_end)
-    hashes = hashes[places]
+    hashes, seconds = hashes[places], seconds[places]
     if not len(places):
         return
-    order = np.argsort(hashes, kind="stable")
-    ordered = hashes[order]
-    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
-    counts = np.diff(np.concatenate([np.flatnonzero(new), [len(ordered)]]))
+    order = np.lexsort((seconds, hashes))
+    new = np.concatenate([[True], ~_equal_to_next(hashes[order], seconds[order])])
+    counts = np.diff(np.concatenate([np.flatnonzero(new), [len(order)]]))
     alone = np.repeat(counts == 1, counts)
     home = block % buckets
     yield home, block, _ROWS, b"", pack_places(first), keys
@@ -145,8 +149,10 @@ def _block_rows(texts: list[bytes], keys: list[str], buckets: int, hasher: Hashe
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             rows = by[a:b]
             if len(rows):
-                seven = np.ascontiguousarray(values[rows].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7])
-                yield int(bucket[rows[0]]), block, kind, seven.tobytes(), pack_places(places[chosen[rows]]) if kind == _SINGLE else b"", None
+                entries = np.zeros((len(rows), _ENTRY), np.uint8)
+                entries[:, :7] = values[rows].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]
+                entries[:, 7:] = seconds[chosen[rows]].astype("<u2").view(np.uint8).reshape(-1, 2)
+                yield int(bucket[rows[0]]), block, kind, entries.tobytes(), pack_places(places[chosen[rows]]) if kind == _SINGLE else b"", None
 
 
 def _answers(table: pa.Table) -> pa.Table:
@@ -155,13 +161,13 @@ def _answers(table: pa.Table) -> pa.Table:
     out: list[tuple] = [r for r in zip(columns["block"], columns["kind"], columns["gaps"], columns["keys"]) if r[1] in (_LOCAL, _ROWS)]
     held = [i for i, k in enumerate(columns["kind"]) if k in (_SINGLE, _REPEATED)]
     if held:
-        sizes = np.array([len(columns["hashes"][i]) // 7 for i in held])
-        wide = np.zeros((sizes.sum(), 8), np.uint8)
-        wide[:, :7] = np.frombuffer(b"".join(columns["hashes"][i] for i in held), np.uint8).reshape(-1, 7)
-        values = wide.view("<u8").ravel()
-        order = np.argsort(values)
-        ordered = values[order]
-        same = ordered[1:] == ordered[:-1]
+        sizes = np.array([len(columns["hashes"][i]) // _ENTRY for i in held])
+        entries = np.frombuffer(b"".join(columns["hashes"][i] for i in held), np.uint8).reshape(-1, _ENTRY)
+        wide = np.zeros((len(entries), 8), np.uint8)
+        wide[:, :7] = entries[:, :7]
+        values, seconds = wide.view("<u8").ravel(), np.ascontiguousarray(entries[:, 7:]).view("<u2").ravel()
+        order = np.lexsort((seconds, values))
+        same = _equal_to_next(values[order], seconds[order])
         elsewhere = np.zeros(len(values), bool)
         elsewhere[order] = np.concatenate([same, [False]]) | np.concatenate([[False], same])
         ends = np.cumsum(sizes)
