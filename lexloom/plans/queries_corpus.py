@@ -516,13 +516,37 @@ def s5(spark: SparkSession, d: str) -> DataFrame:
     return key_lists.read_key_list(spark, path)
 
 
-@query("s9_append", "SELECT lang, count(*) * 2 AS n_rows FROM documents GROUP BY lang")
+@query("s9_append", """
+SELECT doc_id, lang, 2 AS n_rows, 1 AS n_ids, 2 AS n_stamped FROM documents
+UNION ALL SELECT doc_id, lang, 1, 1, 0 FROM documents WHERE lang = 'fr'""")
 def s9(spark: SparkSession, d: str) -> DataFrame:
+    """Appended twice without id and time (one id per key, times filled), once more with both given."""
     path = _scratch(spark, "append")
     rows = table(spark, d, "documents").select("doc_id", "lang")
     tables.append(rows, path, ["doc_id"])
     tables.append(rows, path, ["doc_id"])
-    return spark.read.parquet(path).groupBy("lang").agg(F.count("*").alias("n_rows"))
+    old = F.lit("2000-01-01").cast("timestamp")
+    given = rows.filter("lang = 'fr'").select("*", (-F.col("doc_id") - 1).alias("id"), old.alias("created_at"))
+    tables.append(given, path, ["doc_id"])
+    stored = spark.read.parquet(path).withColumn("own", F.col("id") < 0).filter(
+        F.col("own") & (F.col("id") == -F.col("doc_id") - 1) | (F.col("id") == F.xxhash64("doc_id"))
+    ).withColumn("own", F.col("created_at") == old)
+    return stored.groupBy("doc_id", "lang", "own").agg(
+        F.count("*").cast("int").alias("n_rows"), F.countDistinct("id").cast("int").alias("n_ids"), F.count_if(F.col("created_at") > old).cast("int").alias("n_stamped")
+    ).drop("own")
+
+
+@query("s10_lists_and_parties", """
+SELECT doc_id, CASE lang WHEN 'en' THEN 'a|' || source WHEN 'fr' THEN source ELSE '' END AS tags,
+  source || '|x' AS nguyen_don, lang AS bi_don, '' AS ben_lien_quan FROM documents""")
+def s10_lists(spark: SparkSession, d: str) -> DataFrame:
+    """Tags as a JSON list, a bare JSON text or NULL; parties of lists, texts and absent roles."""
+    q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    lang, source = F.col("lang"), F.col("source")
+    tags = F.when(lang == "en", F.concat(F.lit('["a",'), q(source), F.lit("]"))).when(lang == "fr", q(source))
+    parties = F.concat(F.lit('{"nguyen_don":['), q(source), F.lit(',"x"],"bi_don":'), q(lang), F.lit("}"))
+    rows = table(spark, d, "documents").select("doc_id", tables.text_list(tags).alias("tags"), tables.parties_from_json(parties).alias("p"))
+    return rows.select("doc_id", F.array_join("tags", "|").alias("tags"), *[F.array_join(f"p.{r}", "|").alias(r) for r in ("nguyen_don", "bi_don", "ben_lien_quan")])
 
 
 @query("s10_json_columns", """
