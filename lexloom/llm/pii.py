@@ -71,7 +71,8 @@ def _card(match: Column) -> Column:
 
 @dataclass(frozen=True)
 class Kind:
-    """``hint``: a match holds this text (or, as a pattern, matches it); ``score`` is what a confirmed span is worth alone."""
+    """``hint``: a match holds this text (or, as a pattern, matches it); ``score`` is what a confirmed span is worth
+    alone; ``shortest`` is the least length of a match."""
 
     name: str
     hint: str
@@ -79,17 +80,18 @@ class Kind:
     confirmed: Callable[[Column], Column]
     score: float
     context: str
+    shortest: int
 
 
 # A run of a class is entered only at its first character, or where the last match ended: from any other
 # place of the run the same match would have begun earlier.
 KINDS = (
-    Kind("email", "@", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", lambda m: F.lit(True), 0.9, r"(?i)\b((e-?)?mail|contact|write)\b"),
-    Kind("ip", ".", r"(?=[0-9])(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", _small_parts, 0.6, r"(?i)\b(ip|host|server|address|login)\b"),
-    Kind("card", "", r"[0-9](?:[\x20-]?[0-9])++", _card, 0.8, r"(?i)\b(card|credit|visa|payment|pay)\b"),
-    Kind("phone", "+", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: F.length(_digits(m)).between(9, 15), 0.6, r"(?i)\b(phone|tel|call|mobile|fax)\b"),
-    Kind("iban", "", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])", mod97, 0.9, r"(?i)\b(iban|bank|account)\b"),
-    Kind("national_id", "-", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", lambda m: F.lit(True), 0.3, r"(?i)\b(ssn|social|security|identity)\b"),
+    Kind("email", "@", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", lambda m: F.lit(True), 0.9, r"(?i)\b((e-?)?mail|contact|write)\b", 5),
+    Kind("ip", ".", r"(?=[0-9])(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", _small_parts, 0.6, r"(?i)\b(ip|host|server|address|login)\b", 7),
+    Kind("card", "", r"[0-9](?:[\x20-]?[0-9])++", _card, 0.8, r"(?i)\b(card|credit|visa|payment|pay)\b", 2),
+    Kind("phone", "+", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: F.length(_digits(m)).between(9, 15), 0.6, r"(?i)\b(phone|tel|call|mobile|fax)\b", 4),
+    Kind("iban", "", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])", mod97, 0.9, r"(?i)\b(iban|bank|account)\b", 15),
+    Kind("national_id", "-", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", lambda m: F.lit(True), 0.3, r"(?i)\b(ssn|social|security|identity)\b", 11),
 )
 BASE = 4  # kinds that the plain patterns and checks decide; their spans are always reported
 
@@ -119,26 +121,37 @@ def _matches(text: Column, kind: Kind) -> Column:
 def _spans(text: Column, matches: Column, number: int, kind: Kind) -> Column:
     """array<struct<kind, start, end, score>> of one kind: the pieces between the matches give the places."""
 
+    reach = -(-NEAR // kind.shortest)  # so many matches fill NEAR code points, whatever lies between them
+
     def placed(pieces: Column) -> Column:
         sizes = F.transform(matches, lambda m, i: F.length(F.get(pieces, i)) + F.length(m))
 
+        def around(i: Column) -> Column:
+            def earlier(j: Column) -> Column:
+                return F.concat(F.right(F.get(pieces, j), F.lit(NEAR)), F.when(j < i, F.right(F.get(matches, j), F.lit(NEAR))).otherwise(""))
+
+            def later(j: Column) -> Column:
+                return F.concat(F.when(j > i + 1, F.left(F.get(matches, j - 1), F.lit(NEAR))).otherwise(""), F.left(F.get(pieces, j), F.lit(NEAR)))
+
+            before = F.concat_ws("", F.transform(F.sequence(F.greatest(i - reach, F.lit(0)), i), earlier))
+            after = F.concat_ws("", F.transform(F.sequence(i + 1, F.least(i + 1 + reach, F.size(matches))), later))
+            return F.concat(F.right(before, F.lit(NEAR)), F.lit(" "), F.left(after, F.lit(NEAR)))
+
         def span(before: Column) -> Column:
             def one(m: Column, i: Column) -> Column:
                 start = F.get(before, i) + F.length(F.get(pieces, i))
-                around = F.concat(F.right(F.get(pieces, i), F.lit(NEAR)), F.lit(" "), F.left(F.get(pieces, i + 1), F.lit(NEAR)))
-                score = F.lit(kind.score) + F.when(around.rlike(kind.context), BONUS).otherwise(0.0)
-                return F.struct(
-                    F.lit(number).alias("kind"), start.alias("start"), (start + F.length(m)).alias("end"),
-                    F.least(score, F.lit(1.0)).alias("score"), kind.confirmed(m).alias("ok"),
-                )
+                return F.struct(i.alias("at"), start.alias("start"), (start + F.length(m)).alias("end"), kind.confirmed(m).alias("ok"))
+
+            return F.filter(F.transform(matches, one), lambda s: s["ok"])
 
-            return F.transform(matches, one)
+        def scored(s: Column) -> Column:
+            score = F.lit(kind.score) + F.when(around(s["at"]).rlike(kind.context), BONUS).otherwise(0.0)
+            return F.struct(F.lit(number).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.least(score, F.lit(1.0)).alias("score"))
 
-        return let(running(sizes, lambda a, x: a + x, F.lit(0)), span)
+        return F.transform(let(running(sizes, lambda a, x: a + x, F.lit(0)), span), scored)
 
     wanted = F.when(F.size(matches) > 0, F.split(text, kind.pattern, -1)).otherwise(F.array().cast("array<string>"))
-    kept = F.filter(let(wanted, placed), lambda s: s["ok"] & ((s["kind"] < BASE) | (s["score"] >= LEAST_SCORE)))
-    return F.transform(kept, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["score"].alias("score")))
+    return F.filter(let(wanted, placed), lambda s: (s["kind"] < BASE) | (s["score"] >= LEAST_SCORE))
 
 
 def find(documents: DataFrame, keep: list[str], name: str = "spans") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from lexloom.llm import boosting, bpe, chat, decontaminate, graph, neighbours, pii, quality, sharding, simhash, substrings, toxicity
 from lexloom.llm.queries import tokenizer_path
+from lexloom.llm.sql import PERSONAL
 from tests.llm import brute
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -204,6 +205,29 @@ def test_pii_added_kinds_and_scores(spark):
     assert got[4]["spans"][0]["score"] == 1.0 and got[5]["spans"][0]["score"] == 0.9
 
 
+def test_pii_context_lies_behind_other_matches(spark):
+    """The window is NEAR code points of the text, whatever matches lie in it; as in the SQL."""
+    ids = [f"{100 + i}-45-{6000 + i}" for i in range(8)]
+    texts = [
+        "ssn 123-45-6789 987-65-4321", "123-45-6789, 987-65-4321: identity", "ssn " + " ".join(ids) + " stock", "stock " + ",".join(ids) + " social",
+        "visa 11 22 4111 1111 1111 1111", "visa 11, 22, 33; 4111 1111 1111 1111", "4111111111111111, 12, 13, 14 card", "1a23;" * 9 + "4111111111111111;" + "1b23;" * 9 + "card",
+        "pay " + "1a23;" * 7 + "4111111111111111", "a@b.co, é😀@c.de, x@y.zz mail", "write to a@b.co c@d.ef g@h.ij k@l.mn o@p.qr s@t.uv", "host 1.2.3.4 5.6.7.8 999.1.1.1 9.9.9.9",
+        "tel +12345678901 x +123 +12345678902; +12345678903", "bank GB82WEST12345698765432 GB82WEST12345698765433 GB82WEST12345698765432", "ssn" + " " * 37 + "123-45-6789",
+        "ssn" + " " * 36 + "123-45-6789", "ssn 12345678901 " + "é" * 23 + " 123-45-6789", "123-45-6789" + " 1-2" * 9 + " ssn", "123-45-6789 000-00-0000" + " " * 13 + "identity",
+    ]
+    docs = [(i, t) for i, t in enumerate(texts)]
+    got = pii.report(spark.createDataFrame(docs, "doc_id long, text string"))
+    base = duckdb.connect()
+    base.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    base.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    columns = ["doc_id", *(f"n_{k.name}" for k in pii.KINDS), "base_sha256", "spans"]
+    found = {r[0]: r for r in base.execute(f"SELECT {', '.join(columns)}, round(lowest_score, 9) FROM ({PERSONAL})").fetchall()}
+    assert {r["doc_id"]: (*(r[c] for c in columns), r["lowest_score"] and round(r["lowest_score"], 9)) for r in got.collect()} == found
+    assert [found[i][6] for i in (0, 1)] == [2, 2]
+    both = spark.createDataFrame([(1, texts[1])], "doc_id long, text string")
+    assert pii.redact(both).first()["text"] == "<NATIONAL_ID>, <NATIONAL_ID>: identity"
+
+
 def test_redaction(spark, hard):
     docs = spark.createDataFrame([(1, MAIL, 3), (2, None, 4), (3, "+1 234 567 8901@mail.com z", 5)], "doc_id long, text string, n_chars int")
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pii.redact(docs).collect()}
