@@ -35,10 +35,11 @@ def share_below(df: DataFrame, key: str, rows: int) -> DataFrame:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """(text, label) of at most about ``rows`` labelled rows that are not held out.
+    """(text, label) of at most about ``rows`` labelled ids that are not held out, one row an id.
 
     The label side is narrow and bounded by ``rows``, so it is what gets broadcast. Several labels of
-    one id count once, as their largest; NULL labels and ids are left out.
+    one id count once, as their largest; NULL labels and ids are left out. Of several rows of one id
+    the one whose text has the least hash is taken, in every task before the shuffle.
     """
     known = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
@@ -47,7 +48,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, rows: i
         .agg(F.max("label").alias("label"))
     )
     known = F.broadcast(share_below(known, "doc_id", rows))
-    return documents.select("doc_id", "text").join(known, "doc_id").select("text", "label")
+    found = documents.select("doc_id", "text").join(known, "doc_id")
+    return found.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("label").alias("label")).select("text", "label")
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:

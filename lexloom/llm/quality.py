@@ -1,7 +1,7 @@
 """Quality of documents: boosted trees over document statistics.
 
-The trees are fitted on a bounded sample of labelled rows and applied to every whole text inside the
-tasks; no shuffle. Scores depend on the text alone.
+The trees are fitted on a bounded sample of labelled rows, one row an id, and applied to every whole text
+inside the tasks; only the sample is shuffled. Scores depend on the text alone.
 
 * NULL and empty text: statistics of an empty text, scored like any other.
 * Equal texts get equal scores; repeated rows stay repeated. An empty table gives an empty result.

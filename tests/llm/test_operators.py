@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from lexloom.llm import boosting, bpe, chat, decontaminate, graph, neighbours, pii, quality, sharding, simhash, substrings, toxicity
+from lexloom.llm import boosting, bpe, chat, common, decontaminate, graph, neighbours, pii, quality, sharding, simhash, substrings, toxicity
 from lexloom.llm.queries import tokenizer_path
 from lexloom.llm.sql import PERSONAL
 from tests.llm import brute
@@ -451,6 +451,13 @@ def test_held_out_accuracy(spark, name, label):
     assert np.mean([a == b for a, b in got if b == (label == 2)]) >= 0.85  # the rarer class
 
 
+def test_sample_takes_one_row_of_an_id(spark, labels):
+    ids = [i for i in range(1, 18) if zlib.crc32(str(i).encode()) % 5]
+    docs = [(i, f"text {i}") for i in ids[1:]] + [(ids[0], f"hot {k % 7}") for k in range(500)] + [(None, "none"), (99, "no label")]
+    got = [rows(common.labelled_sample(spark.createDataFrame(docs, "doc_id long, text string").repartition(n), labels, "quality", 1000), "text", "label") for n in (1, 7)]
+    assert got[0] == got[1] and sorted(t.split()[0] for t, _ in got[0].elements()) == ["hot"] + ["text"] * (len(ids) - 1)
+
+
 def test_scored_columns_stay(hard, labels):
     forest = quality.train(hard, labels)
     assert set(quality.score(hard, forest).columns) == set(hard.columns) and quality.accepted(hard, labels).columns == [c for c in hard.columns if c != "quality_score"]
