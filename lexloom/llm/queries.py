@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import bpe, chat, decontaminate, neighbours, pii, quality, sharding, simhash, sql, substrings, toxicity
+from lexloom.llm import bpe, chat, decontaminate, minhash, neighbours, pii, quality, sharding, simhash, sql, substrings, toxicity
 from lexloom.plans.registry import query
 
 
@@ -67,3 +67,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_chat_formatting")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.repair(_read(spark, sf_dir, "conversations"))
+
+
+@query("op11_minhash_near_dedup", sql.SIMILAR)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.report(_read(spark, sf_dir, "documents"))

@@ -38,6 +38,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
 FROM docs LEFT JOIN kept USING (doc_id)
 """
 
+SIMILAR = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, {_SPACED.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reached AS (SELECT doc_id, doc_id AS other FROM docs UNION SELECT links.b, other FROM reached JOIN links ON a = doc_id),
+named AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM docs JOIN named USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
 # Kind, pattern of candidates, test of a candidate m, score, context. IBANs and national ids stand between
 # characters that cannot continue them, so they are whole runs of such characters.
 _DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"

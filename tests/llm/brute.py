@@ -126,3 +126,31 @@ def repair_cost(roles):
                 new[t] = min(new.get(t, c), c)
         best = new
     return min(c + {0: 0, 1: 6, 2: 3, 3: 0}[s] for s, c in best.items())
+
+
+def shingles(text, k=4):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def jaccard_components(docs):
+    """(doc_id, n_shingles, component_id, kept) of (doc_id, text) rows."""
+    sets = [shingles(t) for _, t in docs]
+    root = list(range(len(docs)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, x in enumerate(sets):
+        for j in range(i):
+            common = len(x & sets[j])
+            if x and 100 * common >= 80 * len(x | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    least = {}
+    for i, (d, _) in enumerate(docs):
+        if d is not None:
+            least[find(i)] = min(least.get(find(i), d), d)
+    return [(d, len(s), least.get(find(i)), d == least.get(find(i))) for i, ((d, _), s) in enumerate(zip(docs, sets))]
