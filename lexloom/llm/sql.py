@@ -53,6 +53,34 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM docs JOIN named USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
+_LETTERS = r"list_filter(string_split_regex({}, '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+_SHARE = "CAST(1 + (CAST(1000000000 AS HUGEINT) * ({} + 2)) // ({} + 2 * {}) AS HUGEINT)"
+
+DIVERGENCE = f"""
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LETTERS.format(_LOWER.format("coalesce(text, '')"))} AS w,
+    row_number() OVER () AS d FROM documents),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+terms AS (SELECT lang, source, d, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM terms GROUP BY lang, term HAVING count(DISTINCT d) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+present AS (SELECT lang, source, term, count(*) AS n FROM terms JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n) AS total FROM present GROUP BY ALL),
+shares AS (
+  SELECT lang, g.source, k.term, coalesce(p.n, 0) AS n, {_SHARE.format("coalesce(p.n, 0)", "coalesce(t.total, 0)", "l.v")} AS p, {_SHARE.format("k.n", "l.total", "l.v")} AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN present p USING (lang, source, term) LEFT JOIN totals t USING (lang, source)),
+values_ AS (
+  SELECT a.lang AS lang, a.source AS source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang
+  LEFT JOIN (
+    SELECT x.lang AS lang, x.source AS source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  WHERE a.source <> b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM values_)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR r <= 10
+"""
+
 # Kind, pattern of candidates, test of a candidate m, score, context. IBANs and national ids stand between
 # characters that cannot continue them, so they are whole runs of such characters.
 _DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"

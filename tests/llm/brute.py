@@ -154,3 +154,33 @@ def jaccard_components(docs):
         if d is not None:
             least[find(i)] = min(least.get(find(i), d), d)
     return [(d, len(s), least.get(find(i)), d == least.get(find(i))) for i, ((d, _), s) in enumerate(zip(docs, sets))]
+
+
+def audit(docs, least=10, top=10):
+    """(lang, source, part, item, value, rank) of (text, lang, source) rows."""
+    found, seen = defaultdict(Counter), defaultdict(Counter)
+    for text, lang, source in docs:
+        terms = re.findall(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub(rb"[A-Z]", lambda m: bytes([m[0][0] + 32]), (text or "").encode()))
+        found[lang or "", source or ""].update(terms)
+        seen[lang or ""].update(set(terms))
+    out = []
+    for lang in seen:
+        kept = [t for t, n in seen[lang].items() if n >= least]
+        groups = {s: c for (x, s), c in found.items() if x == lang}
+        whole = Counter()
+        for c in groups.values():
+            whole.update(c)
+
+        def shares(c):
+            total = sum(c[t] for t in kept) + 2 * len(kept)
+            return {t: 1 + 10**9 * (c[t] + 2) // total for t in kept}
+
+        f = lambda p, q: (p - q) ** 2 // (p + q)
+        q, each = shares(whole), {s: shares(c) for s, c in groups.items()}
+        for s, p in each.items():
+            pairs = [(-sum(f(p[t], each[o][t]) for t in kept), o) for o in groups if o != s]
+            terms = [(-f(p[t], q[t]), t.decode()) for t in kept if groups[s][t] and p[t] > q[t]]
+            for part, listed, most in (("pair", pairs, None), ("term", terms, top)):
+                ranked = sorted(listed, key=lambda x: (x[0], x[1].encode()))[:most]
+                out += [(lang, s, part, item, -v, i + 1) for i, (v, item) in enumerate(ranked)]
+    return out
