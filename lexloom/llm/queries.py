@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import bpe, chat, decontaminate, divergence, minhash, neighbours, pii, quality, sharding, simhash, sql, substrings, toxicity
+from lexloom.llm import bpe, chat, decontaminate, divergence, merkle, minhash, neighbours, pii, quality, sharding, simhash, sql, substrings, toxicity
 from lexloom.plans.registry import query
 
 
@@ -77,3 +77,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_source_divergence", sql.DIVERGENCE)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_read(spark, sf_dir, "documents"))
+
+
+@query("op13_merkle_manifest", sql.MANIFEST)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(_read(spark, sf_dir, "documents"))

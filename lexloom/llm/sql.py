@@ -81,6 +81,44 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR r <= 10
 """
 
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{0}", "text")) + ")"
+_PARENTS = "[sha256(x[i] || coalesce(x[i + 1], '')) FOR i IN range(1, len(x) + 1, 2)]"
+_CRC32 = (  # of a short ASCII string s, bit by bit; 3988292384 is the reversed polynomial
+    "xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], [CAST(ascii(c) AS BIGINT) FOR c IN string_split(s, '')]), "
+    "lambda a, b: list_reduce(list_concat([xor(a, b)], [CAST(0 AS BIGINT) FOR k IN range(8)]), "
+    "lambda u, v: CASE WHEN u % 2 = 1 THEN xor(u // 2, 3988292384) ELSE u // 2 END)), 4294967295)"
+)
+
+MANIFEST = f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS tree, {_LEAF.format("n_chars")} AS leaf, {_LEAF.format("(n_chars + 1)")} AS changed, {_CRC32} % 7 = 0 AND n_chars IS NOT NULL AS tampered
+  FROM (SELECT *, CAST(doc_id AS VARCHAR) AS s FROM documents)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM rows),
+layers AS (
+  SELECT tree, 0 AS l, list(leaf ORDER BY p) AS x FROM placed GROUP BY tree
+  UNION ALL SELECT tree, l + 1, {_PARENTS} FROM layers WHERE len(x) > 1),
+subroots AS (SELECT tree, x[1] AS subroot, l AS height, row_number() OVER (ORDER BY tree) - 1 AS p FROM layers WHERE len(x) = 1),
+tops AS (
+  SELECT 0 AS l, list(subroot ORDER BY p) AS x FROM subroots
+  UNION ALL SELECT l + 1, {_PARENTS} FROM tops WHERE len(x) > 1),
+steps AS (
+  SELECT tree, p, l, (p >> l) % 2 AS right_, coalesce(x[xor(p >> l, 1) + 1], '') AS sibling
+  FROM placed JOIN layers USING (tree) WHERE len(x) > 1
+  UNION ALL
+  SELECT tree, q.p, height + l, (s.p >> l) % 2, coalesce(x[xor(s.p >> l, 1) + 1], '')
+  FROM placed q JOIN subroots s USING (tree), tops WHERE len(x) > 1),
+folding AS (
+  SELECT tree, p, 0 AS l, CASE WHEN tampered THEN changed ELSE leaf END AS node FROM placed
+  UNION ALL
+  SELECT f.tree, f.p, f.l + 1, sha256(CASE WHEN right_ = 1 THEN sibling || node ELSE node || sibling END) FROM folding f JOIN steps s ON s.tree = f.tree AND s.p = f.p AND s.l = f.l),
+proofs AS (SELECT tree, p, string_agg(sibling, '' ORDER BY l) AS proof FROM steps GROUP BY ALL),
+folded AS (SELECT tree, p, arg_max(node, l) AS folded_root FROM folding GROUP BY ALL)
+SELECT doc_id, leaf, subroot, x[1] AS root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = x[1] AS verified
+FROM (SELECT q.doc_id, q.leaf, q.tree, q.p FROM placed q) JOIN (SELECT tree, subroot FROM subroots) USING (tree) JOIN folded USING (tree, p) LEFT JOIN proofs USING (tree, p), tops
+WHERE len(x) = 1
+"""
+
 # Kind, pattern of candidates, test of a candidate m, score, context. IBANs and national ids stand between
 # characters that cannot continue them, so they are whole runs of such characters.
 _DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -184,3 +185,39 @@ def audit(docs, least=10, top=10):
                 ranked = sorted(listed, key=lambda x: (x[0], x[1].encode()))[:most]
                 out += [(lang, s, part, item, -v, i + 1) for i, (v, item) in enumerate(ranked)]
     return out
+
+
+def tree(nodes, fanout=2):
+    """(root, siblings of each node as lists of (before, after))."""
+    paths, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for i, path in enumerate(paths):
+            start = at[i] - at[i] % fanout
+            path.append(("".join(nodes[start : at[i]]), "".join(nodes[at[i] + 1 : start + fanout])))
+            at[i] //= fanout
+        nodes = [sha("".join(nodes[i : i + fanout])) for i in range(0, len(nodes), fanout)]
+    return nodes[0], paths
+
+
+def merkle(docs, fanout=2):
+    """(doc_id, leaf, subroot, root, proof, folded, verified) of (doc_id, source, lang, n_chars, text) rows."""
+    field = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    leaf = lambda d: sha("".join(map(field, d)))
+    by_lang = defaultdict(list)
+    for d in docs:
+        by_lang[d[2]].append(d)
+    langs = sorted(by_lang, key=lambda x: (x is not None, (x or "").encode()))
+    trees = []
+    for lang in langs:
+        rows = sorted(by_lang[lang], key=lambda d: (d[0] is not None, d[0] or 0, leaf(d)))
+        trees.append((rows, *tree([leaf(d) for d in rows], fanout)))
+    root, tops = tree([t[1] for t in trees], fanout) if trees else (None, [])
+    out = []
+    for (rows, subroot, paths), top in zip(trees, tops):
+        for d, path in zip(rows, paths):
+            changed = d[0] is not None and d[3] is not None and zlib.crc32(str(d[0]).encode()) % 7 == 0
+            node = leaf((*d[:3], d[3] + 1, d[4]) if changed else d)
+            for before, after in path + top:
+                node = sha(before + node + after)
+            out.append((d[0], leaf(d), subroot, root, sha("".join(b + a for b, a in path + top)), node, node == root))
+    return out
