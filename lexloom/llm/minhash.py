@@ -141,6 +141,22 @@ def _full_sets(documents: DataFrame, nodes: DataFrame, ids: DataFrame, shingle:
     return materialize(texts.select("id", "text").mapInArrow(hashed, "id long, values binary"), "full")
 
 
+def _likely(left: pa.ListArray, right: pa.ListArray, retained: int) -> np.ndarray:
+    """Whether the union sketch of each pair of sketches holds enough shared values."""
+    count = len(left)
+    held = [np.diff(side.offsets.to_numpy()) for side in (left, right)]
+    pair = np.concatenate([np.repeat(np.arange(count), n) for n in held])
+    values = np.concatenate([side.flatten().to_numpy() for side in (left, right)])
+    order = np.lexsort((values, pair))
+    pair, values = pair[order], values[order]
+    again = np.concatenate([[False], (pair[1:] == pair[:-1]) & (values[1:] == values[:-1])])
+    new = np.cumsum(~again)  # distinct values so far
+    before = np.concatenate([[0], new])[np.searchsorted(pair, np.arange(count))]
+    inside = new - before[pair] <= retained
+    shared, union = np.bincount(pair[inside & again], minlength=count), np.bincount(pair[inside & ~again], minlength=count)
+    return (shared >= least_shared(retained)) | ((union < retained) & (5 * shared >= 4 * union))
+
+
 def _pairs(lists: DataFrame, nodes: DataFrame, full: DataFrame, retained: int) -> DataFrame:
     """(a, b): verified links of the short lists."""
     left = lists.select("value", F.col("id").alias("a"), F.col("n").alias("na"))
@@ -150,11 +166,14 @@ def _pairs(lists: DataFrame, nodes: DataFrame, full: DataFrame, retained: int) -
     sketches = nodes.select("id", "sketch")
     for side in ("a", "b"):
         pairs = pairs.join(sketches.select(F.col("id").alias(side), F.col("sketch").alias(f"sketch_{side}")), side)
-    union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, retained)
-    shared = F.size(F.filter(F.array_intersect("sketch_a", "sketch_b"), lambda v: v <= F.element_at("union", -1)))
-    likely = pairs.withColumn("union", union).withColumn("shared", shared)
-    passed = (F.col("shared") >= least_shared(retained)) | ((F.size("union") < retained) & (5 * F.col("shared") >= 4 * F.size("union")))
-    checked = materialize(likely.where(passed).select("a", "b"), "likely")
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mask = pa.array(_likely(batch.column("sketch_a"), batch.column("sketch_b"), retained))
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("a", "b")], ["a", "b"])
+
+    likely = pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(passed, "a long, b long")
+    checked = materialize(likely, "likely")
     for side in ("a", "b"):
         checked = checked.join(full.select(F.col("id").alias(side), F.col("values").alias(f"values_{side}")), side)
 
