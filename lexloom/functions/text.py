@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
@@ -89,38 +90,42 @@ def _name_table(names: dict[str, str]) -> Column:
 
 _NAMES = {name.rstrip(";"): chars for name, chars in html5.items()}
 _COMMON = {name: chars for name, chars in _NAMES.items() if name in name2codepoint}
+# Names the standard also lists without a semicolon.
+_BARE = {name: chars for name, chars in html5.items() if not name.endswith(";")}
 # What pages mean by the control characters 128 to 159: the windows-1252 characters, where it has one.
 _C1 = "".join(bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160))
+_IMPOSSIBLE = "\ufffd"
 
 
-def decode_entities(c: Column) -> Column:
-    """Decode HTML character references (named, decimal, hexadecimal).
+def _numbered(name: Column) -> Column:
+    """Character of a numeric reference; one that is no character (0, surrogates, too large) gives U+FFFD."""
+    hexadecimal = name.rlike("^#[xX]")
+    digits = F.ltrim(F.when(hexadecimal, F.substring(name, F.lit(3), F.length(name))).otherwise(F.substring(name, F.lit(2), F.length(name))), F.lit("0"))
+    number = let(
+        digits,
+        lambda d: F.when(hexadecimal & F.length(d).between(1, 6), F.conv(d, 16, 10)).when(~hexadecimal & F.length(d).between(1, 7), d).try_cast("bigint"),
+    )
+    return let(
+        number,
+        lambda n: F.when(n.between(128, 159), F.substring(F.lit(_C1), n.cast("int") - 127, F.lit(1)))
+        .when(n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF), _code_point(n))
+        .otherwise(F.lit(_IMPOSSIBLE)),
+    )
 
-    Numbers may have any number of leading zeros; those that are no character stay as they are.
-    """
-    ref = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?"
-
-    def char_for(name: Column) -> Column:
-        hexadecimal = name.rlike("^#[xX]")
-        digits = F.ltrim(F.when(hexadecimal, F.substring(name, F.lit(3), F.length(name))).otherwise(F.substring(name, F.lit(2), F.length(name))), F.lit("0"))
-        coded = let(
-            let(
-                digits,
-                lambda d: F.when(hexadecimal & (F.length(d) <= 6), F.conv(d, 16, 10)).when(~hexadecimal & (F.length(d) <= 7), d).cast("bigint"),
-            ),
-            lambda n: F.when(n.between(128, 159), F.substring(F.lit(_C1), n.cast("int") - 127, F.lit(1))).when(
-                n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF), _code_point(n)
-            ),
-        )
-        # Few names make up most references; the long table is scanned only for the others.
-        found = F.coalesce(F.try_element_at(_name_table(_COMMON), name), F.try_element_at(_name_table(_NAMES), name))
-        return F.when(name.startswith("#"), coded).otherwise(found)
+
+def _named(name: Column) -> Column:
+    # Few names make up most references; the long table is scanned only for the others.
+    return F.coalesce(F.try_element_at(_name_table(_COMMON), name), F.try_element_at(_name_table(_NAMES), name))
+
+
+def _decoded(c: Column, pattern: str, char_for: Callable[[Column], Column]) -> Column:
+    """Text with every ``&`` and ``pattern`` after it replaced by the character, if there is one."""
 
     def decoded(piece: Column) -> Column:
         return let(
-            let(F.regexp_extract(piece, ref, 1), char_for),
+            char_for(piece),
             lambda char: F.when(
-                char.isNotNull(), F.concat(char, F.regexp_replace(piece, ref, ""))
+                char.isNotNull(), F.concat(char, F.regexp_replace(piece, pattern, ""))
             ).otherwise(F.concat(F.lit("&"), piece)),
         )
 
@@ -128,6 +133,38 @@ def decode_entities(c: Column) -> Column:
     return F.when(F.contains(c, F.lit("&")), F.array_join(pieces, "")).otherwise(c)
 
 
+_REFERENCE = "(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*)"
+
+
+def decode_entities(c: Column) -> Column:
+    """Decode the HTML character references (named, decimal, hexadecimal) of running text.
+
+    A name is the whole run of letters and digits after the ``&``, with or without a semicolon: ``&lsqb`` is a
+    bracket, ``&copy2024`` and ``&notit;`` are text. Numbers may have any number of leading zeros.
+    """
+    ref = f"^{_REFERENCE};?"
+    return _decoded(
+        c, ref, lambda piece: let(F.regexp_extract(piece, ref, 1), lambda name: F.when(name.startswith("#"), _numbered(name)).otherwise(_named(name)))
+    )
+
+
+def decode_attribute(c: Column) -> Column:
+    """Decode the character references of an attribute value.
+
+    Links hold ``&`` between parameters: without its semicolon a name counts only if the standard lists it
+    so, and never before ``=``, a letter or a digit.
+    """
+    def char_for(piece: Column) -> Column:
+        return let(
+            F.regexp_extract(piece, f"^{_REFERENCE}", 1),
+            lambda name: F.when(name.startswith("#"), _numbered(name))
+            .when(piece.rlike(f"^{_REFERENCE};"), _named(name))
+            .when(~piece.rlike(f"^{_REFERENCE}="), F.try_element_at(_name_table(_BARE), name)),
+        )
+
+    return _decoded(c, f"^{_REFERENCE};?", char_for)
+
+
 def unescape(c: Column) -> Column:
     """``decode_entities`` of an expression that should be evaluated once."""
     return let(c, decode_entities)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexloom.functions.arrays import let
 from lexloom.functions.html import INVISIBLE
-from lexloom.functions.text import strip, unescape
+from lexloom.functions.text import decode_attribute, strip
 
 # Markup that carries ids on the source's result pages.
 _LAW_TAG = r"""(?i)<p(?=\s)(?=[^<>]*\sclass\s*=\s*(?:"(?:[^">]*\s)?nqTitle(?:\s[^">]*)?"|'(?:[^'>]*\s)?nqTitle(?:\s[^'>]*)?'|nqTitle[\s>]))[^<>]*>"""
@@ -18,7 +19,7 @@ DEFAULT_SPAN = 100
 
 
 def _attribute(tag: Column, pattern: str) -> Column:
-    return unescape(F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)]))
+    return let(F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)]), decode_attribute)
 
 
 def _tags(html: Column, pattern: str) -> Column:

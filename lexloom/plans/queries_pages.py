@@ -54,6 +54,20 @@ def x7(spark: SparkSession, d: str) -> DataFrame:
     return _sections(spark, d).select("page_id", X.law_text(F.col("content")).alias("content_text"))
 
 
+@query("x7_references", """
+SELECT doc_id, source || ' � � � € – [ ' || lang || ' &copy2024 &notit; &lt; © A' || chr(10) || chr(10) || '�' || source || '&' AS content_text FROM documents""")
+def x7_references(spark: SparkSession, d: str) -> DataFrame:
+    """References of every kind in one section: impossible numbers, windows-1252 ones, names with and without semicolon."""
+    first = "<article><p>{0} &#0; &#xD800; &#99999999; &#x80; &#150; &lsqb {1} &copy2024 &notit; &amp;lt; &copy; &#x0000041;</p>"
+    second = "<p>&#x110000;{0}&amp</p></article>"
+    columns = {"{0}": F.col("source"), "{1}": F.col("lang")}
+    html = F.lit(first + second)
+    for mark, column in columns.items():
+        html = F.replace(html, F.lit(mark), column)
+    section = table(spark, d, "documents", heavy=True).select("doc_id", X.section(H.tokens(html), _ARTICLE).alias("content"))
+    return section.select("doc_id", X.law_text(F.col("content")).alias("content_text"))
+
+
 @query("x13_judgment_text", f"""
 SELECT page_id, array_to_string([y FOR y IN [trim(x) FOR x IN string_split(array_to_string({_RUNS}, ' '), chr(10))]
   IF y <> ''], chr(10)) AS content_text FROM pages""")

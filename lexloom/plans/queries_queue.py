@@ -71,6 +71,21 @@ def d1_d2(spark: SparkSession, d: str) -> DataFrame:
     ).withColumnRenamed("page_id", "page")
 
 
+@query("d2_query_strings", """
+SELECT l_orderkey, l_partkey, unnest(list_distinct([
+  '/x?id=' || l_orderkey || '&lang=vi&part=' || l_partkey || '&num=1&sum=2&order=3&copy=4',
+  '/y?a=' || l_orderkey || '&b=�&reg1&lt' || chr(38) || 'not',
+  '/ban-an/' || l_partkey || '?q=©∂"'])) AS href FROM lineitem""")
+def d2_query_strings(spark: SparkSession, d: str) -> DataFrame:
+    """Parameters named like character references stay; closed references are decoded."""
+    a, b = F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string")
+    html = F.concat(
+        F.lit('<a href="/x?id='), a, F.lit("&lang=vi&part="), b, F.lit('&num=1&sum=2&order=3&copy=4">t</a><a class=q href=\'/y?a='), a,
+        F.lit("&amp;b=&#0;&reg1&amp;lt&amp;not'>u</a><A HREF=/ban-an/"), b, F.lit("?q=&copy;&part;&quot;>v</a>"),
+    )
+    return table(spark, d, "lineitem", heavy=True).select("l_orderkey", "l_partkey", F.explode(D.link_hrefs(html)).alias("href"))
+
+
 # --- enqueue ----------------------------------------------------------------------------------
 
 

@@ -51,6 +51,16 @@ def p1(spark: SparkSession, d: str) -> DataFrame:
     return pages.select("page_id", F.posexplode(S.paragraphs(F.col("html"))).alias("seq", "content"))
 
 
+@query("p1_bare_brackets", """
+SELECT doc_id, seq, CASE seq WHEN 0 THEN source || ' < 5 � > ' || lang ELSE '<' || lang || '> [x] &copy1' END AS content
+FROM documents, (SELECT CAST(unnest([0, 1]) AS INTEGER) AS seq)""")
+def p1_bare(spark: SparkSession, d: str) -> DataFrame:
+    """Brackets that open no tag are text; references are decoded after the tags are gone."""
+    parts = (F.lit("<p>"), F.col("source"), F.lit(" < 5 &#0; > "), F.col("lang"), F.lit("</p><p class=x><b>&lt;"), F.col("lang"), F.lit("&gt; &lsqb;x&rsqb</b> &copy1</p>"))
+    docs = table(spark, d, "documents", heavy=True)
+    return docs.select("doc_id", F.posexplode(S.paragraphs(F.concat(*parts))).alias("seq", "content"))
+
+
 @query("p2_p3_classified_nodes", f"WITH {STATUTE_SQL} SELECT doc_id AS document_id, seq, type, level, number, content FROM typed")
 def p2(spark: SparkSession, d: str) -> DataFrame:
     return _nodes(spark, d).select("document_id", "seq", "type", "level", "number", "content")

@@ -1,4 +1,7 @@
+import html
+import re
 from datetime import date
+from html.entities import html5
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,8 +64,30 @@ def test_strip_matches_python_on_every_white_space_character(spark):
 
 def test_unescape(spark):
     assert one(spark, "a &amp;&amp; &#224; &#xE0;&nbsp;x &bogus; &", T.unescape) == "a && à à x &bogus; &"
-    assert one(spark, "&apos;&lsqb;&lsqb &#150; &#x96;&#00000065;&#x0000041;&#1114112; &#129;&NewLine;.", T.unescape) == "'[[ – –AA&#1114112; \x81\n."
+    assert one(spark, "&apos;&lsqb;&lsqb &#150; &#x96;&#00000065;&#x0000041;&#1114112; &#129;&NewLine;.", T.unescape) == "'[[ – –AA\ufffd \x81\n."
     assert one(spark, "&amp;lt;", T.unescape) == "&lt;"
+    assert one(spark, "&copy2024 &notit; &lsqb &copy; &not;it", T.unescape) == "&copy2024 &notit; [ © ¬it"
+
+
+NUMBERS = ["&#0;", "&#000", "&#x0;", "&#X0", "&#xD800;", "&#57343;", "&#1114109;", "&#1114112;", "&#x110000;", "&#" + "9" * 40 + ";", "&#x" + "f" * 40, "&#x;", "&#;", "&#", "&#10;", "&#x80;", "&#128;"]
+
+
+@pytest.mark.parametrize("decode", (T.unescape, T.decode_attribute))
+def test_numbers_never_fail(spark, decode):
+    got = spark.createDataFrame([(n,) for n in NUMBERS], "c STRING").select(decode(F.col("c")).alias("r")).collect()
+    assert [r.r for r in got] == [html.unescape(n) for n in NUMBERS]
+
+
+def test_attributes_of_every_name(spark):
+    """Closed names as the library reads them; open ones only where the standard's rule for attributes does."""
+    closed = [f"/x?a=1&{n.rstrip(';')};b" for n in sorted(html5)]
+    opened = [f"/x?id=1&{n.rstrip(';')}{after}" for n in sorted(html5) for after in ("=vi", "x9", "/")]
+    got = spark.createDataFrame([(v,) for v in closed + opened], "c STRING").repartition(8).select("c", T.decode_attribute(F.col("c")).alias("r"))
+    got = {r.c: r.r for r in got.collect()}
+    assert [got[v] for v in closed] == [html.unescape(v) for v in closed]
+    for v in opened:
+        name = re.match("[A-Za-z0-9]+", v.split("&")[1])[0]
+        assert got[v] == (html.unescape(v) if name in html5 and not v.split("&")[1].startswith(f"{name}=") else v)
     assert one(spark, None, T.unescape) is None
 
 
