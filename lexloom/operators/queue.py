@@ -73,26 +73,40 @@ def apply_outcomes(tracker: DataFrame, attempts: DataFrame, max_retries: int = 3
     )
 
 
-def honoured(tracker: DataFrame, attempts: DataFrame, max_retries: int = 3) -> DataFrame:
-    """Attempts that count, with the id and retries of their queue row, and ``_rank`` in time order.
+def open_keys(tracker: DataFrame, max_retries: int = 3) -> DataFrame:
+    """Keys with a row worth an attempt: the retries used and the last attempt of all the key's rows.
+
+    A key queued several times is attempted once a round. Its partial states are summed up in every task.
+    """
+    retries = F.when(F.col("status").isin(*RETRYABLE) & (F.col("retry_count") < max_retries), F.col("retry_count"))
+    states = tracker.groupBy(*_KEYS).agg(F.max(retries).alias("_retries"), F.max("last_attempt").alias("_since"))
+    return states.filter("_retries IS NOT NULL")
+
+
+def honoured(keys: DataFrame, attempts: DataFrame, max_retries: int = 3) -> DataFrame:
+    """Attempts that count, with the retries their key (of ``open_keys``) has used, and ``_rank`` in time order.
 
     Of a key's attempts those count that fit into the retries it has left, up to its first success.
     """
-    ranked = earliest_attempts(attempts, max_retries).join(first_rows(tracker), _KEYS)
+    ranked = earliest_attempts(attempts, max_retries).join(keys.select(*_KEYS, "_retries"), _KEYS)
     ranked = ranked.filter(F.col("_rank") <= max_retries - F.col("_retries"))
     until = Window.partitionBy(*_KEYS).orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
     return ranked.withColumn("_won", F.coalesce(F.bool_or("ok").over(until), F.lit(False))).filter("NOT _won").drop("_won")
 
 
 def apply_attempts(tracker: DataFrame, counted: DataFrame, max_retries: int = 3) -> DataFrame:
-    """Tracker snapshot after the attempts that ``honoured`` found, any number per key."""
+    """Tracker snapshot after the attempts that ``honoured`` found, any number per key.
+
+    A success settles every row of its key; a failure those that were worth an attempt.
+    """
     ends = Window.partitionBy(*_KEYS).orderBy(F.desc("_rank"))
     last = counted.withColumn("_back", F.row_number().over(ends)).filter("_back = 1").select(
-        "id", F.struct("attempted_at", "ok", "error", (F.col("_retries") + F.col("_rank")).alias("retries")).alias("_last")
+        *_KEYS, F.struct("attempted_at", "ok", "error", (F.col("_retries") + F.col("_rank")).alias("retries")).alias("_last")
     )
-    hit = F.col("_last").isNotNull()
-    ok = hit & F.col("_last.ok")
-    return tracker.join(last, "id", "left").select(
+    worth = F.coalesce(F.col("status").isin(*RETRYABLE) & (F.col("retry_count") < max_retries), F.lit(False))
+    ok = F.coalesce(F.col("_last.ok"), F.lit(False))
+    hit = F.col("_last").isNotNull() & (ok | worth)
+    return tracker.join(last, _KEYS, "left").select(
         "id",
         *_KEYS,
         F.when(ok, F.lit("success"))

@@ -39,19 +39,18 @@ class Fetched:
 def fetch(
     tracker: DataFrame, pages: DataFrame, doc_type: str, batch_size: int | None = None, max_retries: int = 3
 ) -> Fetched:
-    """One round: pick the rows worth an attempt, extract their new captures, record every outcome.
+    """One round: pick the keys worth an attempt, extract their new captures, record every outcome.
 
-    All retryable rows, or the ``batch_size`` oldest. A capture is an attempt once: only those newer than
-    the row's last attempt count, in time order, as far as the row has retries left and up to its first
-    success; that success gives the record. Pages are extracted once for all three results.
+    All keys with a retryable row, or those of the ``batch_size`` oldest rows. A capture is an attempt once:
+    only those newer than the last attempt of any row of the key count, in time order, as far as the key has
+    retries left and up to its first success; that success gives the record and settles all rows of the key.
+    Pages are extracted once for all three results.
     """
-    if batch_size is None:
-        batch = queue.retryable(tracker, max_retries).filter(F.col("document_type") == doc_type)
-    else:
+    keys = queue.open_keys(tracker.filter(F.col("document_type") == doc_type), max_retries)
+    if batch_size is not None:
         batch = queue.next_batch(tracker, doc_type, batch_size, max_retries)
-    wanted = batch.groupBy(F.col("document_id").alias("doc_key"), F.col("document_type").alias("doc_type")).agg(
-        F.max("last_attempt").alias("_since")
-    )
+        keys = keys.join(batch.select("document_id", "document_type"), ["document_id", "document_type"], "left_semi")
+    wanted = keys.select(F.col("document_id").alias("doc_key"), F.col("document_type").alias("doc_type"), "_since")
     fresh = F.col("_since").isNull() | (F.col("fetched_at") > F.col("_since"))
     picked = pages.join(wanted, ["doc_type", "doc_key"]).filter(fresh).drop("_since")
     extract = {"law": extraction.law_records, "judgment": extraction.judgment_records}[doc_type]
@@ -65,7 +64,7 @@ def fetch(
         F.col("error").isNull().alias("ok"),
         "error",
     ).dropDuplicates(["attempt_id"])
-    counted = materialize(queue.honoured(tracker, attempts, max_retries), "attempts")
+    counted = materialize(queue.honoured(keys, attempts, max_retries), "attempts")
     won = counted.filter("ok").select("attempt_id")
     return Fetched(
         records=records.filter("error IS NULL").withColumn("attempt_id", attempt_id).join(won, "attempt_id").drop("error", "attempt_id"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexloom.operators import discovery as D
 from lexloom.operators import queue as Q
-from lexloom.plans.corpus_plans import fetch
+from lexloom.plans.corpus_plans import discover, fetch
 from lexloom.plans.inputs import ATTEMPTS_SQL, TRACKER_SQL, attempts, law_pages, tracker
 from lexloom.plans.queries_corpus import _scratch
 from lexloom.plans.registry import query, table
@@ -338,28 +338,75 @@ def r3(spark: SparkSession, d: str) -> DataFrame:
 # --- whole rounds -----------------------------------------------------------------------------
 
 
-@query("fetch_round", """
-WITH t AS (SELECT doc_id, lang, source, CAST(doc_id % 3 AS INTEGER) AS retries FROM documents),
-o AS (SELECT *, CASE WHEN source = 'src3' THEN 'none' WHEN source = 'src7' OR lang = 'de' THEN 'failed' ELSE 'ok' END AS outcome FROM t)
-SELECT CAST(doc_id AS VARCHAR) AS document_id,
-  CASE outcome WHEN 'ok' THEN 'success' WHEN 'failed' THEN CASE WHEN retries + 1 >= 3 THEN 'failed' ELSE 'pending' END ELSE 'pending' END AS status,
-  CASE outcome WHEN 'ok' THEN 0 WHEN 'failed' THEN retries + 1 ELSE retries END AS retry_count,
-  CASE WHEN outcome = 'failed' THEN CASE WHEN source = 'src7' THEN 'HTTP status 404' ELSE 'impossible effective date: 31/02/2020' END END AS error_log
-FROM o""")
+_TWICE = 10**12  # ids of second rows of a key
+
+
+@query("fetch_round", f"""
+WITH t AS (
+  SELECT *, doc_id % 5 = 0 AS twice, CASE WHEN source = 'src3' THEN 'none' WHEN source = 'src7' OR lang = 'de' THEN 'failed' ELSE 'ok' END AS outcome,
+    doc_id % 10 = 0 AS stored, CAST(doc_id % 3 AS INTEGER) AS own FROM documents),
+r AS (
+  SELECT *, CASE WHEN NOT twice THEN own WHEN stored THEN 1 ELSE greatest(own, 1) END AS used FROM t),
+q AS (
+  SELECT doc_id AS id, *, stored AS done, own AS retry FROM r
+  UNION ALL SELECT doc_id + {_TWICE}, *, false, 1 FROM r WHERE twice)
+SELECT id, CAST(doc_id AS VARCHAR) AS document_id,
+  CASE WHEN outcome = 'ok' OR done THEN 'success' WHEN outcome = 'failed' AND used + 1 >= 3 THEN 'failed' ELSE 'pending' END AS status,
+  CASE WHEN outcome = 'ok' THEN 0 WHEN outcome = 'none' OR done THEN retry ELSE used + 1 END AS retry_count,
+  CASE WHEN outcome = 'failed' AND NOT done THEN CASE WHEN source = 'src7' THEN 'HTTP status 404' ELSE 'impossible effective date: 31/02/2020' END END AS error_log,
+  CASE WHEN outcome = 'ok' THEN 1 ELSE 0 END AS first_records, 0 AS second_records
+FROM q""")
 def fetch_round(spark: SparkSession, d: str) -> DataFrame:
-    """Two rounds over the same captures: the second finds nothing new and changes nothing."""
+    """Two rounds over the same captures: the second finds nothing new and changes nothing.
+
+    A fifth of the keys is queued twice, some with a first row that has succeeded before.
+    """
     at = F.lit("2024-01-01").cast("timestamp_ntz")
     pages = law_pages(spark, d).withColumns({"doc_type": F.lit("law"), "fetched_at": at})
-    rows = table(spark, d, "documents").select(
+    once = table(spark, d, "documents").select(
         F.col("doc_id").alias("id"),
         F.col("doc_id").cast("string").alias("document_id"),
         F.lit("law").alias("document_type"),
-        F.lit("pending").alias("status"),
+        F.when(F.col("doc_id") % 10 == 0, "success").otherwise("pending").alias("status"),
         at.alias("created_at"),
         F.when(F.col("source") == "src3", at).alias("last_attempt"),
         (F.col("doc_id") % 3).cast("int").alias("retry_count"),
         F.lit(None).cast("string").alias("error_log"),
     )
-    once = materialize(fetch(rows, pages, "law").tracker, "tracker")
-    twice = fetch(once, pages, "law").tracker
-    return twice.select("document_id", "status", "retry_count", "error_log")
+    changed = {"id": F.col("id") + _TWICE, "status": F.lit("pending"), "retry_count": F.lit(1), "last_attempt": F.lit(None).cast("timestamp_ntz")}
+    rows = once.union(once.filter("id % 5 = 0").withColumns(changed))
+    first = fetch(rows, pages, "law")
+    second = fetch(materialize(first.tracker, "tracker"), pages, "law")
+
+    def per_key(records: DataFrame, name: str) -> DataFrame:
+        return records.groupBy(F.col("doc_key").alias("document_id")).agg(F.count("*").cast("int").alias(name))
+
+    counted = second.tracker.join(per_key(first.records, "first_records"), "document_id", "left").join(per_key(second.records, "second_records"), "document_id", "left")
+    return counted.na.fill(0, ["first_records", "second_records"]).select(
+        "id", "document_id", "status", "retry_count", "error_log", "first_records", "second_records"
+    )
+
+
+@query("discover_round", """
+WITH o AS (SELECT user_id AS chunk, event_id AS page,
+    CASE event_type WHEN 'view' THEN 'found' WHEN 'purchase' THEN 'error' ELSE 'empty' END AS outcome FROM events),
+r AS (SELECT *, count(*) FILTER (WHERE outcome = 'found') OVER (PARTITION BY chunk ORDER BY page) AS island
+  FROM o WHERE outcome <> 'error'),
+e AS (SELECT *, count(*) FILTER (WHERE outcome = 'empty') OVER (PARTITION BY chunk, island ORDER BY page) AS run FROM r),
+s AS (SELECT chunk, min(page) AS stop FROM e WHERE run = 3 AND outcome = 'empty' GROUP BY chunk),
+v AS (SELECT chunk, page FROM o LEFT JOIN s USING (chunk) WHERE outcome = 'found' AND (stop IS NULL OR page <= stop)),
+f AS (SELECT CAST(unnest([page // 2, chunk + 1000000]) AS VARCHAR) AS document_id FROM v)
+SELECT DISTINCT document_id, 'law' AS document_type, 'pending' AS status, 0 AS retry_count FROM f
+WHERE document_id NOT IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_totalprice < 250000)""")
+def discover_round(spark: SparkSession, d: str) -> DataFrame:
+    """Result pages, one chunk a user: views list two ids, purchases are failed requests, others are empty."""
+    tag = '<p class="nqTitle" lawid="'
+    html = F.when(
+        F.col("event_type") == "view",
+        F.concat(F.lit(tag), F.expr("cast(event_id div 2 as string)"), F.lit('">t</p>' + tag), (F.col("user_id") + 1000000).cast("string"), F.lit('">u</p>')),
+    ).otherwise(F.lit("<p>no result</p>"))
+    pages = table(spark, d, "events").select(
+        F.col("user_id").alias("chunk"), F.col("event_id").alias("page"), html.alias("html"),
+        F.when(F.col("event_type") == "purchase", 500).otherwise(200).alias("http_status"),
+    )
+    return discover(pages, tracker(spark, d), "law").select("document_id", "document_type", "status", "retry_count")

@@ -227,3 +227,20 @@ def test_process_tracker(spark):
 def test_table_status(spark):
     got = {r.table_name: (r["count"], r.status) for r in Q.table_status({"a": spark.range(3), "b": spark.range(0)}).collect()}
     assert got == {"a": (3, "Có dữ liệu"), "b": (0, "Trống")}
+
+
+def test_fetch_of_a_key_queued_twice(spark):
+    """A record once, and every row of the key settled; a later capture is fetched once more for a new row."""
+    page = '<div id="divThuocTinh"><table><tr><td><b>Số hiệu:</b></td><td>{}</td></tr></table></div>'
+    rows = [(1, "a", "law", "success", T0, T0, 0, None), (2, "a", "law", "pending", T0, None, 1, None), (3, "b", "law", "pending", T0, None, 0, None), (4, "b", "law", "failed", T0, None, 2, "e"), (5, "c", "law", "success", T0, None, 0, None), (6, "c", "law", "failed", T0, None, 3, "e")]
+    caps = [("a", 200, 0), ("a", 200, 5), ("b", 500, 1), ("b", 200, 2), ("c", 200, 3)]
+    df = spark.createDataFrame([("law", k, page.format(f"{k}{m}"), T0 + timedelta(minutes=m), s) for k, s, m in caps], "doc_type STRING, doc_key STRING, html STRING, fetched_at TIMESTAMP_NTZ, http_status INT")
+    state, seen = spark.createDataFrame(rows, TRACKER), []
+    for _ in range(3):
+        done = fetch(state, df, "law")
+        seen += [r.document_number for r in done.records.collect()]
+        state = spark.createDataFrame(done.tracker.collect(), TRACKER)
+    assert seen == ["a5"]
+    assert {(r.id, r.status, r.retry_count) for r in state.collect()} == {
+        (1, "success", 0), (2, "success", 0), (3, "failed", 3), (4, "failed", 3), (5, "success", 0), (6, "failed", 3),
+    }
