@@ -11,7 +11,7 @@ from lexloom.operators import extraction as X
 from lexloom.plans.inputs import LAW_STATUS_SQL, judgment_pages, law_pages
 from lexloom.plans.queries_corpus import _scratch
 from lexloom.plans.registry import query, table
-from lexloom.sources import tables
+from lexloom.sources import keyed_tables, tables
 from lexloom.streaming.pages import append_to, page_stream
 
 _ARTICLE = ("article", H.opener("article"))
@@ -168,6 +168,21 @@ def x17_latest(spark: SparkSession, d: str) -> DataFrame:
     return X.resolve_duplicates(records, "document_number", ["id"], "keep_latest")
 
 
+@query("x17_merge_stored", """
+WITH r AS (SELECT CASE WHEN lang = 'es' AND n_chars % 7 = 0 THEN NULL ELSE source || '/' || n_chars % 40 END AS document_number, n_chars AS fetched, doc_id AS id, md5(text) AS digest FROM documents)
+SELECT * FROM r WHERE document_number IS NULL
+UNION ALL SELECT * FROM (SELECT * FROM r WHERE document_number IS NOT NULL QUALIFY row_number() OVER (PARTITION BY document_number ORDER BY fetched DESC, id DESC) = 1)""")
+def x17_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Three rounds of records merged into a stored table; a later round need not be the newer one."""
+    docs = table(spark, d, "documents")
+    number = F.when((F.col("lang") == "es") & (F.col("n_chars") % 7 == 0), None).otherwise(F.concat("source", F.lit("/"), F.col("n_chars") % 40))
+    records = docs.select(number.alias("document_number"), F.col("n_chars").alias("fetched"), F.col("doc_id").alias("id"), F.md5("text").alias("digest"))
+    root = _scratch(spark, "stored-records")
+    for n in range(3):
+        keyed_tables.merge(records.filter(F.pmod("id", F.lit(3)) == n), root, ["document_number"], ["fetched", "id"], buckets=32)
+    return keyed_tables.current(spark, root)
+
+
 @query("x16_judgment_records", """
 SELECT CAST(o_orderkey AS VARCHAR) AS doc_key, 'Bản án ' || o_orderkey || ' về ' || o_orderpriority AS case_name,
   o_orderkey || '/DS' AS case_number, 'Tòa ' || o_custkey AS issuing_authority,
