@@ -474,7 +474,7 @@ def s3_s4(spark: SparkSession, d: str) -> DataFrame:
     path = _scratch(spark, "csv")
     rows = corpus(spark, d)
     csv_files.export_csv(rows, path)
-    good, _ = csv_files.read_csv_table(spark, path, "legal_documents", rows.columns)
+    good, _ = csv_files.read_csv_table(spark, path, "legal_documents", rows.columns, foreign=False)
     return good.select(
         "id", "document_number", "document_type", "issuing_authority",
         C.iso(F.col("issue_date"), "date").alias("issue_date"), "content_text",
@@ -495,10 +495,26 @@ def s4_quarantine(spark: SparkSession, d: str) -> DataFrame:
         F.lit("Đã biết").alias("effective_date"),
     )
     csv_files.export_csv(rows, path)
-    _, bad = csv_files.read_csv_table(spark, path, "legal_documents", rows.columns)
+    _, bad = csv_files.read_csv_table(spark, path, "legal_documents", rows.columns, foreign=False)
     return bad.select("id", F.array_join("bad_columns", ",").alias("bad_columns"))
 
 
+@query("s4_foreign_csv", """
+SELECT doc_id AS id, 'n"' || source || '",\\' || chr(13) || chr(10) || lang AS document_number, nullif(trim(lang, 'es'), '') AS document_type, '' AS signer, text AS content_text FROM documents""")
+def s4_foreign(spark: SparkSession, d: str) -> DataFrame:
+    """A file as other programs write it: quotes doubled, line breaks and backslashes inside cells as they are."""
+    path = _scratch(spark, "foreign-csv")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    number = F.concat(F.lit('n"'), "source", F.lit('",\\\r\n'), "lang")
+    kind = F.coalesce(F.expr("nullif(trim(BOTH 'es' FROM lang), '')"), F.lit(""))
+    lines = table(spark, d, "documents").select(F.concat_ws(",", F.col("doc_id").cast("string"), quoted(number), kind, F.lit('""'), quoted(F.col("text"))).alias("value"))
+    columns = ["id", "document_number", "document_type", "signer", "content_text"]
+    header = spark.createDataFrame([(",".join(columns),)], "value STRING")
+    header.union(lines).coalesce(1).write.text(path)
+    good, _ = csv_files.read_csv_table(spark, path, "legal_documents", columns)
+    return good.select(columns)
+
+
 _LISTED = "CASE WHEN lang = 'es' THEN '  ' ELSE ' ' || md5(text) || ' ' END"
 
 

@@ -1,3 +1,4 @@
+import csv
 import json
 import os
 from datetime import date
@@ -31,7 +32,7 @@ def test_csv_round_trip(spark, tmp_path):
     path = str(tmp_path / "out")
     csv_files.export_csv(df, path, single_file=True)
     assert len([f for f in os.listdir(path) if f.endswith(".csv")]) == 1
-    good, bad = csv_files.read_csv_table(spark, path, "legal_documents", COLUMNS)
+    good, bad = csv_files.read_csv_table(spark, path, "legal_documents", COLUMNS, foreign=False)
     got = sorted(good.select(*COLUMNS).collect())
     assert bad.count() == 0
     assert [tuple(r) for r in got] == rows
@@ -63,20 +64,54 @@ def test_csv_import_quarantine_and_strict(spark, tmp_path):
     assert spark.read.parquet(target).count() == 2
 
 
-def test_csv_files_split_and_foreign_ones_do_not(spark, tmp_path):
+def test_csv_files_split(spark, tmp_path):
     path = str(tmp_path / "big")
     df = spark.range(4000).select("id", F.concat(F.lit("line\n"), F.col("id")).alias("content_text"))
     csv_files.export_csv(df, path, single_file=True)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
     try:
-        good, _ = csv_files.read_csv_table(spark, path, "legal_documents", ["id", "content_text"])
+        good, _ = csv_files.read_csv_table(spark, path, "legal_documents", ["id", "content_text"], foreign=False)
         assert good.rdd.getNumPartitions() > 1
         assert sorted(r.content_text for r in good.collect()) == sorted(f"line\n{i}" for i in range(4000))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    other = write(tmp_path, 'id,content_text\n1,"a\nb \\n"\n')
-    good, _ = csv_files.read_csv_table(spark, other, "legal_documents", ["id", "content_text"], foreign=True)
-    assert [(r.id, r.content_text) for r in good.collect()] == [(1, "a\nb \\n")]
+
+
+TRICKY = ["a\nb \\n", 'say ""hi""\n', '""', "\n\n\n", "plain, with comma", "\r\nx\r\n", '""\n""\n""', "C:\\new", ""]
+
+
+@pytest.mark.parametrize("ending", ("\n", "\r\n"))
+def test_foreign_csv_in_blocks(spark, tmp_path, ending):
+    """Files with breaks inside quotes, read in many blocks that begin anywhere, against a reader of whole files."""
+    columns = ["id", "content_text", "signer"]
+    for name, count in (("a", 700), ("b", 90), ("c", 0)):
+        rows = [f'{i},"{TRICKY[i % len(TRICKY)]}",' + ('""' if i % 3 else "s") for i in range(count)]
+        (tmp_path / f"{name}.csv").write_bytes(ending.join([",".join(columns), *rows, "", ""]).encode())
+    want = []
+    for name in "abc":
+        with open(tmp_path / f"{name}.csv", encoding="utf-8", newline="") as file:
+            want += [(int(i), text, signer) for i, text, signer in [r for r in csv.reader(file) if r][1:]]
+    want.sort()
+    if ending == "\n":  # the whole-file reader changes the breaks inside cells of other files
+        whole = spark.read.schema("id STRING, content_text STRING, signer STRING").csv(str(tmp_path), header=True, quote='"', escape='"', multiLine=True, nullValue="\0")
+        assert sorted((int(r.id), r.content_text, r.signer) for r in whole.collect()) == want
+    for size in ("64", "997", "1m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "16")
+        try:
+            good, bad = csv_files.read_csv_table(spark, str(tmp_path), "legal_documents", columns)
+            assert sorted((r.id, r.content_text, r.signer) for r in good.collect()) == want and bad.count() == 0
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(want) == 790
+
+
+@pytest.mark.parametrize("text, error", (('id,signer\n1,"open\n', "unclosed quotes"), ("id,author\n1,x\n", "unexpected CSV header")))
+def test_foreign_csv_that_is_none(spark, tmp_path, text, error):
+    good, _ = csv_files.read_csv_table(spark, write(tmp_path, text), "legal_documents", ["id", "signer"])
+    with pytest.raises(Exception, match=error):
+        good.collect()
 
 
 def test_key_list_keeps_order_and_repetitions(spark, tmp_path):
