@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexloom.functions import text as T
@@ -12,7 +13,7 @@ from lexloom.operators import lookup as L
 from lexloom.plans.inputs import CORPUS_SQL, KEY_LIST_SQL, corpus, key_list
 from lexloom.plans.registry import query, table
 from lexloom.session import materialize, scratch_path
-from lexloom.sources import csv_files, json_files, key_lists, tables
+from lexloom.sources import csv_files, json_files, key_lists, layouts, tables
 
 _BOTH = f"WITH {CORPUS_SQL}, {KEY_LIST_SQL}"
 
@@ -58,6 +59,38 @@ def q1_keyset(spark: SparkSession, d: str) -> DataFrame:
     return C.listing_after(corpus(spark, d).select("id", "document_number", "document_type"), 150)
 
 
+@query("q1_listing_deep", f"""WITH {CORPUS_SQL},
+n AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS pos, count(*) OVER () AS total FROM corpus)
+SELECT id, document_number, document_type, CAST(pos AS BIGINT) AS pos FROM n
+WHERE pos >= total * 9 // 10 AND pos < total * 9 // 10 + 100 OR pos >= total - 5""")
+def q1_deep(spark: SparkSession, d: str) -> DataFrame:
+    """A page at nine tenths of the table and the last five rows, read by position."""
+    rows = corpus(spark, d).select("id", "document_number", "document_type")
+    root = _scratch(spark, "positions")
+    layouts.write_positions(rows, root, ["id"])
+    total = spark.read.parquet(f"{root}/parts").agg(F.sum("n")).first()[0] or 0
+    place = Window.orderBy("id")  # of one page
+
+    def page(skip: int, limit: int) -> DataFrame:
+        return layouts.page_at(spark, root, skip, limit).withColumn("pos", F.row_number().over(place) - 1 + F.lit(skip).cast("bigint"))
+
+    return page(total * 9 // 10, 100).union(page(total - 5, 5)).distinct()
+
+
+@query("q2_point_lookup", """
+SELECT doc_id AS id, doc_id || '/QĐ' AS document_number, lang, md5(text) AS digest FROM documents WHERE doc_id IN (117, 42)""")
+def q2_point(spark: SparkSession, d: str) -> DataFrame:
+    """Two numbers there are and two there are not, each looked up in a table sorted by number with bloom filters."""
+    docs = table(spark, d, "documents").select(
+        F.col("doc_id").alias("id"), F.concat(F.col("doc_id"), F.lit("/QĐ")).alias("document_number"), "lang", F.md5("text").alias("digest")
+    )
+    path = _scratch(spark, "numbers")
+    layouts.write_numbers(docs, path)
+    stored = spark.read.parquet(path)
+    found = [C.first_by_number(stored, number) for number in ("117/QĐ", "117/QD", "42/QĐ", "/QĐ")]
+    return functools.reduce(DataFrame.union, found)
+
+
 @query("q2_first_by_number", """
 SELECT doc_id AS id, source AS document_number, lang FROM documents WHERE source = 'src7' ORDER BY doc_id LIMIT 1""")
 def q2(spark: SparkSession, d: str) -> DataFrame:

@@ -10,6 +10,7 @@ from lexloom.plans.corpus_plans import structure_corpus
 from lexloom.plans.inputs import STATUTE_SQL, statutes
 from lexloom.plans.queries_corpus import _scratch
 from lexloom.plans.registry import query, table
+from lexloom.sources import layouts
 from lexloom.streaming.pages import append_to, article_stream, page_stream
 
 def _nodes(spark: SparkSession, d: str) -> DataFrame:
@@ -228,6 +229,20 @@ def p12_under(spark: SparkSession, d: str) -> DataFrame:
     return S.under_heading(_articles(spark, d), "Mục 2").select("document_id", "seq")
 
 
+@query("p12_index_lookup", f"""WITH {STATUTE_SQL}
+SELECT 'Mục 2' AS wanted, doc_id AS document_id, seq FROM nodes
+WHERE level = 4 AND last3 > greatest(coalesce(last1, -1), coalesce(last2, -1))
+UNION ALL
+SELECT 'both', doc_id, seq FROM nodes
+WHERE level = 4 AND last3 > greatest(coalesce(last1, -1), coalesce(last2, -1)) AND last2 > coalesce(last1, -1)""")
+def p12_index(spark: SparkSession, d: str) -> DataFrame:
+    """Articles under one heading, and under two, from an index by label."""
+    root = _scratch(spark, "headings")
+    layouts.write_headings(_articles(spark, d), root, ["document_id", "seq"])
+    label = lambda wanted, name: layouts.under_headings(spark, root, wanted).select(F.lit(name).alias("wanted"), "document_id", "seq")
+    return label(["Mục 2"], "Mục 2").union(label(["Mục 2", "Chương II"], "both"))
+
+
 @query("p13_outline", f"""WITH {STATUTE_SQL}
 SELECT doc_id AS document_id, seq, CAST(len(ancestors) AS BIGINT) AS depth,
   repeat('  ', len(ancestors)) || '- **' || type || '**' ||
