@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Queue states, the length of stored errors, messages and labels below.
@@ -99,7 +99,8 @@ def apply_attempts(tracker: DataFrame, counted: DataFrame, max_retries: int = 3)
 
     A success settles every row of its key; a failure those that were worth an attempt.
     """
-    ends = Window.partitionBy(*_KEYS).orderBy(F.desc("_rank"))
+    # Later rounds count only later attempts, so time orders the attempts of several rounds as well.
+    ends = Window.partitionBy(*_KEYS).orderBy(F.desc("attempted_at"), F.desc("_rank"))
     last = counted.withColumn("_back", F.row_number().over(ends)).filter("_back = 1").select(
         *_KEYS, F.struct("attempted_at", "ok", "error", (F.col("_retries") + F.col("_rank")).alias("retries")).alias("_last")
     )
@@ -220,3 +221,14 @@ def table_status(tables: dict[str, DataFrame]) -> DataFrame:
     for other in counts[1:]:
         out = out.unionByName(other)
     return out.withColumn("status", F.when(F.col("count") > 0, "Có dữ liệu").otherwise("Trống"))
+
+
+def stored_status(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """``table_status`` of Parquet tables, counted from the footers of their files: no column is read.
+
+    Footers are asked through a session of its own, whose settings differ from the caller's.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return table_status({name: session.read.parquet(path) for name, path in paths.items()})

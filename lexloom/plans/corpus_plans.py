@@ -34,6 +34,17 @@ class Fetched:
     records: DataFrame
     tracker: DataFrame
     summary: DataFrame
+    attempts: DataFrame
+
+
+def captures_to_try(keys: DataFrame, pages: DataFrame) -> DataFrame:
+    """Captures of open keys newer than their last attempt.
+
+    With pages and queue in tables bucketed by type and key (``tables.write_bucketed``) neither is shuffled.
+    """
+    wanted = keys.select(F.col("document_id").alias("doc_key"), F.col("document_type").alias("doc_type"), "_since")
+    fresh = F.col("_since").isNull() | (F.col("fetched_at") > F.col("_since"))
+    return pages.join(wanted, ["doc_type", "doc_key"]).filter(fresh).drop("_since")
 
 
 def fetch(
@@ -50,9 +61,7 @@ def fetch(
     if batch_size is not None:
         batch = queue.next_batch(tracker, doc_type, batch_size, max_retries)
         keys = keys.join(batch.select("document_id", "document_type"), ["document_id", "document_type"], "left_semi")
-    wanted = keys.select(F.col("document_id").alias("doc_key"), F.col("document_type").alias("doc_type"), "_since")
-    fresh = F.col("_since").isNull() | (F.col("fetched_at") > F.col("_since"))
-    picked = pages.join(wanted, ["doc_type", "doc_key"]).filter(fresh).drop("_since")
+    picked = captures_to_try(keys, pages)
     extract = {"law": extraction.law_records, "judgment": extraction.judgment_records}[doc_type]
     records = materialize(extract(picked, keep=("doc_type", "doc_key", "fetched_at")), "fetched")
     attempt_id = F.xxhash64("doc_type", "doc_key", "fetched_at")
@@ -70,6 +79,7 @@ def fetch(
         records=records.filter("error IS NULL").withColumn("attempt_id", attempt_id).join(won, "attempt_id").drop("error", "attempt_id"),
         tracker=queue.apply_attempts(tracker, counted, max_retries),
         summary=queue.run_summary(counted),
+        attempts=counted,
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,9 +14,11 @@ from lexloom.plans.inputs import ATTEMPTS_SQL, TRACKER_SQL, attempts, law_pages,
 from lexloom.plans.queries_corpus import _scratch
 from lexloom.plans.registry import query, table
 from lexloom.session import materialize
+from lexloom.sources import tables
 from lexloom.streaming import attempts as stream_attempts
 from lexloom.streaming import enqueue as stream_enqueue
-from lexloom.streaming.pages import page_stream
+from lexloom.streaming import fetch as stream_fetch
+from lexloom.streaming.pages import append_to, page_stream
 
 # --- ids from result pages --------------------------------------------------------------------
 
@@ -289,6 +293,14 @@ def t8(spark: SparkSession, d: str) -> DataFrame:
     return Q.table_status({n: table(spark, d, n) for n in _STATUS_TABLES})
 
 
+@query("t8_stored_status", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS count, CASE WHEN count(*) > 0 THEN 'Có dữ liệu' ELSE 'Trống' END AS status FROM {n}"
+    for n in _STATUS_TABLES))
+def t8_stored(spark: SparkSession, d: str) -> DataFrame:
+    """Counts from the footers of the files."""
+    return Q.stored_status(spark, {n: f"{d}/{n}.parquet" for n in _STATUS_TABLES})
+
+
 # --- streams ----------------------------------------------------------------------------------
 
 _EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -311,6 +323,26 @@ def r2(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(root).select("document_id", "document_type")
 
 
+@query("r2_first_seen_horizon", """
+SELECT document_id, document_type, CAST(unnest([0, 4]) AS INTEGER) AS arrival FROM (SELECT DISTINCT md5(text) AS document_id, 'law' AS document_type FROM documents)""")
+def r2_horizon(spark: SparkSession, d: str) -> DataFrame:
+    """Ids arrive, again two days later (inside the horizon of a week, dropped), and after forty days (new again).
+
+    Between them other arrivals move the watermark past the horizon, so that the state of the first ones goes.
+    """
+    root = _scratch(spark, "arrivals")
+    ids = table(spark, d, "documents").select(F.md5("text").alias("document_id"), F.lit("law").alias("document_type"), (F.col("doc_id") % 5).alias("day"))
+    marks = spark.range(1).select(F.lit("mark").alias("document_id"), F.lit("mark").alias("document_type"), F.lit(0).cast("bigint").alias("day"))
+    # Written one after the other: files are taken in the order of their age, one a micro-batch.
+    for n, (rows, after) in enumerate(((ids, 0), (ids, 2), (marks, 30), (marks, 31), (ids, 40))):
+        at = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.col("day").cast("int") + after)
+        rows.select("document_id", "document_type", at.alias("seen_at"), F.lit(n).alias("arrival")).coalesce(1).write.mode("append").parquet(root)
+    stream = page_stream(spark, root, "document_id STRING, document_type STRING, seen_at TIMESTAMP, arrival INT", files_per_batch=1)
+    out = _scratch(spark, "first-seen")
+    append_to(stream_enqueue.first_seen(stream, "seen_at", "7 days"), out, f"{out}-checkpoint").awaitTermination()
+    return spark.read.parquet(out).filter("document_type = 'law'").select("document_id", "document_type", "arrival")
+
+
 @query("r3_attempt_stream", _FOLD)
 def r3(spark: SparkSession, d: str) -> DataFrame:
     """Events in four files, dealt by their id and so not in time order, one file a micro-batch: the last
@@ -341,7 +373,7 @@ def r3(spark: SparkSession, d: str) -> DataFrame:
 _TWICE = 10**12  # ids of second rows of a key
 
 
-@query("fetch_round", f"""
+_FETCH = f"""
 WITH t AS (
   SELECT *, doc_id % 5 = 0 AS twice, CASE WHEN source = 'src3' THEN 'none' WHEN source = 'src7' OR lang = 'de' THEN 'failed' ELSE 'ok' END AS outcome,
     doc_id % 10 = 0 AS stored, CAST(doc_id % 3 AS INTEGER) AS own FROM documents),
@@ -354,13 +386,12 @@ SELECT id, CAST(doc_id AS VARCHAR) AS document_id,
   CASE WHEN outcome = 'ok' OR done THEN 'success' WHEN outcome = 'failed' AND used + 1 >= 3 THEN 'failed' ELSE 'pending' END AS status,
   CASE WHEN outcome = 'ok' THEN 0 WHEN outcome = 'none' OR done THEN retry ELSE used + 1 END AS retry_count,
   CASE WHEN outcome = 'failed' AND NOT done THEN CASE WHEN source = 'src7' THEN 'HTTP status 404' ELSE 'impossible effective date: 31/02/2020' END END AS error_log,
-  CASE WHEN outcome = 'ok' THEN 1 ELSE 0 END AS first_records, 0 AS second_records
-FROM q""")
-def fetch_round(spark: SparkSession, d: str) -> DataFrame:
-    """Two rounds over the same captures: the second finds nothing new and changes nothing.
+  CASE WHEN outcome = 'ok' THEN 1 ELSE 0 END AS first_records
+FROM q"""
 
-    A fifth of the keys is queued twice, some with a first row that has succeeded before.
-    """
+
+def _fetch_input(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Captures and a queue in which a fifth of the keys stands twice, some with a first row that has succeeded before."""
     at = F.lit("2024-01-01").cast("timestamp_ntz")
     pages = law_pages(spark, d).withColumns({"doc_type": F.lit("law"), "fetched_at": at})
     once = table(spark, d, "documents").select(
@@ -375,16 +406,46 @@ def fetch_round(spark: SparkSession, d: str) -> DataFrame:
     )
     changed = {"id": F.col("id") + _TWICE, "status": F.lit("pending"), "retry_count": F.lit(1), "last_attempt": F.lit(None).cast("timestamp_ntz")}
     rows = once.union(once.filter("id % 5 = 0").withColumns(changed))
-    first = fetch(rows, pages, "law")
-    second = fetch(materialize(first.tracker, "tracker"), pages, "law")
+    return rows, pages
 
-    def per_key(records: DataFrame, name: str) -> DataFrame:
-        return records.groupBy(F.col("doc_key").alias("document_id")).agg(F.count("*").cast("int").alias(name))
 
-    counted = second.tracker.join(per_key(first.records, "first_records"), "document_id", "left").join(per_key(second.records, "second_records"), "document_id", "left")
-    return counted.na.fill(0, ["first_records", "second_records"]).select(
-        "id", "document_id", "status", "retry_count", "error_log", "first_records", "second_records"
-    )
+def _with_records(state: DataFrame, **records: DataFrame) -> DataFrame:
+    """Queue rows with the number of records of their key in each of ``records``."""
+    for name, found in records.items():
+        per_key = found.groupBy(F.col("doc_key").alias("document_id")).agg(F.count("*").cast("int").alias(name))
+        state = state.join(per_key, "document_id", "left")
+    return state.na.fill(0, list(records)).select("id", "document_id", "status", "retry_count", "error_log", *records)
+
+
+@query("fetch_round", f"SELECT *, 0 AS second_records FROM ({_FETCH})")
+def fetch_round(spark: SparkSession, d: str) -> DataFrame:
+    """Two rounds over the same captures: the second finds nothing new and changes nothing."""
+    rows, pages = _fetch_input(spark, d)
+    first = fetch(rows, pages, "law")
+    second = fetch(materialize(first.tracker, "tracker"), pages, "law")
+    return _with_records(second.tracker, first_records=first.records, second_records=second.records)
+
+
+@query("fetch_round_bucketed", _FETCH)
+def fetch_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """The first round on a queue and captures stored in buckets of type and key."""
+    rows, pages = _fetch_input(spark, d)
+    buckets, name = int(spark.conf.get("spark.sql.shuffle.partitions")), uuid.uuid4().hex
+    rows = tables.write_bucketed(rows, f"queue_{name}", _scratch(spark, "queue"), ["document_type", "document_id"], buckets)
+    pages = tables.write_bucketed(pages, f"pages_{name}", _scratch(spark, "pages"), ["doc_type", "doc_key"], buckets)
+    done = fetch(rows, pages, "law")
+    return _with_records(done.tracker, first_records=done.records)
+
+
+@query("r1_fetch_stream", _FETCH)
+def r1_fetch(spark: SparkSession, d: str) -> DataFrame:
+    """The same round as a stream of captures dealt over micro-batches by their key."""
+    rows, pages = _fetch_input(spark, d)
+    root = _scratch(spark, "fetched")
+    captures = page_stream(spark, _in_files(pages, "doc_key", "captures-in"), pages.schema.simpleString()[7:-1].replace(":", " "), files_per_batch=1)
+    queued = materialize(rows, "queued")
+    stream_fetch.fetch_stream(captures, queued, root, f"{root}-checkpoint", "law").awaitTermination()
+    return _with_records(stream_fetch.tracker_after(queued, root), first_records=spark.read.parquet(f"{root}/records"))
 
 
 @query("discover_round", """

@@ -79,6 +79,17 @@ def write_snapshot(rows: DataFrame, root: str, version: int) -> str:
     return path
 
 
+def write_bucketed(rows: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Catalog table ``name`` under ``path``, in buckets of a hash of ``keys``, sorted by them.
+
+    Tables bucketed alike by equal keys (the queue's type and id, the pages' type and key) are joined and
+    grouped by those keys without a shuffle. ``buckets`` belongs to the layout: a bucket is read by one task.
+    """
+    dealt = rows.repartition(buckets, *keys)  # one file a bucket
+    dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return rows.sparkSession.table(name)
+
+
 # --- JSON columns -----------------------------------------------------------------------------
 
 
