@@ -6,13 +6,13 @@ order needs one, or merged into the turn before; dynamic programming over the st
 put out" finds the repair of least cost. Of repairs of equal cost the one that puts out rather than merges,
 inserts rather late, and relabels to the earlier role in system, user, assistant is taken.
 
-Steps of the program are min-plus matrices, and these are associative: conversations are cut into blocks of
-``BLOCK`` turn numbers, each block becomes one matrix, the matrices of a conversation are combined in levels
+Steps of the program are min-plus matrices, and these are associative: the rows of a conversation are numbered
+in order, by counts per range partition, and cut into blocks of ``BLOCK`` rows, each block becomes one matrix, the matrices of a conversation are combined in levels
 of ``FAN`` blocks, and the chosen states go back down to the blocks, which repair their own turns. So a
 conversation of any length is many bounded tasks, and the result stays one row per turn.
 
 * Rows repeated in all of conversation, turn, role and text count once.
-* Several rows of one turn number follow one another by role, then text.
+* Turn numbers may be negative, far apart, or shared: rows follow one another by turn, role, hash of the text, text.
 * Rows without conversation or turn number are conversations of their own, one each.
 * Roles are compared without case and outer blanks; unknown and NULL roles cost a relabelling.
 * NULL and empty texts are turns with empty text. An empty table gives an empty result.
@@ -28,7 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.common import materialize
+from lexloom.llm.common import materialize, numbered
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -39,7 +39,7 @@ NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (
 MERGE, RELABEL, INSERT = 1, 2, 3
 #: Cost of ending in each state, and the empty turns that this adds.
 ENDING = {START: (), SYSTEM: (USER, ASSISTANT), USER: (ASSISTANT,), ASSISTANT: ()}
-#: Turn numbers in a block, blocks in a group of the level above.
+#: Rows in a block, blocks in a group of the level above.
 BLOCK, FAN = 256, 64
 _FAR = 1 << 40
 
@@ -158,8 +158,10 @@ def _turns(conversations: DataFrame) -> DataFrame:
     role = F.lower(F.trim("role"))
     state = F.coalesce(F.array_position(F.array(*map(F.lit, ROLES)), role), F.lit(0)).cast("int")
     key = F.when(alone, F.concat(F.lit("~"), F.md5(F.to_json(F.struct("conv_id", "turn", "role", "text"))))).otherwise(F.col("conv_id").cast("string"))
-    block = F.when(alone, 0).otherwise(F.floor(F.col("turn") / BLOCK)).cast("long")
-    return rows.select("*", key.alias("key"), block.alias("block"), state.alias("role_state"))
+    keyed = rows.select("*", key.alias("key"), F.xxhash64("text").alias("text_hash"), state.alias("role_state"))
+    # Ranges are cut by the hash, not by texts, whose sample would go through the driver.
+    placed = numbered(keyed, "key", "turn", "role", "text_hash")
+    return placed.withColumn("block", F.expr(f"at div {BLOCK}"))
 
 
 def repair(conversations: DataFrame) -> DataFrame:
@@ -174,8 +176,8 @@ def repair(conversations: DataFrame) -> DataFrame:
 
     matrix_types = [pa.string(), pa.int64(), pa.list_(pa.int64())]
     schema = "key string, block long, costs array<long>"
-    narrow = turns.select(*key, "turn", "role", "text", "role_state")
-    level = materialize(_sorted(narrow, key, "turn", "role", "text").drop("text").mapInArrow(_grouped(key, summed, ["key", "block", "costs"], matrix_types), schema), "blocks")
+    narrow = turns.select(*key, "at", "role_state")
+    level = materialize(_sorted(narrow, key, "at").mapInArrow(_grouped(key, summed, ["key", "block", "costs"], matrix_types), schema), "blocks")
     levels = [level]
 
     def combined(rows: list[dict]) -> list[tuple]:
@@ -185,7 +187,7 @@ def repair(conversations: DataFrame) -> DataFrame:
         return [(rows[0]["key"], rows[0]["group"], total)]
 
     while level.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
-        grouped = level.withColumn("group", F.floor(F.col("block") / FAN))
+        grouped = level.withColumn("group", F.expr(f"block div {FAN}"))
         one = ("key", "group")
         level = materialize(_sorted(grouped, one, "block").mapInArrow(_grouped(one, combined, ["key", "block", "costs"], matrix_types), schema), "blocks")
         levels.append(level)
@@ -204,7 +206,7 @@ def repair(conversations: DataFrame) -> DataFrame:
     way_names, way_types = ["key", "block", "entry", "leave", "last"], [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
     for lower in reversed(levels[:-1]):
         above = ways.withColumnRenamed("block", "group")
-        joined = lower.withColumn("group", F.floor(F.col("block") / FAN)).join(above, ["key", "group"])
+        joined = lower.withColumn("group", F.expr(f"block div {FAN}")).join(above, ["key", "group"])
         ways = _sorted(joined, ("key", "group"), "block").mapInArrow(
             _grouped(("key", "group"), divided, way_names, way_types), "key string, block long, entry int, leave int, last boolean"
         )
@@ -217,7 +219,7 @@ def repair(conversations: DataFrame) -> DataFrame:
 
     kinds = turns.select(*own)
     arrow = [*(pa.from_numpy_dtype("int64") if f.dataType.typeName() == "long" else pa.int32() if f.dataType.typeName() == "integer" else pa.string() for f in kinds.schema), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string()]
-    together = _sorted(turns.join(ways, list(key)), key, "turn", "role", "text")
+    together = _sorted(turns.join(ways, list(key)), key, "at")
     names = [*own, "out_role", "action", "inserted", "cost", "piece"]
     schema = kinds.schema
     for part in out_types.split(", "):

@@ -10,12 +10,13 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lexloom.session import materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["held_out", "labelled_sample", "materialize", "share_below", "slices"]
+__all__ = ["held_out", "labelled_sample", "materialize", "numbered", "share_below", "slices"]
 
 FOLDS = 5
 _UNIT = 1_000_000
@@ -52,6 +53,23 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, rows: i
     return found.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("label").alias("label")).select("text", "label")
 
 
+def numbered(rows: DataFrame, group: str, *order: str) -> DataFrame:
+    """Rows with their place ``at`` in their group, from 0, and the group's number of rows ``total``.
+
+    Rows are dealt by range of group and ``order`` (which should tell rows apart), written in order, and counted
+    per partition; sums of the counts before give every partition its offset. So a group of any size is spread.
+    """
+    ranged = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+    table = materialize(ranged.withColumn("place", F.monotonically_increasing_id()), "ranged")
+    table = table.withColumn("part", F.shiftright("place", 33))
+    parts = table.groupBy(group, "part").agg(F.min("place").alias("first"), F.count("*").alias("n"))  # one row per partition and group
+    whole = Window.partitionBy(group)
+    earlier = F.sum("n").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = parts.select(group, "part", "first", F.coalesce(earlier, F.lit(0)).alias("before"), F.sum("n").over(whole).alias("total"))
+    at = F.col("before") + F.col("place") - F.col("first")
+    return table.join(offsets, [group, "part"]).select(*rows.columns, at.alias("at"), "total")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about ``most`` bytes of ``column``, one row at least."""
     for batch in batches:

@@ -31,9 +31,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from lexloom.llm.common import materialize
+from lexloom.llm.common import materialize, numbered
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -75,17 +74,8 @@ def climbed(nodes: list[str], width: int, levels: int, fanout: int) -> tuple[lis
 
 def _placed(rows: DataFrame, fanout: int, *order: str) -> DataFrame:
     """Rows with their place ``at`` in the tree, its number ``total`` of leaves, their ``block`` and the number ``blocks``."""
-    ranged = rows.repartitionByRange("tree", *order).sortWithinPartitions("tree", *order)
-    table = materialize(ranged.withColumn("place", F.monotonically_increasing_id()), "ranged")
-    table = table.withColumn("part", F.shiftright("place", 33))
-    parts = table.groupBy("tree", "part").agg(F.min("place").alias("first"), F.count("*").alias("n"))  # one row per partition and tree
-    tree = Window.partitionBy("tree")
-    earlier = F.sum("n").over(tree.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = parts.select("tree", "part", "first", F.coalesce(earlier, F.lit(0)).alias("before"), F.sum("n").over(tree).alias("total"))
-    at = F.col("before") + F.col("place") - F.col("first")
     span = F.lit(fanout**BLOCK)
-    numbered = table.join(offsets, ["tree", "part"]).withColumn("at", at)
-    return numbered.withColumn("block", F.call_function("div", F.col("at"), span)).withColumn("blocks", F.ceil(F.col("total") / span))
+    return numbered(rows, "tree", *order).withColumn("block", F.call_function("div", F.col("at"), span)).withColumn("blocks", F.ceil(F.col("total") / span))
 
 
 def _ordered(table: pa.Table) -> tuple[pa.Table, int]:
