@@ -3,14 +3,14 @@
 Spark expressions only, row by row, no shuffle. The kinds, in this order:
 
 * ``email``, ``ip`` (parts at most 255), ``card`` (13 to 19 digits passing Luhn), ``phone`` (9 to 15 digits);
-* ``iban`` (mod-97) and ``national_id`` (weak by itself: counts only with a context word nearby).
+* ``iban`` (mod-97; in one run or printed in groups of four, in any case) and ``national_id`` (weak by itself: counts only with a context word nearby).
 
 Matches of one kind are leftmost and do not overlap; a match that fails its check is dropped and not tried
 again at other places. Spans count code points, the end is exclusive. Spans of different kinds may overlap.
 
 * NULL and empty text: no spans. Repeated rows stay. An empty table gives an empty result.
 * Long runs and texts: the patterns neither back up over a run nor start inside one, so a text is scanned
-  in time linear in its length; positions are summed in blocks.
+  in time linear in its length, and so are the places of any number of matches.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.functions.arrays import let
+from lexloom.functions.arrays import fold_emitting, let
 
 #: Code points before and after a span in which context words count.
 NEAR = 40
@@ -29,7 +29,7 @@ NEAR = 40
 BONUS = 0.3
 #: Spans below this score are not reported.
 LEAST_SCORE = 0.5
-_BLOCK = 64
+_CHUNK = 1024
 
 
 def _digits(match: Column) -> Column:
@@ -48,8 +48,15 @@ def luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(places, worth), F.lit(0), lambda a, x: a + x) % 10 == 0
 
 
-def mod97(account: Column) -> Column:
-    """ISO 7064 mod 97-10 of an account number: first four characters to the end, letters as 10 to 35."""
+def mod97(written: Column) -> Column:
+    """ISO 7064 mod 97-10 of an account number: first four characters to the end, letters as 10 to 35.
+
+    Blanks and case do not count.
+    """
+    return let(F.upper(F.replace(written, F.lit(" "), F.lit(""))), _mod97)
+
+
+def _mod97(account: Column) -> Column:
     moved = F.concat(F.substring(account, F.lit(5), F.length(account)), F.substring(account, F.lit(1), F.lit(4)))
 
     def step(rest: Column, c: Column) -> Column:
@@ -83,6 +90,12 @@ class Kind:
     shortest: int
 
 
+# Account numbers as one run, or printed in groups of four. Groups after the bank's hold a digit, so words that
+# follow are not taken for groups. Lookarounds are word boundaries of ASCII.
+_FOUR = "(?:[0-9][A-Z0-9]{3}|[A-Z][0-9][A-Z0-9]{2}|[A-Z]{2}[0-9][A-Z0-9]|[A-Z]{3}[0-9])"
+_REST = "(?:[0-9][A-Z0-9]{0,2}|[A-Z][0-9][A-Z0-9]?|[A-Z]{2}[0-9])"
+IBAN = rf"[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|\x20[A-Z0-9]{{4}}(?:\x20{_FOUR}){{1,6}}(?:\x20{_REST})?)"
+
 # A run of a class is entered only at its first character, or where the last match ended: from any other
 # place of the run the same match would have begun earlier.
 KINDS = (
@@ -90,26 +103,33 @@ KINDS = (
     Kind("ip", ".", r"(?=[0-9])(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", _small_parts, 0.6, r"(?i)\b(ip|host|server|address|login)\b", 7),
     Kind("card", "", r"[0-9](?:[\x20-]?[0-9])++", _card, 0.8, r"(?i)\b(card|credit|visa|payment|pay)\b", 2),
     Kind("phone", "+", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: F.length(_digits(m)).between(9, 15), 0.6, r"(?i)\b(phone|tel|call|mobile|fax)\b", 4),
-    Kind("iban", "", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])", mod97, 0.9, r"(?i)\b(iban|bank|account)\b", 15),
+    Kind("iban", "", rf"(?i)(?<![A-Z0-9_]){IBAN}(?![A-Z0-9_])", mod97, 0.9, r"(?i)\b(iban|bank|account)\b", 15),
     Kind("national_id", "-", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", lambda m: F.lit(True), 0.3, r"(?i)\b(ssn|social|security|identity)\b", 11),
 )
 BASE = 4  # kinds that the plain patterns and checks decide; their spans are always reported
 
 
 def running(values: Column, add: Callable[[Column, Column], Column], zero: Column) -> Column:
-    """What stands before each place of an array, folded: block by block, so long arrays stay cheap."""
+    """What stands before each place of an array of numbers, folded, in time linear in its length."""
+    return let(values, lambda v: fold_emitting(v, zero, lambda acc, x: (add(acc, x), F.array(acc)), "int", lambda _, before: before))
 
-    def fold(part: Column) -> Column:
-        return F.aggregate(part, zero, add)
 
-    def spread(blocks: Column) -> Column:
-        def within(block: Column, first: Column) -> Column:
-            return F.transform(block, lambda _, i: add(first, fold(F.slice(block, 1, i))))
+def pieces_of(text: Column, body: Callable[[Callable[[Column, Column], Column]], Column]) -> Column:
+    """``body`` with a function (start, end) that cuts the text without walking to the start each time.
 
-        return let(F.transform(blocks, fold), lambda sums: F.flatten(F.transform(blocks, lambda b, j: let(fold(F.slice(sums, F.lit(1), j)), lambda first: within(b, first)))))
+    Places count code points; a text is cut into chunks once, and a piece is taken from the chunks it lies in.
+    """
+
+    def cutting(chunks: Column) -> Column:
+        def piece(start: Column, end: Column) -> Column:
+            first = F.call_function("div", start, F.lit(_CHUNK)).cast("int")
+            count = F.call_function("div", end - 1, F.lit(_CHUNK)).cast("int") - first + 1
+            held = F.array_join(F.slice(chunks, first + 1, F.greatest(count, F.lit(0))), "")
+            return F.when(end > start, F.substring(held, start - first * _CHUNK + 1, end - start)).otherwise("")
 
-    starts = F.when(F.size(values) > 0, F.sequence(F.lit(1), F.size(values), F.lit(_BLOCK))).otherwise(F.array().cast("array<int>"))
-    return let(F.transform(starts, lambda s: F.slice(values, s, F.lit(_BLOCK))), spread)
+        return body(piece)
+
+    return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0)), cutting)
 
 
 def _matches(text: Column, kind: Kind) -> Column:
@@ -198,12 +218,15 @@ def redact(documents: DataFrame) -> DataFrame:
             heads = F.filter(F.transform(ordered, lambda s, i: F.when(s["start"] >= F.get(ends, i), i)), lambda i: i.isNotNull())
 
             def joined(at: Column) -> Column:
-                def piece(i: Column) -> Column:
-                    s, past = F.get(ordered, i), F.get(ends, i)
-                    return F.concat(F.substring("text", past + 1, s["start"] - past), F.get(names, s["kind"]))
+                def cutting(piece: Callable[[Column, Column], Column]) -> Column:
+                    def replaced(i: Column) -> Column:
+                        s = F.get(ordered, i)
+                        return F.concat(piece(F.get(ends, i), s["start"]), F.get(names, s["kind"]))
+
+                    last = F.array_max(F.transform(ordered, lambda s: s["end"]))
+                    return F.concat(F.concat_ws("", F.transform(at, replaced)), piece(last, F.length("text")))
 
-                last = F.array_max(F.transform(ordered, lambda s: s["end"]))
-                return F.concat(F.concat_ws("", F.transform(at, piece)), F.substring("text", last + 1, F.length("text")))
+                return pieces_of(F.col("text"), cutting)
 
             return let(heads, joined)
 

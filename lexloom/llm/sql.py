@@ -119,14 +119,18 @@ FROM (SELECT q.doc_id, q.leaf, q.tree, q.p FROM placed q) JOIN (SELECT tree, sub
 WHERE len(x) = 1
 """
 
-# Kind, pattern of candidates, test of a candidate m, score, context. IBANs and national ids stand between
+# Kind, pattern of candidates, test of a candidate m, score, context. National ids stand between
 # characters that cannot continue them, so they are whole runs of such characters.
 _DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
 _LUHN = (  # j counts from 1
     "list_sum([CASE WHEN j % 2 = 0 THEN d * 2 - CASE WHEN d > 4 THEN 9 ELSE 0 END ELSE d END "
     f"FOR d, j IN [CAST(c AS INTEGER) FOR c IN string_split(reverse({_DIGITS}), '')]])"
 )
-_MOVED = "string_split(substr(m, 5) || substr(m, 1, 4), '')"
+_ACCOUNT = "upper(replace(m, ' ', ''))"
+_MOVED = f"string_split(substr({_ACCOUNT}, 5) || substr({_ACCOUNT}, 1, 4), '')"
+_FOUR = "(?:[0-9][A-Z0-9]{3}|[A-Z][0-9][A-Z0-9]{2}|[A-Z]{2}[0-9][A-Z0-9]|[A-Z]{3}[0-9])"
+_REST = "(?:[0-9][A-Z0-9]{0,2}|[A-Z][0-9][A-Z0-9]?|[A-Z]{2}[0-9])"
+_IBAN = rf"(?i)\b[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|\x20[A-Z0-9]{{4}}(?:\x20{_FOUR}){{1,6}}(?:\x20{_REST})?)\b"
 _MOD97 = (
     f"list_reduce([CAST(CASE WHEN c BETWEEN 'A' AND 'Z' THEN ascii(c) - 55 ELSE ascii(c) - 48 END AS BIGINT) FOR c IN {_MOVED}], "
     "lambda a, b: (a * CASE WHEN b > 9 THEN 100 ELSE 10 END + b) % 97, CAST(0 AS BIGINT)) % 97 = 1"
@@ -136,7 +140,7 @@ _KINDS = (
     ("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "len([p FOR p IN string_split(m, '.') IF CAST(p AS HUGEINT) > 255]) = 0", 0.6, r"(?i)\b(ip|host|server|address|login)\b"),
     ("card", r"[0-9](?:[\x20-]?[0-9])+", f"CASE WHEN length({_DIGITS}) BETWEEN 13 AND 19 THEN {_LUHN} % 10 = 0 ELSE false END", 0.8, r"(?i)\b(card|credit|visa|payment|pay)\b"),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15", 0.6, r"(?i)\b(phone|tel|call|mobile|fax)\b"),
-    ("iban", r"[A-Za-z0-9]+", f"CASE WHEN regexp_full_match(m, '[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}') THEN {_MOD97} ELSE false END", 0.9, r"(?i)\b(iban|bank|account)\b"),
+    ("iban", _IBAN, _MOD97, 0.9, r"(?i)\b(iban|bank|account)\b"),
     ("national_id", r"[0-9-]+", "regexp_full_match(m, '[0-9]{3}-[0-9]{2}-[0-9]{4}')", 0.3, r"(?i)\b(ssn|social|security|identity)\b"),
 )
 

@@ -3,6 +3,7 @@
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -213,6 +214,8 @@ def test_pii_context_lies_behind_other_matches(spark):
         "visa 11 22 4111 1111 1111 1111", "visa 11, 22, 33; 4111 1111 1111 1111", "4111111111111111, 12, 13, 14 card", "1a23;" * 9 + "4111111111111111;" + "1b23;" * 9 + "card",
         "pay " + "1a23;" * 7 + "4111111111111111", "a@b.co, é😀@c.de, x@y.zz mail", "write to a@b.co c@d.ef g@h.ij k@l.mn o@p.qr s@t.uv", "host 1.2.3.4 5.6.7.8 999.1.1.1 9.9.9.9",
         "tel +12345678901 x +123 +12345678902; +12345678903", "bank GB82WEST12345698765432 GB82WEST12345698765433 GB82WEST12345698765432", "ssn" + " " * 37 + "123-45-6789",
+        "pay DE89 3704 0044 0532 0130 00 from de89370400440532013000 or gb82 west 1234 5698 7654 32", "DE89 3704 0044 0532 0130 01", "xDE89 3704 0044 0532 0130 00, FR76 3000 6000 0112 3456 7890 189 soon",
+        "no GB82 WEST 1234 5698 765432", "_DE89370400440532013000 DE89370400440532013000_", "ES91 2100 0418 4502 0005 1332 next word Be68 5390 0754 7034.",
         "ssn" + " " * 36 + "123-45-6789", "ssn 12345678901 " + "é" * 23 + " 123-45-6789", "123-45-6789" + " 1-2" * 9 + " ssn", "123-45-6789 000-00-0000" + " " * 13 + "identity",
     ]
     docs = [(i, t) for i, t in enumerate(texts)]
@@ -224,6 +227,10 @@ def test_pii_context_lies_behind_other_matches(spark):
     found = {r[0]: r for r in base.execute(f"SELECT {', '.join(columns)}, round(lowest_score, 9) FROM ({PERSONAL})").fetchall()}
     assert {r["doc_id"]: (*(r[c] for c in columns), r["lowest_score"] and round(r["lowest_score"], 9)) for r in got.collect()} == found
     assert [found[i][6] for i in (0, 1)] == [2, 2]
+    printed = next(i for i, t in enumerate(texts) if t.startswith("pay DE89"))
+    assert [found[i][5] for i in range(printed, printed + 6)] == [3, 0, 1, 0, 0, 2]
+    accounts = spark.createDataFrame([(1, texts[printed])], "doc_id long, text string")
+    assert pii.redact(accounts).first()["text"] == "pay <IBAN> from <IBAN> or <IBAN>"
     both = spark.createDataFrame([(1, texts[1])], "doc_id long, text string")
     assert pii.redact(both).first()["text"] == "<NATIONAL_ID>, <NATIONAL_ID>: identity"
 
@@ -236,6 +243,19 @@ def test_redaction(spark, hard):
     assert pii.redact(hard).columns == hard.columns
 
 
+def test_pii_time_grows_with_the_matches(spark):
+    """A text of very many matches: twice as many take about twice the time, redaction included."""
+    seconds = {}
+    for count in (8_000, 128_000, 256_000):
+        text = "12, " * (count - 1) + "4111 1111 1111 1111 " + "a@b.co " * (count // 8)
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        assert pii.report(df).first()["n_card"] == 1
+        assert pii.redact(df).first()["text"] == "12, " * (count - 1) + "<CARD> " + "<EMAIL> " * (count // 8)
+        seconds[count] = time.perf_counter() - start
+    assert seconds[256_000] < 2.6 * seconds[128_000] + 2
+
+
 # --- encoding ---
 
 
@@ -352,6 +372,25 @@ def test_chat_hard_cases(spark):
     assert chat.repair(df.limit(0)).count() == 0
 
 
+def test_chat_turns_of_any_number(spark, monkeypatch):
+    """Negative, huge, shared and missing turn numbers; many blocks of one conversation, of one turn even."""
+    monkeypatch.setattr(chat, "BLOCK", 8)
+    monkeypatch.setattr(chat, "FAN", 2)
+    draw = random.Random(8)
+    role = lambda: draw.choice(("system", "user", "assistant", "tool"))
+    data = [(1, t, role(), f"1/{t}") for t in (-(2**62), -300, -1, 0, 1, 255, 256, 2**62)]
+    data += [(2, 0, role(), f"2/{i}") for i in range(120)] + [(3, -i, role(), f"3/{i}") for i in range(70)] + [(4, None, role(), f"4/{i}") for i in range(3)]
+    got = chat.repair(spark.createDataFrame(data, "conv_id long, turn long, role string, text string").repartition(5)).collect()
+    assert Counter((r["conv_id"], r["turn"], r["role"], r["text"]) for r in got) == Counter(data)
+    order = {"assistant": 0, "system": 1, "tool": 2, "user": 3}
+    cost = Counter()
+    for r in got:
+        cost[r["conv_id"]] += r["cost"]
+    for c in (1, 2, 3):
+        rows_ = sorted((d for d in data if d[0] == c), key=lambda d: (d[1], order[d[2]]))
+        assert cost[c] == brute.repair_cost([d[2] for d in rows_])
+
+
 def test_chat_of_table(spark, given):
     roles = defaultdict(list)
     for c, t, r, x in sorted(set(given["conversations"])):
