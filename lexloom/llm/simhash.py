@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -157,11 +157,22 @@ def fingerprint_components(documents: DataFrame) -> DataFrame:
 
 
 def one_per_component(documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The row with the smallest doc_id of each component, with its own columns; one of repeated rows."""
+    """The row with the smallest doc_id of each component, with its own columns.
+
+    Of rows equal in id and text the one whose columns have the least hash stays; that choice is made in
+    every task before the one shuffle of the texts, whose partitioning the join with the chosen keys keeps.
+    """
     found = near_duplicates(documents, shingle, distance)
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")
-    key = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("print"), F.col("print").cast("string")))
-    chosen = found.groupBy(key.alias("key")).agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("i"), F.col("first.text_hash").alias("h")).distinct()
-    kept = documents.join(chosen, documents["doc_id"].eqNullSafe(chosen["i"]) & (F.xxhash64(documents["text"]) == chosen["h"]), "left_semi")
-    each = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
-    return kept.withColumn("__nth", F.row_number().over(each)).where("__nth = 1").drop("__nth")
+    component = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("print"), F.col("print").cast("string")))
+    chosen = found.groupBy(component.alias("component")).agg(F.min(order).alias("first"))
+    chosen = chosen.select(_row_key(F.col("first.doc_id"), F.col("first.text_hash")).alias("__key")).distinct()
+    keyed = documents.withColumn("__key", _row_key(F.col("doc_id"), F.xxhash64("text")))
+    each = Window.partitionBy("__key").orderBy(F.xxhash64(*documents.columns))
+    first = keyed.withColumn("__nth", F.row_number().over(each)).where("__nth = 1")
+    return first.join(chosen, "__key", "left_semi").select(*documents.columns)
+
+
+def _row_key(doc_id: Column, text_hash: Column) -> Column:
+    """One key, never NULL, for rows equal in id and text."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("-")), F.hex(text_hash))

@@ -122,6 +122,19 @@ def test_one_of_each_component_stays(hard):
     assert len(got) == len(comps) and set(got) <= set(HARD)
 
 
+def test_choice_among_rows_of_one_id(spark):
+    """Rows equal in id and text but not in other columns: the same one stays however the rows are dealt."""
+    data = [(1, "one two three four five six", f"s{i}") for i in range(40)] + [(None, "x y z", f"s{i}") for i in range(5)]
+    stay = {tuple(sorted(map(str, simhash.one_per_component(spark.createDataFrame(data[::step], "doc_id long, text string, source string").repartition(n)).collect()))) for n, step in ((1, 1), (7, 1), (3, -1))}
+    assert len(stay) == 1 and len(stay.pop()) == 2
+
+
+def test_texts_of_the_chosen_are_shuffled_once(spark, hard):
+    plan = simhash.one_per_component(hard.withColumn("big", F.lit("x")))._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(__key" in line]
+    assert len(moved) == 2  # the documents and the chosen keys
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1400)] + [(5000, 5000)]
     got = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
