@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from lexloom.functions.arrays import let
@@ -101,6 +101,13 @@ def enqueue_process_rows(found: DataFrame, documents: DataFrame, tracker: DataFr
     )
 
 
+def append_counted(rows: DataFrame, path: str) -> int:
+    """Append queue rows and return their number, counted by the write itself: no second job."""
+    counted = Observation()
+    rows.observe(counted, F.count(F.lit(1)).alias("added")).write.mode("append").parquet(path)
+    return counted.get["added"]
+
+
 def existing_ids(ids: DataFrame, tracker: DataFrame, doc_type: str) -> DataFrame:
     """Queued ids among the given ones."""
     return (

@@ -407,6 +407,72 @@ def s6(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _named(df: DataFrame, part: str, name: str, value: str) -> DataFrame:
+    return df.select(F.lit(part).alias("part"), F.col(name).cast("string").alias("name"), F.col(value).cast("string").alias("value"))
+
+
+def _columns(df: DataFrame, part: str, *columns: str) -> DataFrame:
+    """The columns of a single row as rows."""
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns)))
+    return df.select(pairs.alias("p")).select(F.lit(part).alias("part"), "p.name", "p.value")
+
+
+_COVERAGE = """t AS (
+  SELECT (SELECT count(*) FROM key_list) AS searched, (SELECT count(*) FROM key_list JOIN corpus USING (document_number)) AS found,
+    (SELECT count(DISTINCT document_number) FROM key_list JOIN corpus USING (document_number)) AS numbers,
+    (SELECT count(*) FROM key_list WHERE document_number NOT IN (SELECT document_number FROM corpus)) AS missing)"""
+_MISSING = "SELECT 'not_found' AS part, document_number AS name, CAST(pos AS VARCHAR) AS value FROM key_list WHERE document_number NOT IN (SELECT document_number FROM corpus)"
+
+
+@query("s6_lookup_parts", f"""{_BOTH}, {_COVERAGE}
+{_MISSING}
+UNION ALL SELECT 'summary', unnest(['total_found', 'total_searched', 'not_found_count', 'include_content', 'stamped']),
+  unnest([CAST(found AS VARCHAR), CAST(searched AS VARCHAR), CAST(missing AS VARCHAR), 'false', 'true']) FROM t""")
+def s6_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Summary and entries not found of a written lookup."""
+    path = _scratch(spark, "lookup")
+    json_files.write_lookup(key_list(spark, d), _full_docs(spark, d), path, include_content=False)
+    summary = spark.read.schema("total_found BIGINT, total_searched BIGINT, not_found_count BIGINT, timestamp STRING, include_content BOOLEAN").json(f"{path}/summary")
+    summary = summary.withColumn("stamped", F.col("timestamp").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}$"))
+    missing = spark.read.schema("pos BIGINT, document_number STRING").json(f"{path}/not_found")
+    return _named(missing, "not_found", "document_number", "pos").union(
+        _columns(summary, "summary", "total_found", "total_searched", "not_found_count", "include_content", "stamped")
+    )
+
+
+_PARTS = {  # part: schema of its JSON, name and value
+    "not_found": ("pos BIGINT, document_number STRING", "document_number", "pos"),
+    "documents_by_number": ("document_number STRING, n_documents BIGINT", "document_number", "n_documents"),
+    "documents_with_duplicates": ("document_number STRING, n_documents BIGINT", "document_number", "n_documents"),
+    "summary_by_document_type": ("document_type STRING, n_documents BIGINT", "document_type", "n_documents"),
+    "summary_by_issuing_authority": ("issuing_authority STRING, n_documents BIGINT", "issuing_authority", "n_documents"),
+    "summary_by_year": ("year STRING, n_documents BIGINT", "year", "n_documents"),
+    "top_duplicates": ("document_number STRING, n_documents BIGINT, pos BIGINT", "document_number", "n_documents"),
+}
+
+
+@query("s8_report_parts", f"""{_BOTH}, {_COVERAGE}, b AS ({_BY_NUMBER}), found AS (SELECT * FROM key_list JOIN corpus USING (document_number)),
+p AS (SELECT document_number, min(pos) AS pos FROM key_list GROUP BY 1)
+{_MISSING}
+UNION ALL SELECT 'documents_by_number', document_number, CAST(n_documents AS VARCHAR) FROM b
+UNION ALL SELECT 'documents_with_duplicates', document_number, CAST(n_documents AS VARCHAR) FROM b WHERE n_documents > 1
+UNION ALL SELECT 'summary_by_document_type', document_type, CAST(count(*) AS VARCHAR) FROM found GROUP BY 2
+UNION ALL SELECT 'summary_by_issuing_authority', issuing_authority, CAST(count(*) AS VARCHAR) FROM found GROUP BY 2
+UNION ALL SELECT 'summary_by_year', {_YEAR}, CAST(count(*) AS VARCHAR) FROM found GROUP BY 2
+UNION ALL SELECT * FROM (SELECT 'top_duplicates', document_number, CAST(n_documents AS VARCHAR) FROM b JOIN p USING (document_number) WHERE n_documents > 1 ORDER BY n_documents DESC, pos LIMIT 5)
+UNION ALL SELECT 'coverage', unnest(['total_searched', 'total_found', 'found_numbers', 'not_found_count', 'found_percent', 'not_found_percent']),
+  unnest([CAST(searched AS VARCHAR), CAST(found AS VARCHAR), CAST(numbers AS VARCHAR), CAST(missing AS VARCHAR),
+    CAST(round(numbers / searched * 100, 2) AS VARCHAR), CAST(round(missing / searched * 100, 2) AS VARCHAR)]) FROM t""")
+def s8_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Every row of all eight parts of a written report."""
+    path = _scratch(spark, "report")
+    json_files.write_report(key_list(spark, d), corpus(spark, d).drop("content_text"), path)
+    parts = [_named(spark.read.schema(schema).json(f"{path}/{part}"), part, name, value) for part, (schema, name, value) in _PARTS.items()]
+    totals = spark.read.schema("total_searched BIGINT, total_found BIGINT, found_numbers BIGINT, not_found_count BIGINT, found_percent DOUBLE, not_found_percent DOUBLE").json(f"{path}/coverage")
+    parts.append(_columns(totals, "coverage", *totals.columns))
+    return functools.reduce(DataFrame.union, parts)
+
+
 @query("s8_report_totals", _BOTH + """,
 hit AS (SELECT DISTINCT document_number FROM key_list JOIN corpus USING (document_number)),
 by_number AS (""" + _BY_NUMBER + """)

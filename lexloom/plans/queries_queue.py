@@ -121,6 +121,21 @@ def d3(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query("d3_append_counted", f"""WITH {_ENQUEUE},
+both_ AS (SELECT * FROM fresh UNION SELECT DISTINCT CAST(o_custkey AS VARCHAR), 'law' FROM orders)
+SELECT (SELECT count(*) FROM fresh) AS first_added, (SELECT count(*) FROM both_) - (SELECT count(*) FROM fresh) AS second_added, 0 AS third_added, (SELECT count(*) FROM both_) AS stored""")
+def d3_counted(spark: SparkSession, d: str) -> DataFrame:
+    """Three appends to a queue; the last finds nothing new. Each count comes from its own write."""
+    root = _scratch(spark, "queue")
+    queued, added = _queued(spark, d), []
+    customers = table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("document_id"), F.lit("law").alias("document_type"))
+    for found in (_found(spark, d), customers, customers):
+        added.append(D.append_counted(D.enqueue_rows(found, queued), root))
+        queued = _queued(spark, d).union(spark.read.parquet(root).select("document_id", "document_type"))
+    stored = spark.read.parquet(root).agg(F.count("*").alias("stored"))
+    return stored.select(*(F.lit(n).cast("bigint").alias(f"{name}_added") for name, n in zip(("first", "second"), added)), F.lit(added[2]).cast("int").alias("third_added"), "stored")
+
+
 @query("d4_enqueue_process", """
 SELECT DISTINCT l_partkey AS document_id, 'law' AS document_type, 'pending' AS status, 0 AS retry_count
 FROM lineitem JOIN part ON p_partkey = l_partkey AND p_size > 10

@@ -267,6 +267,21 @@ def p14(spark: SparkSession, d: str) -> DataFrame:
     ).agg(F.count("*").alias("n_mentions"))
 
 
+@query("r1_statute_stream", f"""{_ARTICLES}
+SELECT article_id, document_id, art, number, occurrence, heading, content, clean_content, n_paragraphs FROM articles""")
+def r1_statutes(spark: SparkSession, d: str) -> DataFrame:
+    """Statutes arriving as files, every column of their articles."""
+    source, root = _scratch(spark, "statutes-in"), _scratch(spark, "statute-stream")
+    statutes(spark, d).select("id", "document_number", "content_html").write.parquet(source)
+    docs = page_stream(spark, source, "id BIGINT, document_number STRING, content_html STRING", files_per_batch=2)
+    append_to(article_stream(docs, "id", "document_number", "content_html"), root, f"{root}-checkpoint").awaitTermination()
+    return spark.read.parquet(root).select(
+        "article_id", "document_id", F.col("art").cast("bigint").alias("art"), "number",
+        F.col("occurrence").cast("bigint").alias("occurrence"), "heading", "content", "clean_content",
+        F.col("n_paragraphs").cast("bigint").alias("n_paragraphs"),
+    )
+
+
 @query("r1_article_stream", """
 WITH t AS (SELECT doc_id, len([x FOR x IN string_split(text, chr(10)) IF trim(x) <> '']) AS n FROM documents)
 SELECT doc_id AS document_id, n AS art FROM t WHERE n > 0""")

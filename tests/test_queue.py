@@ -244,3 +244,12 @@ def test_fetch_of_a_key_queued_twice(spark):
     assert {(r.id, r.status, r.retry_count) for r in state.collect()} == {
         (1, "success", 0), (2, "success", 0), (3, "failed", 3), (4, "failed", 3), (5, "success", 0), (6, "failed", 3),
     }
+
+
+def test_count_of_an_append_comes_from_the_write(spark, tmp_path):
+    path = str(tmp_path / "queue")
+    tracker = spark.createDataFrame([("1", "law")], "document_id STRING, document_type STRING")
+    found = spark.createDataFrame([(str(i % 5), "law") for i in range(20)], "document_id STRING, document_type STRING")
+    rows = D.enqueue_rows(found, tracker)
+    assert D.append_counted(rows, path) == 4 == spark.read.parquet(path).count()
+    assert D.append_counted(rows.limit(0), path) == 0
