@@ -1,8 +1,8 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick in folded text.
 
-Folding lowers case, maps look-alike letters of other scripts and full-width or styled forms, and digits or
-symbols standing for letters, to plain ones; combining marks go, everything else that is no letter becomes
-one blank. ``l`` and ``i`` fold to one letter, because ``1`` may stand for either. The lexicon is folded too.
+Folding lowers case, maps look-alike letters of other scripts (capitals by the look of the capital), accented,
+full-width, circled, squared or styled forms, and digits or symbols standing for letters, to plain ones;
+combining marks go, everything else that is no letter becomes one blank. ``l`` and ``i`` fold to one letter, because ``1`` may stand for either. The lexicon is folded too.
 
 The lexicon holds words and word beginnings, learned from a bounded sample of labelled rows that are not
 held out: those whose share of toxic texts is surely above the average (Chernoff bound over all terms
@@ -37,8 +37,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Labelled rows the lexicon is learned from, at most (about).
 FIT_ROWS = 12_000
-#: Entries kept of the lexicon and of the exceptions, and terms looked at closely, at most.
-LEXICON, EXCEPTIONS, CANDIDATES = 1000, 2000, 5000
 #: Evidence needed besides the logarithm of the number of terms tried: error probability exp(-SURE).
 SURE = 3.0
 #: A beginning gives way to a longer entry that holds at least this share of its toxic texts.
@@ -46,48 +44,57 @@ WHOLE = 0.8
 #: Lengths of the word beginnings tried.
 STEMS = range(3, 9)
 
-#: Look-alikes of other scripts, and the letters they look like.
+#: Small and capital look-alikes of other scripts, and the letters they look like.
 HOMOGLYPHS = dict(zip("аеорсухівкмтѕјԁɡһ", "aeopcyxibkmtsjdgh")) | dict(zip("αορικνχτυ", "aopikvxtu")) | {"ı": "i"}
-#: Digits and symbols that stand for letters.
+CAPITALS = dict(zip("АВЕЅІЈКМНОРСТУХ", "abesijkmhopctyx")) | dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "abezhikmnoptyx"))
+#: Digits and symbols that stand for letters, and symbols that do so at the start of a word.
 SUBSTITUTES = dict(zip("013456789", "oieasgtbg")) | {"@": "a", "$": "s", "!": "i", "|": "i"}
+LEADING = "@$"
 _BLANK = 32
-_TOP = 0x1D800  # code points from here on are blanks
-
-
-def _table() -> np.ndarray:
-    """Folded character of each code point; 0 for combining and format characters."""
-    out = np.full(_TOP + 1, _BLANK, np.uint32)
-    for code in range(_TOP):
-        kind = unicodedata.category(chr(code))
-        if kind[0] == "M" or kind == "Cf":
-            out[code] = 0
-        elif kind[0] == "L":
-            styled = unicodedata.decomposition(chr(code)).startswith("<")
-            base = (unicodedata.normalize("NFKC", chr(code)) if styled else chr(code)).lower()[:1]
-            base = HOMOGLYPHS.get(base, base)
-            out[code] = ord("i" if base == "l" else base)
-    return out
+_TOP = 0x20000  # the planes above hold ideographs, which stay, and then no letters
+_IDEOGRAPHS = 0x40000
+
+
+def _letter(char: str) -> str:
+    """Plain form of a character; a blank where it is no letter, nothing for marks and format characters."""
+    kind = unicodedata.category(char)
+    if kind[0] == "M" or kind == "Cf":
+        return ""
+    plain = unicodedata.normalize("NFKD", char)
+    # A base with its marks, or a styled form; other decompositions (syllables into their parts) are left alone.
+    if len(plain) > 1 and not unicodedata.decomposition(char).startswith("<") and any(unicodedata.category(c)[0] != "M" for c in plain[1:]):
+        plain = char
+    letters = [c for c in plain if unicodedata.category(c)[0] == "L"]
+    if not letters or (kind[0] != "L" and not unicodedata.decomposition(char).startswith("<")):
+        return " "
+    small = letters[0].lower()[0]
+    base = CAPITALS.get(letters[0]) or HOMOGLYPHS.get(small, small)
+    return "i" if base == "l" else base
 
 
-_FOLD = _table()
+_FOLD = np.array([ord(_letter(chr(c)) or "\0") for c in range(_TOP)] + [_BLANK], np.uint32)
 _STANDS = np.zeros(_TOP + 1, np.uint32)
 for _c, _to in SUBSTITUTES.items():
     _STANDS[ord(_c)] = ord(_to)
+_LEADS = np.isin(np.arange(_TOP + 1), [ord(c) for c in LEADING])
 
 
 def fold(text: str | None) -> str:
     """Folded words, each with one blank before and after it."""
-    codes = np.minimum(np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), "<u4"), _TOP)
-    letters = _FOLD[codes]
+    given = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), "<u4")
+    codes = np.minimum(given, _TOP)
+    letters = np.where((given >= _TOP) & (given < _IDEOGRAPHS), given, _FOLD[codes])
     codes, letters = codes[letters > 0], letters[letters > 0]
     if not len(letters):
         return " "
-    # A digit stands for a letter beside one (or beside a digit that is), a symbol between two letters or digits.
+    # A digit stands for a letter beside one (or beside a digit that is), a symbol between two letters or digits;
+    # some symbols also at the start of a word, before a letter.
     letter = np.concatenate([[False] * 2, letters != _BLANK, [False] * 2])
     digit = np.concatenate([[False] * 2, (codes >= 48) & (codes < 58), [False] * 2])
     beside = letter[1:-3] | letter[3:-1] | (digit[1:-3] & letter[:-4]) | (digit[3:-1] & letter[4:])
     solid = letter | digit
-    stands = (_STANDS[codes] > 0) & np.where(digit[2:-2], beside, solid[1:-3] & solid[3:-1])
+    between = solid[3:-1] & (solid[1:-3] | (_LEADS[codes] & letter[3:-1]))
+    stands = (_STANDS[codes] > 0) & np.where(digit[2:-2], beside, between)
     letters = np.where(stands, _STANDS[codes], letters)
     blank = letters == _BLANK
     letters = letters[~(blank & np.concatenate([[True], blank[:-1]]))]
@@ -230,18 +237,18 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Mode
 
     rate = toxic / (toxic + clean)
 
-    def chosen(counts: DataFrame, evidence, tried: int, most: int) -> list:
-        """Terms whose evidence holds among ``tried`` ones, the surest first."""
+    def chosen(counts: DataFrame, evidence, tried: int) -> list:
+        """All terms whose evidence holds among ``tried`` ones: at most those of the sample."""
         least = float(np.log(max(tried, 1))) + SURE
-        return counts.withColumn("evidence", evidence).where(F.col("evidence") > least).orderBy(F.desc("evidence"), "term").limit(most).collect()
+        return counts.withColumn("evidence", evidence).where(F.col("evidence") > least).orderBy(F.desc("evidence"), "term").collect()
 
     counts = materialize(_counted(sample), "terms")
     tried = counts.count()
-    likely = {r["term"]: r["toxic"] for r in chosen(counts, _evidence(rate, True), tried, CANDIDATES)}
+    likely = {r["term"]: r["toxic"] for r in chosen(counts, _evidence(rate, True), tried)}
     vague = {t[:n] for t, held in likely.items() for n in range(2, len(t)) if held >= WHOLE * likely.get(t[:n], np.inf)}
     sought = set(likely) - vague
     around = _surroundings(sample, lambda words: [(t, i, 1) for i, w in enumerate(words) for t in _terms(w) if t in sought])
-    sure = chosen(around, _evidence(rate, True), tried, LEXICON)
+    sure = chosen(around, _evidence(rate, True), tried)
     weights = {r["term"]: float(np.log((r["all_toxic"] + 0.5) / (r["all_clean"] + 0.5)) - prior) for r in sure}
     weights = {t: w for t, w in weights.items() if w > 0}
 
@@ -250,7 +257,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Mode
         return [(f" {words[i]} {words[i + 1]} ", i, 2) for i in range(len(words) - 1) if known[i] or known[i + 1]]
 
     pairs = materialize(_surroundings(sample, phrases), "phrases")
-    model = Model(weights, [r["term"] for r in chosen(pairs, _evidence(0.5, False), pairs.count(), EXCEPTIONS)])
+    model = Model(weights, [r["term"] for r in chosen(pairs, _evidence(0.5, False), pairs.count())])
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model)

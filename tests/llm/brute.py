@@ -221,3 +221,10 @@ def merkle(docs, fanout=2):
                 node = sha(before + node + after)
             out.append((d[0], leaf(d), subroot, root, sha("".join(b + a for b, a in path + top)), node, node == root))
     return out
+
+
+def lexicon_hits(weights, exceptions, words):
+    """Sum over the words outside exceptions of the heaviest entry: the word itself, or a proper beginning."""
+    inside = {j for i in range(len(words) - 1) if f" {words[i]} {words[i + 1]} " in exceptions for j in (i, i + 1)}
+    entries = lambda w: [f" {w} ", *(" " + w[:n] for n in range(1, len(w)))]
+    return sum(max((weights[e] for e in entries(w) if e in weights), default=0.0) for i, w in enumerate(words) if i not in inside)

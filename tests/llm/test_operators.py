@@ -536,13 +536,27 @@ def test_forest_matches_its_trees():
 
 
 def test_folding_and_exceptions():
-    model = toxicity.Model({" idiot ": 3.0, " bocö": 2.0, " idi": 1.0}, [" idiot proof "], (-2.0, 1.0, 1.0))
+    model = toxicity.Model({" idiot ": 3.0, " boco": 2.0, " idi": 1.0}, [" idiot proof "], (-2.0, 1.0, 1.0))
     m = toxicity.Matcher(model)
-    for text in ("an idiot", "AN 1D10T!", "an іdіоt.", "ｉｄｉｏｔ", "id́iot​", "idiot$$$"):
+    for text in ("an idiot", "AN 1D10T!", "an іdіоt.", "ｉｄｉｏｔ", "id́iot​", "idiot$$$", "ídiot", "ⓘⓓⓘⓞⓣ", "🄸🄳🄸🄾🅃", "𝐢𝐝𝐢𝐨𝐭"):
         assert m.hits(toxicity.fold(text)) == 3.0, text
     assert m.hits(toxicity.fold("idiot proof idiot")) == 3.0  # the first is an exception
     assert m.hits(toxicity.fold("bocö")) == 0.0 and m.hits(toxicity.fold("bocösa idiots")) == 3.0  # beginnings are proper
     assert m.hits(toxicity.fold(None)) == 0.0 and toxicity.fold("1 2 3") == "  "
+    same = {"ΚILLΕR": "kiiier", "НATE": "hate", "ΗΑΤΕ": "hate", "$tupid": "stupid", "@ss": "ass", "a $5 b": "a b", "$ x": "x", "х@ppу": "xappy", "한국어 가": "한국어 가", "日本𠮷𠀀": "日本𠮷𠀀", "Ångström": "angstrom", "ﬁne": "fne"}
+    assert {t: toxicity.fold(t).strip() for t in same} == same
+
+
+def test_matcher_against_every_entry():
+    """Random lexicons and texts: each word tried with each entry."""
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choice("abi") for _ in range(draw.randrange(1, 6)))
+    for _ in range(300):
+        weights = {draw.choice((" {} ", " {}")).format(word()): draw.choice((0.5, 1.0, 2.0)) for _ in range(draw.randrange(1, 9))}
+        exceptions = [f" {word()} {word()} " for _ in range(draw.randrange(6))]
+        words = [word() for _ in range(draw.randrange(25))]
+        got = toxicity.Matcher(toxicity.Model(weights, exceptions)).hits(toxicity.fold(" ".join(words)))
+        assert got == brute.lexicon_hits(weights, exceptions, words), (weights, exceptions, words)
 
 
 # --- empty tables, own columns ---
