@@ -308,6 +308,20 @@ def t8(spark: SparkSession, d: str) -> DataFrame:
     return Q.table_status({n: table(spark, d, n) for n in _STATUS_TABLES})
 
 
+@query("r3_compacted_attempts", _FOLD)
+def r3_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs of the attempt stream with a compaction after each: the log's state is that of the whole log."""
+    root, source = _scratch(spark, "attempts"), _scratch(spark, "events-in")
+    for part in range(2):
+        for half in range(3):
+            rows = table(spark, d, "events").filter(F.pmod(F.xxhash64("event_id"), F.lit(6)) == 3 * part + half)
+            rows.coalesce(1).write.mode("append").parquet(source)
+        log = _attempts_of(page_stream(spark, source, _EVENTS, files_per_batch=1))
+        stream_attempts.attempt_state_stream(log, root, f"{root}-checkpoint").awaitTermination()
+        stream_attempts.compact_attempts(spark, root)
+    return stream_attempts.attempt_state(spark, root)
+
+
 @query("t8_stored_status", " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, count(*) AS count, CASE WHEN count(*) > 0 THEN 'Có dữ liệu' ELSE 'Trống' END AS status FROM {n}"
     for n in _STATUS_TABLES))
@@ -321,18 +335,31 @@ def t8_stored(spark: SparkSession, d: str) -> DataFrame:
 _EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
-def _in_files(df: DataFrame, key: str, name: str, files: int = 4) -> str:
-    """Folder with the rows dealt by a hash of ``key`` over ``files`` files."""
-    path = _scratch(df.sparkSession, name)
-    df.repartition(files, F.xxhash64(key)).write.parquet(path)
-    return path
+def _in_files(df: DataFrame, key: str, name: str) -> tuple[str, int]:
+    """Folder with the rows dealt by a hash of ``key`` over files, and how many of them make a quarter."""
+    path, quarter = _scratch(df.sparkSession, name), -(-int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+    df.repartition(4 * quarter, F.xxhash64(key)).write.parquet(path)
+    return path, quarter
+
+
+def _attempts_of(events: DataFrame) -> DataFrame:
+    return events.filter(F.col("event_type").isin("purchase", "error")).select(
+        F.col("event_id").alias("attempt_id"),
+        F.col("user_id").cast("string").alias("document_id"),
+        F.lit("law").alias("document_type"),
+        F.col("ts").alias("attempted_at"),
+        (F.col("event_type") == "purchase").alias("ok"),
+        F.when(
+            F.col("event_type") == "error", F.concat(F.lit("attempt "), F.col("event_id"), F.lit(" failed"))
+        ).alias("error"),
+    )
 
 
 @query("r2_enqueue_stream", f"WITH {_ENQUEUE} SELECT DISTINCT document_id, document_type FROM found")
 def r2(spark: SparkSession, d: str) -> DataFrame:
     root = _scratch(spark, "queue")
-    docs = _in_files(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "documents-in")
-    found = page_stream(spark, docs, "doc_id BIGINT, text STRING", files_per_batch=1)
+    docs, quarter = _in_files(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "documents-in")
+    found = page_stream(spark, docs, "doc_id BIGINT, text STRING", files_per_batch=quarter)
     found = found.select(F.md5("text").alias("document_id"), F.lit("law").alias("document_type"))
     stream_enqueue.enqueue_stream(found, root, f"{root}-checkpoint").awaitTermination()
     return spark.read.parquet(root).select("document_id", "document_type")
@@ -360,20 +387,12 @@ def r2_horizon(spark: SparkSession, d: str) -> DataFrame:
 
 @query("r3_attempt_stream", _FOLD)
 def r3(spark: SparkSession, d: str) -> DataFrame:
-    """Events in four files, dealt by their id and so not in time order, one file a micro-batch: the last
+    """Events in four micro-batches, dealt by their id and so not in time order: the last
     state written for a key is that of the whole log."""
     root = _scratch(spark, "attempts")
-    events = page_stream(spark, _in_files(table(spark, d, "events"), "event_id", "events-in"), _EVENTS, files_per_batch=1)
-    log = events.filter(F.col("event_type").isin("purchase", "error")).select(
-        F.col("event_id").alias("attempt_id"),
-        F.col("user_id").cast("string").alias("document_id"),
-        F.lit("law").alias("document_type"),
-        F.col("ts").alias("attempted_at"),
-        (F.col("event_type") == "purchase").alias("ok"),
-        F.when(
-            F.col("event_type") == "error", F.concat(F.lit("attempt "), F.col("event_id"), F.lit(" failed"))
-        ).alias("error"),
-    )
+    source, quarter = _in_files(table(spark, d, "events"), "event_id", "events-in")
+    events = page_stream(spark, source, _EVENTS, files_per_batch=quarter)
+    log = _attempts_of(events)
     stream_attempts.attempt_state_stream(log, root, f"{root}-checkpoint").awaitTermination()
     keys = ["document_id", "document_type"]
     values = ["status", "retry_count", "last_attempt", "error_log"]
@@ -457,7 +476,8 @@ def r1_fetch(spark: SparkSession, d: str) -> DataFrame:
     """The same round as a stream of captures dealt over micro-batches by their key."""
     rows, pages = _fetch_input(spark, d)
     root = _scratch(spark, "fetched")
-    captures = page_stream(spark, _in_files(pages, "doc_key", "captures-in"), pages.schema.simpleString()[7:-1].replace(":", " "), files_per_batch=1)
+    source, quarter = _in_files(pages, "doc_key", "captures-in")
+    captures = page_stream(spark, source, ", ".join(f"{name} {kind}" for name, kind in pages.dtypes), files_per_batch=quarter)
     queued = materialize(rows, "queued")
     stream_fetch.fetch_stream(captures, queued, root, f"{root}-checkpoint", "law").awaitTermination()
     return _with_records(stream_fetch.tracker_after(queued, root), first_records=spark.read.parquet(f"{root}/records"))

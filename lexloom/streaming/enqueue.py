@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lexloom.operators.discovery import new_ids
-from lexloom.streaming.attempts import BUCKETS, key_bucket
+from lexloom.streaming.attempts import key_bucket
+from lexloom.streaming.epochs import compact, stored_buckets
 
 _KEYS = ["document_id", "document_type"]
 _QUEUE = "document_id STRING, document_type STRING, stream STRING, epoch BIGINT, bucket INT"
@@ -24,8 +25,18 @@ def first_seen(found: DataFrame, time: str | None = None, horizon: str = "7 days
     return found.withWatermark(time, horizon).dropDuplicatesWithinWatermark(_KEYS)
 
 
+def _stream(checkpoint: str) -> str:
+    return hashlib.md5(checkpoint.encode()).hexdigest()
+
+
+def compact_queue(spark: SparkSession, queue_root: str, checkpoint: str) -> int:
+    """Merge the folders of a stream's past epochs, between two of its runs; the number of folders left."""
+    path = f"{queue_root}/stream={_stream(checkpoint)}"
+    return compact(spark, path, "document_id STRING, document_type STRING, epoch BIGINT, bucket INT", lambda rows: rows.drop("epoch").distinct())
+
+
 def enqueue_stream(
-    found: DataFrame, queue_root: str, checkpoint: str, buckets: int = BUCKETS
+    found: DataFrame, queue_root: str, checkpoint: str, buckets: int | None = None
 ) -> StreamingQuery:
     """Unbounded horizon without streaming state: every micro-batch is compared with the queue.
 
@@ -34,7 +45,8 @@ def enqueue_stream(
     replayed after a failure writes the same rows again. Ids are queued once per stream; two
     streams that run at the same moment on one queue may both queue a new id.
     """
-    stream = hashlib.md5(checkpoint.encode()).hexdigest()
+    stream = _stream(checkpoint)
+    buckets = stored_buckets(found.sparkSession, queue_root, buckets)
 
     def add(batch: DataFrame, epoch: int) -> None:
         spark: SparkSession = batch.sparkSession

@@ -2,8 +2,9 @@ import random
 from datetime import datetime, timedelta
 
 from lexloom.operators.queue import fold_attempts
-from lexloom.streaming.attempts import attempt_state, attempt_state_stream
-from lexloom.streaming.enqueue import enqueue_stream, first_seen
+from lexloom.streaming.attempts import attempt_state, attempt_state_stream, compact_attempts
+from lexloom.streaming.enqueue import compact_queue, enqueue_stream, first_seen
+from lexloom.streaming.epochs import compact, epochs, stored_buckets, valid
 from lexloom.streaming.pages import append_to, article_stream, judgment_stream, law_stream, page_stream
 
 LOG = (
@@ -69,3 +70,39 @@ def test_page_and_article_streams(spark, tmp_path):
     arts = article_stream(page_stream(spark, str(tmp_path / "docs"), docs), "id", "document_number", "content_html")
     append_to(arts, str(tmp_path / "arts"), str(tmp_path / "ck3")).awaitTermination()
     assert [(r.article_id, r.content) for r in spark.read.parquet(str(tmp_path / "arts")).collect()] == [("A-ART-1", "x")]
+
+
+def test_compaction_of_attempts_and_queue(spark, tmp_path):
+    """After each run past epochs become one folder; states stay, a replayed newest epoch writes the same."""
+    rng, start = random.Random(3), datetime(2024, 1, 1)
+    rows = [(i, f"k{rng.randrange(12)}", "law", start + timedelta(minutes=rng.randrange(200)), rng.random() < 0.2, "e") for i in range(240)]
+    root, source, queue = str(tmp_path / "attempts"), str(tmp_path / "log"), str(tmp_path / "queue")
+    want = spark.createDataFrame(rows, LOG)
+    for run in range(2):
+        for part in range(3):
+            at = (3 * run + part) * 40
+            spark.createDataFrame(rows[at : at + 40], LOG).coalesce(1).write.mode("append").parquet(source)
+        log = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(source)
+        attempt_state_stream(log, root, str(tmp_path / "ck"), buckets=4).awaitTermination()
+        enqueue_stream(log.select("document_id", "document_type"), queue, str(tmp_path / "ckq"), buckets=4).awaitTermination()
+        before = sorted(map(str, attempt_state(spark, root).collect()))
+        assert compact_attempts(spark, root) == 4  # a fold and the newest epoch, of log and state
+        assert compact_queue(spark, queue, str(tmp_path / "ckq")) == 2
+        assert sorted(map(str, attempt_state(spark, root).collect())) == before
+    assert sorted(map(str, attempt_state(spark, root).collect())) == sorted(map(str, fold_attempts(want).collect()))
+    assert epochs(spark, f"{root}/log") == [-5, 5]
+    queued = [r.document_id for r in spark.read.parquet(queue).collect()]
+    assert sorted(queued) == sorted({r[1] for r in rows})
+    assert compact_attempts(spark, root) == 4
+    assert stored_buckets(spark, root, 99) == 4
+
+
+def test_folders_a_fold_stands_for_are_not_read(spark, tmp_path):
+    """As after a failure between moving a fold into place and removing what it holds."""
+    path = str(tmp_path / "store")
+    for n in (0, 1, 2, -2):
+        spark.createDataFrame([(n, 0)], "v INT, bucket INT").write.partitionBy("bucket").parquet(f"{path}/epoch={n}")
+    assert valid(epochs(spark, path)) == [-2, 2]
+    assert compact(spark, path, "v INT, epoch BIGINT, bucket INT", lambda rows: rows.drop("epoch")) == 2
+    assert epochs(spark, path) == [-2, 2]
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [-2, 2]
