@@ -30,6 +30,7 @@ BONUS = 0.3
 #: Spans below this score are not reported.
 LEAST_SCORE = 0.5
 _CHUNK = 1024
+_PART = 4096
 
 
 def _digits(match: Column) -> Column:
@@ -110,8 +111,25 @@ BASE = 4  # kinds that the plain patterns and checks decide; their spans are alw
 
 
 def running(values: Column, add: Callable[[Column, Column], Column], zero: Column) -> Column:
-    """What stands before each place of an array of numbers, folded, in time linear in its length."""
-    return let(values, lambda v: fold_emitting(v, zero, lambda acc, x: (add(acc, x), F.array(acc)), "int", lambda _, before: before))
+    """What stands before each place of an array of numbers, folded from ``zero`` (which changes nothing).
+
+    Folded in parts: taking a slice walks over its whole array, so slices are taken from short ones.
+    """
+
+    def fold(part: Column) -> Column:
+        return F.aggregate(part, zero, add)
+
+    def before(part: Column, first: Column) -> Column:
+        return let(part, lambda p: fold_emitting(p, first, lambda acc, x: (add(acc, x), F.array(acc)), "int", lambda _, out: out))
+
+    def spread(parts: Column) -> Column:
+        return let(F.transform(parts, fold), lambda sums: F.flatten(F.transform(parts, lambda p, j: before(p, fold(F.slice(sums, F.lit(1), j))))))
+
+    def cut(v: Column) -> Column:
+        starts = F.when(F.size(v) > 0, F.sequence(F.lit(1), F.size(v), F.lit(_PART))).otherwise(F.array().cast("array<int>"))
+        return let(F.transform(starts, lambda s: F.slice(v, s, F.lit(_PART))), spread)
+
+    return let(values, cut)
 
 
 def pieces_of(text: Column, body: Callable[[Callable[[Column, Column], Column]], Column]) -> Column:
@@ -124,7 +142,9 @@ def pieces_of(text: Column, body: Callable[[Callable[[Column, Column], Column]],
         def piece(start: Column, end: Column) -> Column:
             first = F.call_function("div", start, F.lit(_CHUNK)).cast("int")
             count = F.call_function("div", end - 1, F.lit(_CHUNK)).cast("int") - first + 1
-            held = F.array_join(F.slice(chunks, first + 1, F.greatest(count, F.lit(0))), "")
+            # Almost every piece lies in one chunk or two; a slice walks over all chunks.
+            near = F.concat(F.get(chunks, first), F.when(count == 2, F.get(chunks, first + 1)).otherwise(""))
+            held = F.when(count <= 2, near).otherwise(F.array_join(F.slice(chunks, first + 1, count), ""))
             return F.when(end > start, F.substring(held, start - first * _CHUNK + 1, end - start)).otherwise("")
 
         return body(piece)
