@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,6 +167,31 @@ def test_longest_match_and_place(spark):
     assert (got["longest_match"], got["longest_at"], got["n_hit"]) == (30, 1, 45)
 
 
+def test_slices_and_chunks_change_nothing(spark, monkeypatch):
+    """A template that all items share, items longer than the window, spans and matches across slices."""
+    draw = random.Random(4)
+    shared = " ".join(f"t{i}" for i in range(20))
+    items = [(i, f"{shared} " + " ".join(f"q{i}x{draw.randrange(5)}" for _ in range(draw.randrange(30)))) for i in range(40)]
+    texts = [f"a b {t} c d {shared} e" for _, t in items] + [f"{t} {u}" for (_, t), (_, u) in zip(items, items[3:])] + ["clean words only", ""]
+    docs = spark.createDataFrame([(i % 70, t) for i, t in enumerate(texts * 2)], "doc_id long, text string")
+    sought = spark.createDataFrame(items, "item_id long, text string")
+    columns = ("doc_id", "n_words", "n_hit", "hit_spans", "items", "longest_match", "longest_at")
+    listed = lambda: sorted(tuple(map(str, r)) for r in decontaminate.find_overlaps(docs, sought, ["doc_id"]).select(*columns).collect())
+    want = listed()
+    monkeypatch.setattr(decontaminate, "SLICE", 3000)
+    assert listed() == want
+    windows = [t.split()[a : a + 13] for _, t in items for a in range(len(t.split()) - 12)]
+    best = max(len(t.split()) for _, t in items)
+    assert max(int(r[5]) for r in want) == best and len(windows) > 40
+    numbers = decontaminate.probe([(str(i), t.encode()) for i, t in items])
+    assert len(numbers.tokens) == len({tuple(w) for w in windows}) and numbers.first[-1] == len(windows)
+    batch = pa.RecordBatch.from_pylist([{"text": t, "hit_spans": b"", "items": [], "longest_match": 0, "longest_at": 0} for t in texts])
+    whole = decontaminate._searched(batch, numbers)
+    monkeypatch.setattr(decontaminate, "PAIRS", 50)
+    monkeypatch.setattr(decontaminate, "SOUGHT", 7)
+    assert decontaminate._searched(batch, numbers) == whole
+
+
 def test_suffix_array_is_sorted():
     draw = np.random.default_rng(2)
     tokens = draw.integers(1, 4, 300).astype(np.int32)
