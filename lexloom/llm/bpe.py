@@ -319,7 +319,10 @@ def digests(documents: DataFrame, path: str) -> DataFrame:
 
 
 def encoded_documents(documents: DataFrame, path: str) -> DataFrame:
-    """Own columns without the text, then n_tokens, ids and decoded_sha256."""
+    """Own columns without the text, then n_tokens, ids and decoded_sha256.
+
+    Own columns named ids, decoded, n_tokens or decoded_sha256 give way to the results.
+    """
     own = [c for c in documents.columns if c not in ("text", "ids", "decoded", "n_tokens", "decoded_sha256")]
     both = round_trip(documents, path, own)
     return both.select(*own, F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

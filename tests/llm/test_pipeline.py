@@ -65,3 +65,40 @@ def test_encoding_of_what_is_left(steps):
 
 def test_run_gives_the_last_stage(spark, steps):
     assert corpus_pipeline.run(spark, SF_DIR).count() == steps[-1].count()
+
+
+HARD = [
+    (None, None, None), (1, None, 5), (1, None, 5), (2, "", 1), (2, "", 2), (3, " \t ", None), (None, "of the people by mail a@b.co", 3),
+    (4, "word " * 200_000, 4), (4, "word " * 200_000, 4), (5, "Call +1 (212) 555-0100 or DE89 3704 0044 0532 0130 00.", None), (6, "\u00e9\u4e2d\U0001f600 " * 9, 6),
+]
+
+
+def through(spark, docs, monkeypatch):
+    """Every stage on what the one before kept; the classifier lets all pass, so that each meets the hard rows."""
+    accept = lambda docs, labels: docs
+    out = [docs]
+    with monkeypatch.context() as m:
+        m.setattr(quality, "accepted", accept)
+        for name, stage in corpus_pipeline.STAGES:
+            out.append(common.materialize(stage(spark, out[-1], SF_DIR), name))
+    return out
+
+
+def test_hard_rows_and_own_columns_pass_all_stages(spark, monkeypatch):
+    docs = spark.createDataFrame(HARD, "doc_id long, text string, ids long").selectExpr("*", "ids as key", "'x' as component_id", "1 as part", "2 as score", "3 as n_hit", "doc_id as items")
+    steps = through(spark, docs, monkeypatch)
+    assert all(s.columns == docs.columns for s in steps[:-1])
+    given = [(r["doc_id"], r["text"]) for r in steps[1].collect()]
+    groups = {c if c is not None else f for _, f, c in brute.components(given)}
+    assert steps[2].count() == len(groups)
+    assert {r["text"] for r in steps[2].collect()} <= {t for _, t, _ in HARD}
+    assert steps[4].count() == steps[3].count() == steps[2].count()
+    last = steps[5]
+    assert last.columns == ["doc_id", "key", "component_id", "part", "score", "n_hit", "items", "n_tokens", "ids", "decoded_sha256"]
+    assert last.count() == steps[4].count() and last.where("n_tokens is null or ids is null").count() == 0
+    assert quality.accepted(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet")).columns == docs.columns
+
+
+def test_empty_table_passes_all_stages(spark, monkeypatch):
+    none = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
+    assert [s.count() for s in through(spark, none, monkeypatch)] == [0] * 6
