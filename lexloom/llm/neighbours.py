@@ -1,10 +1,13 @@
 """Approximate nearest neighbours by inner product: learned partitions.
 
 On a bounded sample of vectors a neighbour graph is built and cut into balanced parts (spectral bisections
-with swaps); a small classifier learns in which parts a vector's neighbours lie. Every vector of the table is
-indexed in its most probable part; a query is compared with all vectors of its most probable parts, as many as
-hold ``MASS`` of the probability together, and more until these hold enough candidates. Vectors in clear
-clusters need few parts; directions spread evenly need most of them for the same recall.
+with swaps); a small classifier learns in which parts a vector's neighbours lie. A part that more than ``LEAF``
+vectors fall into gets a graph, parts and a classifier of its own, from a bounded sample of its vectors and in a task
+of its own, so leaves grow in number with the table. Every vector is indexed in its most probable leaf. A query is
+compared with all vectors of its most probable leaves, until these hold a set share of the probability and enough
+candidates. That share is measured, not assumed: vectors kept out of the fit are compared with the whole
+table, and the least share under which ``RECALL`` of their true neighbours are met is taken. Vectors in clear
+clusters need few leaves; directions spread evenly need most of them for the same recall.
 
 Equal vectors are one entry of the index with the smallest ids that a result can need; equal queries are
 searched once. Large parts, and many queries to one part, are cut into a grid of bounded cells.
@@ -37,9 +40,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FIT_ROWS = 6000
 #: Parts (a power of two), and neighbours in the graph.
 PARTS, GRAPH = 64, 10
-#: A query looks into its most probable parts until they hold this much of the classifier's probability.
-MASS = 0.95
+#: Vectors in a part, at most, before it is cut again (once).
+LEAF = 1 << 16
+#: Share of the true neighbours of the trial vectors that the search must meet, and number of trial vectors.
+RECALL, TRIALS = 0.96, 200
 NEAREST = 20
+_ROUTED_AT_ONCE = 512  # vectors times leaves are held as one matrix
 #: Entries and queries compared in one cell.
 CELL, QUERIES = 16384, 4096
 _LEAST_PART = 32  # sample vectors a part should have at least
@@ -159,24 +165,74 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(values), -1)
 
 
-def _routed(entries: DataFrame, router: Router, mass: float, held: np.ndarray | None, needed: int) -> DataFrame:
-    """``entries`` with ``part``: one row for each of the most probable parts, until they hold ``mass`` of
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    likely = np.exp(logits - logits.max(1, keepdims=True))
+    return likely / likely.sum(1, keepdims=True)
+
+
+@dataclass
+class Tree:
+    """A classifier over parts and, for parts cut again, one over their own; leaves are numbered part by part."""
+
+    root: Router
+    below: dict[int, Router]
+
+    def firsts(self) -> np.ndarray:
+        """First leaf of each part, and the number of leaves at the end."""
+        sizes = [self.below[p].w2.shape[1] if p in self.below else 1 for p in range(self.root.w2.shape[1])]
+        return np.cumsum([0, *sizes])
+
+    def probabilities(self, x: np.ndarray) -> np.ndarray:
+        top = _softmax(self.root.logits(x))
+        return np.hstack([top[:, [p]] * _softmax(self.below[p].logits(x)) if p in self.below else top[:, [p]] for p in range(top.shape[1])])
+
+    def homes(self, x: np.ndarray) -> np.ndarray:
+        """The leaf each vector is indexed in."""
+        part = self.root.logits(x).argmax(1)
+        leaf = self.firsts()[part]
+        for p, router in self.below.items():
+            rows = np.flatnonzero(part == p)
+            if len(rows):
+                leaf[rows] += router.logits(x[rows]).argmax(1)
+        return leaf
+
+
+def _packed(tree: Tree) -> tuple[dict, dict]:
+    """Plain arrays of a tree, which travel to the tasks without this module."""
+    return asdict(tree.root), {p: asdict(r) for p, r in tree.below.items()}
+
+
+def _unpacked(weights: tuple[dict, dict]) -> Tree:
+    return Tree(Router(**weights[0]), {p: Router(**r) for p, r in weights[1].items()})
+
+
+def _indexed(entries: DataFrame, tree: Tree) -> DataFrame:
+    """``entries`` with ``part``, the leaf of their vector."""
+    weights, names = _packed(tree), entries.columns
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _unpacked(weights)
+        for batch in batches:
+            if batch.num_rows:
+                leaf = held.homes(_matrix(batch.column("embedding")))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf.astype(np.int32))], [*names, "part"])
+
+    return entries.mapInArrow(place, entries.select("*", F.lit(0).alias("part")).schema)
+
+
+def _routed(entries: DataFrame, tree: Tree, mass: float, held: np.ndarray, needed: int) -> DataFrame:
+    """``entries`` with ``part``: one row for each of the most probable leaves, until they hold ``mass`` of
     the probability and ``needed`` ids (``held`` of them each)."""
-    weights, names = asdict(router), entries.columns
+    weights, names = _packed(tree), entries.columns
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classifier = Router(**weights)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            logits = classifier.logits(_matrix(batch.column("embedding")))
-            order = np.argsort(-logits, axis=1, kind="stable")
-            likely = np.exp(logits - logits.max(1, keepdims=True))
-            summed = np.cumsum(np.take_along_axis(likely / likely.sum(1, keepdims=True), order, axis=1), axis=1)
-            count = 1 + (summed[:, :-1] < mass).sum(1)
-            if held is not None:
-                enough = np.cumsum(held[order], axis=1) >= needed
-                count = np.maximum(count, np.where(enough.any(1), enough.argmax(1) + 1, order.shape[1]))
+        tree = _unpacked(weights)
+        for batch in (b.slice(at, _ROUTED_AT_ONCE) for b in batches for at in range(0, b.num_rows, _ROUTED_AT_ONCE)):
+            likely = tree.probabilities(_matrix(batch.column("embedding")))
+            order = np.argsort(-likely, axis=1, kind="stable")
+            summed = np.cumsum(np.take_along_axis(likely, order, axis=1), axis=1)
+            enough = np.cumsum(held[order], axis=1) >= needed
+            count = np.maximum(1 + (summed[:, :-1] < mass).sum(1), np.where(enough.any(1), enough.argmax(1) + 1, order.shape[1]))
             chosen = np.arange(order.shape[1])[None, :] < count[:, None]
             rows = pa.array(np.nonzero(chosen)[0])
             yield pa.RecordBatch.from_arrays([*(c.take(rows) for c in batch.columns), pa.array(order[chosen].astype(np.int32))], [*names, "part"])
@@ -184,6 +240,58 @@ def _routed(entries: DataFrame, router: Router, mass: float, held: np.ndarray |
     return entries.mapInArrow(route, entries.select("*", F.lit(0).alias("part")).schema)
 
 
+def _cut_again(index: DataFrame, sizes: dict[int, int], rows: int) -> dict[int, Router]:
+    """Classifiers of the parts that hold more than ``LEAF`` vectors, each learned in its own task from about
+    ``rows`` of them. At most ``PARTS`` classifiers of bounded size reach the driver."""
+    large = {p: n for p, n in sizes.items() if n > LEAF}
+    if not large:
+        return {}
+    share = F.get(F.array(*(F.lit(min(1.0, rows / large[p]) if p in large else 0.0) for p in range(max(large) + 1))), F.col("part"))
+    least = F.get("ids", F.lit(0))
+    # another hash than the one that chose the first sample, so the trial vectors are as rare here as any
+    drawn = index.where(F.pmod(F.xxhash64(F.lit("leaf"), least), F.lit(1_000_000)) < F.coalesce(share, F.lit(0.0)) * 1_000_000)
+    parts = PARTS
+
+    def fit(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        router = asdict(learn(_matrix(table.column("embedding")), parts))
+        shapes = [list(w.shape) for w in router.values()]
+        return pa.table({"part": table.column("part")[:1], "weights": [[w.astype("<f8").tobytes() for w in router.values()]], "shapes": [shapes]})
+
+    learned = drawn.select("part", "embedding", least.alias("id")).groupBy("part").applyInArrow(fit, "part int, weights array<binary>, shapes array<array<long>>")
+    return {r["part"]: Router(*(np.frombuffer(w, "<f8").reshape(shape) for w, shape in zip(r["weights"], r["shapes"]))) for r in learned.collect()}
+
+
+def _mass(index: DataFrame, tree: Tree, trials: np.ndarray, ids: np.ndarray, k: int, recall: float) -> float:
+    """The least share of the probability within which ``recall`` of the ``k`` nearest vectors of the trial
+    vectors lie, the whole index compared. A task keeps only the nearest it has seen."""
+    if not len(trials):
+        return 1.0
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = np.full((len(trials), k), -np.inf)
+        leaf = np.zeros((len(trials), k), np.int32)
+        for batch in (b.slice(at, 8192) for b in batches for at in range(0, b.num_rows, 8192)):
+            near = trials @ _matrix(batch.column("embedding")).T
+            near[ids[:, None] == batch.column("id").to_numpy()[None, :]] = -np.inf
+            near = np.hstack([best, near])
+            leaves = np.hstack([leaf, np.broadcast_to(batch.column("part").to_numpy(), (len(trials), batch.num_rows))])
+            top = np.argpartition(-near, k - 1, axis=1)[:, :k]
+            best, leaf = np.take_along_axis(near, top, 1), np.take_along_axis(leaves, top, 1)
+        trial, at = np.nonzero(best > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(trial.astype(np.int32)), pa.array(leaf[trial, at]), pa.array(best[trial, at])], ["trial", "part", "score"])
+
+    nearest_first = Window.partitionBy("trial").orderBy(F.desc("score"), "part")
+    seen = index.select("embedding", "part", F.get("ids", F.lit(0)).alias("id")).mapInArrow(compare, "trial int, part int, score double")
+    true = seen.withColumn("n", F.row_number().over(nearest_first)).where(F.col("n") <= k).select("trial", "part").toPandas()  # k rows a trial vector
+    likely = tree.probabilities(trials)
+    order = np.argsort(-likely, axis=1, kind="stable")
+    before = np.zeros(likely.shape)
+    np.put_along_axis(before, order[:, 1:], np.cumsum(np.take_along_axis(likely, order, axis=1), axis=1)[:, :-1], axis=1)
+    needed = np.sort(before[true["trial"].to_numpy(), true["part"].to_numpy()])
+    return float(np.nextafter(needed[int(np.ceil(recall * len(needed))) - 1], 2)) if len(needed) else 1.0
+
+
 def inner_products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Row by row, added from the first component to the last: the same sum wherever it is computed."""
     total = np.zeros(len(q))
@@ -228,10 +336,11 @@ def _usable(embeddings: DataFrame) -> DataFrame:
     return rows.where(F.size("embedding") == (lengths[0]["n"] if lengths else 0))
 
 
-def nearest(embeddings: DataFrame, queries: DataFrame, k: int = NEAREST, mass: float = MASS, rows: int = FIT_ROWS) -> DataFrame:
+def nearest(embeddings: DataFrame, queries: DataFrame, k: int = NEAREST, recall: float = RECALL, rows: int = FIT_ROWS) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` nearest found of each query, itself left out.
 
-    ``queries`` are rows of ``embeddings`` (vec_id, embedding).
+    ``queries`` are rows of ``embeddings`` (vec_id, embedding); an id with several vectors is answered for each,
+    so its ranks repeat. ``recall`` is the share of true neighbours met on the trial vectors.
     """
     usable, asked = _usable(embeddings), _usable(queries)
     most = k + 1  # a query may find itself
@@ -240,30 +349,38 @@ def nearest(embeddings: DataFrame, queries: DataFrame, k: int = NEAREST, mass: f
         usable.withColumn("n", F.row_number().over(smallest)).where(F.col("n") <= most).groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "entries"
     )
     sample = share_below(entries.select("embedding", F.get("ids", F.lit(0)).alias("id")), "id", rows).toPandas().sort_values("id")
-    router = learn(np.stack(sample["embedding"]) if len(sample) else np.zeros((0, 1)))
-    parts = router.w2.shape[1]
-
-    index = materialize(_routed(entries, router, 0.0, None, 0), "index")
-    held = np.zeros(parts, np.int64)
-    cells = np.zeros(parts, np.int64)
-    for r in index.groupBy("part").agg(F.sum(F.size("ids")).alias("ids"), F.count("*").alias("n")).collect():  # one row per part
+    vectors = np.stack(sample["embedding"]) if len(sample) else np.zeros((0, 1))
+    tried = np.zeros(len(sample), bool)
+    if len(sample) >= 10:
+        tried[:: max(10, len(sample) // TRIALS)] = True
+    tree = Tree(learn(vectors[~tried]), {})
+
+    index = _indexed(entries, tree)
+    below = _cut_again(index, {r["part"]: r["count"] for r in index.groupBy("part").count().collect()}, rows)  # one row per part
+    if below:
+        tree = Tree(tree.root, below)
+        index = _indexed(entries, tree)
+    index = materialize(index, "index")
+    leaves = int(tree.firsts()[-1])
+    mass = _mass(index, tree, vectors[tried], sample["id"].to_numpy()[tried], k, recall) if leaves > 1 else 1.0
+
+    held, cells, loads = np.zeros(leaves, np.int64), np.ones(leaves, np.int64), np.ones(leaves, np.int64)
+    for r in index.groupBy("part").agg(F.sum(F.size("ids")).alias("ids"), F.count("*").alias("n")).collect():  # one row per leaf
         held[r["part"]], cells[r["part"]] = r["ids"], -(-r["n"] // CELL)
     distinct = asked.groupBy("embedding").agg(F.min("vec_id").alias("query"))
-    sought = materialize(_routed(distinct, router, mass, held, most), "sought")
-    loads = np.zeros(parts, np.int64)
+    sought = materialize(_routed(distinct, tree, mass, held, most), "sought")
     for r in sought.groupBy("part").count().collect():
         loads[r["part"]] = -(-r["count"] // QUERIES)
 
-    def grid(counts: np.ndarray):
-        return F.get(F.array(*(F.lit(int(max(c, 1))) for c in counts)), F.col("part"))
-
+    spark = embeddings.sparkSession
+    grid = F.broadcast(spark.createDataFrame(list(zip(range(leaves), cells.tolist(), loads.tolist())), "part int, cells long, loads long"))
     mixed = F.xxhash64("embedding")
 
-    def every(counts: np.ndarray):
-        return F.explode(F.sequence(F.lit(0).cast("long"), grid(counts).cast("long") - 1))
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
 
-    base = index.select("part", F.pmod(mixed, grid(cells)).alias("row"), every(loads).alias("col"), "embedding", "ids")
-    probe = sought.select("part", every(cells).alias("row"), F.pmod(mixed, grid(loads)).alias("col"), "embedding", "query")
+    base = index.join(grid, "part").select("part", F.pmod(mixed, "cells").alias("row"), every("loads").alias("col"), "embedding", "ids")
+    probe = sought.join(grid, "part").select("part", every("cells").alias("row"), F.pmod(mixed, "loads").alias("col"), "embedding", "query")
     cell = ["part", "row", "col"]
     found = base.groupBy(*cell).cogroup(probe.groupBy(*cell)).applyInArrow(lambda b, q: _compared(b, q, most), "query long, vec_id long, score double")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")

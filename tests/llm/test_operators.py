@@ -485,6 +485,43 @@ def test_nearest_of_many_equal_vectors(spark, monkeypatch):
     assert got[60] == want[60]
 
 
+def test_large_parts_are_cut_again(spark, monkeypatch):
+    """Parts of clustered vectors get parts of their own; few leaves are looked into, nearly all neighbours met."""
+    draw = np.random.default_rng(9)
+    centres = draw.standard_normal((150, 24))
+    vectors = [(i, (centres[i % 150] + 0.2 * draw.standard_normal(24)).tolist()) for i in range(9000)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(8)
+    monkeypatch.setattr(neighbours, "PARTS", 8)
+    monkeypatch.setattr(neighbours, "LEAF", 300)
+    trees, sought = [], []
+    routed = neighbours._routed
+
+    def watched(entries, tree, *rest):
+        out = routed(entries, tree, *rest)
+        trees.append(tree), sought.append(out)
+        return out
+
+    monkeypatch.setattr(neighbours, "_routed", watched)
+    got = answers(neighbours.nearest(df, df.where("vec_id % 100 = 0"), rows=1500))
+    want = nearest(vectors, every=100)
+    assert set(got) == set(want)
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
+    leaves = int(trees[0].firsts()[-1])
+    assert len(trees[0].below) >= 2 and leaves > trees[0].root.w2.shape[1]
+    assert sought[0].count() < 0.5 * leaves * len(want)
+
+
+def test_leaves_of_vectors_agree_with_their_order():
+    draw = np.random.default_rng(10)
+    x = draw.standard_normal((400, 6))
+    root = neighbours.learn(x, 4)
+    tree = neighbours.Tree(root, {1: neighbours.learn(x[root.logits(x).argmax(1) == 1], 2)})
+    likely, first = tree.probabilities(x), tree.firsts()
+    assert likely.shape[1] == first[-1] and np.allclose(likely.sum(1), 1)
+    part, leaf = root.logits(x).argmax(1), tree.homes(x)
+    assert (first[part] <= leaf).all() and (leaf < first[part + 1]).all()
+
+
 def test_recall_on_table(spark, given):
     got, want = answers(run(spark, "op5_ann")), nearest(given["embeddings"])
     assert set(got) == set(want)
