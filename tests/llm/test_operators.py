@@ -210,11 +210,18 @@ def test_repeats_of_hard_cases(hard, monkeypatch):
     monkeypatch.setattr(substrings, "BLOCK", 20_000)  # many blocks
     monkeypatch.setattr(substrings, "PIECE", 1000)
     assert rows(substrings.report(hard), *columns) == want
+    monkeypatch.setattr(substrings, "BUCKET", 10)  # more buckets than a block deals to: rows are regrouped over blocks
+    monkeypatch.setattr(substrings, "FIRST", 256)
+    assert rows(substrings.report(hard), *columns) == want
+    monkeypatch.setattr(substrings, "REGROUPED", 50)  # several salts, and several rows of a bucket and salt
+    assert rows(substrings.report(hard), *columns) == want
 
 
 def test_places_round_trip():
     for places in ([], [0], [5, 70_000, 70_001], list(range(0, 3000, 3))):
         assert substrings.unpack_places(substrings.pack_places(np.array(places, np.int64))).tolist() == places
+    places, starts = np.array([5, 9, 70_000, 0, 3, 2], np.int64), np.array([0, 3, 5])
+    assert substrings.unpack_places(substrings.pack_places(places, starts), starts).tolist() == places.tolist()
 
 
 # --- personal data ---
