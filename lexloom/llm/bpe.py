@@ -45,6 +45,19 @@ _ODD = re.compile(r"[\x1c-\x1f]")
 _GAPS = re.compile(rf"[{_WHITE}]+")
 _WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_WHITE}\p{{L}}\p{{N}}]+"
 _END = "</w>"
+#: The settings of a tokenizer file that this module follows; any other would give other ids.
+_SETTINGS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "decoder": None,
+}
+_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": _END, "byte_fallback": False, "ignore_merges": False}
 
 
 def byte_symbols() -> list[str]:
@@ -132,9 +145,17 @@ def merge_long(parts: list[int], merges: dict[int, int]) -> list[int]:
 
 
 def load(path: str) -> dict:
-    """The parsed file: plain data, which any task can unpack."""
+    """The parsed file: plain data, which any task can unpack. A file of other settings is refused (ValueError)."""
     with open(path, encoding="utf-8") as file:
-        return json.load(file)
+        spec = json.load(file)
+    model = spec.get("model", {})
+    other = [name for name, value in _SETTINGS.items() if spec.get(name) != value]
+    other += [f"model.{name}" for name, value in _MODEL.items() if (model.get(name) or None) != (value or None)]
+    if any(t.get(flag) for t in spec.get("added_tokens", []) for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        other.append("added_tokens")
+    if other:
+        raise ValueError(f"{path}: settings this encoder does not follow: {', '.join(other)}")
+    return spec
 
 
 class Encoder:

@@ -23,6 +23,8 @@ from lexloom.llm.common import materialize
 SHARDS = 24
 #: Bytes counted for a row besides its text.
 OVERHEAD = 8
+#: Copies of one repeated row that a task lists, at most.
+COPIES = 1 << 18
 _KEYS = ("doc_id", "text_hash", "text_crc32", "size")
 
 
@@ -48,7 +50,12 @@ def balanced_shards(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     before = table.select(
         "*", F.coalesce(F.sum(F.col("size") * F.col("n")).over(inside), F.lit(0)).alias("bytes_before"), F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("rows_before")
     )
-    each = before.join(F.broadcast(offsets), "part").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("copy"))
+    begun = before.join(F.broadcast(offsets), "part")
+    zero, many = F.lit(0).cast("long"), F.col("n") > COPIES
+    runs = begun.where(many).withColumn("from", F.explode(F.sequence(zero, F.col("n") - 1, F.lit(COPIES).cast("long"))))
+    runs = runs.repartition(*_KEYS, "from")  # the runs of a much repeated row go to many tasks; other rows stay where they are
+    runs = begun.where(~many).withColumn("from", zero).unionByName(runs)
+    each = runs.withColumn("copy", F.explode(F.sequence("from", F.least(F.col("from") + COPIES, F.col("n")) - 1)))
     begin = F.col("first_byte") + F.col("bytes_before") + F.col("copy") * F.col("size")
     middle = (2 * begin + F.col("size")).cast("decimal(38,0)")
     placed = each.select(

@@ -1,5 +1,6 @@
 """Each operator against its plain form: hard cases on small tables, and whole given tables."""
 
+import json
 import os
 import random
 import re
@@ -343,6 +344,16 @@ def test_bpe_of_random_strings(library, monkeypatch):
     assert [np.frombuffer(p, "<i4").tolist() for p in bpe.Encoder(vocabulary).encode(texts)] == want
 
 
+def test_files_of_other_settings_are_refused(tmp_path):
+    with pytest.raises(ValueError, match="normalizer"):
+        bpe.load(tokenizer_path().replace("word_bpe_49k", "byte_bpe_50k"))
+    spec = bpe.load(tokenizer_path())
+    for name, change in (("model.end_of_word_suffix", {"model": {**spec["model"], "end_of_word_suffix": "@@"}}), ("added_tokens", {"added_tokens": [{**spec["added_tokens"][0], "lstrip": True}]})):
+        (tmp_path / "other.json").write_text(json.dumps({**spec, **change}))
+        with pytest.raises(ValueError, match=name):
+            bpe.load(str(tmp_path / "other.json"))
+
+
 def test_encode_and_decode_are_the_round_trip(hard):
     ids = bpe.encode(hard, tokenizer_path(), ["doc_id", "label"])
     apart = bpe.decode(ids, tokenizer_path(), ["doc_id", "ids"])
@@ -370,6 +381,13 @@ def test_shards_of_hard_cases(hard):
         assert order == sorted(order, key=lambda i: -1 if i is None else i)
 
 
+def test_copies_of_one_row_are_listed_in_runs(hard, monkeypatch):
+    want = Counter(map(tuple, sharding.report(hard.unionByName(hard)).collect()))
+    for copies in (1, 3):
+        monkeypatch.setattr(sharding, "COPIES", copies)
+        assert Counter(map(tuple, sharding.report(hard.unionByName(hard)).collect())) == want
+
+
 def test_shards_of_table_are_near_equal(spark, given):
     got = run(spark, "op7_sharding").toPandas()
     sizes = got.groupby("shard")["size"].sum()
