@@ -11,7 +11,7 @@ from lexloom.plans.inputs import STATUTE_SQL, statutes
 from lexloom.plans.queries_corpus import _scratch
 from lexloom.plans.registry import query, table
 from lexloom.sources import layouts
-from lexloom.streaming.pages import append_to, article_stream, page_stream
+from lexloom.streaming.pages import append_to, article_stream, page_stream, table_stream
 
 def _nodes(spark: SparkSession, d: str) -> DataFrame:
     return S.nodes(statutes(spark, d), "id", S.paragraphs(F.col("content_html")))
@@ -288,9 +288,7 @@ SELECT doc_id AS document_id, n AS art FROM t WHERE n > 0""")
 def r1(spark: SparkSession, d: str) -> DataFrame:
     """Documents through a file stream; every line is an article heading here."""
     root = _scratch(spark, "article-stream")
-    docs = page_stream(
-        spark, d, "doc_id BIGINT, text STRING, source STRING", name_filter="documents.parquet"
-    )
+    docs = table_stream(spark, d, "documents", "doc_id BIGINT, text STRING, source STRING")
     lines = F.transform(
         F.split("text", "\n"),
         lambda x, i: F.when(F.trim(x) != "", F.concat(F.lit("<p>Điều "), i + 1, F.lit(". "), F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("</p>"))).otherwise(""),

@@ -21,6 +21,12 @@ def page_stream(
     return reader.parquet(path)
 
 
+def table_stream(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
+    """The files of table ``root/name.parquet``, which is one file or a folder of them."""
+    # A pattern, as a path that is one file itself would have to be a folder.
+    return page_stream(spark, f"{root}/{name}.[p]arquet", schema)
+
+
 def law_stream(pages: DataFrame) -> DataFrame:
     """Typed records of statute pages; the batch operator as it is (no state, no shuffle)."""
     return law_records(pages.filter("doc_type = 'law'"), keep=("doc_type", "doc_key", "fetched_at"))

@@ -1,7 +1,9 @@
 import random
 from datetime import datetime, timedelta
 
+import __spark_entry__  # noqa: F401 - registers the queries
 from lexloom.operators.queue import fold_attempts
+from lexloom.plans.registry import QUERIES
 from lexloom.streaming.attempts import attempt_state, attempt_state_stream, compact_attempts
 from lexloom.streaming.enqueue import compact_queue, enqueue_stream, first_seen
 from lexloom.streaming.epochs import compact, epochs, stored_buckets, valid
@@ -72,6 +74,22 @@ def test_page_and_article_streams(spark, tmp_path):
     assert [(r.article_id, r.content) for r in spark.read.parquet(str(tmp_path / "arts")).collect()] == [("A-ART-1", "x")]
 
 
+def test_streams_of_a_table_of_one_file_or_many(spark, tmp_path):
+    """The given tables are single files, or folders of files as Spark writes them."""
+    docs = spark.createDataFrame([(1, "a\nb", "s"), (2, "c", "s")], "doc_id BIGINT, text STRING, source STRING")
+    pages = spark.createDataFrame([(7, "u", "<article><p>x</p></article>"), (8, "u", "")], "page_id BIGINT, url STRING, html STRING")
+    for layout in ("one", "many"):
+        root = tmp_path / layout
+        for name, rows in (("documents", docs), ("pages", pages)):
+            rows.repartition(2).write.parquet(str(root / f"{name}.parquet"))
+            if layout == "one":
+                pandas = spark.read.parquet(str(root / f"{name}.parquet")).toPandas()
+                (root / "single").mkdir(exist_ok=True)
+                pandas.to_parquet(root / "single" / f"{name}.parquet")
+        d = str(root / "single") if layout == "one" else str(root)
+        assert sorted(map(tuple, QUERIES["r1_article_stream"](spark, d).collect())) == [(1, 2), (2, 1)]
+
+
 def test_compaction_of_attempts_and_queue(spark, tmp_path):
     """After each run past epochs become one folder; states stay, a replayed newest epoch writes the same."""
     rng, start = random.Random(3), datetime(2024, 1, 1)
