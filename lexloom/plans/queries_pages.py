@@ -12,7 +12,7 @@ from lexloom.plans.inputs import LAW_STATUS_SQL, judgment_pages, law_pages
 from lexloom.plans.queries_corpus import _scratch
 from lexloom.plans.registry import query, table
 from lexloom.sources import keyed_tables, tables
-from lexloom.streaming.pages import append_to, page_stream
+from lexloom.streaming.pages import append_to, table_stream
 
 _ARTICLE = ("article", H.opener("article"))
 _UNESCAPE = """replace(replace(replace(replace({0}, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"""
@@ -224,7 +224,7 @@ def x18(spark: SparkSession, d: str) -> DataFrame:
 @query("r1_page_stream", _X7)
 def r1(spark: SparkSession, d: str) -> DataFrame:
     root = _scratch(spark, "page-stream")
-    pages = page_stream(spark, d, "page_id BIGINT, url STRING, html STRING", name_filter="pages.parquet")
+    pages = table_stream(spark, d, "pages", "page_id BIGINT, url STRING, html STRING")
     texts = pages.select(
         "page_id", X.section(H.tokens(F.col("html")), _ARTICLE).alias("content")
     ).select("page_id", X.law_text(F.col("content")).alias("content_text"))

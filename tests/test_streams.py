@@ -88,6 +88,7 @@ def test_streams_of_a_table_of_one_file_or_many(spark, tmp_path):
                 pandas.to_parquet(root / "single" / f"{name}.parquet")
         d = str(root / "single") if layout == "one" else str(root)
         assert sorted(map(tuple, QUERIES["r1_article_stream"](spark, d).collect())) == [(1, 2), (2, 1)]
+        assert sorted(map(tuple, QUERIES["r1_page_stream"](spark, d).collect())) == [(7, "x"), (8, "")]
 
 
 def test_compaction_of_attempts_and_queue(spark, tmp_path):
