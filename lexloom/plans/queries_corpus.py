@@ -601,15 +601,17 @@ def s4_quarantine(spark: SparkSession, d: str) -> DataFrame:
 @query("s4_foreign_csv", """
 SELECT doc_id AS id, 'n"' || source || '",\\' || chr(13) || chr(10) || lang AS document_number, nullif(trim(lang, 'es'), '') AS document_type, '' AS signer, text AS content_text FROM documents""")
 def s4_foreign(spark: SparkSession, d: str) -> DataFrame:
-    """A file as other programs write it: quotes doubled, line breaks and backslashes inside cells as they are."""
+    """Files as other programs write them: quotes doubled, line breaks and backslashes inside cells as they are."""
     path = _scratch(spark, "foreign-csv")
     quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
     number = F.concat(F.lit('n"'), "source", F.lit('",\\\r\n'), "lang")
     kind = F.coalesce(F.expr("nullif(trim(BOTH 'es' FROM lang), '')"), F.lit(""))
-    lines = table(spark, d, "documents").select(F.concat_ws(",", F.col("doc_id").cast("string"), quoted(number), kind, F.lit('""'), quoted(F.col("text"))).alias("value"))
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), quoted(number), kind, F.lit('""'), quoted(F.col("text")))
     columns = ["id", "document_number", "document_type", "signer", "content_text"]
-    header = spark.createDataFrame([(",".join(columns),)], "value STRING")
-    header.union(lines).coalesce(1).write.text(path)
+    # Every task writes a file of its own; the lower 33 bits number its rows, and its header goes before the first.
+    first = F.monotonically_increasing_id().bitwiseAND(2**33 - 1) == 0
+    head = F.when(first, F.lit(",".join(columns) + "\n")).otherwise("")
+    table(spark, d, "documents").select(F.concat(head, line).alias("value")).write.text(path)
     good, _ = csv_files.read_csv_table(spark, path, "legal_documents", columns)
     return good.select(columns)
 

@@ -2,10 +2,13 @@ import csv
 import json
 import os
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__  # noqa: F401 - registers the queries
+from lexloom.plans.registry import QUERIES
 from lexloom.schemas import ALLOWED, TABLES, allowed
 from lexloom.sources import csv_files, json_files, key_lists, tables
 
@@ -192,3 +195,13 @@ def test_extracted_records_fit_their_tables(spark):
     assert law.columns == tables.empty_table(spark, "legal_documents").columns
     assert dict(law.dtypes)["effective_date"] == "string"
     assert law.first().id is not None and judgment.first().keywords == []
+
+
+def test_foreign_files_are_written_by_many_tasks(spark, tmp_path):
+    rows = [(i, f'a"{i}\r\nb', "es", "src") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(root.glob("foreign-csv-*/part-*"))
+    got = QUERIES["s4_foreign_csv"](spark, str(tmp_path)).collect()
+    assert sorted((r.id, r.content_text) for r in got) == [r[:2] for r in rows]
+    assert len(set(root.glob("foreign-csv-*/part-*")) - before) == 3
