@@ -374,14 +374,14 @@ def r2_horizon(spark: SparkSession, d: str) -> DataFrame:
     """
     root = _scratch(spark, "arrivals")
     ids = table(spark, d, "documents").select(F.md5("text").alias("document_id"), F.lit("law").alias("document_type"), (F.col("doc_id") % 5).alias("day"))
-    marks = spark.range(1).select(F.lit("mark").alias("document_id"), F.lit("mark").alias("document_type"), F.lit(0).cast("bigint").alias("day"))
-    # Written one after the other: files are taken in the order of their age, one a micro-batch.
+    marks = spark.range(0, 1, 1, 1).select(F.lit("mark").alias("document_id"), F.lit("mark").alias("document_type"), F.lit(0).cast("bigint").alias("day"))
+    out = _scratch(spark, "first-seen")
+    # One run of the stream after each arrival: state and watermark carry over, whatever the number of its files.
     for n, (rows, after) in enumerate(((ids, 0), (ids, 2), (marks, 30), (marks, 31), (ids, 40))):
         at = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.col("day").cast("int") + after)
-        rows.select("document_id", "document_type", at.alias("seen_at"), F.lit(n).alias("arrival")).coalesce(1).write.mode("append").parquet(root)
-    stream = page_stream(spark, root, "document_id STRING, document_type STRING, seen_at TIMESTAMP, arrival INT", files_per_batch=1)
-    out = _scratch(spark, "first-seen")
-    append_to(stream_enqueue.first_seen(stream, "seen_at", "7 days"), out, f"{out}-checkpoint").awaitTermination()
+        rows.select("document_id", "document_type", at.alias("seen_at"), F.lit(n).alias("arrival")).write.mode("append").parquet(root)
+        stream = page_stream(spark, root, "document_id STRING, document_type STRING, seen_at TIMESTAMP, arrival INT")
+        append_to(stream_enqueue.first_seen(stream, "seen_at", "7 days"), out, f"{out}-checkpoint").awaitTermination()
     return spark.read.parquet(out).filter("document_type = 'law'").select("document_id", "document_type", "arrival")
 
 

@@ -1,5 +1,6 @@
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import __spark_entry__  # noqa: F401 - registers the queries
 from lexloom.operators.queue import fold_attempts
@@ -91,6 +92,19 @@ def test_streams_of_a_table_of_one_file_or_many(spark, tmp_path):
         assert sorted(map(tuple, QUERIES["r1_page_stream"](spark, d).collect())) == [(7, "x"), (8, "")]
 
 
+def _files(spark, name):
+    return set(Path(spark.conf.get("spark.checkpoint.dir")).glob(f"{name}-*/part-*"))
+
+
+def test_arrivals_are_written_by_many_tasks(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"t{i % 30}") for i in range(40)], "doc_id BIGINT, text STRING")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    before = _files(spark, "arrivals")
+    got = QUERIES["r2_first_seen_horizon"](spark, str(tmp_path)).collect()
+    assert sorted(r.arrival for r in got) == [0] * 30 + [4] * 30
+    assert len(_files(spark, "arrivals") - before) == 3 * 3 + 2
+
+
 def test_compaction_of_attempts_and_queue(spark, tmp_path):
     """After each run past epochs become one folder; states stay, a replayed newest epoch writes the same."""
     rng, start = random.Random(3), datetime(2024, 1, 1)
