@@ -270,10 +270,12 @@ def p14(spark: SparkSession, d: str) -> DataFrame:
 @query("r1_statute_stream", f"""{_ARTICLES}
 SELECT article_id, document_id, art, number, occurrence, heading, content, clean_content, n_paragraphs FROM articles""")
 def r1_statutes(spark: SparkSession, d: str) -> DataFrame:
-    """Statutes arriving as files, every column of their articles."""
+    """Statutes arriving as files, about a quarter of them a micro-batch, every column of their articles."""
     source, root = _scratch(spark, "statutes-in"), _scratch(spark, "statute-stream")
-    statutes(spark, d).select("id", "document_number", "content_html").write.parquet(source)
-    docs = page_stream(spark, source, "id BIGINT, document_number STRING, content_html STRING", files_per_batch=2)
+    pages = statutes(spark, d).select("id", "document_number", "content_html")
+    pages.write.parquet(source)
+    quarter = max(2, -(-pages.rdd.getNumPartitions() // 4))
+    docs = page_stream(spark, source, "id BIGINT, document_number STRING, content_html STRING", files_per_batch=quarter)
     append_to(article_stream(docs, "id", "document_number", "content_html"), root, f"{root}-checkpoint").awaitTermination()
     return spark.read.parquet(root).select(
         "article_id", "document_id", F.col("art").cast("bigint").alias("art"), "number",

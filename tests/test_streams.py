@@ -105,6 +105,19 @@ def test_arrivals_are_written_by_many_tasks(spark, tmp_path):
     assert len(_files(spark, "arrivals") - before) == 3 * 3 + 2
 
 
+def test_statutes_arrive_in_few_batches_of_many_files(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "a\nb\nc", "s") for i in range(64)], "doc_id BIGINT, text STRING, source STRING")
+    docs.repartition(16).write.parquet(str(tmp_path / "documents.parquet"))
+    commits = lambda: set(Path(spark.conf.get("spark.checkpoint.dir")).glob("statute-stream-*-checkpoint/commits/[0-9]*"))
+    before, limit = commits(), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")  # a task and a file for each of the 16
+    try:
+        assert QUERIES["r1_statute_stream"](spark, str(tmp_path)).select("document_id").distinct().count() == 64
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+    assert 2 <= len(commits() - before) <= 5
+
+
 def test_compaction_of_attempts_and_queue(spark, tmp_path):
     """After each run past epochs become one folder; states stay, a replayed newest epoch writes the same."""
     rng, start = random.Random(3), datetime(2024, 1, 1)
