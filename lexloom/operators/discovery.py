@@ -11,15 +11,21 @@ from lexloom.functions.text import decode_attribute, strip
 
 # Markup that carries ids on the source's result pages.
 _LAW_TAG = r"""(?i)<p(?=\s)(?=[^<>]*\sclass\s*=\s*(?:"(?:[^">]*\s)?nqTitle(?:\s[^">]*)?"|'(?:[^'>]*\s)?nqTitle(?:\s[^'>]*)?'|nqTitle[\s>]))[^<>]*>"""
-_LAW_ID = r"""(?i)\slawid\s*=\s*(?:"([^">]*)"|'([^'>]*)'|([^\s"'>]+))"""
+_LAW_ID = r"""(?i)\slawid\s*=\s*("[^">]*"|'[^'>]*'|[^\s"'>]+)"""
 _LINK_TAG = r"""(?i)<a(?=\s)(?=[^<>]*\sclass\s*=\s*["'](?:[^"'>]*\s)?h5[\s"'])(?=[^<>]*\sclass\s*=\s*["'](?:[^"'>]*\s)?font-weight-bold[\s"'])[^<>]*>"""
-_HREF = r"""(?i)\shref\s*=\s*(?:"([^">]*)"|'([^'>]*)'|([^\s"'>]+))"""
+_HREF = r"""(?i)\shref\s*=\s*("[^">]*"|'[^'>]*'|[^\s"'>]+)"""
 _JUDGMENT_PATH = "/ban-an/"
 DEFAULT_SPAN = 100
 
 
 def _attribute(tag: Column, pattern: str) -> Column:
-    return let(F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)]), decode_attribute)
+    """Decoded value of the attribute, '' without one; the one group of ``pattern`` is the value with its quotes."""
+
+    def plain(value: Column) -> Column:
+        quoted = value.startswith('"') | value.startswith("'")
+        return F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+
+    return let(let(F.regexp_extract(tag, pattern, 1), plain), decode_attribute)
 
 
 def _tags(html: Column, pattern: str) -> Column:

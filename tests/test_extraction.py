@@ -155,3 +155,16 @@ def test_elements_cost_linear_time(spark):
 
     seconds(10_000)
     assert min(seconds(40_000) for _ in range(2)) < 3 * min(seconds(20_000) for _ in range(2)) + 0.5
+
+
+def _plan(df):
+    df.sparkSession.conf.set("spark.sql.maxPlanStringLength", "10000000")
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_attribute_values_take_one_search_a_tag(spark):
+    """Whatever stands around the value: either quote, the other quote inside, nothing, or nothing at all."""
+    html = """<p class="nqTitle" lawid="a'b'">x</p><p class=nqTitle lawid='"c"'><p class="nqTitle" lawid=d><p class="nqTitle" lawid=""><p class='nqTitle' lawid='&amp;e'>"""
+    df = spark.createDataFrame([(html,)], "h STRING").select(D.law_ids(F.col("h")).alias("law"), D.judgment_ids(F.col("h")).alias("judgment"))
+    assert tuple(df.first()) == (["a'b'", '"c"', "d", "&e"], [])
+    assert _plan(df).count("lawid") == 1
