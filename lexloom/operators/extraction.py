@@ -322,7 +322,8 @@ def law_records(pages: DataFrame, keep: tuple[str, ...] = ("doc_key",)) -> DataF
     )
     raw = with_sections.select(
         *keep,
-        "error",
+        # Not deterministic, for the optimizer: else a filter on the error would be moved down and extract all pages again.
+        F.when(F.spark_partition_id() >= 0, F.col("error")).alias("error"),
         *[table_value(F.col("_fields"), label).alias(f"_{n}") for n, label in LAW_LABELS.items()],
         *[gazette_value(F.col("_fields"), label).alias(f"_{n}") for n, label in GAZETTE_LABELS.items()],
         H.html_of(F.col("_meta")).alias("metadata_html"),

@@ -162,6 +162,14 @@ def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_usable_records_are_extracted_once(spark):
+    """A filter on the error stays above the extraction, whose tokens would else be cut for it and for the record."""
+    df = spark.createDataFrame([("1", LAW.format(effective="31/02/2020", status=""), 200)], "doc_key STRING, html STRING, http_status INT")
+    usable = X.law_records(df).filter("error IS NULL")
+    assert _plan(usable).count("regexp_extract_all(") == 1
+    assert usable.count() == 0
+
+
 def test_attribute_values_take_one_search_a_tag(spark):
     """Whatever stands around the value: either quote, the other quote inside, nothing, or nothing at all."""
     html = """<p class="nqTitle" lawid="a'b'">x</p><p class=nqTitle lawid='"c"'><p class="nqTitle" lawid=d><p class="nqTitle" lawid=""><p class='nqTitle' lawid='&amp;e'>"""
