@@ -16,17 +16,19 @@ from pyspark.sql import functions as F
 from lexloom.functions.arrays import fold_emitting, let
 from lexloom.functions.text import decode_entities, strip
 
+# Both patterns have the "<" of all branches in front, so that other characters meet one test.
 _TOKEN = (
+    r"(?is)[^<]+"
     # Comments and raw text that are never closed run to the end of the page.
-    r"(?is)<!--.*?(?:-->|\z)"
-    r"|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
+    r"|<(?:!--.*?(?:-->|\z)"
+    r"|(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
     # No branch reads past the next "<", so unbalanced quotes cannot make a page quadratic.
-    r"|</?[a-z](?:[^<>\"']++|\"[^<\"]*+\"|'[^<']*+')*+>"
-    r"|</?[a-z!][^<>]*>"
-    r"|[^<]+|<"
+    r"|/?[a-z](?:[^<>\"']++|\"[^<\"]*+\"|'[^<']*+')*+>"
+    r"|/?[a-z!][^<>]*>"
+    r"|)"
 )
 # Text that never counts as content: comments and raw-text blocks.
-INVISIBLE = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
+INVISIBLE = r"(?is)<(?:!--.*?(?:-->|\z)|(script|style)\b[^>]*>.*?(?:</\1\s*>|\z))"
 
 
 def tokens(html: Column) -> Column:
@@ -122,9 +124,22 @@ def first_element(toks: Column, opening: str, tag: str) -> Column:
 def element_spans(toks: Column, wanted: Callable[[Column], Column], names: list[str]) -> Column:
     """Spans of the outermost elements with one of ``names`` whose opening tag is wanted.
 
-    Only the tags of these names are folded. While inside an element, tags of its
-    name nest; an element never closed runs to the last token.
+    Only the tags of these names are folded, from the first wanted one on. While inside an
+    element, tags of its name nest; an element never closed runs to the last token.
     """
+    nothing = F.array().cast(f"array<{_SPAN}>")
+
+    def one_name(acc: Column, m: Column) -> tuple[Column, Column]:
+        """``step`` where all tags have the same name."""
+        outside, opens = acc["depth"] == 0, ~m["tag"].startswith("/")
+        state = F.struct(
+            F.when(outside, F.when(m["wanted"], _int(1)).otherwise(_int(0)))
+            .when(opens, acc["depth"] + 1)
+            .otherwise(acc["depth"] - 1)
+            .alias("depth"),
+            F.when(outside, m["at"]).otherwise(acc["start"]).alias("start"),
+        )
+        return state, F.when((acc["depth"] == 1) & ~opens, F.array(_span(acc["start"], m["at"]))).otherwise(nothing)
 
     def step(acc: Column, m: Column) -> tuple[Column, Column]:
         starts = (acc["depth"] == 0) & m["wanted"]
@@ -140,7 +155,7 @@ def element_spans(toks: Column, wanted: Callable[[Column], Column], names: list[
         )
         ended = F.when(
             closes & (acc["depth"] == 1), F.array(_span(acc["start"], m["at"]))
-        ).otherwise(F.array().cast(f"array<{_SPAN}>"))
+        ).otherwise(nothing)
         return state, ended
 
     def finish(state: Column, spans: Column) -> Column:
@@ -148,8 +163,18 @@ def element_spans(toks: Column, wanted: Callable[[Column], Column], names: list[
             state["depth"] > 0, F.concat(spans, F.array(_span(state["start"], F.size(toks) - 1)))
         ).otherwise(spans)
 
-    zero = F.struct(F.lit("").alias("name"), _int(0).alias("depth"), _int(0).alias("start"))
-    return let(_marks(toks, wanted, names), lambda marks: fold_emitting(marks, zero, step, _SPAN, finish))
+    def folded(marks: Column) -> Column:
+        depth = [_int(0).alias("depth"), _int(0).alias("start")]
+        if len(names) == 1:
+            return fold_emitting(marks, F.struct(*depth), one_name, _SPAN, finish)
+        return fold_emitting(marks, F.struct(F.lit("").alias("name"), *depth), step, _SPAN, finish)
+
+    def from_first(marks: Column) -> Column:
+        first = F.get(F.filter(marks, lambda m: m["wanted"]), F.lit(0))["at"]
+        after = let(first, lambda at: F.filter(marks, lambda m: m["at"] >= at))
+        return F.when(F.exists(marks, lambda m: m["wanted"]), let(after, folded)).otherwise(nothing)
+
+    return let(_marks(toks, wanted, names), from_first)
 
 
 def _wanted(opening: str, tag: str) -> Callable[[Column], Column]:

@@ -4,6 +4,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from lexloom.functions import html as H
+from lexloom.functions.arrays import let
 from lexloom.operators import discovery as D
 from lexloom.operators import extraction as X
 
@@ -176,3 +177,10 @@ def test_attribute_values_take_one_search_a_tag(spark):
     df = spark.createDataFrame([(html,)], "h STRING").select(D.law_ids(F.col("h")).alias("law"), D.judgment_ids(F.col("h")).alias("judgment"))
     assert tuple(df.first()) == (["a'b'", '"c"', "d", "&e"], [])
     assert _plan(df).count("lawid") == 1
+
+
+def test_binding_copies_nothing(spark):
+    """A fold over nothing: its end result is taken as it is, where transform copies every element."""
+    df = spark.range(1).select(let(F.sequence(F.lit(1), F.lit(3)), lambda a: F.concat(a, a)).alias("v"))
+    assert df.first().v == [1, 2, 3, 1, 2, 3]
+    assert "transform(" not in df._jdf.queryExecution().analyzed().toString()
