@@ -147,9 +147,19 @@ def lookup_ids(found: DataFrame) -> DataFrame:
 
 
 def listed_documents(key_list: DataFrame, docs: DataFrame) -> DataFrame:
-    """Documents with a listed number, each once, written: whatever is asked about a list reads
-    these rows instead of the corpus."""
-    return materialize(docs.join(key_list.select("document_number").distinct(), "document_number", "left_semi"), "listed")
+    """Documents with a listed number, each once, with the times it is ``listed``, written: whatever is asked
+    about a list reads these rows instead of the corpus.
+
+    Rows are dealt by id, so that a number of very many documents lies in many files.
+    """
+    found = docs.join(list_counts(key_list).select("document_number", "listed"), "document_number")
+    return materialize(found.repartition("id"), "listed")
+
+
+def repeated_as_listed(listed: DataFrame) -> DataFrame:
+    """Rows of ``listed_documents`` as often as the list names them: those of ``found_documents`` without ``pos``,
+    from the row itself, equal ones one after the other."""
+    return listed.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("listed")))).drop("_nth", "listed")
 
 
 def report(key_list: DataFrame, docs: DataFrame) -> dict[str, DataFrame]:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401 - registers the queries
+from lexloom.operators import lookup as L
 from lexloom.plans.registry import QUERIES
 from lexloom.schemas import ALLOWED, TABLES, allowed
 from lexloom.sources import csv_files, json_files, key_lists, tables
@@ -186,6 +187,30 @@ def test_lookup_files(spark, tmp_path):
     assert read("report/coverage")[0]["found_percent"] == 50.0
 
 
+def test_texts_listed_very_often_are_written_small(spark, tmp_path):
+    """A record for every entry and document; their texts are shuffled and stored as often as there are documents."""
+    schema = tables.empty_table(spark, "legal_documents").schema
+    docs = spark.createDataFrame([], schema).unionByName(
+        spark.createDataFrame([(i, "A") for i in range(20)] + [(20, "B"), (21, "C")], "id BIGINT, document_number STRING"), allowMissingColumns=True
+    )
+    text = "".join(chr(97 + i * i % 26) + str(i * 7919 % 1009) for i in range(1000))
+    docs = docs.withColumns({"content_text": F.lit(text), "content_html": F.lit(f"<p>{text}</p>")})
+    keys = spark.createDataFrame([(i, "A") for i in range(50)] + [(50, "B"), (51, "D"), (52, None)], "pos BIGINT, document_number STRING")
+    for content in (True, False):
+        path = str(tmp_path / str(content))
+        json_files.write_lookup(keys, docs, path, include_content=content)
+        got = spark.read.json(f"{path}/documents")
+        counts = {(r.id, r.document_number): r["count"] for r in got.groupBy("id", "document_number").count().collect()}
+        assert counts == {**{(i, "A"): 50 for i in range(20)}, (20, "B"): 1}
+        assert ("content_text" in got.columns) == content
+        if content:
+            assert got.select("content_text", "content_html").distinct().collect() == [(text, f"<p>{text}</p>")]
+            files = list((tmp_path / "True" / "documents").glob("part-*"))
+            assert sum(f.stat().st_size for f in files) < 1001 * len(text) / 10
+    listed = L.listed_documents(keys, docs)
+    assert sorted(r.listed for r in listed.select("listed").collect()) == [1] + [50] * 20
+
+
 def test_extracted_records_fit_their_tables(spark):
     from lexloom.operators import extraction as X
 
