@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexloom.functions.arrays import fold_emitting, let
-from lexloom.functions.text import decode_entities, strip
+from lexloom.functions.text import decode_entities, strip, unescape
 
 # Both patterns have the "<" of all branches in front, so that other characters meet one test.
 _TOKEN = (
@@ -39,7 +39,7 @@ def tokens(html: Column) -> Column:
         lambda t: F.struct(
             F.when(~t.startswith("<") | (t == "<"), F.lit(""))
             .when(t.startswith("<!"), F.lit("!"))
-            .otherwise(F.lower(F.regexp_extract(t, r"(?i)^<(/?[a-z][a-z0-9:-]*)", 1)))
+            .otherwise(F.lower(F.regexp_extract(t, "^<(/?[A-Za-z][A-Za-z0-9:-]*)", 1)))
             .alias("tag"),
             t.alias("raw"),
         ),
@@ -124,8 +124,9 @@ def first_element(toks: Column, opening: str, tag: str) -> Column:
 def element_spans(toks: Column, wanted: Callable[[Column], Column], names: list[str]) -> Column:
     """Spans of the outermost elements with one of ``names`` whose opening tag is wanted.
 
-    Only the tags of these names are folded, from the first wanted one on. While inside an
+    Only the tags of these names count, from the first wanted one on. While inside an
     element, tags of its name nest; an element never closed runs to the last token.
+    Where every tag is closed by the next one, pairs are read off; others are folded.
     """
     nothing = F.array().cast(f"array<{_SPAN}>")
 
@@ -169,10 +170,28 @@ def element_spans(toks: Column, wanted: Callable[[Column], Column], names: list[
             return fold_emitting(marks, F.struct(*depth), one_name, _SPAN, finish)
         return fold_emitting(marks, F.struct(F.lit("").alias("name"), *depth), step, _SPAN, finish)
 
+    def pairs(marks: Column) -> Column:
+        return F.filter(
+            F.transform(
+                marks,
+                lambda m, i: F.when(m["wanted"], _span(m["at"], F.coalesce(F.get(marks, i + 1)["at"], F.size(toks) - 1))),
+            ),
+            lambda s: s.isNotNull(),
+        )
+
+    def unpaired(marks: Column) -> Column:
+        return F.filter(
+            marks,
+            lambda m, i: F.when(i % 2 == 0, m["tag"].startswith("/")).otherwise(
+                m["tag"] != F.concat(F.lit("/"), F.get(marks, i - 1)["tag"])
+            ),
+        )
+
     def from_first(marks: Column) -> Column:
         first = F.get(F.filter(marks, lambda m: m["wanted"]), F.lit(0))["at"]
         after = let(first, lambda at: F.filter(marks, lambda m: m["at"] >= at))
-        return F.when(F.exists(marks, lambda m: m["wanted"]), let(after, folded)).otherwise(nothing)
+        spans = let(after, lambda ms: F.when(F.size(unpaired(ms)) == 0, pairs(ms)).otherwise(folded(ms)))
+        return F.when(F.exists(marks, lambda m: m["wanted"]), spans).otherwise(nothing)
 
     return let(_marks(toks, wanted, names), from_first)
 
@@ -221,20 +240,29 @@ def drop_elements(toks: Column, names: list[str]) -> Column:
     )
 
 
+def text_runs(toks: Column) -> Column:
+    """Text runs as they stand in the page."""
+    return F.filter(toks, lambda t: t["tag"] == "")["raw"]
+
+
 def texts(toks: Column) -> Column:
     """Decoded, stripped, non-empty text runs in order."""
-    runs = F.filter(toks, lambda t: t["tag"] == "")
-    return F.filter(F.transform(runs, lambda t: strip(decode_entities(t["raw"]))), lambda t: t != "")
+    return F.filter(F.transform(text_runs(toks), lambda t: strip(decode_entities(t))), lambda t: t != "")
 
 
 def raw_texts(toks: Column) -> Column:
     """Decoded text runs as they are."""
-    return F.transform(F.filter(toks, lambda t: t["tag"] == ""), lambda t: decode_entities(t["raw"]))
+    return F.transform(text_runs(toks), decode_entities)
 
 
 def text_of(toks: Column, separator: str) -> Column:
     return F.array_join(texts(toks), separator)
 
 
+def lines_of(toks: Column) -> Column:
+    """Decoded text, a line break between runs: no reference reaches over one, so the whole is decoded at once."""
+    return unescape(F.array_join(text_runs(toks), "\n"))
+
+
 def html_of(toks: Column) -> Column:
-    return F.array_join(F.transform(toks, lambda t: t["raw"]), "")
+    return F.array_join(toks["raw"], "")

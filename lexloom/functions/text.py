@@ -45,12 +45,21 @@ WS_CHARS = "".join(
 
 
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(WS_CHARS))
+    """Text without white space at its ends. Trimming visits every character, so it is left to texts that need it."""
+
+    def visible(code: Column) -> Column:
+        return code.between(0x21, 0x84) | code.between(0xA1, 0x167F) | (code > 0x3000)
+
+    def trimmed(x: Column) -> Column:
+        clean = visible(F.ascii(x)) & visible(F.ascii(F.substring(x, -1, 1)))
+        return F.when(clean, x).otherwise(F.btrim(x, F.lit(WS_CHARS)))
+
+    return let(c, trimmed)
 
 
 def collapse(c: Column) -> Column:
-    """Runs of white space become one blank; ends are stripped."""
-    return F.btrim(F.regexp_replace(c, rf"{WS}+", " "))
+    """Runs of white space become one blank; ends are stripped. Single blanks are no match: most texts stay as they are."""
+    return F.btrim(F.regexp_replace(c, r"(?U)[\s\x1c-\x1f&&[^ ]][\s\x1c-\x1f]*| [\s\x1c-\x1f]+", " "))
 
 
 def lines(c: Column) -> Column:

@@ -56,7 +56,7 @@ def section(toks: Column, where: tuple[str, str]) -> Column:
 
 def law_text(content: Column) -> Column:
     """One block per text line, blank line between blocks; '' without a content section."""
-    joined = H.text_of(H.drop_elements(content, LAW_DROPPED), "\n")
+    joined = H.lines_of(H.drop_elements(content, LAW_DROPPED))
     return F.coalesce(T.clean_lines(joined, collapse_spaces=True, joiner="\n\n"), F.lit(""))
 
 
@@ -75,7 +75,8 @@ _PART = "struct<start:int,stop:int,depth:int,kind:int>"
 def _table_parts(toks: Column) -> Column:
     """Cells and row ends of a section with their cell depth.
 
-    Only table tags are folded; ``open`` is the stack of starts of the open cells.
+    Only table tags count. Where every cell is closed by the next of them, no cell lies in
+    another; else they are folded, with the stack of starts of the open cells.
     """
     tags = ("td", "/td", "/tr", "/tbody", "/table")
     marks = F.filter(
@@ -86,16 +87,17 @@ def _table_parts(toks: Column) -> Column:
         lambda m: m.isNotNull(),
     )
 
-    def part(start: Column, stop: Column, depth: Column, kind: int) -> Column:
-        return F.array(
-            F.struct(
-                start.alias("start"),
-                stop.alias("stop"),
-                depth.alias("depth"),
-                F.lit(kind).cast("int").alias("kind"),
-            )
+    def entry(start: Column, stop: Column, depth: Column, kind: int) -> Column:
+        return F.struct(
+            start.alias("start"),
+            stop.alias("stop"),
+            depth.alias("depth"),
+            F.lit(kind).cast("int").alias("kind"),
         )
 
+    def part(start: Column, stop: Column, depth: Column, kind: int) -> Column:
+        return F.array(entry(start, stop, depth, kind))
+
     def step(opened: Column, m: Column) -> tuple[Column, Column]:
         depth = F.size(opened)
         pop = (m["tag"] == "/td") & (depth > 0)
@@ -111,8 +113,23 @@ def _table_parts(toks: Column) -> Column:
         )
         return still_open, found
 
+    def flat(ms: Column) -> Column:
+        def one(m: Column, i: Column) -> Column:
+            cell = entry(m["at"], F.get(ms, i + 1)["at"], F.lit(1), _CELL)
+            return F.when(m["tag"] == "td", cell).when(m["tag"] != "/td", entry(m["at"], m["at"], F.lit(1), _ROW_END))
+
+        return F.filter(F.transform(ms, one), lambda p: p.isNotNull())
+
+    def unpaired(ms: Column) -> Column:
+        return F.filter(ms, lambda m, i: (m["tag"] == "td") != F.coalesce(F.get(ms, i + 1)["tag"] == "/td", F.lit(False)))
+
     none_open = F.array().cast("array<int>")
-    return let(marks, lambda ms: fold_emitting(ms, none_open, step, _PART, lambda _, found: F.array_sort(found)))
+
+    def parts(ms: Column) -> Column:
+        nested = fold_emitting(ms, none_open, step, _PART, lambda _, found: F.array_sort(found))
+        return F.when(F.size(unpaired(ms)) == 0, flat(ms)).otherwise(nested)
+
+    return let(marks, parts)
 
 
 def _next_cell(parts: Column, cell: Column) -> Column:
@@ -142,8 +159,8 @@ def table_fields(meta: Column, bold_labels: list[str], cell_labels: list[str]) -
 
     def sole_text(toks: Column) -> Column:
         return let(
-            H.raw_texts(toks),
-            lambda runs: F.when(F.size(runs) == 1, T.strip(F.get(runs, F.lit(0)))),
+            H.text_runs(toks),
+            lambda runs: F.when(F.size(runs) == 1, T.strip(T.unescape(F.get(runs, F.lit(0))))),
         )
 
     def field(bold: bool, label: Column, wanted: list[str], value: Column) -> Column:

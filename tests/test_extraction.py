@@ -184,3 +184,31 @@ def test_binding_copies_nothing(spark):
     df = spark.range(1).select(let(F.sequence(F.lit(1), F.lit(3)), lambda a: F.concat(a, a)).alias("v"))
     assert df.first().v == [1, 2, 3, 1, 2, 3]
     assert "transform(" not in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_pairs_read_off_are_the_elements_folded(spark):
+    """Pages whose tags close at once, and the same ones with something nested behind, which are folded."""
+    row = "<tr><td><b> L{0}: </b></td><td>v{0} <span>x</span></td></tr>"
+    flat = "<div>" + "".join(row.format(i) for i in range(3)) + "<tr><td>G:</td><td><i>g</i></td></tr>{}</div>"
+    tails = ["", "</td>", "<td>", "<td><b>L9:</b><table><tr><td>n</td></tr></table></td><td>w</td>", "<tr><td>e</tr>", "<b>open"]
+    pages = [(i, flat.format(t)) for i, t in enumerate(tails)]
+    toks = H.tokens(F.col("html"))
+    df = spark.createDataFrame(pages, "i INT, html STRING").withColumn("t", toks)
+    fields = X.table_fields(F.col("t"), ["L0:", "L2:", "L9:"], ["G:"])
+    got = {r.i: r for r in df.select("i", fields.alias("f"), X.link_texts(F.col("t")).alias("a"), F.transform(H.all_elements(F.col("t"), H.opener("b"), "b"), H.html_of).alias("b")).collect()}
+    bold = [(True, "L0:", "v0"), (True, "L1:", None), (True, "L2:", "v2")]
+    cell = [(False, "G:", "g"), (False, "g", None)]
+    for i, r in got.items():
+        named = [tuple(f) for f in r.f if f.label in ("L0:", "L1:", "L2:", "L9:", "G:", "g")]
+        assert [f for f in named if f[0]] == bold + ([(True, "L9:", "w")] if i == 3 else [])
+        assert [f for f in named if not f[0] and f[1] in ("G:", "g")] == cell
+        closed = [f"<b> L{n}: </b>" for n in range(3)]
+        assert r.b == closed + {3: ["<b>L9:</b>"], 5: ["<b>open</div>"]}.get(i, [])
+
+
+def test_statute_text_decoded_at_once(spark):
+    """Runs that end or begin with parts of a reference stay apart; white space of any kind, line breaks within runs."""
+    runs = ["a &am", "p; b", "x&amp", "; y&#10;z", "  \t q　 r \x1f", "\x1c  ", "&#x2028;e&nbsp;", "  f  g\r"]
+    html = "<div class='content1'>" + "<i></i>".join(runs) + "<aside>n</aside>\nh</div>"
+    got = spark.createDataFrame([(html,)], "h STRING").select(X.law_text(X.section(H.tokens(F.col("h")), X.LAW_CONTENT)).alias("t"), H.lines_of(F.array().cast("array<struct<tag:string,raw:string>>")).alias("e")).first()
+    assert got.t.split("\n\n") == ["a &am", "p; b", "x&", "; y", "z", "q r", "e", "f g", "h"] and got.e == ""

@@ -108,3 +108,12 @@ def test_spread_starts_and_occurrences(spark):
     assert row.s == [None, 1, 1, 3, 3]
     assert row.e == [None, None]
     assert row.o == [1, 1, 2, 1, 2, 3]
+
+
+def test_strip_at_every_kind_of_end(spark):
+    ends = ["", *T.WS_CHARS, "a", "\u0084", "\u0086", "​", "‧", "、", "Đ", "😀", "  \t"]
+    rows = [(a + m + b, m) for a in ends for b in ends for m in ("", "x y", "é é")]
+    got = spark.createDataFrame(rows, "c STRING, m STRING").select("c", T.strip(F.col("c")).alias("r"), T.collapse(F.col("c")).alias("k")).collect()
+    assert all(r.r == r.c.strip(T.WS_CHARS) for r in got)
+    assert all(r.k == " ".join(w for w in re.split(f"[{T.WS_CHARS}]+", r.c) if w) for r in got)
+    assert spark.range(1).select(T.strip(F.lit(None).cast("string")).alias("r")).first().r is None
