@@ -4,6 +4,10 @@
 blocks, each with its tag name. Elements are found from the positions of the tags
 of one name; only those few tags take part in the matching of opening and closing
 tags. Everything stays in the page's row, so a page needs no shuffle.
+
+``markup`` is the same page as one string, in which every ``<`` begins a token.
+Elements and text runs are cut from it by patterns: no lambda visits each token, so
+it is the faster form where a page is cut many times. Both forms give the same elements.
 """
 
 from __future__ import annotations
@@ -54,7 +58,8 @@ def opener(tag: str, attr: str | None = None, value: str | None = None, exact: b
         return rf"(?i)^<{tag}\s(?:[^>]*\s)?{attr}\s*="
     word = value if exact else rf"(?:[^\"'>]*\s)?{value}(?:\s[^\"'>]*)?"
     bare = "" if " " in value else rf"|{value}(?=[\s/>])"
-    return rf"^<(?i:{tag})\s(?:[^>]*\s)?(?i:{attr})\s*=\s*(?:\"{word}\"|'{word}'{bare})"
+    # The test for the value alone comes first: most tags do not hold it anywhere.
+    return rf"^<(?i:{tag})\s(?=[^>]*?{value})(?:[^>]*\s)?(?i:{attr})\s*=\s*(?:\"{word}\"|'{word}'{bare})"
 
 
 _SPAN = "struct<start:int,stop:int>"
@@ -266,3 +271,170 @@ def lines_of(toks: Column) -> Column:
 
 def html_of(toks: Column) -> Column:
     return F.array_join(toks["raw"], "")
+
+
+# --- markup -----------------------------------------------------------------------------------
+
+# Rest of a tag after its name, as a token has it; end of a name.
+_TAIL = r"(?:(?:[^<>\"']++|\"[^<\"]*+\"|'[^<']*+')*+>|[^<>]*+>)"
+_END = "(?![A-Za-z0-9:-])"
+_TAG = rf"<(?:/?[A-Za-z]{_TAIL}|![^<>]*+>)"
+# Same-name elements in one another that a pattern follows; deeper ones are counted.
+_NESTED = {"div": 3}
+# Stands for a comment or raw-text block.
+_HIDDEN = "<!>"
+
+
+def markup(html: Column) -> Column:
+    """The page with every comment and raw-text block replaced by ``<!>``."""
+
+    def hidden(h: Column) -> Column:
+        return F.when(h.rlike("<[!sS][-cCtT]"), F.regexp_replace(h, INVISIBLE, _HIDDEN)).otherwise(h)
+
+    return let(html, hidden)
+
+
+def _sought(tag: str, opening: str) -> str:
+    """Test for a tag which ``opening``, an ``opener``, matches; the plain one of a tag needs none."""
+    return "" if opening == opener(tag) else f"(?={opening.replace('^', '', 1)})"
+
+
+def _open(tag: str) -> str:
+    return f"<(?i:{tag}){_END}{_TAIL}"
+
+
+def _close(tag: str) -> str:
+    return f"</(?i:{tag}){_END}{_TAIL}"
+
+
+def _inside(tag: str, nested: int | None = None) -> str:
+    """Pattern of what follows an opening tag up to its closing tag. Nothing is tried twice: the time is linear."""
+    nested = _NESTED.get(tag, 1) if nested is None else nested
+    inner = f"<(?!/?(?i:{tag}){_END}{_TAIL})"
+    if nested:
+        inner = f"(?:{inner}|{_open(tag)}{_inside(tag, nested - 1)}{_close(tag)})"
+    return f"[^<]*+(?:{inner}[^<]*+)*+"
+
+
+def _element(tag: str, inside: bool) -> str:
+    """Pattern of an element, whose group is the element or what it holds."""
+    return f"{_open(tag)}({_inside(tag)}){_close(tag)}" if inside else f"({_open(tag)}{_inside(tag)}{_close(tag)})"
+
+
+def _before(wanted: str) -> str:
+    return f"(?:[^<]++|(?!{wanted})<)*+"
+
+
+def part(page: Column, opening: str, tag: str, inside: bool = False) -> Column:
+    """``first_element`` of markup, as markup; with ``inside`` its own tags may be left out, which its text does not need."""
+    sought, mark = _sought(tag, opening), f"</?(?i:{tag}){_END}{_TAIL}"
+    before = _before(sought + _open(tag))
+
+    def step(acc: Column, piece: Column) -> Column:
+        deeper = F.when(piece.startswith("</"), _int(-1)).otherwise(_int(1))
+        return F.when((acc["depth"] == 0) & (acc["n"] > 0), acc).otherwise(
+            F.struct((acc["depth"] + deeper).alias("depth"), (acc["n"] + 1).alias("n"))
+        )
+
+    def folded(rest: Column) -> Column:
+        """The element at the start of the text, from the pieces that its tags begin."""
+        pieces = F.regexp_extract_all(rest, F.lit(f"{mark}(?:[^<]++|(?!{mark})<)*+"), F.lit(0))
+
+        def upto(ps: Column, end: Column) -> Column:
+            whole = F.array_join(F.slice(ps, F.lit(1), end["n"] - 1), "")
+            closing = F.regexp_extract(F.get(ps, end["n"] - 1), f"^{mark}", 0)
+            return F.when(end["depth"] == 0, F.concat(whole, closing)).otherwise(rest)
+
+        zero = F.struct(_int(0).alias("depth"), _int(0).alias("n"))
+        return let(pieces, lambda ps: F.aggregate(ps, zero, step, lambda end: upto(ps, end)))
+
+    def found(m: Column) -> Column:
+        closed = F.regexp_extract(m, f"(?s)^{before}{_element(tag, inside)}", 1)
+        rest = F.regexp_extract(m, f"(?s)^{before}({_open(tag)}.*)", 1)
+        unusual = let(rest, lambda r: F.when(r != "", folded(r)))
+        return let(closed, lambda c: F.when(c != "", c).otherwise(unusual))
+
+    return let(page, found)
+
+
+def parts(page: Column, opening: str, tag: str, inside: bool = False) -> Column:
+    """``all_elements`` of markup, as an array of markup; ``inside`` as in ``part``."""
+    first = f"(?=<[{tag[0]}{tag[0].upper()}])"
+
+    def every(m: Column) -> Column:
+        # One that does not close in the pattern's reach takes the rest of the page and gives ''.
+        pattern = f"(?s){first}{_sought(tag, opening)}(?:{_element(tag, inside)}|{_open(tag)}.*)"
+        elements = F.regexp_extract_all(m, F.lit(pattern), F.lit(1))
+        unusual = F.transform(all_elements(tokens(m), opening, tag), html_of)
+        found_all = let(elements, lambda es: F.when(F.try_element_at(es, F.lit(-1)) == "", unusual).otherwise(es))
+        return F.coalesce(found_all, F.array().cast("array<string>"))
+
+    return let(page, every)
+
+
+def without(page: Column, names: list[str]) -> Column:
+    """``drop_elements`` of markup: ``<!>`` in the place of each element, so that the text around it stays in two runs."""
+    nesting = [n for n in names if n not in ("script", "style")]
+    elements = "|".join(f"{_open(n)}(?:{_inside(n)}{_close(n)}|(?s:.*))" for n in nesting)
+
+    def cleared(m: Column) -> Column:
+        # An element that does not close in the pattern's reach takes the rest of the page.
+        unusual = F.array_join(drop_elements(tokens(m), nesting)["raw"], _HIDDEN)
+        dropped = F.regexp_replace(m, elements, _HIDDEN)
+        return let(dropped, lambda x: F.when(x.endswith(_HIDDEN), unusual).otherwise(x))
+
+    return let(page, cleared)
+
+
+def label_and_box(item: Column, row: str, box: str) -> Column:
+    """Label and value box of a list item of the usual form as one text, ``<`` between them; others as they are.
+
+    The usual form is a row, in it a box with a bold label, after that the value box. Others have boxes
+    before these or in the value box, a second bold text, or tags in the label.
+    """
+
+    def skip(*tags: str) -> str:
+        return f"(?:[^<]++|<(?!/?(?i:{'|'.join(tags)}){_END}{_TAIL}))*+"
+
+    plain, row, box = skip("li", "b", "div"), *(_sought("div", x) + _open("div") for x in (row, box))
+    label = f"(?!{box}){_open('div')}{plain}{_open('b')}([^<]++){_close('b')}{plain}(?:{_close('div')}{plain})?+"
+    usual = rf"^{_open('li')}{plain}(?!{box}){row}{plain}{label}{box}({plain}){_close('div')}{skip('li', 'b')}(?:{_close('li')})?+\z"
+    return F.regexp_replace(item, usual, "$1<$2")
+
+
+def runs(page: Column) -> Column:
+    """``text_runs`` of markup."""
+    return F.regexp_extract_all(page, F.lit(rf"\G(?:{_TAG})*+([^<]++|</![^<>]*+>|<)"), F.lit(1))
+
+
+def text_in(page: Column, separator: str) -> Column:
+    """``text_of`` of markup."""
+
+    def joined(m: Column) -> Column:
+        several = F.filter(F.transform(runs(m), lambda t: strip(decode_entities(t))), lambda t: t != "")
+        return F.when(F.contains(m, F.lit("<")), F.array_join(several, separator)).otherwise(strip(decode_entities(m)))
+
+    return let(page, joined)
+
+
+def raw_text_in(page: Column) -> Column:
+    """Decoded text runs of markup as they are, joined."""
+    return F.array_join(F.transform(runs(page), decode_entities), "")
+
+
+def source_of(element: Column, page: Column, html: Column) -> Column:
+    """A ``part`` of a page as it stands in the HTML, with its comments and raw-text blocks."""
+
+    def restored(e: Column) -> Column:
+        # A part is the first of its kind, so the same text does not stand before it.
+        before = F.split_part(page, e, F.lit(1))
+        hidden = F.regexp_extract_all(html, F.lit(f"{INVISIBLE}|{_HIDDEN}"), F.lit(0))
+        skipped = F.size(F.split(before, _HIDDEN)) - 1
+
+        def joined(blocks: Column, n: Column) -> Column:
+            pieces = F.transform(F.split(e, _HIDDEN), lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.get(blocks, n + i - 1), p)))
+            return F.array_join(pieces, "")
+
+        return let(hidden, lambda blocks: let(skipped, lambda n: joined(blocks, n)))
+
+    return let(element, lambda e: F.when(F.contains(e, F.lit(_HIDDEN)), restored(e)).otherwise(e))

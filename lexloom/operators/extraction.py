@@ -1,12 +1,15 @@
 """Captured pages to typed records.
 
 Each page is tokenised once; sections, labelled values, links and text are folds
-over that token array (``lexloom.functions.html``). A record is a projection of
+over that token array (``lexloom.functions.html``). Judgments, whose pages are cut
+into many small elements, are cut as markup instead. A record is a projection of
 its page row: no shuffle, and the same code runs on a stream of pages.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +57,12 @@ def section(toks: Column, where: tuple[str, str]) -> Column:
     return H.first_element(toks, opening, tag)
 
 
+def markup_section(page: Column, where: tuple[str, str]) -> Column:
+    """``section`` of markup."""
+    tag, opening = where
+    return H.part(page, opening, tag)
+
+
 def law_text(content: Column) -> Column:
     """One block per text line, blank line between blocks; '' without a content section."""
     joined = H.lines_of(H.drop_elements(content, LAW_DROPPED))
@@ -61,8 +70,8 @@ def law_text(content: Column) -> Column:
 
 
 def judgment_text(content: Column) -> Column:
-    """Text runs joined by blanks, line breaks inside runs kept; '' without a content section."""
-    joined = H.text_of(H.drop_elements(content, JUDGMENT_DROPPED), " ")
+    """Text runs of markup joined by blanks, line breaks inside runs kept; '' without a content section."""
+    joined = H.text_in(H.without(content, JUDGMENT_DROPPED), " ")
     return F.coalesce(T.clean_lines(joined, collapse_spaces=False, joiner="\n"), F.lit(""))
 
 
@@ -229,40 +238,52 @@ def gazette_value(fields: Column, label: str) -> Column:
 
 def link_texts(toks: Column) -> Column:
     """Text of every ``<a>`` in order."""
-    return F.transform(H.all_elements(toks, H.opener("a"), "a"), lambda a: H.text_of(a, ""))
+    return markup_link_texts(H.markup(H.html_of(toks)))
+
+
+def markup_link_texts(page: Column) -> Column:
+    """``link_texts`` of markup."""
+    return F.transform(H.parts(page, H.opener("a"), "a", inside=True), lambda a: H.text_in(a, ""))
 
 
 def list_fields(
     items: Column, value_labels: list[str], link_labels: list[str], first_link_labels: list[str]
 ) -> Column:
-    """Per list item its bold labels and, where its label asks for it, the value text,
+    """Per list item (markup) its bold labels and, where its label asks for it, the value text,
     the links of its value box, or its first link."""
-    box = H.opener("div", "class", "col-xl-9")
+    row, box = H.opener("div", "class", "row"), H.opener("div", "class", "col-xl-9")
 
     def among(labels: Column, wanted: list[str]) -> Column:
         return F.arrays_overlap(labels, F.array(*[F.lit(w) for w in wanted]))
 
-    def field(item: Column) -> Column:
-        row = H.first_element(item, H.opener("div", "class", "row"), "div")
-        value = F.replace(H.text_of(H.first_element(row, box, "div"), " "), F.lit("\n"), F.lit(" "))
-        labels = F.transform(
-            H.all_elements(item, H.opener("b"), "b"), lambda b: F.array_join(H.raw_texts(b), "")
-        )
+    def field(item: Column, usual: Column, label: Column) -> Column:
+        """``label`` is empty in items of another form, which begin with a tag."""
+
+        def box_in(within: Column) -> Column:
+            value = F.substring(usual, F.length(label) + 2, F.length(usual))
+            return F.when(label != "", value).otherwise(H.part(within, box, "div"))
+
+        bold = F.transform(H.parts(item, H.opener("b"), "b"), H.raw_text_in)
+        labels = F.when(label != "", F.array(T.decode_entities(label))).otherwise(bold)
+        value = F.replace(H.text_in(box_in(H.part(item, row, "div")), " "), F.lit("\n"), F.lit(" "))
         return let(
             labels,
             lambda ls: F.struct(
                 ls.alias("labels"),
                 F.when(among(ls, value_labels), value).alias("value"),
+                F.when(among(ls, link_labels), markup_link_texts(box_in(item))).alias("links"),
                 F.when(
-                    among(ls, link_labels), link_texts(H.first_element(item, box, "div"))
-                ).alias("links"),
-                F.when(among(ls, first_link_labels), F.get(link_texts(item), F.lit(0))).alias(
-                    "first_link"
-                ),
+                    among(ls, first_link_labels), F.get(markup_link_texts(item), F.lit(0))
+                ).alias("first_link"),
             ),
         )
 
-    return F.transform(items, field)
+    def labelled(item: Column, usual: Column) -> Column:
+        return let(F.substring_index(usual, "<", 1), lambda label: field(item, usual, label))
+
+    return F.transform(
+        items, lambda item: let(H.label_and_box(item, row, box), lambda usual: labelled(item, usual))
+    )
 
 
 def list_field(fields: Column, label: str) -> Column:
@@ -270,27 +291,33 @@ def list_field(fields: Column, label: str) -> Column:
     return F.get(F.filter(fields, lambda f: F.array_contains(f["labels"], label)), F.lit(0))
 
 
-def parties(toks: Column) -> Column:
-    """Names per role; when a role has several sections the last one counts."""
-    sections = F.transform(
-        H.all_elements(toks, PARTY_SECTION[1], "div"),
+def party_sections(page: Column) -> Column:
+    """Party sections of markup with their titles."""
+    return F.transform(
+        H.parts(page, PARTY_SECTION[1], "div"),
         lambda s: F.struct(
-            F.lower(H.text_of(H.first_element(s, H.opener("h4"), "h4"), "")).alias("title"),
-            F.flatten(
-                F.transform(
-                    H.all_elements(s, H.opener("ul"), "ul"),
-                    lambda u: F.transform(
-                        H.all_elements(u, H.opener("li"), "li"), lambda li: H.text_of(li, "")
-                    ),
-                )
-            ).alias("names"),
+            F.lower(H.text_in(H.part(s, H.opener("h4"), "h4", inside=True), "")).alias("title"),
+            s.alias("section"),
         ),
     )
+
+
+def parties(sections: Column) -> Column:
+    """Names per role; when a role has several sections the last one counts."""
     plaintiff, defendant = PARTY_ROLES["nguyen_don"], PARTY_ROLES["bi_don"]
     empty = F.array().cast("array<string>")
 
+    def names(section: Column) -> Column:
+        lists = F.transform(
+            H.parts(section, H.opener("ul"), "ul"),
+            lambda u: F.transform(
+                H.parts(u, H.opener("li"), "li", inside=True), lambda li: H.text_in(li, "")
+            ),
+        )
+        return F.flatten(lists)
+
     def last_names(found: Column) -> Column:
-        return F.coalesce(F.try_element_at(found, F.lit(-1))["names"], empty)
+        return F.coalesce(names(F.try_element_at(found, F.lit(-1))["section"]), empty)
 
     return let(
         sections,
@@ -313,12 +340,12 @@ def parties(toks: Column) -> Column:
 # --- records ----------------------------------------------------------------------------------
 
 
-def _with_tokens(pages: DataFrame) -> DataFrame:
-    """Tokenise fetched pages; a failed fetch keeps its row and gets an error."""
+def _fetched(pages: DataFrame, name: str, form: Callable[[Column], Column]) -> DataFrame:
+    """Fetched pages with their HTML in another form; a failed fetch keeps its row and gets an error."""
     fetched = F.coalesce(F.col("http_status") < 400, F.lit(True))
     return pages.withColumn(
         "error", F.when(~fetched, F.concat(F.lit("HTTP status "), F.col("http_status")))
-    ).withColumn("_toks", F.when(fetched, H.tokens(F.col("html"))))
+    ).withColumn(name, F.when(fetched, form(F.col("html"))))
 
 
 def law_records(pages: DataFrame, keep: tuple[str, ...] = ("doc_key",)) -> DataFrame:
@@ -327,7 +354,7 @@ def law_records(pages: DataFrame, keep: tuple[str, ...] = ("doc_key",)) -> DataF
     ``metadata_html`` is the untouched section.
     """
     with_sections = (
-        _with_tokens(pages)
+        _fetched(pages, "_toks", H.tokens)
         .withColumn("_meta", section(F.col("_toks"), LAW_METADATA))
         .withColumn("_content", section(F.col("_toks"), LAW_CONTENT))
         .withColumn(
@@ -373,13 +400,15 @@ def law_records(pages: DataFrame, keep: tuple[str, ...] = ("doc_key",)) -> DataF
 def judgment_records(pages: DataFrame, keep: tuple[str, ...] = ("doc_key",)) -> DataFrame:
     """Judgment pages to typed records plus ``error`` and ``missing_labels`` flags."""
     with_sections = (
-        _with_tokens(pages)
-        .withColumn("_meta", section(F.col("_toks"), JUDGMENT_METADATA))
-        .withColumn("_content", section(F.col("_toks"), JUDGMENT_CONTENT))
+        _fetched(pages, "_page", H.markup)
+        .withColumn("_meta", markup_section(F.col("_page"), JUDGMENT_METADATA))
+        .withColumn("_content", markup_section(F.col("_page"), JUDGMENT_CONTENT))
+        .withColumn("_items", H.parts(F.col("_meta"), H.opener("li"), "li"))
+        .withColumn("_sections", party_sections(F.col("_page")))
         .withColumn(
             "_fields",
             list_fields(
-                H.all_elements(F.col("_meta"), H.opener("li"), "li"),
+                F.col("_items"),
                 list(JUDGMENT_LABELS.values()),
                 [KEYWORD_LABEL],
                 [AUTHORITY_LABEL],
@@ -410,10 +439,10 @@ def judgment_records(pages: DataFrame, keep: tuple[str, ...] = ("doc_key",)) ->
         F.coalesce(keywords["links"], F.array().cast("array<string>")).alias(
             "keywords"
         ),
-        H.html_of(F.col("_meta")).alias("metadata_html"),
-        H.html_of(F.col("_content")).alias("content_html"),
+        H.source_of(F.col("_meta"), F.col("_page"), F.col("html")).alias("metadata_html"),
+        H.source_of(F.col("_content"), F.col("_page"), F.col("html")).alias("content_html"),
         judgment_text(F.col("_content")).alias("content_text"),
-        parties(F.col("_toks")).alias("related_parties"),
+        parties(F.col("_sections")).alias("related_parties"),
         missing.alias("missing_labels"),
         "error",
     )

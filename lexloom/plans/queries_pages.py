@@ -72,7 +72,9 @@ def x7_references(spark: SparkSession, d: str) -> DataFrame:
 SELECT page_id, array_to_string([y FOR y IN [trim(x) FOR x IN string_split(array_to_string({_RUNS}, ' '), chr(10))]
   IF y <> ''], chr(10)) AS content_text FROM pages""")
 def x13(spark: SparkSession, d: str) -> DataFrame:
-    return _sections(spark, d).select("page_id", X.judgment_text(F.col("content")).alias("content_text"))
+    pages = table(spark, d, "pages", heavy=True)
+    content = X.markup_section(H.markup(F.col("html")), _ARTICLE)
+    return pages.select("page_id", X.judgment_text(content).alias("content_text"))
 
 
 @query("x10_link_texts", """

@@ -212,3 +212,56 @@ def test_statute_text_decoded_at_once(spark):
     html = "<div class='content1'>" + "<i></i>".join(runs) + "<aside>n</aside>\nh</div>"
     got = spark.createDataFrame([(html,)], "h STRING").select(X.law_text(X.section(H.tokens(F.col("h")), X.LAW_CONTENT)).alias("t"), H.lines_of(F.array().cast("array<struct<tag:string,raw:string>>")).alias("e")).first()
     assert got.t.split("\n\n") == ["a &am", "p; b", "x&", "; y", "z", "q r", "e", "f g", "h"] and got.e == ""
+
+
+def test_markup_gives_the_elements_of_tokens(spark):
+    """Nested (deeper than a pattern follows), unclosed, stray, hidden and odd tags: cut as markup or from tokens."""
+    deep = "<div>" * 9 + "in" + "</div>" * 9
+    pages = [
+        "a<!-- <div class='x'>c</div> --><div class='x'>1<b>2</b>&amp;<div>3</div> 4</div>t<div class=x>5</div>",
+        f"<p>{deep}<div class='x'>{deep}x</div></p>{deep}", "<div class='x'>open<div>y</div><nav>n<nav>m</nav>", "</div>x", "",
+        "<div title='a>b' class='x'>1 < 2 <1</div><!><DIV CLASS='x'>s<script>'<div class=\"x\">'</script>t</DIV>",
+        "<div-x class='x'>no</div-x><div class='x y' <div class='z x'>p</!q>r<nav>" + "<nav>" * 5 + "d" + "</nav>" * 6 + "e</div>",
+        f"<div class='x'>{deep}<style>s</style><!DOCTYPE z>f</div>" * 3,
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)) + [(99, None)], "i INT, h STRING")
+    toks, page = H.tokens(F.col("h")), H.markup(F.col("h"))
+    for tag, opening in (("div", H.opener("div", "class", "x")), ("div", H.opener("div")), ("b", H.opener("b")), ("nav", H.opener("nav"))):
+        first, part = H.first_element(toks, opening, tag), H.part(page, opening, tag)
+        r = df.select(
+            H.html_of(first), H.text_of(first, "|"), F.transform(H.all_elements(toks, opening, tag), lambda e: H.text_of(e, "|")),
+            H.source_of(part, page, F.col("h")), H.text_in(part, "|"), F.transform(H.parts(page, opening, tag), lambda e: H.text_in(e, "|")),
+        ).collect()
+        assert [tuple(x[:3]) for x in r] == [tuple(x[3:]) for x in r]
+    dropped = df.select(H.text_of(H.drop_elements(toks, ["nav", "style", "div"]), "|"), H.text_in(H.without(page, ["nav", "style", "div"]), "|")).collect()
+    assert [x[0] for x in dropped] == [x[1] for x in dropped]
+
+
+def test_judgment_items_of_other_forms(spark):
+    """Items that are no row with a label and one plain box: boxes in one another, two labels, tags in the label, no row."""
+    def page(*items):
+        return ("1", '<ul class="list-group detail-item">' + "".join(f"<li>{i}</li>" for i in items) + "</ul>", 200)
+
+    usual = '<div class="row"><div class="c"><b>{0}</b></div><div class="col-xl-9">{1}</div></div>'
+    html = page(
+        usual.format("Số hiệu:", "<p>7</p>/<div>8<div class='col-xl-9'>9</div></div>"),
+        '<div class="row"><div class="c"><b>Ngày</b><b>Cấp xét xử:</b></div></div><div class="col-xl-9">out</div>',
+        '<div class="row"><b>Lĩnh <i>vực</i>:</b><div class="row col-xl-9">D&acirc;n sự</div></div>',
+        '<b>Từ khóa:</b><div class="col-xl-9"><a>k<a>1</a></a>, <a>k2</div>',
+        usual.format("C&#417; quan ban hành:", "none") + "<a>Tòa</a>",
+        usual.format("Tên bản án:", "\n &lt;A&gt; <i>b</i>\n"),
+    )
+    r = X.judgment_records(spark.createDataFrame([html], "doc_key STRING, html STRING, http_status INT")).first()
+    assert (r.case_number, r.trial_level, r.field, r.case_name) == ("7 / 8 9", "", "Dân sự", "<A> b")
+    assert (r.keywords, r.issuing_authority, r.missing_labels) == (["k1", "k2"], "Tòa", [])
+    assert r.metadata_html == html[1]
+
+
+def test_judgment_pages_are_cut_as_markup(spark):
+    """No array of all tokens of a page is made, which lambdas would visit for every section, item and label."""
+    pages = spark.createDataFrame([("1", JUDGMENT.format(keywords=KEYWORDS), 200)], "doc_key STRING, html STRING, http_status INT")
+    plan = _plan(X.judgment_records(pages))
+    assert "_page" in plan and "_toks" not in plan
+    item = F.lit('<LI class="i"><div class="a row"><div><b>L:</b></div><div class=col-xl-9>v <i>w</i></div></div></LI>')
+    row, box = H.opener("div", "class", "row"), H.opener("div", "class", "col-xl-9")
+    assert spark.range(1).select(H.label_and_box(item, row, box)).first()[0] == "L:<v <i>w</i>"
